@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starlane.operators.cleaning import clean_bookings
 from starlane.operators.dimensions import (
@@ -19,8 +20,8 @@ from starlane.operators.dimensions import (
     build_dim_date,
 )
 from starlane.operators.fact import build_fact
-from starlane.session import apply_engine_conf, work_dir
-from starlane.sinks.files import materialise
+from starlane.session import apply_engine_conf, path_exists, work_dir
+from starlane.sinks.files import materialise, write_parquet
 from starlane.sources.bookings import raw_bookings
 
 ZONES = ("cleaned", "dim", "fact")
@@ -73,3 +74,30 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
     add_dims(star)
     add_dim_date(star)
     return add_fact(star)
+
+
+def land_if_absent(df: DataFrame, target: str, force: bool = False) -> bool:
+    """Write ``df`` to ``target`` unless it already exists (SRC-8/SNK-10).
+
+    The existence test goes through the Hadoop FileSystem API, so it works on
+    any shared store.  Returns whether a write happened.
+    """
+    if not force and path_exists(df.sparkSession, target):
+        return False
+    write_parquet(df, target, "overwrite")
+    return True
+
+
+def compact(cleaned: DataFrame, out: str, partition_cols=("year", "month"),
+            files: int | None = None) -> None:
+    """Re-lay a zone as ``year=/month=`` partitions with about ``files`` files.
+
+    Range partitioning on the partition columns *plus* the booking id keeps
+    each task on a contiguous run of months (few files per directory) while
+    a month holding a third of all rows is still split over many tasks.
+    """
+    spark = cleaned.sparkSession
+    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = cleaned.withColumns({"year": F.year("booking_date"), "month": F.month("booking_date")})
+    df.repartitionByRange(n, *partition_cols, "booking_id") \
+        .write.mode("overwrite").partitionBy(*partition_cols).parquet(out)
