@@ -31,6 +31,14 @@ def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     return latest.unionByName(unkeyed).select(*df.columns)
 
 
+def _by_partition(df: DataFrame, partition_col: str, key: str) -> DataFrame:
+    """Range-partition on (partition value, key): each task writes a
+    contiguous run of partitions (few files per directory), and a partition
+    holding a third of all rows still spreads over several tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, partition_col, key)
+
+
 def _partition_dir(root: str, col: str, value) -> str:
     v = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
     return f"{root.rstrip('/')}/{col}={v}"
@@ -50,8 +58,8 @@ def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list
     """
     spark = changes.sparkSession
     if not path_exists(spark, target_path):
-        write_parquet(latest_per_key(changes, key, order_by), target_path,
-                      partition_by=[partition_col])
+        write_parquet(_by_partition(latest_per_key(changes, key, order_by), partition_col, key),
+                      target_path, partition_by=[partition_col])
         return
     target = spark.read.parquet(target_path)
     changes = changes.select(*target.columns)
@@ -64,7 +72,8 @@ def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list
     affected = target.join(F.broadcast(t), target[partition_col].eqNullSafe(t["_p"]),
                            "left_semi")
     merged = latest_per_key(affected.unionByName(changes), key, order_by)
-    write_parquet(merged, staging_path, partition_by=[partition_col])
+    write_parquet(_by_partition(merged, partition_col, key), staging_path,
+                  partition_by=[partition_col])
     # explicit schema: a batch holding only the NULL partition would infer VOID
     staged = spark.read.schema(target.schema).parquet(staging_path).select(*target.columns)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
