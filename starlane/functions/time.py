@@ -5,26 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starlane.schema import DATE_PATTERN, TS_PATTERN
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_DATE_SHAPE = r"\d{4}-\d{1,2}-\d{1,2}"
+_TIME_SHAPE = r"\d{1,2}:\d{1,2}:\d{1,2}"
+
+
+def days_in_month(y: Column, m: Column) -> Column:
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    return (F.when(m == 2, F.when(leap, 29).otherwise(28))
+            .when(m.isin(4, 6, 9, 11), 30).otherwise(31))
+
+
+def _parse_fields(text: Column, with_time: bool) -> Column:
+    """``yyyy-M-d[ H:m:s]`` -> timestamp_ntz, NULL when the text or a field
+    is invalid (Feb 30, hour 24, minute 60, ...).
+
+    The shape is checked by one regex, the fields are split once, and every
+    range is checked by arithmetic before ``make_timestamp_ntz`` runs, so no
+    row ever raises - a failed parse costs no exception, and the result does
+    not depend on the session time zone.
+    """
+    shape = f"^{_DATE_SHAPE} {_TIME_SHAPE}$" if with_time else f"^{_DATE_SHAPE}$"
+    parts = F.split(text, "[-: ]")
+    field = lambda i: F.get(parts, i).try_cast("int")
+    y, mo, d = field(0), field(1), field(2)
+    h, mi, s = (field(3), field(4), field(5)) if with_time else (F.lit(0), F.lit(0), F.lit(0))
+    valid = (text.rlike(shape) & (y >= 1) & mo.between(1, 12) & (d >= 1)
+             & (d <= days_in_month(y, mo)) & (h < 24) & (mi < 60) & (s < 60))
+    return F.when(valid, F.make_timestamp_ntz(y, mo, d, h, mi, s))
+
+
 def parse_booking_ts(date_col: Column | str, time_col: Column | str | None) -> Column:
-    """Lenient ``date + ' ' + time`` parse, NULL on failure.
+    """Lenient ``date + ' ' + time`` parse (one-letter fields also take
+    unpadded values), NULL on failure.
 
     Which form is parsed depends on whether a time column *exists* (a schema
     fact decided on the driver), not on the value: a row with a NULL time in a
     feed that has a time column yields NULL, as it would in the source job.
     """
     if time_col is None:
-        ts = F.try_to_timestamp(F.trim(_c(date_col)), F.lit(DATE_PATTERN))
-    else:
-        text = F.concat_ws(" ", F.trim(_c(date_col)), F.trim(_c(time_col)))
-        ts = F.try_to_timestamp(text, F.lit(TS_PATTERN))
-    return ts.cast("timestamp_ntz")
+        return _parse_fields(F.trim(_c(date_col)), with_time=False)
+    text = F.concat_ws(" ", F.trim(_c(date_col)), F.trim(_c(time_col)))
+    return _parse_fields(text, with_time=True)
 
 
 def date_id_of(ts: Column | str) -> Column:

@@ -16,9 +16,18 @@ from pyspark.sql import functions as F
 
 from starlane.functions.text import reason_type
 from starlane.functions.time import calendar_columns
-from starlane.operators.keys import assign_dense_keys
+from starlane.operators.keys import Keyed, assign_dense_keys
 from starlane.schema import REASON_COLS
 
+# dimension -> (source columns, natural key, surrogate key)
+DIM_SPECS = {
+    "dim_customer": (["customer_id"], "customer_id", "customer_sk"),
+    "dim_vehicle": (["vehicle_type"], "vehicle_type", "vehicle_sk"),
+    "dim_location": (["pickup_location", "drop_location"], "location_name", "location_sk"),
+    "dim_payment": (["payment_method"], "payment_method", "payment_sk"),
+    "dim_reason": (REASON_COLS, "reason_text", "reason_sk"),
+}
+
 
 @dataclass
 class Dimension:
@@ -85,10 +94,44 @@ def build_dim_date(cleaned: DataFrame) -> DataFrame:
         .select("date_id", "date", "year", "month", "quarter", "day_of_week")
 
 
-DIMENSION_BUILDERS = {
+DIMENSION_BUILDERS = {  # one dimension at a time (each scans its source)
     "dim_customer": build_dim_customer,
     "dim_vehicle": build_dim_vehicle,
     "dim_location": build_dim_location,
     "dim_payment": build_dim_payment,
     "dim_reason": build_dim_reason,
 }
+
+
+# ---- all dimensions in one pass over the fact ---------------------------------
+
+def dimension_members(df: DataFrame, names=tuple(DIM_SPECS)) -> DataFrame:
+    """Distinct ``(dim, value)`` pairs for several dimensions from ONE scan.
+
+    Every row is unpivoted into one ``(dim, value)`` pair per source column;
+    the distinct is a partial + final hash aggregate, so hot values are
+    combined before the shuffle.
+    """
+    pairs = [F.struct(F.lit(n).alias("dim"), F.col(c).cast("string").alias("value"))
+             for n in names for c in DIM_SPECS[n][0]]
+    return (df.select(F.explode(F.array(*pairs)).alias("_p"))
+            .select("_p.dim", "_p.value").where(F.col("value").isNotNull()).distinct())
+
+
+def key_members(members: DataFrame, num_partitions: int | None = None,
+                group_offsets: dict | None = None) -> Keyed:
+    """Dense keys per dimension over ``(dim, value)`` pairs: ``(sk, dim, value, type)``."""
+    keyed = assign_dense_keys(members, "value", "sk", num_partitions,
+                              group="dim", group_offsets=group_offsets)
+    keyed.df = keyed.df.withColumn(
+        "type", F.when(F.col("dim") == "dim_reason", reason_type("value")))
+    return keyed
+
+
+def dimension_from_store(store: DataFrame, name: str, rows: int) -> Dimension:
+    """One dimension out of a ``(sk, dim, value, type)`` store."""
+    _, nk, sk = DIM_SPECS[name]
+    cols = [F.col("sk").alias(sk), F.col("value").alias(nk)]
+    if name == "dim_reason":
+        cols.append(F.col("type"))
+    return Dimension(name, store.where(F.col("dim") == name).select(*cols), nk, sk, rows)

@@ -5,18 +5,24 @@ Here the distinct keys are range-partitioned and sorted within partitions,
 then *reliably* checkpointed (range bounds come from sampling, so the layout
 must be fixed before positions are read from it).  Each row's position inside
 its partition comes from ``monotonically_increasing_id`` (partition index in
-the upper bits, row index in the lower 33), and a per-partition offset - a
-table with one row per partition, so its size is bounded by the partition
-count - is broadcast back.  Nothing is collected; no task sees more than one
-range of keys.
+the upper bits, row index in the lower 33).  Per-partition row counts - one
+row per partition (and per group), so bounded by the partition count, not by
+the data - give each partition its starting key, and that small table is
+broadcast back.  No key is collected; no task sees more than one key range.
+
+With ``group`` set, several dimensions are numbered in one pass: keys are
+dense *within* each group value (e.g. one ``dim`` column holding the name of
+the dimension each member belongs to).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlane.session import checkpoint_root
 
@@ -25,9 +31,10 @@ _POS_BITS = 33  # monotonically_increasing_id keeps the row index in 33 bits
 
 @dataclass
 class Keyed:
-    """A DataFrame with a dense key column, and its exact row count."""
+    """A DataFrame with a dense key column, and its exact row counts."""
     df: DataFrame
     rows: int
+    group_rows: dict = field(default_factory=dict)
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -37,31 +44,51 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
-                      num_partitions: int | None = None, offset: int = 0) -> Keyed:
-    """Number the distinct, non-NULL natural keys in ``keys`` from ``offset + 1``.
-
-    ``keys`` must already be distinct on ``nk``.  Returns the keyed frame and
-    the number of keys (known exactly from the offset table, no extra pass).
+                      num_partitions: int | None = None, offset: int = 0,
+                      group: str | None = None,
+                      group_offsets: dict | None = None) -> Keyed:
+    """Number the distinct, non-NULL natural keys in ``keys``.
+
+    Keys start after ``offset`` (or, per group, after ``group_offsets[g]``),
+    so an incremental load continues from the stored maximum.  ``keys`` must
+    already be distinct on ``(group, nk)``.
     """
     spark = keys.sparkSession
     checkpoint_root(spark)  # make sure a reliable checkpoint folder is set
     nks = [nk] if isinstance(nk, str) else list(nk)
+    order = ([group] if group else []) + nks
     n = _partitions(keys, num_partitions)
 
-    ranged = keys.repartitionByRange(n, *nks).sortWithinPartitions(*nks)
+    ranged = keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ranged = ranged.checkpoint(eager=True)
 
     pid = F.spark_partition_id()
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _POS_BITS)
     indexed = ranged.withColumns({"_pid": pid, "_pos": pos})
 
-    counts = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(offset))
-    offsets = offsets.checkpoint(eager=True)  # tiny: one row per partition
-    total = offsets.agg(F.sum("_n")).first()[0] or 0
-
-    keyed = (indexed.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-             .select((F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk), *nks))
-    return Keyed(keyed, int(total))
+    gcols = ["_pid"] + ([group] if group else [])
+    stats = indexed.groupBy(*gcols).agg(F.count(F.lit(1)).alias("n"),
+                                        F.min("_pos").alias("first")).collect()
+    # Running start per group, in partition order (partitions x groups rows).
+    start = defaultdict(lambda: offset)
+    if group_offsets:
+        start.update(group_offsets)
+    base = dict(start)
+    adj_rows = []
+    for r in sorted(stats, key=lambda r: r["_pid"]):
+        g = r[group] if group else None
+        adj_rows.append((r["_pid"], g, start[g] - r["first"]))
+        start[g] += r["n"]
+    group_rows = {g: start[g] - base.get(g, offset) for g in start}
+
+    gtype = keys.schema[group].dataType if group else T.StringType()
+    adj = spark.createDataFrame(adj_rows, T.StructType([
+        T.StructField("_pid", T.IntegerType()), T.StructField("_g", gtype),
+        T.StructField("_adj", T.LongType())]))
+    cond = indexed["_pid"] == adj["_pid"]
+    if group:
+        cond = cond & (indexed[group] == adj["_g"])
+    keyed = (indexed.join(F.broadcast(adj), cond)
+             .select((F.col("_adj") + F.col("_pos") + 1).cast("long").alias(sk),
+                     *([indexed[group]] if group else []), *[indexed[c] for c in nks]))
+    return Keyed(keyed, int(sum(group_rows.values())), group_rows)

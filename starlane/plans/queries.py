@@ -246,11 +246,11 @@ def incremental_dim_customer(spark, sf_dir):
     """Customer dimension grown batch by batch (yearly); keys continue from
     the stored maximum and a replayed batch adds nothing."""
     st = S.start(spark, sf_dir, "incr_dim")
-    d = incremental.incremental_dims(st.root)["dim_customer"]
+    dims = incremental.IncrementalDims(f"{st.root}/dims", ["dim_customer"])
     for y in _year_batches(st.cleaned):
-        d.update(st.cleaned.where(_in_batch(y)))
-    d.update(st.cleaned.where(_in_batch(None)))  # replay of the last batch: no-op
-    return spark.read.parquet(d.path).select("customer_sk", "customer_id")
+        dims.update(st.cleaned.where(_in_batch(y)))
+    dims.update(st.cleaned.where(_in_batch(None)))  # replay of the last batch: no-op
+    return dims.dimensions(spark)["dim_customer"].df
 
 
 def stream_fact_equals_batch(spark, sf_dir):
@@ -300,17 +300,17 @@ def external_tables_star(spark, sf_dir):
     st = S.add_fact(S.add_dims(S.start(spark, sf_dir, "ext_tables")))
     tag = st.root.rsplit("-", 1)[-1]
     for name, path in [("fact_booking", f"{st.root}/fact/fact_booking"),
-                       ("dim_vehicle", f"{st.root}/dim/dim_vehicle"),
-                       ("dim_payment", f"{st.root}/dim/dim_payment")]:
+                       ("dim_vehicle", S.dim_path(st, "dim_vehicle")),
+                       ("dim_payment", S.dim_path(st, "dim_payment"))]:
         spark.sql(f"DROP TABLE IF EXISTS ext_{name}_{tag}")
         spark.sql(f"CREATE TABLE ext_{name}_{tag} USING parquet LOCATION '{path}'")
     return spark.sql(f"""
-        SELECT v.vehicle_type, p.payment_method, count(*) AS rides,
+        SELECT v.value AS vehicle_type, p.value AS payment_method, count(*) AS rides,
                CAST(sum(CAST(f.booking_value AS DECIMAL(18,2))) AS DOUBLE) AS booking_value
         FROM ext_fact_booking_{tag} f
-        LEFT JOIN ext_dim_vehicle_{tag} v ON f.vehicle_sk = v.vehicle_sk
-        LEFT JOIN ext_dim_payment_{tag} p ON f.payment_sk = p.payment_sk
-        GROUP BY v.vehicle_type, p.payment_method""")
+        LEFT JOIN ext_dim_vehicle_{tag} v ON f.vehicle_sk = v.sk
+        LEFT JOIN ext_dim_payment_{tag} p ON f.payment_sk = p.sk
+        GROUP BY v.value, p.value""")
 
 
 QUERIES: dict[str, Query] = {

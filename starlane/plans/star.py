@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 
 from starlane.operators.cleaning import clean_bookings
 from starlane.operators.dimensions import (
+    DIM_SPECS,
     DIMENSION_BUILDERS,
     Dimension,
     build_dim_date,
+    dimension_from_store,
+    dimension_members,
+    key_members,
 )
 from starlane.operators.fact import build_fact
 from starlane.session import apply_engine_conf, path_exists, work_dir
@@ -47,16 +51,32 @@ def start(spark: SparkSession, sf_dir: str, name: str = "star") -> Star:
     return Star(root, cleaned_zone(spark, raw_bookings(spark, sf_dir), root))
 
 
-def add_dims(star: Star, names=tuple(DIMENSION_BUILDERS)) -> Star:
-    """Build the named dimensions from the cleaned zone into the dim zone."""
-    spark = star.cleaned.sparkSession
+def add_dims(star: Star, names=tuple(DIM_SPECS)) -> Star:
+    """Build dimensions from the cleaned zone into the dim zone.
+
+    Several dimensions are built in ONE pass: one scan of the cleaned rows,
+    one distinct over ``(dim, value)``, one range shuffle and one key
+    assignment; the result is written once as ``dim/dim=<name>/``.
+    A single dimension uses its own builder.
+    """
+    names = list(names)
+    if len(names) == 1:
+        d = DIMENSION_BUILDERS[names[0]](star.cleaned)
+        d.df = materialise(d.df, f"{star.root}/dim/{names[0]}")
+        star.dims[names[0]] = d
+        return star
+    keyed = key_members(dimension_members(star.cleaned, names))
+    store = materialise(keyed.df, f"{star.root}/dim", partition_by=["dim"])
     for n in names:
-        d = DIMENSION_BUILDERS[n](star.cleaned)
-        d.df = materialise(d.df, f"{star.root}/dim/{n}")
-        star.dims[n] = d
+        star.dims[n] = dimension_from_store(store, n, keyed.group_rows.get(n, 0))
     return star
 
 
+def dim_path(star: Star, name: str) -> str:
+    """Folder holding one dimension's files (``sk, value, type`` columns)."""
+    return f"{star.root}/dim/dim={name}"
+
+
 def add_dim_date(star: Star) -> Star:
     star.dim_date = materialise(build_dim_date(star.cleaned), f"{star.root}/dim/dim_date")
     return star

@@ -94,6 +94,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balance_splits(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A large file with a single row group is one input split, so everything
+    downstream of it (broadcast joins and row cleaning, which add no
+    shuffle) would run in one task.  Only then is the scan round-robin
+    repartitioned; a scan of many files or row groups is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def raw_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed as a Spark DataFrame: 21 string columns, original headers.
 
@@ -102,7 +116,7 @@ def raw_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension tables, sort-merge for ``lineitem`` x ``orders`` at scale).
     """
     t = lambda n: table(spark, sf_dir, n)
-    l = t("lineitem").alias("l")
+    l = balance_splits(t("lineitem")).alias("l")
     o = t("orders").alias("o")
     c = t("customer").alias("c")
     p = t("part").alias("p")

@@ -11,8 +11,8 @@ from starlane.operators.dimensions import DIMENSION_BUILDERS
 from starlane.operators.fact import build_fact
 from starlane.sinks.files import write_csv
 from starlane.streaming.incremental import (
+    IncrementalDims,
     fact_with_natural_keys,
-    incremental_dims,
     stream_star,
 )
 from tests.test_star import ROWS, raw_rows
@@ -48,15 +48,17 @@ def test_upsert_moves_key_and_is_idempotent(spark, tmp_root):
 
 
 def test_incremental_dimension_keeps_keys(spark, tmp_root):
-    dims = incremental_dims(tmp_root)
-    d = dims["dim_customer"]
-    b1 = spark.createDataFrame([("m",), ("k",)], "customer_id string")
-    b2 = spark.createDataFrame([("a",), ("k",), (None,)], "customer_id string")
-    assert d.update(b1) == 2
-    assert d.update(b2) == 1
-    assert d.update(b2) == 0  # replayed batch
-    got = sorted(tuple(r) for r in spark.read.parquet(d.path).collect())
-    assert got == [(1, "k"), (2, "m"), (3, "a")]
+    d = IncrementalDims(tmp_root + "/dims", ["dim_customer", "dim_vehicle"])
+    b1 = spark.createDataFrame([("m", "car"), ("k", None)], "customer_id string, vehicle_type string")
+    b2 = spark.createDataFrame([("a", "bike"), ("k", "car"), (None, "auto")],
+                               "customer_id string, vehicle_type string")
+    assert d.update(b1) == {"dim_customer": 2, "dim_vehicle": 1}
+    assert d.update(b2) == {"dim_customer": 1, "dim_vehicle": 2}
+    assert d.update(b2) == {"dim_customer": 0, "dim_vehicle": 0}  # replayed batch
+    dims = d.dimensions(spark)
+    assert sorted(tuple(r) for r in dims["dim_customer"].df.collect()) == [(1, "k"), (2, "m"), (3, "a")]
+    assert sorted(tuple(r) for r in dims["dim_vehicle"].df.collect()) == \
+        [(1, "car"), (2, "auto"), (3, "bike")]
 
 
 def test_stream_equals_batch_and_sees_only_new_files(spark, tmp_root):
