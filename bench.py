@@ -49,6 +49,30 @@ def main() -> None:
             runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
 
+    # Key assignment on the customer dimension: one global window (every key
+    # in one task) vs the range-partitioned form used by the library.
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from starlane.operators.dimensions import distinct_values
+    from starlane.operators.keys import assign_dense_keys
+    from starlane.plans import star as S
+
+    st = S.start(spark, sf_dir, "bench_keys")
+    keys = distinct_values(st.cleaned, ["customer_id"], "customer_id")
+    compare: dict[str, float] = {}
+    for label, build in [
+        ("global_window", lambda: keys.select(
+            F.row_number().over(Window.orderBy("customer_id")).alias("customer_sk"), "customer_id")),
+        ("range_partitioned", lambda: assign_dense_keys(keys, "customer_id", "customer_sk").df),
+    ]:
+        runs = []
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            build().write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        compare[f"dim_customer_keys_{label}"] = round(statistics.median(runs), 3)
+
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -59,6 +83,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "fact_rows": rows,
         "fact_rows_per_sec": round(rows / times["fact_booking"], 1),
+        "key_assignment": compare,
         "cpus": cpus,
         "repeat": repeat,
     }))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from starlane.functions.numeric import safe_double
 from starlane.functions.text import (
     clean_text,
+    first_non_blank,
     map_payment,
     normalise_header,
     normalise_headers,
@@ -30,17 +31,26 @@ def with_normalised_headers(df: DataFrame, rule=normalise_header) -> DataFrame:
 
 
 def resolve_aliases(df: DataFrame, aliases: dict[str, list[str]] = COLUMN_ALIASES) -> DataFrame:
-    """Rename an accepted alternative name to its logical name when the
-    logical name is absent (e.g. ``reason_for_cancelling``)."""
-    renames = {}
+    """Map accepted alternative names onto the logical name.
+
+    Only an alternative present: it is renamed.  Both present: the logical
+    column becomes the falsy coalesce ``logical or alternative`` (a blank
+    logical value falls back to the alternative, JOIN-6) and the alternative
+    is dropped.
+    """
+    out = df
     for logical, alts in aliases.items():
-        if logical in df.columns:
+        present = [a for a in alts if a in out.columns]
+        if not present:
             continue
-        for alt in alts:
-            if alt in df.columns:
-                renames[alt] = logical
-                break
-    return df.withColumnsRenamed(renames) if renames else df
+        if logical in out.columns:
+            out = out.withColumn(logical, first_non_blank(logical, *present)).drop(*present)
+        else:
+            out = out.withColumnRenamed(present[0], logical)
+            if present[1:]:
+                out = out.withColumn(logical, first_non_blank(logical, *present[1:])) \
+                    .drop(*present[1:])
+    return out
 
 
 def optional_col(df: DataFrame, name: str, dtype: str = "string") -> Column:
@@ -91,7 +101,7 @@ def clean_bookings(raw: DataFrame, header_rule=normalise_header) -> DataFrame:
     })
 
 
-def is_completed(df_or_none=None) -> Column:
+def is_completed() -> Column:
     """A ride is complete when it carries none of the three reasons."""
     return F.col(REASON_COLS[0]).isNull() & F.col(REASON_COLS[1]).isNull() \
         & F.col(REASON_COLS[2]).isNull()

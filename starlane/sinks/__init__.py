@@ -6,6 +6,7 @@ from starlane.sinks.files import (
     enforce_schema,
     ensure_database,
     materialise,
+    parse_lines,
     read_csv,
     write_csv,
     write_parquet,
@@ -13,4 +14,4 @@ from starlane.sinks.files import (
 )
 
 __all__ = ["csv_line", "declared_schema", "enforce_schema", "ensure_database",
-           "materialise", "read_csv", "write_csv", "write_parquet", "write_table"]
+           "materialise", "parse_lines", "read_csv", "write_csv", "write_parquet", "write_table"]

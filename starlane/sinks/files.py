@@ -79,6 +79,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return r.csv(path)
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType | str, column: str = "value",
+                header_line: str | None = None) -> DataFrame:
+    """Split already-read text lines into typed columns with ``from_csv``
+    (SRC-2 when the feed arrives as lines, e.g. ``spark.read.text``).
+
+    ``header_line`` drops lines equal to the header text (each file of a
+    headered feed starts with it).  Quotes follow RFC 4180; a line with too
+    few fields gives NULLs in the missing columns.
+    """
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    src = lines if header_line is None else lines.where(F.col(column) != header_line)
+    parsed = src.select(F.from_csv(F.col(column), st.simpleString(),
+                                   {"escape": '"', "mode": "PERMISSIVE"}).alias("_r"))
+    return parsed.select("_r.*")
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None, single_file: bool = False) -> None:
     """Parquet write (SNK-4/5, SNK-10, LAY-1)."""

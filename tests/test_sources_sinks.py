@@ -114,3 +114,12 @@ def test_parquet_glob_view(spark, tmp_root):
     spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string").write.parquet(out)
     spark.sql(f"CREATE OR REPLACE TEMP VIEW vw_t AS SELECT DISTINCT * FROM parquet.`{out}/*.parquet`")
     assert sorted(tuple(r) for r in spark.table("vw_t").collect()) == [(1, "a"), (2, "b")]
+
+
+def test_parse_lines_from_text(spark, tmp_root):
+    from starlane.sinks.files import parse_lines
+
+    p = write_text(tmp_root, "lines.csv", 'a,b\n1,"x, y"\n2\n')
+    lines = spark.read.text(p)
+    df = parse_lines(lines, "a string, b string", header_line="a,b")
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "x, y"), ("2", None)]

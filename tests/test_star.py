@@ -167,3 +167,13 @@ def test_dimension_from_several_columns_drops_nulls(spark):
     df = spark.createDataFrame([("a", None), (None, "b"), ("a", "a")], "x string, y string")
     d = build_dim(df, "d", ["x", "y"], "v", "v_sk")
     assert sorted(tuple(r) for r in d.df.collect()) == [(1, "a"), (2, "b")]
+
+
+def test_alias_falls_back_when_logical_is_blank(spark):
+    df = spark.createDataFrame(
+        [("x1", "", "late"), ("x2", "rain", "other"), ("x3", None, None)],
+        "`Booking ID` string, `Reason for cancelling by Customer` string, "
+        "`Reason for cancelling` string")
+    got = {r.booking_id: r.reason_for_cancelling_by_customer
+           for r in clean_bookings(df).collect()}
+    assert got == {"x1": "late", "x2": "rain", "x3": None}
