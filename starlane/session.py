@@ -15,14 +15,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the library relies on.  Every one is a runtime SQL conf, so they can
-# be applied to a session someone else built (the driver's, a notebook's).
+# Runtime settings the library relies on (adaptive execution and its skew
+# handling for the shuffle path of large lookups).  They are applied to any
+# session handed in; nothing else global is changed - writes that need a
+# dynamic partition overwrite pass it as a write option, and no expression
+# depends on the session time zone (all timestamps are timestamp_ntz).
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -35,6 +36,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
