@@ -2,15 +2,17 @@
 
 ``dq_report`` returns one row per check with the number of failing rows.
 Each source is read in as few passes as possible: all row-level checks on the
-cleaned zone are conditional counts in one aggregate, the text-measure checks
-are one aggregate over the raw feed, duplicates are one keyed aggregate, and
-referential integrity is a ``left_anti`` join per foreign key (broadcast
-when the dimension's checked size allows).
+cleaned zone are conditional counts in one aggregate; the raw-text checks are
+observed (``DataFrame.observe``) while the cleaned zone is being written, so
+the raw feed is not read again; duplicates are one keyed aggregate with a
+map-side partial step; referential integrity for every foreign key is one
+pass over the fact through broadcast left joins (a dimension above the
+checked broadcast size gets its own ``left_anti`` shuffle join).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -38,6 +40,7 @@ def _stack(df_one_row: DataFrame, names: list[str]) -> DataFrame:
 
 
 def cleaned_checks(cleaned: DataFrame) -> DataFrame:
+    """Row-level checks on the cleaned rows: one aggregate, one pass."""
     out_of_range = lambda c: F.col(c).isNotNull() & ~F.col(c).between(RATING_MIN, RATING_MAX)
     counts = {
         "missing_required_columns": F.lit(len([c for c in CLEANED_COLS if c not in cleaned.columns])),
@@ -59,57 +62,85 @@ def duplicate_key_check(cleaned: DataFrame, key: str = "booking_id") -> DataFram
     return _stack(row, [f"duplicate_{key}"])
 
 
-def raw_measure_checks(raw: DataFrame) -> DataFrame:
-    """Non-blank measure text that does not parse as a number."""
-    df = raw.toDF(*normalise_headers(raw.columns))
-    names, aggs = [], []
+def raw_check_metrics(raw: DataFrame) -> list[Column]:
+    """Aggregates over the raw feed: non-blank measure text that does not
+    parse as a number, one ``bad_<measure>`` count per measure present.
+    Usable in ``agg`` or in ``observe`` (to piggy-back on another pass)."""
+    by_name = dict(zip(normalise_headers(raw.columns), raw.columns))
+    out = []
     for m in MEASURE_COLS:
-        if m not in df.columns:
+        if m not in by_name:
             continue
-        bad = F.nullif(F.trim(F.col(m)), F.lit("")).isNotNull() & safe_double(F.col(m)).isNull()
-        names.append(f"bad_{m}")
-        aggs.append(F.count(F.when(bad, 1)).cast("long").alias(f"bad_{m}"))
-    return _stack(df.agg(*aggs), names)
+        c = F.col(f"`{by_name[m]}`")
+        bad = F.nullif(F.trim(c), F.lit("")).isNotNull() & safe_double(c).isNull()
+        out.append(F.count(F.when(bad, 1)).cast("long").alias(f"bad_{m}"))
+    return out
+
+
+def raw_measure_checks(raw: DataFrame) -> DataFrame:
+    """The raw-text checks as their own pass (when not observed on a write)."""
+    metrics = raw_check_metrics(raw)
+    row = raw.agg(*metrics)
+    return _stack(row, row.columns)
+
+
+def checks_frame(spark, values: dict[str, int]) -> DataFrame:
+    """Already-computed check counts (a handful of rows) as a frame."""
+    return spark.createDataFrame([(k, int(v)) for k, v in values.items()],
+                                 "check_name string, failed bigint")
 
 
 def orphan_checks(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
-    """Fact foreign keys with no row in their dimension (left_anti per key)."""
+    """Fact foreign keys with no row in their dimension, plus the fact row
+    count.  When every dimension is small enough to broadcast this is ONE
+    pass over the fact (a chain of broadcast left joins and one aggregate);
+    a large dimension falls back to its own ``left_anti`` join."""
     spark = fact.sparkSession
-    parts = []
-    for fk, dname in FACT_FKS:
-        if dname not in dims:
-            continue
-        d = dims[dname]
+    limit = broadcast_max_rows(spark)
+    fks = [(fk, dims[d]) for fk, d in FACT_FKS if d in dims]
+    small = [(fk, d) for fk, d in fks if d.rows <= limit]
+    large = [(fk, d) for fk, d in fks if d.rows > limit]
+
+    probe = fact.select(*{fk for fk, _ in fks})
+    for i, (fk, d) in enumerate(small):
+        keys = F.broadcast(d.df.select(F.col(d.sk).alias(f"_k{i}")))
+        probe = probe.join(keys, F.col(fk) == F.col(f"_k{i}"), "left")
+    aggs = [F.count(F.lit(1)).alias("_fact_rows")] + [
+        F.count(F.when(F.col(fk).isNotNull() & F.col(f"_k{i}").isNull(), 1)).alias(f"orphan_{fk}")
+        for i, (fk, _) in enumerate(small)]
+    row = probe.agg(*[a.cast("long") for a in aggs])
+    out = _stack(row, [f"orphan_{fk}" for fk, _ in small] + ["_fact_rows"])
+    for fk, d in large:
         keys = d.df.select(F.col(d.sk).alias("_k"))
-        if d.rows <= broadcast_max_rows(spark):
-            keys = F.broadcast(keys)
         orphans = fact.select(fk).where(F.col(fk).isNotNull()) \
             .join(keys, F.col(fk) == F.col("_k"), "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).cast("long").alias("failed"))
-                     .select(F.lit(f"orphan_{fk}").alias("check_name"), "failed"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(orphans.agg(F.count(F.lit(1)).cast("long").alias("failed"))
+                              .select(F.lit(f"orphan_{fk}").alias("check_name"), "failed"))
     return out
 
 
-def row_count_check(cleaned: DataFrame, fact: DataFrame) -> DataFrame:
-    c = cleaned.agg(F.count(F.lit(1)).alias("c"))
-    f = fact.agg(F.count(F.lit(1)).alias("f"))
-    return c.crossJoin(f).select(F.lit("fact_row_count_diff").alias("check_name"),
-                                 F.abs(F.col("c") - F.col("f")).cast("long").alias("failed"))
-
+def dq_report(cleaned: DataFrame, fact: DataFrame, dims: dict[str, Dimension],
+              raw: DataFrame | None = None, raw_checks: dict | None = None) -> DataFrame:
+    """All checks as ``(check_name string, failed bigint)``.
 
-def dq_report(raw: DataFrame, cleaned: DataFrame, fact: DataFrame,
-              dims: dict[str, Dimension]) -> DataFrame:
-    """All checks as ``(check_name string, failed bigint)``."""
-    parts = [cleaned_checks(cleaned), duplicate_key_check(cleaned),
-             raw_measure_checks(raw), orphan_checks(fact, dims),
-             row_count_check(cleaned, fact)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    Raw-text checks come from ``raw_checks`` (observed while the cleaned zone
+    was written) or, failing that, from a pass over ``raw``.
+    """
+    spark = cleaned.sparkSession
+    base = cleaned_checks(cleaned)
+    per_row = base.unionByName(duplicate_key_check(cleaned))
+    if raw_checks:
+        per_row = per_row.unionByName(checks_frame(spark, raw_checks))
+    elif raw is not None:
+        per_row = per_row.unionByName(raw_measure_checks(raw))
+    fact_side = orphan_checks(fact, dims)
+    cleaned_rows = cleaned.agg(F.count(F.lit(1)).cast("long").alias("c"))
+    fact_rows = fact_side.where(F.col("check_name") == "_fact_rows").select(F.col("failed").alias("f"))
+    diff = cleaned_rows.crossJoin(fact_rows).select(
+        F.lit("fact_row_count_diff").alias("check_name"),
+        F.abs(F.col("c") - F.col("f")).cast("long").alias("failed"))
+    return per_row.unionByName(fact_side.where(F.col("check_name") != "_fact_rows")) \
+        .unionByName(diff)
 
 
 def daily_anomalies(fact: DataFrame, k: int = 3, trailing_days: int = 7) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starlane.operators.cleaning import clean_bookings
@@ -24,6 +24,7 @@ from starlane.operators.dimensions import (
     key_members,
 )
 from starlane.operators.fact import build_fact
+from starlane.operators.quality import raw_check_metrics
 from starlane.session import apply_engine_conf, path_exists, work_dir
 from starlane.sinks.files import materialise, write_parquet
 from starlane.sources.bookings import raw_bookings
@@ -38,17 +39,31 @@ class Star:
     dims: dict[str, Dimension] = field(default_factory=dict)
     dim_date: DataFrame | None = None
     fact: DataFrame | None = None
+    raw_checks: dict[str, int] = field(default_factory=dict)
 
 
-def cleaned_zone(spark: SparkSession, raw: DataFrame, root: str) -> DataFrame:
-    return materialise(clean_bookings(raw), f"{root}/cleaned")
+def cleaned_zone(spark: SparkSession, raw: DataFrame, root: str,
+                 raw_checks: dict | None = None) -> DataFrame:
+    """Clean and write the cleaned zone.  When ``raw_checks`` is a dict, the
+    raw-text quality counts are observed *during the same write* (no second
+    pass over the raw feed) and stored in it."""
+    if raw_checks is None:
+        return materialise(clean_bookings(raw), f"{root}/cleaned")
+    obs = Observation("raw_checks")
+    observed = raw.observe(obs, *raw_check_metrics(raw))
+    zone = materialise(clean_bookings(observed), f"{root}/cleaned")
+    raw_checks.update({k: int(v) for k, v in obs.get.items()})
+    return zone
 
 
-def start(spark: SparkSession, sf_dir: str, name: str = "star") -> Star:
+def start(spark: SparkSession, sf_dir: str, name: str = "star",
+          observe_raw: bool = False) -> Star:
     """Clean the raw feed of ``sf_dir`` into a fresh run folder."""
     apply_engine_conf(spark)
     root = work_dir(spark, name)
-    return Star(root, cleaned_zone(spark, raw_bookings(spark, sf_dir), root))
+    checks: dict | None = {} if observe_raw else None
+    cleaned = cleaned_zone(spark, raw_bookings(spark, sf_dir), root, checks)
+    return Star(root, cleaned, raw_checks=checks or {})
 
 
 def add_dims(star: Star, names=tuple(DIM_SPECS)) -> Star:
