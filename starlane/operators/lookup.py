@@ -8,8 +8,9 @@ Strategy, decided per lookup from the dimension's *exact* row count:
 * at most ``broadcast_max_rows`` rows -> broadcast hash join.  The fact is
   never shuffled; a chain of such lookups is one map-only stage.
 * larger -> shuffle (sort-merge) join.  Rows whose value is NULL can never
-  match, yet would all hash to one reducer; they get a deterministic salt so
-  they spread over all reducers.  A hot non-NULL value is left to AQE's skew
+  match, yet would all hash to one reducer; their join key is replaced by a
+  deterministic salt (guarded so it never matches) so they spread over all
+  reducers.  A hot non-NULL value is left to AQE's skew
   join, which splits the oversized fact-side partition (the dimension side
   holds one row per key, so replicating it is cheap).
 
@@ -64,12 +65,16 @@ def lookup(fact: DataFrame, dim: Dimension, on: str | Column, as_: str,
     if dim.rows <= limit:
         return fact.join(F.broadcast(right), key == F.col(tmp), "left").drop(tmp)
 
-    salt = f"_{as_}_salt"
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
-    left = fact.withColumn(
-        salt, F.when(key.isNull(), F.pmod(row_hash, F.lit(NULL_SALT_BUCKETS)))
-        .otherwise(F.lit(0)).cast("int"))
-    rsalt = f"_{as_}_rsalt"
-    right = right.withColumn(rsalt, F.lit(0))
-    cond = (key == F.col(tmp)) & (F.col(salt) == F.col(rsalt))
-    return left.join(right, cond, "left").drop(tmp, salt, rsalt)
+    # Shuffle path.  The join key of a NULL row is replaced by a salt value
+    # (so NULL rows spread over all reducers instead of hashing to one), and a
+    # residual ``NOT is_null`` condition keeps a salt from ever matching a
+    # real member.  The salt lives inside the equi-join key on purpose: a
+    # separate constant salt column would be folded by the optimizer into a
+    # residual filter and the NULL rows would meet on one reducer again.
+    is_null, jkey = f"_{as_}_isnull", f"_{as_}_jk"
+    key_type = fact.select(key.alias("_k")).schema[0].dataType
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(NULL_SALT_BUCKETS))
+    left = fact.withColumns({is_null: key.isNull(),
+                             jkey: F.coalesce(key, salt.cast(key_type))})
+    cond = (F.col(jkey) == F.col(tmp)) & ~F.col(is_null)
+    return left.join(right, cond, "left").drop(tmp, is_null, jkey)
