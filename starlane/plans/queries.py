@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlane.functions.text import normalise_headers
-from starlane.operators import cdc, kpi, quality
+from starlane.operators import cdc, kpi, quality, sorts
 from starlane.operators.cleaning import clean_bookings, with_normalised_headers
 from starlane.operators.dimensions import build_dim_date
 from starlane.operators.lookup import lookup
@@ -67,14 +67,16 @@ def csv_external_autodetect(spark, sf_dir):
 
 
 def parquet_zone_view(spark, sf_dir):
-    """Cleaned zone -> glob scan -> ``SELECT DISTINCT *`` view -> first 100 in order."""
+    """Cleaned zone -> glob scan -> ``SELECT DISTINCT *`` view -> first 100
+    rows in order.  The top 100 is computed without shuffling every distinct
+    row (see ``distinct_top_k``); it equals ``SELECT * FROM view ORDER BY
+    <all> LIMIT 100``."""
     root = work_dir(spark, "zone_view")
     sinks.write_parquet(_cleaned(spark, sf_dir), f"{root}/cleaned")
+    glob = f"parquet.`{root}/cleaned/*.parquet`"
     view = f"vw_cleaned_trips_{root.rsplit('-', 1)[-1]}"
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS "
-              f"SELECT DISTINCT * FROM parquet.`{root}/cleaned/*.parquet`")
-    return spark.table(view).orderBy(*[F.col(c).asc_nulls_first() for c in CLEANED_COLS]) \
-        .limit(100)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT DISTINCT * FROM {glob}")
+    return sorts.distinct_top_k(spark.sql(f"SELECT * FROM {glob}"), 100)
 
 
 def land_raw_if_absent(spark, sf_dir):

@@ -74,3 +74,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert root
     p = work_dir(spark, "t")
     assert p.startswith(root.rstrip("/")) and os.path.isdir(p.replace("file:", ""))
+
+
+def test_distinct_top_k_exact_with_and_without_crowded_head(spark):
+    from starlane.operators.sorts import distinct_top_k
+
+    few_dups = spark.range(1000).select((F.col("id") % 700).alias("a"), F.lit("x").alias("b"))
+    crowded = spark.range(1000).select(
+        F.when(F.col("id") < 900, F.lit(0)).otherwise(F.col("id")).alias("a"),
+        F.lit(None).cast("string").alias("b"))
+    for df in (few_dups, crowded):
+        want = df.distinct().orderBy(F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()) \
+            .limit(10).collect()
+        assert distinct_top_k(df, 10).collect() == want
