@@ -39,27 +39,34 @@ def _stack(df_one_row: DataFrame, names: list[str]) -> DataFrame:
     return df_one_row.selectExpr(f"stack({len(names)}, {pairs}) AS (check_name, failed)")
 
 
-def cleaned_checks(cleaned: DataFrame) -> DataFrame:
-    """Row-level checks on the cleaned rows: one aggregate, one pass."""
+def _one_row(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    return df.agg(*[v.cast("long").alias(k) for k, v in counts.items()])
+
+
+def cleaned_counts(cleaned: DataFrame) -> dict[str, Column]:
+    """Row-level checks on the cleaned rows (one aggregate, one pass)."""
     out_of_range = lambda c: F.col(c).isNotNull() & ~F.col(c).between(RATING_MIN, RATING_MAX)
-    counts = {
+    return {
         "missing_required_columns": F.lit(len([c for c in CLEANED_COLS if c not in cleaned.columns])),
         "null_booking_id": F.count(F.when(F.col("booking_id").isNull(), 1)),
         "null_customer_id": F.count(F.when(F.col("customer_id").isNull(), 1)),
         "null_date_id": F.count(F.when(F.col("date_id").isNull(), 1)),
         "rating_out_of_range": F.count(F.when(out_of_range("driver_ratings")
                                               | out_of_range("customer_rating"), 1)),
+        "_cleaned_rows": F.count(F.lit(1)),
     }
-    row = cleaned.agg(*[v.cast("long").alias(k) for k, v in counts.items()])
-    return _stack(row, list(counts))
 
 
-def duplicate_key_check(cleaned: DataFrame, key: str = "booking_id") -> DataFrame:
+def cleaned_checks(cleaned: DataFrame) -> DataFrame:
+    counts = cleaned_counts(cleaned)
+    return _stack(_one_row(cleaned, counts), [k for k in counts if not k.startswith("_")])
+
+
+def duplicate_key_row(cleaned: DataFrame, key: str = "booking_id") -> DataFrame:
     """Rows beyond the first per non-NULL key (keyed partial aggregate, skew-safe)."""
     per_key = cleaned.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    row = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long")
-                      .alias(f"duplicate_{key}"))
-    return _stack(row, [f"duplicate_{key}"])
+    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long")
+                       .alias(f"duplicate_{key}"))
 
 
 def raw_check_metrics(raw: DataFrame) -> list[Column]:
@@ -77,46 +84,42 @@ def raw_check_metrics(raw: DataFrame) -> list[Column]:
     return out
 
 
-def raw_measure_checks(raw: DataFrame) -> DataFrame:
-    """The raw-text checks as their own pass (when not observed on a write)."""
-    metrics = raw_check_metrics(raw)
-    row = raw.agg(*metrics)
-    return _stack(row, row.columns)
-
+def orphan_row(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
+    """One row: orphan count per fact foreign key, plus the fact row count.
 
-def checks_frame(spark, values: dict[str, int]) -> DataFrame:
-    """Already-computed check counts (a handful of rows) as a frame."""
-    return spark.createDataFrame([(k, int(v)) for k, v in values.items()],
-                                 "check_name string, failed bigint")
-
-
-def orphan_checks(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
-    """Fact foreign keys with no row in their dimension, plus the fact row
-    count.  When every dimension is small enough to broadcast this is ONE
-    pass over the fact (a chain of broadcast left joins and one aggregate);
-    a large dimension falls back to its own ``left_anti`` join."""
+    When every dimension is small enough to broadcast this is ONE pass over
+    the fact (a chain of broadcast left joins and one aggregate); a
+    dimension above the checked size gets its own ``left_anti`` shuffle join.
+    """
     spark = fact.sparkSession
     limit = broadcast_max_rows(spark)
     fks = [(fk, dims[d]) for fk, d in FACT_FKS if d in dims]
     small = [(fk, d) for fk, d in fks if d.rows <= limit]
     large = [(fk, d) for fk, d in fks if d.rows > limit]
 
-    probe = fact.select(*{fk for fk, _ in fks})
+    probe = fact.select(*sorted({fk for fk, _ in fks}))
     for i, (fk, d) in enumerate(small):
         keys = F.broadcast(d.df.select(F.col(d.sk).alias(f"_k{i}")))
         probe = probe.join(keys, F.col(fk) == F.col(f"_k{i}"), "left")
-    aggs = [F.count(F.lit(1)).alias("_fact_rows")] + [
-        F.count(F.when(F.col(fk).isNotNull() & F.col(f"_k{i}").isNull(), 1)).alias(f"orphan_{fk}")
-        for i, (fk, _) in enumerate(small)]
-    row = probe.agg(*[a.cast("long") for a in aggs])
-    out = _stack(row, [f"orphan_{fk}" for fk, _ in small] + ["_fact_rows"])
+    counts = {"_fact_rows": F.count(F.lit(1))}
+    counts.update({f"orphan_{fk}": F.count(F.when(F.col(fk).isNotNull() & F.col(f"_k{i}").isNull(), 1))
+                   for i, (fk, _) in enumerate(small)})
+    row = _one_row(probe, counts)
     for fk, d in large:
         keys = d.df.select(F.col(d.sk).alias("_k"))
         orphans = fact.select(fk).where(F.col(fk).isNotNull()) \
             .join(keys, F.col(fk) == F.col("_k"), "left_anti")
-        out = out.unionByName(orphans.agg(F.count(F.lit(1)).cast("long").alias("failed"))
-                              .select(F.lit(f"orphan_{fk}").alias("check_name"), "failed"))
-    return out
+        row = _merge([row, orphans.agg(F.count(F.lit(1)).cast("long").alias(f"orphan_{fk}"))])
+    return row
+
+
+def _merge(rows: list[DataFrame]) -> DataFrame:
+    """Several one-row frames with disjoint columns -> one row (each input is
+    evaluated once; no cross join)."""
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
 
 
 def dq_report(cleaned: DataFrame, fact: DataFrame, dims: dict[str, Dimension],
@@ -124,23 +127,20 @@ def dq_report(cleaned: DataFrame, fact: DataFrame, dims: dict[str, Dimension],
     """All checks as ``(check_name string, failed bigint)``.
 
     Raw-text checks come from ``raw_checks`` (observed while the cleaned zone
-    was written) or, failing that, from a pass over ``raw``.
+    was written) or, failing that, from one pass over ``raw``.
     """
     spark = cleaned.sparkSession
-    base = cleaned_checks(cleaned)
-    per_row = base.unionByName(duplicate_key_check(cleaned))
+    parts = [_one_row(cleaned, cleaned_counts(cleaned)), duplicate_key_row(cleaned),
+             orphan_row(fact, dims)]
     if raw_checks:
-        per_row = per_row.unionByName(checks_frame(spark, raw_checks))
+        parts.append(spark.createDataFrame([tuple(int(v) for v in raw_checks.values())],
+                                           ", ".join(f"{k} bigint" for k in raw_checks)))
     elif raw is not None:
-        per_row = per_row.unionByName(raw_measure_checks(raw))
-    fact_side = orphan_checks(fact, dims)
-    cleaned_rows = cleaned.agg(F.count(F.lit(1)).cast("long").alias("c"))
-    fact_rows = fact_side.where(F.col("check_name") == "_fact_rows").select(F.col("failed").alias("f"))
-    diff = cleaned_rows.crossJoin(fact_rows).select(
-        F.lit("fact_row_count_diff").alias("check_name"),
-        F.abs(F.col("c") - F.col("f")).cast("long").alias("failed"))
-    return per_row.unionByName(fact_side.where(F.col("check_name") != "_fact_rows")) \
-        .unionByName(diff)
+        parts.append(raw.agg(*raw_check_metrics(raw)))
+    row = _merge(parts)
+    row = row.withColumn("fact_row_count_diff", F.abs(F.col("_cleaned_rows") - F.col("_fact_rows")))
+    names = [c for c in row.columns if not c.startswith("_")]
+    return _stack(row, names)
 
 
 def daily_anomalies(fact: DataFrame, k: int = 3, trailing_days: int = 7) -> DataFrame:
