@@ -100,8 +100,3 @@ def clean_bookings(raw: DataFrame, header_rule=normalise_header) -> DataFrame:
         "date_id": date_id_of("booking_timestamp"),
     })
 
-
-def is_completed() -> Column:
-    """A ride is complete when it carries none of the three reasons."""
-    return F.col(REASON_COLS[0]).isNull() & F.col(REASON_COLS[1]).isNull() \
-        & F.col(REASON_COLS[2]).isNull()

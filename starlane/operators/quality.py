@@ -57,11 +57,6 @@ def cleaned_counts(cleaned: DataFrame) -> dict[str, Column]:
     }
 
 
-def cleaned_checks(cleaned: DataFrame) -> DataFrame:
-    counts = cleaned_counts(cleaned)
-    return _stack(_one_row(cleaned, counts), [k for k in counts if not k.startswith("_")])
-
-
 def duplicate_key_row(cleaned: DataFrame, key: str = "booking_id") -> DataFrame:
     """Rows beyond the first per non-NULL key (keyed partial aggregate, skew-safe)."""
     per_key = cleaned.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

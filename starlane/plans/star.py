@@ -29,9 +29,6 @@ from starlane.session import apply_engine_conf, path_exists, work_dir
 from starlane.sinks.files import materialise, write_parquet
 from starlane.sources.bookings import raw_bookings
 
-ZONES = ("cleaned", "dim", "fact")
-
-
 @dataclass
 class Star:
     root: str

@@ -26,9 +26,6 @@ REASON_TYPE_RULES = [("incomplete", "incomplete"), ("driver", "driver_cancellati
 REASON_TYPE_DEFAULT = "customer_cancellation"
 # Accepted alternative names per logical column (by normalised header).
 COLUMN_ALIASES = {"reason_for_cancelling_by_customer": ["reason_for_cancelling"]}
-# Timestamp text layout: year-month-day hour:minute:second, 4-digit year,
-# other fields one or two digits (unpadded values are accepted).
-TS_LAYOUT = "yyyy-M-d H:m:s"
 # --- end of fixed values ----------------------------------------------------
 
 # Cleaned zone: the 18 logical source columns plus the two derived ones.

@@ -82,3 +82,9 @@ def test_date_id_and_calendar(spark):
 def test_reason_type(spark):
     got = one_col(spark, ["Incomplete: driver ill", "Driver late", "Changed mind"], reason_type)
     assert got == ["incomplete", "driver_cancellation", "customer_cancellation"]
+
+
+def test_safe_int(spark):
+    from starlane.functions.numeric import safe_int
+
+    assert one_col(spark, [" 20240101 ", "x", "", None], safe_int) == [20240101, None, None, None]

@@ -177,3 +177,31 @@ def test_alias_falls_back_when_logical_is_blank(spark):
     got = {r.booking_id: r.reason_for_cancelling_by_customer
            for r in clean_bookings(df).collect()}
     assert got == {"x1": "late", "x2": "rain", "x3": None}
+
+
+def test_cleaned_schema_is_the_declared_one(cleaned):
+    from starlane.schema import CLEANED_SCHEMA
+
+    assert [(f.name, f.dataType) for f in cleaned.schema] == \
+        [(f.name, f.dataType) for f in CLEANED_SCHEMA]
+
+
+def test_build_star_writes_every_zone(spark):
+    import os
+
+    from starlane.plans.star import build_star
+    from tests.conftest import SF_SMALL
+
+    st = build_star(spark, SF_SMALL)
+    n = st.cleaned.count()
+    assert n > 0 and st.fact.count() == n
+    assert st.dim_date.count() > 0
+    for z in ("cleaned", "dim", "fact/fact_booking", "dim/dim_date"):
+        assert os.path.isdir(os.path.join(st.root.replace("file:", ""), z)), z
+
+
+def test_head_is_ordered(spark):
+    from starlane.operators.sorts import head
+
+    df = spark.createDataFrame([(3,), (1,), (2,)], "a int")
+    assert [r.a for r in head(df, 2, [F.col("a")]).collect()] == [1, 2]
