@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from starlane.functions.numeric import safe_double
 from starlane.functions.text import normalise_headers
@@ -142,9 +141,12 @@ def daily_anomalies(fact: DataFrame, k: int = 3, trailing_days: int = 7) -> Data
     """Per day: rides and revenue, and whether each lies beyond ``k`` sample
     standard deviations of the trailing ``trailing_days`` calendar days.
 
-    The window runs over the *daily aggregate* (one row per calendar day, so
-    its size is bounded by the calendar, not by the data).  The test is done
-    in exact integer arithmetic: ``|x - mean| > k * sd`` is rewritten as
+    No ordered window (which would pull every day into one task): each
+    day's aggregate is sent to the ``trailing_days`` days it precedes
+    (``explode(sequence(day+1, day+N))``), summed per target day and joined
+    back - the same frame as ``RANGE BETWEEN N PRECEDING AND 1 PRECEDING``,
+    fully distributed, over an input of one row per day.  The test is exact
+    integer arithmetic: ``|x - mean| > k * sd`` becomes
     ``(n*x - s1)^2 * (n-1) > k^2 * n * (n*s2 - s1^2)`` over counts and cents.
     """
     daily = fact.where(F.col("date_id").isNotNull()).groupBy("date_id").agg(
@@ -157,12 +159,16 @@ def daily_anomalies(fact: DataFrame, k: int = 3, trailing_days: int = 7) -> Data
         "_rev_cents": (F.col("_rev") * 100).cast("decimal(38,0)"),
         "_rides": F.col("rides").cast("decimal(38,0)"),
     })
-    w = Window.orderBy("_day").rangeBetween(-trailing_days, -1)
-    daily = daily.withColumns({
-        "trailing_days": F.count(F.lit(1)).over(w),
-        "_r1": F.sum("_rides").over(w), "_r2": F.sum(F.col("_rides") * F.col("_rides")).over(w),
-        "_v1": F.sum("_rev_cents").over(w), "_v2": F.sum(F.col("_rev_cents") * F.col("_rev_cents")).over(w),
-    })
+    sent = daily.select(
+        F.explode(F.sequence(F.col("_day") + 1, F.col("_day") + trailing_days)).alias("_target"),
+        "_rides", "_rev_cents")
+    trailing = sent.groupBy("_target").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("_rides").alias("_r1"), F.sum(F.col("_rides") * F.col("_rides")).alias("_r2"),
+        F.sum("_rev_cents").alias("_v1"),
+        F.sum(F.col("_rev_cents") * F.col("_rev_cents")).alias("_v2"))
+    joined = daily.join(trailing, daily["_day"] == trailing["_target"], "left") \
+        .withColumn("trailing_days", F.coalesce(F.col("_n"), F.lit(0)).cast("long"))
     n = F.col("trailing_days").cast("decimal(38,0)")
     k2 = F.lit(k * k).cast("decimal(38,0)")
 
@@ -172,7 +178,7 @@ def daily_anomalies(fact: DataFrame, k: int = 3, trailing_days: int = 7) -> Data
                           & (dev * dev * (n - 1) > k2 * n * (n * F.col(s2) - F.col(s1) * F.col(s1))),
                           F.lit(False))
 
-    return daily.select(
+    return joined.select(
         "date_id", "rides", F.col("_rev").cast("double").alias("revenue"),
         "trailing_days",
         (F.col("_r1").cast("double") / F.col("trailing_days")).alias("rides_trailing_mean"),
