@@ -38,21 +38,31 @@ class Dimension:
     sk: str          # surrogate key column
     rows: int        # exact row count (checked size for broadcast decisions)
     unique: bool = True
+    freq: DataFrame | None = None   # (nk, freq): source rows per member, for hot keys
 
 
-def distinct_values(df: DataFrame, cols: list[str], as_name: str) -> DataFrame:
-    """Distinct non-NULL values over one or more columns, as one column."""
+def distinct_values(df: DataFrame, cols: list[str], as_name: str,
+                    with_freq: bool = False) -> DataFrame:
+    """Distinct non-NULL values over one or more columns, as one column
+    (plus ``freq``, the number of source values, when asked - same cost:
+    a partial + final hash aggregate either way)."""
     if len(cols) == 1:
         vals = df.select(F.col(cols[0]).alias(as_name))
     else:
         vals = df.select(F.explode(F.array(*[F.col(c) for c in cols])).alias(as_name))
-    return vals.where(F.col(as_name).isNotNull()).distinct()
+    vals = vals.where(F.col(as_name).isNotNull())
+    if with_freq:
+        return vals.groupBy(as_name).agg(F.count(F.lit(1)).alias("freq"))
+    return vals.distinct()
 
 
 def build_dim(df: DataFrame, name: str, cols: list[str], nk: str, sk: str,
               num_partitions: int | None = None) -> Dimension:
-    keyed = assign_dense_keys(distinct_values(df, cols, nk), nk, sk, num_partitions)
-    return Dimension(name, keyed.df.select(sk, nk), nk, sk, keyed.rows)
+    keyed = assign_dense_keys(distinct_values(df, cols, nk, with_freq=True), nk, sk,
+                              num_partitions)
+    full = keyed.df
+    return Dimension(name, full.select(sk, nk), nk, sk, keyed.rows,
+                     freq=full.select(nk, "freq"))
 
 
 def build_dim_customer(cleaned: DataFrame, **kw) -> Dimension:
@@ -105,17 +115,21 @@ DIMENSION_BUILDERS = {  # one dimension at a time (each scans its source)
 
 # ---- all dimensions in one pass over the fact ---------------------------------
 
-def dimension_members(df: DataFrame, names=tuple(DIM_SPECS)) -> DataFrame:
+def dimension_members(df: DataFrame, names=tuple(DIM_SPECS), with_freq: bool = False) -> DataFrame:
     """Distinct ``(dim, value)`` pairs for several dimensions from ONE scan.
 
     Every row is unpivoted into one ``(dim, value)`` pair per source column;
     the distinct is a partial + final hash aggregate, so hot values are
-    combined before the shuffle.
+    combined before the shuffle.  ``with_freq`` also keeps how many source
+    values each member has (what a lookup needs to find hot keys).
     """
     pairs = [F.struct(F.lit(n).alias("dim"), F.col(c).cast("string").alias("value"))
              for n in names for c in DIM_SPECS[n][0]]
-    return (df.select(F.explode(F.array(*pairs)).alias("_p"))
-            .select("_p.dim", "_p.value").where(F.col("value").isNotNull()).distinct())
+    vals = (df.select(F.explode(F.array(*pairs)).alias("_p"))
+            .select("_p.dim", "_p.value").where(F.col("value").isNotNull()))
+    if with_freq:
+        return vals.groupBy("dim", "value").agg(F.count(F.lit(1)).alias("freq"))
+    return vals.distinct()
 
 
 def key_members(members: DataFrame, num_partitions: int | None = None,
@@ -129,9 +143,11 @@ def key_members(members: DataFrame, num_partitions: int | None = None,
 
 
 def dimension_from_store(store: DataFrame, name: str, rows: int) -> Dimension:
-    """One dimension out of a ``(sk, dim, value, type)`` store."""
+    """One dimension out of a ``(sk, dim, value, type[, freq])`` store."""
     _, nk, sk = DIM_SPECS[name]
     cols = [F.col("sk").alias(sk), F.col("value").alias(nk)]
     if name == "dim_reason":
         cols.append(F.col("type"))
-    return Dimension(name, store.where(F.col("dim") == name).select(*cols), nk, sk, rows)
+    part = store.where(F.col("dim") == name)
+    freq = part.select(F.col("value").alias(nk), "freq") if "freq" in store.columns else None
+    return Dimension(name, part.select(*cols), nk, sk, rows, freq=freq)

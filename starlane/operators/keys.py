@@ -51,7 +51,8 @@ def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
 
     Keys start after ``offset`` (or, per group, after ``group_offsets[g]``),
     so an incremental load continues from the stored maximum.  ``keys`` must
-    already be distinct on ``(group, nk)``.
+    already be distinct on ``(group, nk)``; its other columns are carried
+    through unchanged.
     """
     spark = keys.sparkSession
     checkpoint_root(spark)  # make sure a reliable checkpoint folder is set
@@ -90,5 +91,5 @@ def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
         cond = cond & (indexed[group] == adj["_g"])
     keyed = (indexed.join(F.broadcast(adj), cond)
              .select((F.col("_adj") + F.col("_pos") + 1).cast("long").alias(sk),
-                     *([indexed[group]] if group else []), *[indexed[c] for c in nks]))
+                     *[indexed[c] for c in keys.columns]))
     return Keyed(keyed, int(sum(group_rows.values())), group_rows)

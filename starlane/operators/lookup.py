@@ -10,9 +10,10 @@ Strategy, decided per lookup from the dimension's *exact* row count:
 * larger -> shuffle (sort-merge) join.  Rows whose value is NULL can never
   match, yet would all hash to one reducer; their join key is replaced by a
   deterministic salt (guarded so it never matches) so they spread over all
-  reducers.  A hot non-NULL value is left to AQE's skew
-  join, which splits the oversized fact-side partition (the dimension side
-  holds one row per key, so replicating it is cheap).
+  reducers.  A hot member (more than 1% of the rows by default, known from
+  the member frequencies kept at build time) is salted over several
+  reducers, its one dimension row replicated per salt; AQE's skew join
+  remains as a second line for anything else.
 
 A dimension with duplicate natural keys would multiply fact rows; dimensions
 built here are unique by construction, foreign ones are checked first.
@@ -27,6 +28,8 @@ from starlane.operators.dimensions import Dimension
 
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 NULL_SALT_BUCKETS = 64
+DEFAULT_HOT_KEY_FRACTION = 0.01   # a member with more than 1% of the rows is hot
+DEFAULT_HOT_KEY_SALTS = 32        # reducers a hot member is spread over
 
 
 class DuplicateKeyError(ValueError):
@@ -38,6 +41,21 @@ def broadcast_max_rows(spark) -> int:
                               str(DEFAULT_BROADCAST_MAX_ROWS)))
 
 
+def hot_members(dim: Dimension, fraction: float) -> list:
+    """Members carrying more than ``fraction`` of all looked-up rows.
+
+    At most ``1 / fraction`` members can qualify, so the list is bounded by
+    configuration (100 at the default), never by data volume.
+    """
+    if dim.freq is None:
+        return []
+    total = dim.freq.agg(F.sum("freq")).first()[0] or 0
+    if not total:
+        return []
+    hot = dim.freq.where(F.col("freq") > F.lit(fraction * total)).select(dim.nk)
+    return [r[0] for r in hot.limit(int(1 / fraction) + 1).collect()]
+
+
 def assert_unique(dim: DataFrame, nk: str) -> None:
     """Raise if any natural key occurs twice (one small aggregate job)."""
     dup = dim.groupBy(nk).count().where(F.col("count") > 1).limit(1).collect()
@@ -65,16 +83,37 @@ def lookup(fact: DataFrame, dim: Dimension, on: str | Column, as_: str,
     if dim.rows <= limit:
         return fact.join(F.broadcast(right), key == F.col(tmp), "left").drop(tmp)
 
-    # Shuffle path.  The join key of a NULL row is replaced by a salt value
-    # (so NULL rows spread over all reducers instead of hashing to one), and a
-    # residual ``NOT is_null`` condition keeps a salt from ever matching a
-    # real member.  The salt lives inside the equi-join key on purpose: a
-    # separate constant salt column would be folded by the optimizer into a
-    # residual filter and the NULL rows would meet on one reducer again.
-    is_null, jkey = f"_{as_}_isnull", f"_{as_}_jk"
+    # Shuffle path.
+    # * NULL values can never match but would all hash to one reducer: their
+    #   join key is replaced by a salt value, and a residual ``NOT is_null``
+    #   keeps a salt from ever matching a real member.  The salt lives inside
+    #   the equi-join key on purpose: a separate constant salt column would be
+    #   folded by the optimizer into a residual filter.
+    # * Hot members (more than a set fraction of all rows; known from the
+    #   member frequencies kept when the dimension was built) are salted too:
+    #   the fact rows of a hot member spread over ``salts`` reducers, and the
+    #   dimension row of that member is replicated once per salt.
+    #   Anything hotter than AQE's thresholds is still split by AQE.
+    conf = spark.conf
+    fraction = float(conf.get("starlane.lookup.hotKeyFraction", str(DEFAULT_HOT_KEY_FRACTION)))
+    salts = int(conf.get("starlane.lookup.hotKeySalts", str(DEFAULT_HOT_KEY_SALTS)))
+    hot = hot_members(dim, fraction)
+
+    is_null, jkey, skey = f"_{as_}_isnull", f"_{as_}_jk", f"_{as_}_salt"
     key_type = fact.select(key.alias("_k")).schema[0].dataType
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(NULL_SALT_BUCKETS))
-    left = fact.withColumns({is_null: key.isNull(),
-                             jkey: F.coalesce(key, salt.cast(key_type))})
-    cond = (F.col(jkey) == F.col(tmp)) & ~F.col(is_null)
-    return left.join(right, cond, "left").drop(tmp, is_null, jkey)
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    fact_salt = F.lit(0)
+    dim_salt = F.lit(0)
+    if hot:
+        fact_salt = F.when(key.isin(hot), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0))
+        dim_salt = F.explode(F.when(F.col(tmp).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+                             .otherwise(F.array(F.lit(0))))  # int elements
+    left = fact.withColumns({
+        is_null: key.isNull(),
+        jkey: F.coalesce(key, F.pmod(row_hash, F.lit(NULL_SALT_BUCKETS)).cast(key_type)),
+        skey: fact_salt.cast("int"),
+    })
+    rsalt = f"_{as_}_rsalt"
+    right = right.withColumn(rsalt, dim_salt)
+    cond = (F.col(jkey) == F.col(tmp)) & (F.col(skey) == F.col(rsalt)) & ~F.col(is_null)
+    return left.join(right, cond, "left").drop(tmp, is_null, jkey, skey, rsalt)

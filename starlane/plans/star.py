@@ -77,7 +77,7 @@ def add_dims(star: Star, names=tuple(DIM_SPECS)) -> Star:
         d.df = materialise(d.df, f"{star.root}/dim/{names[0]}")
         star.dims[names[0]] = d
         return star
-    keyed = key_members(dimension_members(star.cleaned, names))
+    keyed = key_members(dimension_members(star.cleaned, names, with_freq=True))
     store = materialise(keyed.df, f"{star.root}/dim", partition_by=["dim"])
     for n in names:
         star.dims[n] = dimension_from_store(store, n, keyed.group_rows.get(n, 0))

@@ -87,3 +87,25 @@ def test_distinct_top_k_exact_with_and_without_crowded_head(spark):
         want = df.distinct().orderBy(F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()) \
             .limit(10).collect()
         assert distinct_top_k(df, 10).collect() == want
+
+
+def test_hot_member_is_salted_over_reducers(spark, skewed):
+    from starlane.operators.dimensions import build_dim
+
+    dim = build_dim(skewed, "d", ["v"], "nk", "sk")
+    assert dim.freq is not None
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup(skewed, dim, "v", "v_sk", max_rows=0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        hot_sk = dim.df.where(F.col("nk") == "hot").first().sk
+        spread = out.where(F.col("v") == "hot").groupBy(F.spark_partition_id()).count().collect()
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in plan
+    assert len(spread) > 1                       # the hot member is not on one reducer
+    assert len(rows) == 3000
+    assert sum(1 for r in rows if r.v_sk == hot_sk) == 1000
+    want = {r.id: r.v_sk for r in lookup(skewed, dim, "v", "v_sk").collect()}
+    assert {r.id: r.v_sk for r in rows} == want
