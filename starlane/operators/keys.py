@@ -37,12 +37,6 @@ class Keyed:
     group_rows: dict = field(default_factory=dict)
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
                       num_partitions: int | None = None, offset: int = 0,
                       group: str | None = None,
@@ -58,10 +52,13 @@ def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
     checkpoint_root(spark)  # make sure a reliable checkpoint folder is set
     nks = [nk] if isinstance(nk, str) else list(nk)
     order = ([group] if group else []) + nks
-    n = _partitions(keys, num_partitions)
 
-    ranged = keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    ranged = ranged.checkpoint(eager=True)
+    # Without an explicit count, adaptive execution sizes the range
+    # partitions from the data (coalescing neighbours keeps the order): a
+    # five-member dimension becomes one partition, a billion-member one many.
+    ranged = (keys.repartitionByRange(num_partitions, *order) if num_partitions
+              else keys.repartitionByRange(*order))
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
 
     pid = F.spark_partition_id()
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _POS_BITS)
