@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starlane.operators.lookup import broadcast_max_rows
 from starlane.session import delete_path, path_exists
 from starlane.sinks.files import write_parquet
 
@@ -66,11 +67,13 @@ def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list
     changed_keys = changes.select(key).where(F.col(key).isNotNull()).distinct()
     stale_parts = target.join(changed_keys, key, "left_semi").select(partition_col)
     touched = stale_parts.unionByName(changes.select(partition_col)).distinct()
-    # one row per partition value (a calendar day): bounded, safe to broadcast
+    # one row per touched partition value (a calendar day); broadcast only
+    # after checking how many there are
     touched = touched.checkpoint(eager=True)
     t = touched.withColumnRenamed(partition_col, "_p")
-    affected = target.join(F.broadcast(t), target[partition_col].eqNullSafe(t["_p"]),
-                           "left_semi")
+    if touched.count() <= broadcast_max_rows(spark):
+        t = F.broadcast(t)
+    affected = target.join(t, target[partition_col].eqNullSafe(t["_p"]), "left_semi")
     merged = latest_per_key(affected.unionByName(changes), key, order_by)
     write_parquet(_by_partition(merged, partition_col, key), staging_path,
                   partition_by=[partition_col])
