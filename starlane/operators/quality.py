@@ -19,7 +19,7 @@ from starlane.functions.numeric import safe_double
 from starlane.functions.text import normalise_headers
 from starlane.operators.dimensions import Dimension
 from starlane.operators.lookup import broadcast_max_rows
-from starlane.schema import CLEANED_COLS, MEASURE_COLS
+from starlane.schema import CLEANED_COLS, CLEANED_SCHEMA, MEASURE_COLS
 
 RATING_MIN, RATING_MAX = 1.0, 5.0
 
@@ -45,8 +45,12 @@ def _one_row(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
 def cleaned_counts(cleaned: DataFrame) -> dict[str, Column]:
     """Row-level checks on the cleaned rows (one aggregate, one pass)."""
     out_of_range = lambda c: F.col(c).isNotNull() & ~F.col(c).between(RATING_MIN, RATING_MAX)
+    declared = {f.name: f.dataType for f in CLEANED_SCHEMA.fields}
+    actual = {f.name: f.dataType for f in cleaned.schema.fields}
+    wrong_type = [c for c, t in declared.items() if c in actual and actual[c] != t]
     return {
         "missing_required_columns": F.lit(len([c for c in CLEANED_COLS if c not in cleaned.columns])),
+        "wrong_column_types": F.lit(len(wrong_type)),
         "null_booking_id": F.count(F.when(F.col("booking_id").isNull(), 1)),
         "null_customer_id": F.count(F.when(F.col("customer_id").isNull(), 1)),
         "null_date_id": F.count(F.when(F.col("date_id").isNull(), 1)),

@@ -221,6 +221,7 @@ _out_of_range = ("(driver_ratings IS NOT NULL AND NOT driver_ratings BETWEEN 1 A
                  "(customer_rating IS NOT NULL AND NOT customer_rating BETWEEN 1 AND 5)")
 _DQ_PARTS = [
     "SELECT 'missing_required_columns' AS check_name, CAST(0 AS BIGINT) AS failed",
+    "SELECT 'wrong_column_types', CAST(0 AS BIGINT)",
     "SELECT 'null_booking_id', count(*) FILTER (WHERE booking_id IS NULL) FROM cleaned",
     "SELECT 'null_customer_id', count(*) FILTER (WHERE customer_id IS NULL) FROM cleaned",
     "SELECT 'null_date_id', count(*) FILTER (WHERE date_id IS NULL) FROM cleaned",
