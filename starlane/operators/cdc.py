@@ -46,16 +46,17 @@ def _partition_dir(root: str, col: str, value) -> str:
 
 
 def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list[str],
-                  partition_col: str, staging_path: str) -> None:
+                  partition_col: str) -> None:
     """Merge ``changes`` into a Parquet zone partitioned by ``partition_col``.
 
     Only touched partitions are rewritten: those receiving changed rows, and
     those still holding an older version of a changed key (a booking can move
     to another date; its old partition must lose the stale row).  The merged
-    partitions are staged first, then swapped in with a dynamic partition
-    overwrite, so the target is never overwritten while being read.  A
-    touched partition left with no rows is deleted.  Re-running the same
-    change set gives the same table.
+    rows are first cut from the target's lineage with a reliable checkpoint
+    (in the shared checkpoint folder), then swapped in with a dynamic
+    partition overwrite, so the target is never overwritten while being
+    read.  A touched partition left with no rows is deleted.  Re-running the
+    same change set gives the same table.
     """
     spark = changes.sparkSession
     if not path_exists(spark, target_path):
@@ -75,10 +76,7 @@ def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list
         t = F.broadcast(t)
     affected = target.join(t, target[partition_col].eqNullSafe(t["_p"]), "left_semi")
     merged = latest_per_key(affected.unionByName(changes), key, order_by)
-    write_parquet(_by_partition(merged, partition_col, key), staging_path,
-                  partition_by=[partition_col])
-    # explicit schema: a batch holding only the NULL partition would infer VOID
-    staged = spark.read.schema(target.schema).parquet(staging_path).select(*target.columns)
+    staged = _by_partition(merged, partition_col, key).checkpoint(eager=True)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(target_path)
     # touched partitions that received no merged row: drop their stale files

@@ -236,9 +236,9 @@ def cdc_upsert_zone(spark, sf_dir):
     zone with last-write-wins upserts; the end state is the latest row per key."""
     st = S.start(spark, sf_dir, "cdc_upsert")
     target = f"{st.root}/bookings_by_date"
-    for i, y in enumerate(_year_batches(st.cleaned)):
+    for y in _year_batches(st.cleaned):
         cdc.upsert_latest(target, st.cleaned.where(_in_batch(y)), "booking_id",
-                          ["booking_timestamp"], "date_id", f"{st.root}/staging/{i}")
+                          ["booking_timestamp"], "date_id")
     return spark.read.parquet(target).select(*CLEANED_COLS)
 
 

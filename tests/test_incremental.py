@@ -36,11 +36,11 @@ def test_upsert_moves_key_and_is_idempotent(spark, tmp_root):
     target = os.path.join(tmp_root, "zone")
     first = spark.createDataFrame([("a", t(1), "x", 1), ("b", t(1), "y", 1), ("c", t(1), "z", 2)],
                                   SCHEMA)
-    upsert_latest(target, first, "id", ["ts"], "day", os.path.join(tmp_root, "s0"))
+    upsert_latest(target, first, "id", ["ts"], "day")
     # 'c' moves from day 2 (its only row) to day 3; 'a' is updated in place
     change = spark.createDataFrame([("c", t(2), "z2", 3), ("a", t(3), "x2", 1)], SCHEMA)
     for i in range(2):  # the second application must change nothing
-        upsert_latest(target, change, "id", ["ts"], "day", os.path.join(tmp_root, f"s{i + 1}"))
+        upsert_latest(target, change, "id", ["ts"], "day")
         got = sorted(tuple(r) for r in spark.read.parquet(target).select("id", "ts", "v", "day")
                      .collect())
         assert got == [("a", t(3), "x2", 1), ("b", t(1), "y", 1), ("c", t(2), "z2", 3)]
