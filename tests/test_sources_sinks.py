@@ -123,3 +123,23 @@ def test_parse_lines_from_text(spark, tmp_root):
     lines = spark.read.text(p)
     df = parse_lines(lines, "a string, b string", header_line="a,b")
     assert sorted(tuple(r) for r in df.collect()) == [("1", "x, y"), ("2", None)]
+
+
+def test_headerless_single_file_csv(spark, tmp_root):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "k int, v string").repartition(4)
+    out = os.path.join(tmp_root, "one")
+    assert write_csv(df, out, header=False, single_file=True) == 20
+    files = [f for f in os.listdir(out) if f.endswith(".csv")]
+    assert len(files) == 1
+    lines = open(os.path.join(out, files[0])).read().splitlines()
+    assert len(lines) == 20 and "k,v" not in lines
+
+
+def test_single_file_parquet_overwrite(spark, tmp_root):
+    from starlane.sinks.files import write_parquet
+
+    out = os.path.join(tmp_root, "pq")
+    write_parquet(spark.range(50).repartition(5), out, single_file=True)
+    write_parquet(spark.range(7).repartition(3), out, single_file=True)  # overwrite
+    assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) == 1
+    assert spark.read.parquet(out).count() == 7

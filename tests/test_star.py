@@ -205,3 +205,13 @@ def test_head_is_ordered(spark):
 
     df = spark.createDataFrame([(3,), (1,), (2,)], "a int")
     assert [r.a for r in head(df, 2, [F.col("a")]).collect()] == [1, 2]
+
+
+def test_strict_header_rule_through_cleaning(spark):
+    from starlane.functions.text import normalise_header_strict
+
+    df = spark.createDataFrame([("2024-01-02", "x")], "` Date ` string, `Booking  ID` string")
+    out = clean_bookings(df, header_rule=normalise_header_strict)
+    # the strict rule keeps the double space as '__', so 'booking_id' is absent
+    r = out.first()
+    assert r.date == "2024-01-02" and r.booking_id is None
