@@ -30,7 +30,7 @@ HEADLINE = [
 
 def main() -> None:
     from starlane.plans.queries import QUERIES
-    from starlane.session import build_session
+    from starlane.session import build_session, release_work_dirs
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -39,6 +39,7 @@ def main() -> None:
 
     # warm the JVM (class loading, codegen caches) outside the timings
     QUERIES["parse_timestamp_date_id"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    release_work_dirs(spark)
 
     times: dict[str, float] = {}
     for name in HEADLINE:
@@ -47,6 +48,7 @@ def main() -> None:
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
+            release_work_dirs(spark)  # the result is consumed; free its zones
         times[name] = round(statistics.median(runs), 3)
 
     # Key assignment on the customer dimension: one global window (every key
@@ -72,6 +74,7 @@ def main() -> None:
             build().write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
         compare[f"dim_customer_keys_{label}"] = round(statistics.median(runs), 3)
+    release_work_dirs(spark)
 
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     m = re.search(r"sf([0-9.]+)", sf_dir)

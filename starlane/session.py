@@ -37,6 +37,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # remove reliable-checkpoint files once their DataFrames are gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
@@ -69,15 +71,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_CREATED: list[str] = []  # run folders made by work_dir in this process
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder under the shared root for one run."""
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/starlane-work/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+    _CREATED.append(path)
     return path
 
 
+def release_work_dirs(spark: SparkSession) -> int:
+    """Delete every run folder this process created so far.
+
+    Only for callers that have fully consumed the results reading from those
+    folders (e.g. a benchmark after each timed run); returns how many.
+    """
+    n = 0
+    while _CREATED:
+        if delete_path(spark, _CREATED.pop()):
+            n += 1
+    return n
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop FileSystem API (works for any scheme)."""
     jvm = spark.sparkContext._jvm

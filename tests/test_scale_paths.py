@@ -109,3 +109,13 @@ def test_hot_member_is_salted_over_reducers(spark, skewed):
     assert sum(1 for r in rows if r.v_sk == hot_sk) == 1000
     want = {r.id: r.v_sk for r in lookup(skewed, dim, "v", "v_sk").collect()}
     assert {r.id: r.v_sk for r in rows} == want
+
+
+def test_release_work_dirs(spark):
+    from starlane.session import release_work_dirs
+
+    release_work_dirs(spark)
+    p = work_dir(spark, "tmp")
+    assert os.path.isdir(p.replace("file:", ""))
+    assert release_work_dirs(spark) == 1
+    assert not os.path.exists(p.replace("file:", ""))
