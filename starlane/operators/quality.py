@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from starlane.functions.numeric import safe_double
 from starlane.functions.text import normalise_headers
 from starlane.operators.dimensions import Dimension
-from starlane.operators.lookup import broadcast_max_rows
+from starlane.operators.lookup import broadcast_max_rows, lookup
 from starlane.schema import CLEANED_COLS, CLEANED_SCHEMA, MEASURE_COLS
 
 RATING_MIN, RATING_MAX = 1.0, 5.0
@@ -86,8 +86,10 @@ def orphan_row(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
     """One row: orphan count per fact foreign key, plus the fact row count.
 
     When every dimension is small enough to broadcast this is ONE pass over
-    the fact (a chain of broadcast left joins and one aggregate); a
-    dimension above the checked size gets its own ``left_anti`` shuffle join.
+    the fact (a chain of broadcast left joins and one aggregate).  A
+    dimension above the checked size is checked through the shuffle path of
+    ``lookup`` (keyed by surrogate key), so NULL and hot foreign keys are
+    salted there as in the fact build.
     """
     spark = fact.sparkSession
     limit = broadcast_max_rows(spark)
@@ -104,13 +106,23 @@ def orphan_row(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
                    for i, (fk, _) in enumerate(small)})
     row = _one_row(probe, counts)
     for fk, d in large:
-        keys = d.df.select(F.col(d.sk).alias("_k"))
-        orphans = fact.select(fk).where(F.col(fk).isNotNull()) \
-            .join(keys, F.col(fk) == F.col("_k"), "left_anti")
-        row = _merge([row, orphans.agg(F.count(F.lit(1)).cast("long").alias(f"orphan_{fk}"))])
+        matched = lookup(fact.select(fk), _by_surrogate_key(d), fk, "_m")
+        row = _merge([row, matched.agg(
+            F.count(F.when(F.col(fk).isNotNull() & F.col("_m").isNull(), 1))
+            .cast("long").alias(f"orphan_{fk}"))])
     return row
 
 
+def _by_surrogate_key(d: Dimension) -> Dimension:
+    """The same dimension with its surrogate key as the lookup key (member
+    frequencies carried over, so hot keys are known)."""
+    keys = d.df.select(F.col(d.sk).alias("_nk"), F.col(d.sk).alias("_sk"))
+    freq = None
+    if d.freq is not None:
+        freq = d.df.join(d.freq, d.nk).select(F.col(d.sk).alias("_nk"), "freq")
+    return Dimension(d.name, keys, "_nk", "_sk", d.rows, freq=freq)
+
+
 def _merge(rows: list[DataFrame]) -> DataFrame:
     """Several one-row frames with disjoint columns -> one row (each input is
     evaluated once; no cross join)."""

@@ -39,3 +39,16 @@ def test_rerun_gives_equal_content(spark, star):
         assert sorted(map(tuple, d.df.collect())) == sorted(map(tuple, again.dims[name].df.collect()))
     key = lambda r: repr(tuple(r))
     assert sorted(star.fact.collect(), key=key) == sorted(again.fact.collect(), key=key)
+
+
+def test_orphan_checks_agree_on_both_paths(spark, star):
+    from starlane.operators.quality import orphan_row
+
+    small = orphan_row(star.fact, star.dims).first().asDict()
+    spark.conf.set("starlane.lookup.broadcastMaxRows", "0")
+    try:
+        large = orphan_row(star.fact, star.dims).first().asDict()
+    finally:
+        spark.conf.unset("starlane.lookup.broadcastMaxRows")
+    assert large == small
+    assert all(v == 0 for k, v in small.items() if k.startswith("orphan_"))
