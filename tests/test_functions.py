@@ -88,3 +88,16 @@ def test_safe_int(spark):
     from starlane.functions.numeric import safe_int
 
     assert one_col(spark, [" 20240101 ", "x", "", None], safe_int) == [20240101, None, None, None]
+
+
+def test_parse_is_time_zone_independent(spark):
+    # 02:30 on 2024-03-10 does not exist in Los Angeles (clocks jump 02:00 -> 03:00);
+    # a booking time is a wall-clock value and must come back unchanged
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-03-10", "2:30:00")], "d string, t string")
+        got = df.select(parse_booking_ts("d", "t")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == dt.datetime(2024, 3, 10, 2, 30)
