@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from starlane.llm.common import table
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starlane.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starlane.llm.decontaminate import digest, mark_hits
 
@@ -23,6 +29,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
