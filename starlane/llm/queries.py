@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starlane.llm.common import table
 
@@ -21,6 +20,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                             keep=["doc_id"]))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from starlane.llm.bpe import encode_digests
+
+    return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                          keep=["doc_id"])
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starlane.llm.quality_rules import BASE, quality_verdicts
 
@@ -31,6 +39,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_bpe": op8_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE: dict[str, str] = {}
