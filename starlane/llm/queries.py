@@ -7,6 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from starlane.llm.common import table
 
 
+def op1_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from starlane.llm.token_index import id_checksums, keyless_checksums, write_token_index
+
+    docs = table(spark, sf_dir, "documents")
+    index = write_token_index(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return id_checksums(index, docs.select("doc_id")).unionByName(keyless_checksums(index))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starlane.llm.near_dup import near_duplicates
 
@@ -37,6 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_index": op1_token_index,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
