@@ -147,6 +147,11 @@ class PieceCache:
             self.slots.update(zip(distinct[new].tolist(), slots[new].tolist()))
         return slots[back]
 
+    def counts(self, pieces: Pieces) -> np.ndarray:
+        """Number of ids of every piece."""
+        slots = self.lookup(pieces)  # first: it may grow the arrays
+        return self.size[slots]
+
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces in order, number of ids of each piece)."""
         sizes = self.size[slots]
