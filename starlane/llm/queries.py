@@ -100,6 +100,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *BASE, "base_failed", "kept", "distance")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_index": op1_token_index,
     "op2_toxicity": op2_toxicity,
@@ -111,5 +117,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {"op9_chat_format": CHAT_ORACLE}
