@@ -14,37 +14,51 @@ from pyspark.sql import functions as F
 
 from starlane.llm.common import written
 
-# Ids and a flag of this many rows take under 100 MB as a broadcast table.
-BROADCAST_ROWS = 1_000_000
+# Rows of a few longs that are broadcast at most: under 100 MB.
+BROADCAST_ROWS = 500_000
+# Links that one task works on: small link sets need no shuffle.
+LINKS_PER_TASK = 200_000
 
 
 def if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a written table of ids when its row count is within ``limit``.
+    """Broadcast a written table when its row count is within ``limit``.
 
     Larger ones are left to a shuffle join."""
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def _is_flat(edges: DataFrame) -> bool:
+    """Every node points at one root and no root points anywhere."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("in")) \
+        .union(edges.select("v", F.lit(0), F.lit(1)))
+    wrong = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return wrong.where("out > 1 OR (out > 0 AND in > 0)").isEmpty()
+
+
 def components(links: DataFrame, path: str) -> DataFrame:
     """(node, label) of every linked node; the label is the smallest node.
 
     Alternates large-star and small-star steps (each node's neighbours are
-    re-linked to its smallest neighbour) until the links no longer change."""
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")) \
-        .where("u <> v").distinct()
-    edges = written(edges, f"{path}/edges-0")
-    state, step = None, 0
+    re-linked to its smallest neighbour) until every component is a star."""
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"),
+                    f"{path}/edges-0")
+    step = 0
     while True:
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state or now[0] == 0:
+        small_set = edges.count() <= LINKS_PER_TASK
+        if small_set:
+            edges = edges.coalesce(1)
+        if step == 0:
+            edges = edges.distinct()
+        if _is_flat(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label")) \
                 .union(edges.select("v", "v").distinct())
-        state, step = now, step + 1
+        step += 1
         # large star: larger neighbours of u move to the smallest of u and its neighbours
         both = edges.union(edges.select("v", "u"))
+        if small_set:
+            both = both.coalesce(1)
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: u and its smaller neighbours move to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
@@ -52,72 +66,75 @@ def components(links: DataFrame, path: str) -> DataFrame:
         edges = written(small.distinct(), f"{path}/edges-{step}")
 
 
-def shared_buckets(members: DataFrame) -> DataFrame:
-    """Rows of ``members`` (bucket, node) whose bucket holds two nodes or more."""
-    several = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    return members.join(several.select("bucket"), "bucket", "left_semi")
+def shared_buckets(members: DataFrame, path: str) -> DataFrame:
+    """Rows of ``members`` (bucket, node, ...) whose bucket holds two nodes or
+    more, with the bucket's ``size``."""
+    several = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
+                                            F.count(F.lit(1)).alias("size")).where("lo <> hi")
+    return members.join(if_small(written(several.select("bucket", "size"), path)), "bucket")
 
 
-def labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``nodes`` with their component label (themselves while unlinked)."""
-    if labels is None:
-        return nodes.withColumn("label", F.col("node"))
-    return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def by_centrality(shared: DataFrame, path: str) -> DataFrame:
+    """(node, order): nodes in large buckets come first (a small order).
+
+    The text that a group was copied from shares most buckets with the
+    copies, so as a hub it links them all at once, while two copies may be
+    too far apart."""
+    return written(shared.groupBy("node").agg((-F.sum("size")).alias("order")), path)
 
 
-def unresolved(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(bucket, node, label) of the buckets whose nodes are not all linked yet."""
-    marked = labelled(members, labels)
+def unresolved(members: DataFrame, labels: DataFrame | None, path: str) -> DataFrame:
+    """(bucket, node, order, label) of the buckets whose nodes are not all linked
+    yet; a node without link is its own label."""
+    if labels is None:
+        marked = members.withColumn("label", F.col("node"))
+    else:
+        marked = members.join(if_small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return marked.join(mixed.select("bucket"), "bucket", "left_semi").select("bucket", "node", "label")
+    mixed = written(mixed.select("bucket"), path)
+    return marked.join(if_small(mixed), "bucket", "left_semi").select("bucket", "node", "order", "label")
 
 
-def hub_pairs(members: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame]:
-    """(chosen hubs, pairs): ``hubs`` nodes of each bucket and the pairs of a
-    hub with the bucket's nodes of other components."""
+def hub_pairs(members: DataFrame, hubs: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """(hubs, pairs): the first ``hubs`` nodes of each bucket by ``order``, and
+    the pairs (a < b) of a hub with the bucket's nodes of other components."""
     if hubs == 1:
-        chosen = members.groupBy("bucket").agg(F.min("node").alias("hub"))
+        first = members.groupBy("bucket").agg(F.min(F.struct("order", "node", "label")).alias("h")) \
+            .select("bucket", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label"))
     else:  # a group limit runs before the shuffle: only ``hubs`` rows per task and bucket move
-        order = Window.partitionBy("bucket").orderBy("node")
-        chosen = members.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs) \
-            .select("bucket", F.col("node").alias("hub"))
-    named = chosen.join(members.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label")),
-                        ["bucket", "hub"]) if hubs > 1 else \
-        members.groupBy("bucket").agg(F.min(F.struct("node", "label")).alias("h")) \
-        .select("bucket", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label"))
-    pairs = members.join(named, "bucket").where("label <> hub_label") \
+        order = Window.partitionBy("bucket").orderBy("order", "node")
+        first = members.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs) \
+            .select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+    first = written(first, path)
+    pairs = members.join(if_small(first), "bucket").where("label <> hub_label") \
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    return chosen, pairs
+    return first, pairs
 
 
 def link_buckets(spark: SparkSession, members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                 path: str, known: list[DataFrame] | None = None) -> tuple[DataFrame | None, list[DataFrame]]:
-    """Component labels of all nodes that share a bucket with a verified link.
-
-    Every pair of a bucket is either verified or already joined by verified
-    links: each round compares a few hubs of every unresolved bucket with its
-    other nodes, drops these hubs (all their pairs are done), merges the
-    components and goes on, with four times as many hubs, until each bucket is
-    of one component or used up.  Groups of true copies end after one or two
-    rounds and no round emits the pairs of a whole group."""
-    links = list(known or [])
-    labels = None
-    if links:
-        labels = written(components(_all(links), f"{path}/known"), f"{path}/known-labels")
-    step = 0
+                 path: str, known: DataFrame | None = None,
+                 labels: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """(labels, links) after linking all nodes that share a bucket.
+
+    ``members`` has (bucket, node, order); ``verify`` maps pairs (a, b) to those that are links; ``known`` links and
+    their ``labels`` may be given.  Every pair of a bucket is either verified
+    or already joined by verified links: each round compares a few hubs of
+    every unresolved bucket with its other nodes, drops these hubs (all their
+    pairs are done), merges the components and goes on with eight times as
+    many hubs, until each bucket is of one component or used up.  Groups of
+    true copies end after one or two rounds, and no round emits the pairs of
+    a whole group."""
+    links, step, hubs = known, 0, 1 if known is None else 8
     while True:
-        members = written(unresolved(members.select("bucket", "node"), labels), f"{path}/members-{step}")
+        members = written(unresolved(members.select("bucket", "node", "order"), labels, f"{path}/mixed-{step}"),
+                          f"{path}/members-{step}")
         if members.isEmpty():
             return labels, links
-        chosen, pairs = hub_pairs(members, 4 ** min(step, 6))
-        links.append(written(verify(written(pairs, f"{path}/pairs-{step}")), f"{path}/links-{step}"))
-        labels = written(components(_all(links), f"{path}/components-{step}"), f"{path}/labels-{step}")
-        members = members.join(chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
-        step += 1
-
-
-def _all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.union(f)
-    return out
+        first, pairs = hub_pairs(members, hubs, f"{path}/hubs-{step}")
+        found = written(verify(written(pairs, f"{path}/pairs-{step}")), f"{path}/links-{step}")
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = written(components(links, f"{path}/components-{step}"), f"{path}/labels-{step}")
+        members = members.join(if_small(first.select("bucket", F.col("hub").alias("node"))),
+                               ["bucket", "node"], "left_anti")
+        step, hubs = step + 1, min(8 * hubs, 4096)

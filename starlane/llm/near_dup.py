@@ -10,7 +10,7 @@ s = 0.85 with r = 3 and m = 12, all but 0.00002.
 Documents with equal sets (128-bit fingerprint) are one node.  Nodes that
 meet in an A bucket and in some B bucket are candidates; every candidate link
 is confirmed on the full sets, in rounds of a few hubs per bucket (see
-``components``), so a bucket of thousands of copies costs a few comparisons a
+``components``; the most central nodes first), so a bucket of thousands of copies costs a few comparisons a
 node and still loses no link.  Pairs (A_i, B_j) are spelt out as table keys
 only for buckets that the first round leaves unresolved.
 
@@ -111,6 +111,7 @@ class SetStore:
         if self.parts:
             needed = needed.join(self.sets().select("node"), "node", "left_anti")
         k = len(self.parts)
+        needed = if_small(written(needed, f"{self.path}/wanted-{k}"))
         # one document per node stands for all with the same set
         ids = written(self.nodes.join(needed, "node", "left_semi")
                       .select("node", F.col("first_id").alias("id"), F.col("f1").alias("g1"), F.col("f2").alias("g2")),
@@ -134,10 +135,10 @@ class SetStore:
         """The pairs (a, b) with 100 * intersection >= percent * union."""
         self.add(pairs)
         sets = self.sets()
-        both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        both = sets.toDF("a", "set_a").join(if_small(pairs), "a").join(sets.toDF("b", "set_b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
-        return both.where(100 * common >= percent * union).select("a", "b").distinct()
+        return both.where(100 * common >= percent * union).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = GROUPS,
@@ -154,39 +155,45 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = G
 
     # nodes that share a bucket in A and one in B
     entries = nodes.select("node", F.posexplode(F.concat("a", "b")).alias("i", "bucket"))
-    entries = shared_buckets(entries.select("bucket", "node", (F.col("i") < groups).alias("in_a")))
-    entries = written(entries, f"{path}/entries")
-    suspects = entries.groupBy("node").agg(F.max(F.col("in_a").cast("int")).alias("x"),
-                                           F.min(F.col("in_a").cast("int")).alias("y")).where("x = 1 AND y = 0")
-    in_a = written(entries.where("in_a").join(suspects.select("node"), "node", "left_semi").select("bucket", "node"),
+    entries = entries.select("bucket", "node", (F.col("i") < groups).alias("in_a"))
+    entries = written(shared_buckets(entries, f"{path}/shared"), f"{path}/entries")
+    suspects = entries.groupBy("node").agg(
+        F.max(F.col("in_a").cast("int")).alias("x"), F.min(F.col("in_a").cast("int")).alias("y"),
+        (-F.sum("size")).alias("order")).where("x = 1 AND y = 0")  # order: central nodes first
+    suspects = written(suspects.select("node", "order"), f"{path}/suspects")
+    in_a = written(entries.where("in_a").join(if_small(suspects), "node").select("bucket", "node", "order"),
                    f"{path}/in-a")
     profile = nodes.select("node", "n", "b")
     store = SetStore(docs, nodes, path)
 
     def verify(pairs: DataFrame, meet_in_b: bool = False) -> DataFrame:
-        sized = pairs.join(profile.toDF("a", "n_a", "b_a"), "a").join(profile.toDF("b", "n_b", "b_b"), "b")
+        sized = profile.toDF("a", "n_a", "b_a").join(if_small(pairs), "a")
+        sized = written(sized, f"{path}/sized-{len(store.parts)}")
+        sized = profile.toDF("b", "n_b", "b_b").join(if_small(sized, 200_000), "b")
         sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         if meet_in_b:  # equal A_i already; a table (i, j) is shared if some B_j is equal too
             sized = sized.where(F.arrays_overlap("b_a", "b_b"))
-        k = len(store.parts)
-        return store.confirmed(written(sized.select("a", "b"), f"{path}/candidates-{k}"), percent)
+        pairs = written(sized.select("a", "b"), f"{path}/candidates-{len(store.parts)}")
+        return store.confirmed(pairs, percent)
 
     # first round: one hub per A bucket
-    start = written(unresolved(in_a, None), f"{path}/start")
-    _, pairs = hub_pairs(start, 1)
-    links = written(verify(pairs, meet_in_b=True), f"{path}/links-first")
+    _, pairs = hub_pairs(in_a.withColumn("label", F.col("node")), 1, f"{path}/hubs")
+    links = written(verify(written(pairs, f"{path}/pairs"), meet_in_b=True), f"{path}/links-first")
     labels = written(merge(links, f"{path}/first"), f"{path}/labels-first")
     # what is left: the tables (i, j) of the unresolved A buckets
-    left = unresolved(in_a, labels).select("bucket", "node")
-    tables = left.join(profile, "node").select("node", "bucket", F.explode("b").alias("b_key")) \
-        .select(F.xxhash64("bucket", "b_key").alias("bucket"), "node")
-    tables = written(shared_buckets(tables), f"{path}/tables")
-    labels, _ = link_buckets(spark, tables, verify, f"{path}/rounds", known=[links])
-
-    named = nodes.select("node", "f1", "f2", "first_id").join(labels, "node", "left") \
-        .withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = written(named.join(least, "label").select("f1", "f2", "component_id"), f"{path}/named")
+    left = written(unresolved(in_a, labels, f"{path}/mixed").drop("label"), f"{path}/left")
+    tables = profile.join(if_small(left), "node").select("node", "order", "bucket", F.explode("b").alias("b_key")) \
+        .select(F.xxhash64("bucket", "b_key").alias("bucket"), "node", "order")
+    tables = written(shared_buckets(tables, f"{path}/table-keys"), f"{path}/tables")
+    labels, _ = link_buckets(spark, tables, verify, f"{path}/rounds", links, labels)
+
+    # only linked nodes change their name
+    linked = nodes.select("node", "f1", "f2", "first_id").join(if_small(labels), "node")
+    linked = written(linked, f"{path}/linked")
+    least = written(linked.groupBy("label").agg(F.min("first_id").alias("component_id")), f"{path}/least")
+    named = linked.join(if_small(least), "label").select("f1", "f2", F.col("component_id").alias("c"))
+    named = nodes.select("f1", "f2", "first_id").join(if_small(written(named, f"{path}/named")), ["f1", "f2"], "left") \
+        .select("f1", "f2", F.coalesce("c", "first_id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.withColumn("component_id", component).select(
