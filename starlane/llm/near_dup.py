@@ -12,7 +12,9 @@ meet in an A bucket and in some B bucket are candidates; every candidate link
 is confirmed on the full sets, in rounds of a few hubs per bucket (see
 ``components``; the most central nodes first), so a bucket of thousands of copies costs a few comparisons a
 node and still loses no link.  Pairs (A_i, B_j) are spelt out as table keys
-only for buckets that the first round leaves unresolved.
+only for buckets that the first round leaves unresolved.  A large bucket of
+texts that are alike but mostly not linked (copies with many edits) would need
+all its pairs; its nodes are compared by the exact prefix filter instead.
 
 Edge cases: null and empty texts have no shingles and are linked with
 nothing; equal texts are one node whatever their ids; rows without id share
@@ -26,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlane.llm.common import annotate, shared_dir, written
+from starlane.llm.common import annotate, one_by_one, shared_dir, written
 from starlane.llm.components import hub_pairs, if_small, link_buckets, shared_buckets, unresolved
 from starlane.llm.components import components as merge
 from starlane.llm.textscan import SPACED, Scan, mix, sorted_distinct, window_hashes
@@ -35,6 +37,8 @@ SHINGLE_WORDS = 5
 MIN_PERCENT = 85
 GROUPS = 12     # m: minhash groups in each collection
 ROWS = 3        # r: minhashes in a group
+LARGE_BUCKET = 64           # larger unresolved buckets go by prefix keys
+COMMON_SHINGLES = 200_000   # frequent shingles whose counts order the prefixes
 
 _U = np.uint64
 
@@ -106,8 +110,8 @@ class SetStore:
             out = out.union(p)
         return out
 
-    def add(self, pairs: DataFrame) -> None:
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def add(self, needed: DataFrame) -> None:
+        """Make sure that the sets of the distinct nodes ``needed`` are there."""
         if self.parts:
             needed = needed.join(self.sets().select("node"), "node", "left_anti")
         k = len(self.parts)
@@ -133,7 +137,7 @@ class SetStore:
 
     def confirmed(self, pairs: DataFrame, percent: int) -> DataFrame:
         """The pairs (a, b) with 100 * intersection >= percent * union."""
-        self.add(pairs)
+        self.add(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         sets = self.sets()
         both = sets.toDF("a", "set_a").join(if_small(pairs), "a").join(sets.toDF("b", "set_b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -141,6 +145,44 @@ class SetStore:
         return both.where(100 * common >= percent * union).select("a", "b")
 
 
+def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, order) of prefix-filter keys of ``sets`` (node,
+    shingles, order).
+
+    In any fixed order of all shingles, two sets of similarity t share one of
+    the first ``n - ceil(t * n) + 1`` elements of each, so pairs that share no
+    key are no links: an exact filter.  Rare shingles come first (counted on a
+    part of the sets; the count only decides the order, not the result), so
+    copies with many edits of their own meet nobody."""
+    spark = sets.sparkSession
+    counted = sets.where(F.pmod(F.xxhash64("node"), F.lit(8)) == 0).select(F.explode("shingles").alias("x")) \
+        .groupBy("x").count().where("count > 1").orderBy(F.col("count").desc(), "x").limit(COMMON_SHINGLES)
+    common = sorted((r["x"], r["count"]) for r in counted.collect())  # at most COMMON_SHINGLES
+    table = spark.sparkContext.broadcast((np.array([c[0] for c in common], dtype=np.int64),
+                                          np.array([c[1] for c in common], dtype=np.int64)))
+
+    def run(batches):
+        import pyarrow as pa
+
+        known, counts = table.value
+        for batch in one_by_one(batches):
+            nodes, orders, keys = [], [], []
+            for node, order, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                x = np.array(shingles, dtype=np.int64)
+                times = np.zeros(len(x), dtype=np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+                    times[known[at] == x] = counts[at[known[at] == x]]
+                size = len(x) - -(-percent * len(x) // 100) + 1
+                keys.append(x[np.lexsort((x, times))[:size]])
+                nodes += [node] * len(keys[-1])
+                orders += [order] * len(keys[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(nodes, type=pa.int64()),
+                                              pa.array(orders, type=pa.int64())], names=["bucket", "node", "order"])
+
+    return sets.select("node", "order", "shingles").mapInArrow(run, "bucket bigint, node bigint, order bigint")
+
+
 def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = GROUPS,
                     rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id, n_shingles,
@@ -180,11 +222,21 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = G
     _, pairs = hub_pairs(in_a.withColumn("label", F.col("node")), 1, f"{path}/hubs")
     links = written(verify(written(pairs, f"{path}/pairs"), meet_in_b=True), f"{path}/links-first")
     labels = written(merge(links, f"{path}/first"), f"{path}/labels-first")
-    # what is left: the tables (i, j) of the unresolved A buckets
-    left = written(unresolved(in_a, labels, f"{path}/mixed").drop("label"), f"{path}/left")
-    tables = profile.join(if_small(left), "node").select("node", "order", "bucket", F.explode("b").alias("b_key")) \
+    # what is left: the tables (i, j) of the unresolved A buckets, if small
+    left = written(unresolved(in_a, labels, f"{path}/mixed"), f"{path}/left")
+    large = left.groupBy("bucket").count().where(F.col("count") > LARGE_BUCKET)
+    large = if_small(written(large.select("bucket"), f"{path}/large"))
+    small = written(left.join(large, "bucket", "left_anti").select("bucket", "node", "order"), f"{path}/small")
+    tables = profile.join(if_small(small), "node").select("node", "order", "bucket", F.explode("b").alias("b_key")) \
         .select(F.xxhash64("bucket", "b_key").alias("bucket"), "node", "order")
-    tables = written(shared_buckets(tables, f"{path}/table-keys"), f"{path}/tables")
+    tables = shared_buckets(tables, f"{path}/table-keys").select("bucket", "node", "order")
+    # large ones: the prefix keys of their nodes
+    crowd = written(left.join(large, "bucket", "left_semi").select("node", "order").distinct(), f"{path}/crowd")
+    if not crowd.isEmpty():
+        store.add(crowd.select("node"))
+        keys = written(prefix_keys(store.sets().join(if_small(crowd), "node"), percent), f"{path}/prefixes")
+        tables = tables.union(shared_buckets(keys, f"{path}/prefix-keys").select("bucket", "node", "order"))
+    tables = written(tables, f"{path}/tables")
     labels, _ = link_buckets(spark, tables, verify, f"{path}/rounds", links, labels)
 
     # only linked nodes change their name
