@@ -10,13 +10,14 @@ from starlane.functions.text import (
     normalise_header,
     normalise_headers,
     reason_type,
+    strip,
     strip_quotes,
     title_case,
 )
-from starlane.functions.time import calendar_columns, date_id_of, parse_booking_ts
+from starlane.functions.time import calendar_columns, date_id_of, parse_booking_ts, parse_formats
 
 __all__ = [
     "blank_to_null", "calendar_columns", "clean_text", "date_id_of", "map_payment",
-    "normalise_header", "normalise_headers", "parse_booking_ts", "reason_type",
-    "safe_double", "safe_int", "strip_quotes", "title_case",
+    "normalise_header", "normalise_headers", "parse_booking_ts", "parse_formats",
+    "reason_type", "safe_double", "safe_int", "strip", "strip_quotes", "title_case",
 ]

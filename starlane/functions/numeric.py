@@ -1,19 +1,30 @@
-"""Guarded numeric casts (FN-12, FN-13): bad text, blanks and NaN become NULL."""
+"""Guarded numeric casts (FN-12, FN-13): bad text, blanks, NaN and infinities
+become NULL, so one bad value can neither fail a job nor poison a sum."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starlane.functions.text import strip
+
+MONEY = "decimal(18,2)"
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def safe_double(c: Column | str) -> Column:
-    """``try_cast(trim(x) AS double)`` with NaN -> NULL (ANSI-safe)."""
-    return F.nullif(F.trim(_c(c)).try_cast("double"), F.lit(float("nan")))
+    """Finite number of a stripped text, else NULL (ANSI-safe)."""
+    x = strip(_c(c)).try_cast("double")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)  # false for NaN too
 
 
 def safe_int(c: Column | str) -> Column:
-    return F.trim(_c(c).cast("string")).try_cast("int")
+    return strip(_c(c).cast("string")).try_cast("int")
+
+
+def money(c: Column | str) -> Column:
+    """Exact amount with two decimals; NULL if it does not fit."""
+    return _c(c).try_cast(MONEY)

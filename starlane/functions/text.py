@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -18,16 +17,10 @@ def _c(c: Column | str) -> Column:
 # ---- header names (driver-side, once per schema, never per row) ------------
 
 def normalise_header(name: str) -> str:
-    """strip -> drop non-word, non-space chars -> whitespace runs to '_' -> lower."""
-    n = re.sub(r"[^\w\s]", "", name.strip())
-    n = re.sub(r"\s+", "_", n)
-    return n.lower()
-
-
-def normalise_header_strict(name: str) -> str:
-    """Alternative rule: strip -> lower -> each space to '_' -> drop [^\\w_]."""
-    n = name.strip().lower().replace(" ", "_")
-    return re.sub(r"[^\w_]", "", n)
+    """Logical name of a raw header: its words (letters, digits, underscores;
+    other marks vanish) joined by single underscores, in lower case."""
+    words = "".join(ch for ch in name if ch.isalnum() or ch == "_" or ch.isspace()).split()
+    return "_".join(words).lower()
 
 
 def normalise_headers(names: Iterable[str], rule=normalise_header) -> list[str]:
@@ -45,14 +38,24 @@ def normalise_headers(names: Iterable[str], rule=normalise_header) -> list[str]:
 
 # ---- value expressions ------------------------------------------------------
 
+# Unicode white space (what a text feed may pad its values with).
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                          0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
+def strip(c: Column | str) -> Column:
+    """Remove white space of every kind from both ends (no regex per row)."""
+    return F.btrim(_c(c), F.lit(WHITE))
+
+
 def blank_to_null(c: Column | str) -> Column:
     """Empty string -> NULL (FN-15)."""
     return F.nullif(_c(c), F.lit(""))
 
 
 def clean_text(c: Column | str) -> Column:
-    """Trim, then empty -> NULL (FN-10 + FLT-5)."""
-    return F.nullif(F.trim(_c(c)), F.lit(""))
+    """Strip, then empty -> NULL (FN-10 + FLT-5)."""
+    return F.nullif(strip(c), F.lit(""))
 
 
 def strip_quotes(c: Column | str) -> Column:
@@ -83,8 +86,8 @@ def title_case(c: Column | str) -> Column:
 
 
 def map_payment(c: Column | str) -> Column:
-    """Map known payment spellings on the trimmed text, pass the trimmed text otherwise."""
-    t = F.trim(_c(c))
+    """Map known payment spellings on the stripped text, pass the stripped text otherwise."""
+    t = strip(c)
     expr = None
     for src, dst in PAYMENT_MAP.items():
         expr = (F.when(t == src, F.lit(dst)) if expr is None

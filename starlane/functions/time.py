@@ -5,39 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starlane.functions.text import strip
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_DATE_SHAPE = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME_SHAPE = r"\d{1,2}:\d{1,2}:\d{1,2}"
 
+# Date shapes a feed may use: pattern, and how its groups make year-month-day.
+DATE_FORMATS = {
+    "yyyy-M-d": (r"(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$2-$3"),
+    "yyyy/M/d": (r"(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+    "d-M-yyyy": (r"(\d{1,2})-(\d{1,2})-(\d{4})", "$3-$2-$1"),
+    "d/M/yyyy": (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1"),
+    "M/d/yyyy": (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
+    "yyyyMMdd": (r"(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
+}
 
-def days_in_month(y: Column, m: Column) -> Column:
-    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    return (F.when(m == 2, F.when(leap, 29).otherwise(28))
-            .when(m.isin(4, 6, 9, 11), 30).otherwise(31))
 
+def _parse(text: Column, shape: str) -> Column:
+    """Wall-clock timestamp of a text of the given shape, else NULL.
 
-def _parse_fields(text: Column, with_time: bool) -> Column:
-    """``yyyy-M-d[ H:m:s]`` -> timestamp_ntz, NULL when the text or a field
-    is invalid (Feb 30, hour 24, minute 60, ...).
-
-    The shape is checked by one regex, the fields are split once, and every
-    range is checked by arithmetic before ``make_timestamp_ntz`` runs, so no
-    row ever raises - a failed parse costs no exception, and the result does
-    not depend on the session time zone.
+    The shape check keeps the cast from accepting other forms; the cast to
+    timestamp_ntz checks the fields (Feb 30, hour 24, ...) and does not depend
+    on the session time zone.  The text appears twice and nothing is split,
+    so a filter pushed below the projection copies little.
     """
-    shape = f"^{_DATE_SHAPE} {_TIME_SHAPE}$" if with_time else f"^{_DATE_SHAPE}$"
-    parts = F.split(text, "[-: ]")
-    field = lambda i: F.get(parts, i).try_cast("int")
-    y, mo, d = field(0), field(1), field(2)
-    h, mi, s = (field(3), field(4), field(5)) if with_time else (F.lit(0), F.lit(0), F.lit(0))
-    valid = (text.rlike(shape) & (y >= 1) & mo.between(1, 12) & (d >= 1)
-             & (d <= days_in_month(y, mo)) & (h < 24) & (mi < 60) & (s < 60))
-    return F.when(valid, F.make_timestamp_ntz(y, mo, d, h, mi, s))
+    return F.when(text.rlike(f"^{shape}$"), text).try_cast("timestamp_ntz")
 
 
 def parse_booking_ts(date_col: Column | str, time_col: Column | str | None) -> Column:
@@ -48,10 +44,24 @@ def parse_booking_ts(date_col: Column | str, time_col: Column | str | None) -> C
     fact decided on the driver), not on the value: a row with a NULL time in a
     feed that has a time column yields NULL, as it would in the source job.
     """
-    if time_col is None:
-        return _parse_fields(F.trim(_c(date_col)), with_time=False)
-    text = F.concat_ws(" ", F.trim(_c(date_col)), F.trim(_c(time_col)))
-    return _parse_fields(text, with_time=True)
+    return parse_formats(date_col, time_col, ["yyyy-M-d"])
+
+
+def parse_formats(date_col: Column | str, time_col: Column | str | None, formats: list[str]) -> Column:
+    """As ``parse_booking_ts``, with a list of date formats tried in order
+    (FN-3); the first that gives a valid timestamp wins."""
+    date = strip(date_col)
+    tried = []
+    for name in formats:
+        shape, iso = DATE_FORMATS[name]
+        text = date if name == "yyyy-M-d" else F.regexp_replace(date, f"^{shape}$", iso)
+        own = date.rlike(f"^{shape}$")
+        if time_col is None:
+            stamp = _parse(text, DATE_FORMATS["yyyy-M-d"][0])
+        else:
+            stamp = _parse(F.concat_ws(" ", text, strip(time_col)), DATE_FORMATS["yyyy-M-d"][0] + " " + _TIME_SHAPE)
+        tried.append(stamp if name == "yyyy-M-d" else F.when(own, stamp))
+    return F.coalesce(*tried) if len(tried) > 1 else tried[0]
 
 
 def date_id_of(ts: Column | str) -> Column:

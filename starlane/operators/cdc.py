@@ -4,9 +4,10 @@ date-partitioned Parquet zone (CDC-1).
 "Latest row per key" is a keyed ``max`` over a struct whose first field is
 the ordering timestamp and whose remaining fields are every other column (a
 total, deterministic tie-break, since ids may repeat with different
-content).  Unlike ``row_number() OVER (PARTITION BY key ...)`` this is a hash
-aggregate with a map-side partial step, so a key holding a third of all rows
-is reduced before the shuffle instead of landing whole in one task.
+content).  Unlike ``row_number() OVER (PARTITION BY key ...)`` this aggregate
+has a map-side partial step (a sort aggregate, since the buffer holds text),
+so a key holding a third of all rows is reduced before the shuffle instead of
+landing whole in one task.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlane.operators.lookup import broadcast_max_rows
-from starlane.session import delete_path, path_exists
-from starlane.sinks.files import write_parquet
+from starlane.session import delete_path, path_exists, work_dir
+from starlane.sinks.files import materialise, write_parquet
+
+# Touched partition values (short texts or numbers) broadcast at most: under 100 MB.
+TOUCHED_BROADCAST_ROWS = 500_000
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
@@ -40,9 +43,10 @@ def _by_partition(df: DataFrame, partition_col: str, key: str) -> DataFrame:
     return df.repartitionByRange(n, partition_col, key)
 
 
-def _partition_dir(root: str, col: str, value) -> str:
-    v = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    return f"{root.rstrip('/')}/{col}={v}"
+def _partition_dir(spark, root: str, col: str, value) -> str:
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    v = "__HIVE_DEFAULT_PARTITION__" if value is None else escape(str(value))
+    return f"{root.rstrip('/')}/{escape(col)}={v}"
 
 
 def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list[str],
@@ -52,31 +56,42 @@ def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list
     Only touched partitions are rewritten: those receiving changed rows, and
     those still holding an older version of a changed key (a booking can move
     to another date; its old partition must lose the stale row).  The merged
-    rows are first cut from the target's lineage with a reliable checkpoint
-    (in the shared checkpoint folder), then swapped in with a dynamic
-    partition overwrite, so the target is never overwritten while being
-    read.  A touched partition left with no rows is deleted.  Re-running the
-    same change set gives the same table.
+    rows are first staged as Parquet in the shared folder, then swapped in
+    with a dynamic partition overwrite, so the target is never overwritten
+    while being read.  A touched partition left with no rows is deleted; the
+    list of those is bounded by the partitions of the table.
+
+    Re-running a change set gives the same table: rows already stored (as
+    often as they are) are taken out of it first, which also settles rows
+    without key, that no version could be matched to.  A target without commit marker was
+    never written whole and is written anew.
     """
     spark = changes.sparkSession
-    if not path_exists(spark, target_path):
+    stage = work_dir(spark, "upsert")
+    if not path_exists(spark, f"{target_path}/_SUCCESS"):
         write_parquet(_by_partition(latest_per_key(changes, key, order_by), partition_col, key),
                       target_path, partition_by=[partition_col])
         return
     target = spark.read.parquet(target_path)
-    changes = changes.select(*target.columns)
-    changed_keys = changes.select(key).where(F.col(key).isNotNull()).distinct()
+    # the change set is read once: keys, partitions and rows come from the stage
+    changes = materialise(latest_per_key(changes.select(*target.columns), key, order_by), f"{stage}/changes")
+    unkeyed = F.col(key).isNull()
+    keys = changes.select(key).where(~unkeyed)
+    # rows stored already, as often as they are, are no news
+    stored = target.join(keys, key, "left_semi").select(*target.columns).unionByName(target.where(unkeyed))
+    fresh = materialise(changes.exceptAll(stored), f"{stage}/fresh")
+    if fresh.isEmpty():
+        delete_path(spark, stage)
+        return
+    changed_keys = fresh.select(key).where(~unkeyed)
     stale_parts = target.join(changed_keys, key, "left_semi").select(partition_col)
-    touched = stale_parts.unionByName(changes.select(partition_col)).distinct()
-    # one row per touched partition value (a calendar day); broadcast only
-    # after checking how many there are
-    touched = touched.checkpoint(eager=True)
+    touched = materialise(stale_parts.unionByName(fresh.select(partition_col)).distinct(), f"{stage}/touched")
     t = touched.withColumnRenamed(partition_col, "_p")
-    if touched.count() <= broadcast_max_rows(spark):
+    if touched.count() <= TOUCHED_BROADCAST_ROWS:
         t = F.broadcast(t)
     affected = target.join(t, target[partition_col].eqNullSafe(t["_p"]), "left_semi")
-    merged = latest_per_key(affected.unionByName(changes), key, order_by)
-    staged = _by_partition(merged, partition_col, key).checkpoint(eager=True)
+    merged = latest_per_key(affected.unionByName(fresh), key, order_by)
+    staged = materialise(_by_partition(merged, partition_col, key), f"{stage}/merged")
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(target_path)
     # touched partitions that received no merged row: drop their stale files
@@ -84,4 +99,5 @@ def upsert_latest(target_path: str, changes: DataFrame, key: str, order_by: list
                            touched[partition_col].eqNullSafe(staged[partition_col]),
                            "left_anti").collect()
     for row in emptied:
-        delete_path(spark, _partition_dir(target_path, partition_col, row[0]))
+        delete_path(spark, _partition_dir(spark, target_path, partition_col, row[0]))
+    delete_path(spark, stage)

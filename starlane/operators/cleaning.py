@@ -18,11 +18,12 @@ from starlane.functions.text import (
     map_payment,
     normalise_header,
     normalise_headers,
+    strip,
     strip_quotes,
     title_case,
 )
 from starlane.functions.time import date_id_of, parse_booking_ts
-from starlane.schema import COLUMN_ALIASES, MEASURE_COLS, REASON_COLS, SOURCE_COLS
+from starlane.schema import COLUMN_ALIASES, MEASURE_COLS, REASON_COLS, REQUIRED_COLS, SOURCE_COLS
 
 
 def with_normalised_headers(df: DataFrame, rule=normalise_header) -> DataFrame:
@@ -59,8 +60,18 @@ def optional_col(df: DataFrame, name: str, dtype: str = "string") -> Column:
 
 
 def clean_id(c: Column) -> Column:
-    """Trim, strip surrounding quote runs, trim again, empty -> NULL."""
-    return clean_text(strip_quotes(F.trim(c)))
+    """Strip white space, then surrounding quote runs, white space again; empty -> NULL."""
+    return clean_text(strip_quotes(strip(c)))
+
+
+def filtered_distinct(cleaned: DataFrame, required: list[str] = REQUIRED_COLS) -> DataFrame:
+    """Cleaned rows that have every required value, once each (FLT-4).
+
+    A booking without id, customer or day is dropped, and so is a ride of
+    negative distance or fare; equal rows count once."""
+    not_negative = [F.coalesce(F.col(c), F.lit(0.0)) >= 0 for c in ("booking_value", "ride_distance")]
+    kept = cleaned.na.drop(subset=["date_id" if c == "date" else c for c in required])
+    return kept.where(not_negative[0] & not_negative[1]).distinct()
 
 
 def clean_bookings(raw: DataFrame, header_rule=normalise_header) -> DataFrame:
@@ -81,7 +92,7 @@ def clean_bookings(raw: DataFrame, header_rule=normalise_header) -> DataFrame:
         "date": clean_text(get("date")),
         "time": clean_text(get("time")),
         "booking_id": clean_id(get("booking_id")),
-        "booking_status": clean_text(title_case(F.trim(get("booking_status")))),
+        "booking_status": clean_text(title_case(strip(get("booking_status")))),
         "customer_id": clean_id(get("customer_id")),
         "vehicle_type": clean_text(get("vehicle_type")),
         "pickup_location": clean_text(get("pickup_location")),

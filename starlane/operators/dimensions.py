@@ -29,6 +29,9 @@ DIM_SPECS = {
 }
 
 
+REASON_SOURCES = ("customer", "driver", "incomplete")   # roles of REASON_COLS
+
+
 @dataclass
 class Dimension:
     """A dimension frame plus what a lookup needs to know about it."""
@@ -36,10 +39,17 @@ class Dimension:
     df: DataFrame
     nk: str          # natural key column
     sk: str          # surrogate key column
-    rows: int        # exact row count (checked size for broadcast decisions)
+    rows: int        # exact row count
+    key_bytes: int | None = None  # exact total length of the natural keys
     unique: bool = True
     freq: DataFrame | None = None   # (nk, freq): source rows per member, for hot keys
 
+    def broadcast_bytes(self) -> int:
+        """Size as a broadcast table: keys (unknown lengths count as 1 KB a
+        row) plus surrogate key and hash-table overhead per row."""
+        keys = self.rows * 1024 if self.key_bytes is None else self.key_bytes
+        return keys + 64 * self.rows
+
 
 def distinct_values(df: DataFrame, cols: list[str], as_name: str,
                     with_freq: bool = False) -> DataFrame:
@@ -62,7 +72,7 @@ def build_dim(df: DataFrame, name: str, cols: list[str], nk: str, sk: str,
                               num_partitions)
     full = keyed.df
     return Dimension(name, full.select(sk, nk), nk, sk, keyed.rows,
-                     freq=full.select(nk, "freq"))
+                     key_bytes=sum(keyed.group_bytes.values()), freq=full.select(nk, "freq"))
 
 
 def build_dim_customer(cleaned: DataFrame, **kw) -> Dimension:
@@ -142,7 +152,19 @@ def key_members(members: DataFrame, num_partitions: int | None = None,
     return keyed
 
 
-def dimension_from_store(store: DataFrame, name: str, rows: int) -> Dimension:
+def reason_sources(cleaned: DataFrame, dim: Dimension) -> DataFrame:
+    """Members of the reason dimension with ``source_type``: the columns each
+    text occurs in, in column order (a wording rule alone mistypes driver
+    reasons that lack the word)."""
+    pairs = [F.struct(F.col(c).alias("reason_text"), F.lit(i).alias("place")) for i, c in enumerate(REASON_COLS)]
+    seen = (cleaned.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+            .where(F.col("reason_text").isNotNull()).groupBy("reason_text")
+            .agg(*[F.max((F.col("place") == i).cast("int")).alias(f"in_{i}") for i in range(len(REASON_COLS))]))
+    label = F.concat_ws("+", *[F.when(F.col(f"in_{i}") == 1, F.lit(n)) for i, n in enumerate(REASON_SOURCES)])
+    return dim.df.join(seen.select("reason_text", label.alias("source_type")), "reason_text")
+
+
+def dimension_from_store(store: DataFrame, name: str, rows: int, key_bytes: int | None = None) -> Dimension:
     """One dimension out of a ``(sk, dim, value, type[, freq])`` store."""
     _, nk, sk = DIM_SPECS[name]
     cols = [F.col("sk").alias(sk), F.col("value").alias(nk)]
@@ -150,4 +172,4 @@ def dimension_from_store(store: DataFrame, name: str, rows: int) -> Dimension:
         cols.append(F.col("type"))
     part = store.where(F.col("dim") == name)
     freq = part.select(F.col("value").alias(nk), "freq") if "freq" in store.columns else None
-    return Dimension(name, part.select(*cols), nk, sk, rows, freq=freq)
+    return Dimension(name, part.select(*cols), nk, sk, rows, key_bytes=key_bytes, freq=freq)

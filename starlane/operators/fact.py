@@ -39,8 +39,12 @@ def apply_lookups(cleaned: DataFrame, dims: dict[str, Dimension],
     return out
 
 
-def build_fact(cleaned: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
-    """Star assembly; output columns and types as ``STAR_SCHEMAS['fact_booking']``."""
-    out = apply_lookups(cleaned, dims)
+def build_fact(cleaned: DataFrame, dims: dict[str, Dimension], columns: list[str] = FACT_COLS) -> DataFrame:
+    """Star assembly; output columns and types as ``STAR_SCHEMAS['fact_booking']``.
+
+    ``columns`` keeps some of them (a KPI's), and only the lookups behind
+    those are made."""
+    needed = [x for x in LOOKUPS if x[2] in columns]
+    out = apply_lookups(cleaned, dims, needed)
     types = {f.name: f.dataType for f in STAR_SCHEMAS["fact_booking"].fields}
-    return out.select(*[F.col(c).cast(types[c]).alias(c) for c in FACT_COLS])
+    return out.select(*[F.col(c).cast(types[c]).alias(c) for c in FACT_COLS if c in columns])

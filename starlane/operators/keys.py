@@ -35,6 +35,14 @@ class Keyed:
     df: DataFrame
     rows: int
     group_rows: dict = field(default_factory=dict)
+    group_bytes: dict = field(default_factory=dict)   # total length of the natural keys
+
+
+def _key_bytes(nks: list[str]):
+    total = F.lit(0)
+    for c in nks:
+        total = total + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return total.cast("long")
 
 
 def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
@@ -66,17 +74,19 @@ def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
 
     gcols = ["_pid"] + ([group] if group else [])
     stats = indexed.groupBy(*gcols).agg(F.count(F.lit(1)).alias("n"),
-                                        F.min("_pos").alias("first")).collect()
+                                        F.min("_pos").alias("first"),
+                                        F.sum(_key_bytes(nks)).alias("bytes")).collect()
     # Running start per group, in partition order (partitions x groups rows).
     start = defaultdict(lambda: offset)
     if group_offsets:
         start.update(group_offsets)
     base = dict(start)
-    adj_rows = []
+    adj_rows, sizes = [], defaultdict(int)
     for r in sorted(stats, key=lambda r: r["_pid"]):
         g = r[group] if group else None
         adj_rows.append((r["_pid"], g, start[g] - r["first"]))
         start[g] += r["n"]
+        sizes[g] += r["bytes"] or 0
     group_rows = {g: start[g] - base.get(g, offset) for g in start}
 
     gtype = keys.schema[group].dataType if group else T.StringType()
@@ -89,4 +99,4 @@ def assign_dense_keys(keys: DataFrame, nk: str | list[str], sk: str,
     keyed = (indexed.join(F.broadcast(adj), cond)
              .select((F.col("_adj") + F.col("_pos") + 1).cast("long").alias(sk),
                      *[indexed[c] for c in keys.columns]))
-    return Keyed(keyed, int(sum(group_rows.values())), group_rows)
+    return Keyed(keyed, int(sum(group_rows.values())), group_rows, dict(sizes))

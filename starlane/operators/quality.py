@@ -15,11 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlane.functions.numeric import safe_double
-from starlane.functions.text import normalise_headers
+from starlane.functions.numeric import money, safe_double
+from starlane.functions.text import clean_text, normalise_headers
+from starlane.operators.cleaning import resolve_aliases, with_normalised_headers
 from starlane.operators.dimensions import Dimension
-from starlane.operators.lookup import broadcast_max_rows, lookup
-from starlane.schema import CLEANED_COLS, CLEANED_SCHEMA, MEASURE_COLS
+from starlane.operators.lookup import by_surrogate_key, fits_broadcast, lookup
+from starlane.schema import CLEANED_SCHEMA, MEASURE_COLS, SOURCE_COLS, STAR_SCHEMAS
 
 RATING_MIN, RATING_MAX = 1.0, 5.0
 
@@ -45,21 +46,44 @@ def _one_row(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
 def cleaned_counts(cleaned: DataFrame) -> dict[str, Column]:
     """Row-level checks on the cleaned rows (one aggregate, one pass)."""
     out_of_range = lambda c: F.col(c).isNotNull() & ~F.col(c).between(RATING_MIN, RATING_MAX)
-    declared = {f.name: f.dataType for f in CLEANED_SCHEMA.fields}
-    actual = {f.name: f.dataType for f in cleaned.schema.fields}
-    wrong_type = [c for c, t in declared.items() if c in actual and actual[c] != t]
     return {
-        "missing_required_columns": F.lit(len([c for c in CLEANED_COLS if c not in cleaned.columns])),
-        "wrong_column_types": F.lit(len(wrong_type)),
         "null_booking_id": F.count(F.when(F.col("booking_id").isNull(), 1)),
         "null_customer_id": F.count(F.when(F.col("customer_id").isNull(), 1)),
         "null_date_id": F.count(F.when(F.col("date_id").isNull(), 1)),
         "rating_out_of_range": F.count(F.when(out_of_range("driver_ratings")
                                               | out_of_range("customer_rating"), 1)),
+        "overflow_booking_value": F.count(F.when(
+            F.col("booking_value").isNotNull() & money("booking_value").isNull(), 1)),
         "_cleaned_rows": F.count(F.lit(1)),
     }
 
 
+def schema_checks(raw: DataFrame, tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Checks on names and types, from schemas alone.
+
+    ``missing_columns`` counts the logical columns that the *raw* feed does
+    not bring (the cleaned zone fills those with typed NULLs, so it cannot
+    tell); ``wrong_column_types`` the columns of written tables whose name is
+    missing or whose type is not the declared one."""
+    present = set(resolve_aliases(with_normalised_headers(raw.limit(0))).columns)
+    declared = {"cleaned": CLEANED_SCHEMA, **STAR_SCHEMAS}
+    wrong = 0
+    for name, df in tables.items():
+        actual = {f.name: f.dataType for f in df.schema.fields}
+        wrong += sum(actual.get(f.name) != f.dataType for f in declared[name].fields)
+    return {"missing_columns": len([c for c in SOURCE_COLS if c not in present]), "wrong_column_types": wrong}
+
+
+def dimension_key_row(dims: dict[str, Dimension]) -> DataFrame:
+    """Rows beyond the first per natural key and per surrogate key of each
+    dimension (keyed aggregates with a partial step)."""
+    rows = []
+    for name, d in sorted(dims.items()):
+        for key in (d.nk, d.sk):
+            rows.append(duplicate_key_row(d.df, key).withColumnRenamed(f"duplicate_{key}", f"duplicate_{name}_{key}"))
+    return _merge(rows)
+
+
 def duplicate_key_row(cleaned: DataFrame, key: str = "booking_id") -> DataFrame:
     """Rows beyond the first per non-NULL key (keyed partial aggregate, skew-safe)."""
     per_key = cleaned.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -77,7 +101,7 @@ def raw_check_metrics(raw: DataFrame) -> list[Column]:
         if m not in by_name:
             continue
         c = F.col(f"`{by_name[m]}`")
-        bad = F.nullif(F.trim(c), F.lit("")).isNotNull() & safe_double(c).isNull()
+        bad = clean_text(c).isNotNull() & safe_double(c).isNull()
         out.append(F.count(F.when(bad, 1)).cast("long").alias(f"bad_{m}"))
     return out
 
@@ -88,14 +112,13 @@ def orphan_row(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
     When every dimension is small enough to broadcast this is ONE pass over
     the fact (a chain of broadcast left joins and one aggregate).  A
     dimension above the checked size is checked through the shuffle path of
-    ``lookup`` (keyed by surrogate key), so NULL and hot foreign keys are
-    salted there as in the fact build.
+    ``lookup`` (keyed by surrogate key), where NULL and hot foreign keys are
+    spread over the reducers as in the fact build.
     """
     spark = fact.sparkSession
-    limit = broadcast_max_rows(spark)
     fks = [(fk, dims[d]) for fk, d in FACT_FKS if d in dims]
-    small = [(fk, d) for fk, d in fks if d.rows <= limit]
-    large = [(fk, d) for fk, d in fks if d.rows > limit]
+    small = [(fk, d) for fk, d in fks if fits_broadcast(spark, d)]
+    large = [(fk, d) for fk, d in fks if not fits_broadcast(spark, d)]
 
     probe = fact.select(*sorted({fk for fk, _ in fks}))
     for i, (fk, d) in enumerate(small):
@@ -106,23 +129,13 @@ def orphan_row(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
                    for i, (fk, _) in enumerate(small)})
     row = _one_row(probe, counts)
     for fk, d in large:
-        matched = lookup(fact.select(fk), _by_surrogate_key(d), fk, "_m")
+        matched = lookup(fact.select(fk), by_surrogate_key(d), fk, "_m")
         row = _merge([row, matched.agg(
             F.count(F.when(F.col(fk).isNotNull() & F.col("_m").isNull(), 1))
             .cast("long").alias(f"orphan_{fk}"))])
     return row
 
 
-def _by_surrogate_key(d: Dimension) -> Dimension:
-    """The same dimension with its surrogate key as the lookup key (member
-    frequencies carried over, so hot keys are known)."""
-    keys = d.df.select(F.col(d.sk).alias("_nk"), F.col(d.sk).alias("_sk"))
-    freq = None
-    if d.freq is not None:
-        freq = d.df.join(d.freq, d.nk).select(F.col(d.sk).alias("_nk"), "freq")
-    return Dimension(d.name, keys, "_nk", "_sk", d.rows, freq=freq)
-
-
 def _merge(rows: list[DataFrame]) -> DataFrame:
     """Several one-row frames with disjoint columns -> one row (each input is
     evaluated once; no cross join)."""
@@ -133,19 +146,21 @@ def _merge(rows: list[DataFrame]) -> DataFrame:
 
 
 def dq_report(cleaned: DataFrame, fact: DataFrame, dims: dict[str, Dimension],
-              raw: DataFrame | None = None, raw_checks: dict | None = None) -> DataFrame:
+              raw: DataFrame, raw_checks: dict | None = None) -> DataFrame:
     """All checks as ``(check_name string, failed bigint)``.
 
     Raw-text checks come from ``raw_checks`` (observed while the cleaned zone
-    was written) or, failing that, from one pass over ``raw``.
+    was written) or, failing that, from one pass over ``raw``; the schema of
+    ``raw`` is checked in either case.
     """
     spark = cleaned.sparkSession
     parts = [_one_row(cleaned, cleaned_counts(cleaned)), duplicate_key_row(cleaned),
-             orphan_row(fact, dims)]
-    if raw_checks:
-        parts.append(spark.createDataFrame([tuple(int(v) for v in raw_checks.values())],
-                                           ", ".join(f"{k} bigint" for k in raw_checks)))
-    elif raw is not None:
+             dimension_key_row(dims), orphan_row(fact, dims)]
+    known = schema_checks(raw, {"cleaned": cleaned, "fact_booking": fact, **{n: d.df for n, d in dims.items()}})
+    known |= raw_checks or {}
+    parts.append(spark.createDataFrame([tuple(int(v) for v in known.values())],
+                                       ", ".join(f"{k} bigint" for k in known)))
+    if not raw_checks:
         parts.append(raw.agg(*raw_check_metrics(raw)))
     row = _merge(parts)
     row = row.withColumn("fact_row_count_diff", F.abs(F.col("_cleaned_rows") - F.col("_fact_rows")))
@@ -167,7 +182,7 @@ def daily_anomalies(fact: DataFrame, k: int = 3, trailing_days: int = 7) -> Data
     """
     daily = fact.where(F.col("date_id").isNotNull()).groupBy("date_id").agg(
         F.count(F.lit(1)).alias("rides"),
-        F.sum(F.col("booking_value").cast("decimal(18,2)")).alias("_rev"),
+        F.sum(money("booking_value")).alias("_rev"),
     )
     day = F.to_date(F.col("date_id").cast("string"), "yyyyMMdd")
     daily = daily.withColumns({

@@ -1,12 +1,8 @@
 """Ordering, heads and top-k (SRT-1..3).
 
-``distinct_top_k`` answers ``SELECT DISTINCT * ... ORDER BY <all columns>
-LIMIT k`` without shuffling every distinct row.  The k smallest rows *with
-multiplicity* come from per-partition heaps (only k rows per partition are
-shuffled).  Every distinct value not above the k-th of those rows has a copy
-among them, so when they hold k distinct values these are exactly the answer.
-Only when duplicates crowd the head (fewer than k distinct values) does it
-fall back to the full distinct, so the result is exact in every case.
+``distinct_top_k`` is one plan: the distinct has a partial step, so repeated
+rows are dropped before the shuffle, and the ordered limit keeps ``k`` rows per
+task.
 """
 
 from __future__ import annotations
@@ -27,8 +23,5 @@ def head(df: DataFrame, n: int = 5, order=None) -> DataFrame:
 
 
 def distinct_top_k(df: DataFrame, k: int) -> DataFrame:
-    order = full_order(df)
-    head_rows = df.orderBy(*order).limit(k).distinct()
-    if head_rows.count() == k:          # one scan; k rows per partition shuffled
-        return head_rows.orderBy(*order)
-    return df.distinct().orderBy(*order).limit(k)
+    """``SELECT DISTINCT * ... ORDER BY <all columns> LIMIT k``."""
+    return df.distinct().orderBy(*full_order(df)).limit(k)

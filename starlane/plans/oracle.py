@@ -14,26 +14,36 @@ TITLE = ("array_to_string(list_transform(regexp_extract_all(lower({x}), '(\\p{{L
          "lambda t: upper(left(t, 1)) || substr(t, 2)), '')")
 
 
+# All Unicode white space, as SQL text of single characters.
+_WHITE = " || ".join(f"chr({n})" for n in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203),
+                                           8232, 8233, 8239, 8287, 12288])
+
+
+def _strip(x: str) -> str:
+    return f"trim({x}, {_WHITE})"
+
+
 def _txt(x: str) -> str:
-    return f"nullif(trim({x}), '')"
+    return f"nullif({_strip(x)}, '')"
 
 
 def _id(x: str) -> str:
-    return f"nullif(trim(regexp_replace(trim({x}), '^\"+|\"+$', '', 'g')), '')"
+    return _txt(f"regexp_replace({_strip(x)}, '^\"+|\"+$', '', 'g')")
 
 
 def _dbl(x: str) -> str:
-    return f"nullif(TRY_CAST(trim({x}) AS DOUBLE), CAST('NaN' AS DOUBLE))"
+    number = f"TRY_CAST({_strip(x)} AS DOUBLE)"
+    return f"CASE WHEN isfinite({number}) THEN {number} END"
 
 
-_PAY = ("CASE trim({x}) WHEN 'Upi' THEN 'UPI' WHEN 'Debit Card' THEN 'Debit Card' "
-        "WHEN 'Credit Card' THEN 'Credit Card' WHEN 'Cash' THEN 'Cash' ELSE trim({x}) END")
+_PAY = ("CASE {x} WHEN 'Upi' THEN 'UPI' WHEN 'Debit Card' THEN 'Debit Card' "
+        "WHEN 'Credit Card' THEN 'Credit Card' WHEN 'Cash' THEN 'Cash' ELSE {x} END")
 
 CLEAN_SELECT = f"""
   {_txt('"Date"')} AS date,
   {_txt('"Time"')} AS time,
   {_id('"Booking ID"')} AS booking_id,
-  {_txt(TITLE.format(x='trim("Booking Status")'))} AS booking_status,
+  {_txt(TITLE.format(x=_strip('"Booking Status"')))} AS booking_status,
   {_id('"Customer ID"')} AS customer_id,
   {_txt('"Vehicle Type"')} AS vehicle_type,
   {_txt('"Pickup Location"')} AS pickup_location,
@@ -44,11 +54,11 @@ CLEAN_SELECT = f"""
   {_dbl('"Ride Distance"')} AS ride_distance,
   {_dbl('"Driver Ratings"')} AS driver_ratings,
   {_dbl('"Customer Rating"')} AS customer_rating,
-  {_txt(_PAY.format(x='"Payment Method"'))} AS payment_method,
+  {_txt(_PAY.format(x=_strip('"Payment Method"')))} AS payment_method,
   {_txt('"Reason for cancelling by Customer"')} AS reason_for_cancelling_by_customer,
   {_txt('"Driver Cancellation Reason"')} AS driver_cancellation_reason,
   {_txt('"Incomplete Rides Reason"')} AS incomplete_rides_reason,
-  CAST(try_strptime(concat_ws(' ', trim("Date"), trim("Time")), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)
+  CAST(try_strptime(concat_ws(' ', {_strip('"Date"')}, {_strip('"Time"')}), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)
     AS booking_timestamp
 """
 
@@ -189,7 +199,7 @@ ORACLE: dict[str, str] = {
     "kpi_daily_rides_revenue": _q(
         "SELECT date_id, pickup_location, vehicle_type, count(*) AS rides, "
         f"count(CASE WHEN {_DONE} THEN 1 END) AS completed_rides, "
-        f"CAST(sum(CASE WHEN {_DONE} THEN CAST(booking_value AS DECIMAL(18,2)) END) "
+        f"CAST(sum(CASE WHEN {_DONE} THEN TRY_CAST(booking_value AS DECIMAL(18,2)) END) "
         "AS DOUBLE) AS revenue FROM cleaned GROUP BY date_id, pickup_location, vehicle_type"),
     "kpi_cancellation_rate": _q(
         "SELECT vehicle_type, count(*) AS rides, "
@@ -202,7 +212,7 @@ ORACLE: dict[str, str] = {
         "SELECT vehicle_type, avg(driver_ratings) AS avg_driver_rating, "
         "avg(customer_rating) AS avg_customer_rating, avg(ride_distance) AS avg_ride_distance, "
         "CAST(sum(CASE WHEN ride_distance > 0 AND booking_value IS NOT NULL "
-        "THEN CAST(booking_value AS DECIMAL(18,2)) END) AS DOUBLE) / "
+        "THEN TRY_CAST(booking_value AS DECIMAL(18,2)) END) AS DOUBLE) / "
         "sum(CASE WHEN ride_distance > 0 AND booking_value IS NOT NULL THEN ride_distance END) "
         "AS fare_per_km FROM cleaned GROUP BY vehicle_type"),
 }
@@ -219,16 +229,23 @@ _FK_SK = {"dim_customer": "customer_sk", "dim_vehicle": "vehicle_sk",
 
 _out_of_range = ("(driver_ratings IS NOT NULL AND NOT driver_ratings BETWEEN 1 AND 5) OR "
                  "(customer_rating IS NOT NULL AND NOT customer_rating BETWEEN 1 AND 5)")
+_DIM_NK = {"dim_customer": "customer_id", "dim_vehicle": "vehicle_type", "dim_location": "location_name",
+           "dim_payment": "payment_method", "dim_reason": "reason_text"}
 _DQ_PARTS = [
-    "SELECT 'missing_required_columns' AS check_name, CAST(0 AS BIGINT) AS failed",
+    "SELECT 'missing_columns' AS check_name, CAST(0 AS BIGINT) AS failed",
     "SELECT 'wrong_column_types', CAST(0 AS BIGINT)",
     "SELECT 'null_booking_id', count(*) FILTER (WHERE booking_id IS NULL) FROM cleaned",
     "SELECT 'null_customer_id', count(*) FILTER (WHERE customer_id IS NULL) FROM cleaned",
     "SELECT 'null_date_id', count(*) FILTER (WHERE date_id IS NULL) FROM cleaned",
     f"SELECT 'rating_out_of_range', count(*) FILTER (WHERE {_out_of_range}) FROM cleaned",
+    "SELECT 'overflow_booking_value', count(*) FILTER (WHERE booking_value IS NOT NULL "
+    "AND TRY_CAST(booking_value AS DECIMAL(18,2)) IS NULL) FROM cleaned",
     "SELECT 'duplicate_booking_id', count(booking_id) - count(DISTINCT booking_id) FROM cleaned",
 ] + [
-    f"SELECT 'bad_{m}', count(*) FILTER (WHERE nullif(trim({r}), '') IS NOT NULL "
+    f"SELECT 'duplicate_{d}_{k}', count({k}) - count(DISTINCT {k}) FROM {d}"
+    for d, nk in _DIM_NK.items() for k in (nk, _FK_SK[d])
+] + [
+    f"SELECT 'bad_{m}', count(*) FILTER (WHERE {_txt(r)} IS NOT NULL "
     f"AND {_dbl(r)} IS NULL) FROM raw" for m, r in _MEASURES_RAW
 ] + [
     f"SELECT 'orphan_{fk}', count(*) FROM fact WHERE {fk} IS NOT NULL "
@@ -236,9 +253,17 @@ _DQ_PARTS = [
 ] + [
     "SELECT 'fact_row_count_diff', abs((SELECT count(*) FROM cleaned) - (SELECT count(*) FROM fact))",
 ]
+_DQ_BROKEN = """
+SELECT 'missing_columns' AS check_name, CAST(2 AS BIGINT) AS failed
+UNION ALL SELECT 'wrong_column_types', CAST(0 AS BIGINT)
+UNION ALL SELECT 'duplicate_dim_vehicle_vehicle_type', count(*) FROM dim_vehicle WHERE vehicle_sk % 10 = 0
+UNION ALL SELECT 'duplicate_dim_vehicle_vehicle_sk', count(*) FROM dim_vehicle WHERE vehicle_sk % 10 = 0
+UNION ALL SELECT 'duplicate_dim_customer_customer_sk', CAST(0 AS BIGINT)
+UNION ALL SELECT 'null_booking_id', count(*) FILTER (WHERE booking_id IS NULL) FROM cleaned
+"""
 
 _ANOMALY = """
-daily AS (SELECT date_id, count(*) AS rides, sum(CAST(booking_value AS DECIMAL(18,2))) AS rev
+daily AS (SELECT date_id, count(*) AS rides, sum(TRY_CAST(booking_value AS DECIMAL(18,2))) AS rev
           FROM fact WHERE date_id IS NOT NULL GROUP BY date_id),
 d2 AS (SELECT *, CAST(strptime(CAST(date_id AS VARCHAR), '%Y%m%d') AS DATE) - DATE '1970-01-01' AS day,
               CAST(rev * 100 AS HUGEINT) AS rc, CAST(rides AS HUGEINT) AS rr FROM daily),
@@ -258,6 +283,54 @@ _LATEST = _q(
     f"SELECT {CLEANED_COLS_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY booking_id "
     f"ORDER BY {_LATEST_ORDER}) AS rn FROM cleaned WHERE booking_id IS NOT NULL) t WHERE rn = 1 "
     f"UNION ALL SELECT {CLEANED_COLS_SQL} FROM cleaned WHERE booking_id IS NULL")
+# the upsert's feed: some rows have lost their id; yearly change sets make no
+# difference to rows without id, which all stay
+_NO_ID = "CASE WHEN NOT ends_with(booking_id, '0-4') THEN booking_id END"
+_UPSERT = _q(
+    f"SELECT {CLEANED_COLS_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY booking_id "
+    f"ORDER BY {_LATEST_ORDER}) AS rn FROM (SELECT * REPLACE ({_NO_ID} AS booking_id) FROM cleaned) c) t "
+    "WHERE rn = 1 OR booking_id IS NULL")
+_EXPORTS = [("dim_date", "date_id", "day_of_week"), ("dim_customer", "customer_sk", "customer_id"),
+            ("dim_vehicle", "vehicle_sk", "vehicle_type"), ("dim_location", "location_sk", "location_name"),
+            ("dim_payment", "payment_sk", "payment_method"), ("dim_reason", "reason_sk", "reason_text"),
+            ("fact", "date_id", "booking_id")]
+_DIM_DATE = ORACLE["dim_date"].split(" SELECT date_id, date", 1)[1]
+
+
+def _exports(extra: str) -> str:
+    parts = []
+    for name, k, v in _EXPORTS:
+        shown = "fact_booking" if name == "fact" else name
+        parts.append(f"SELECT '{shown}' AS table_name, CAST({k} AS BIGINT) AS k, CAST({v} AS VARCHAR) AS v"
+                     f"{extra.format(t=name)} FROM {name}")
+    body = " UNION ALL ".join(parts)
+    return f"WITH {CTES}, dim_date AS (SELECT date_id, date{_DIM_DATE}) {body}"
+
+
+_FORMATS = ["%Y-%m-%d", "%Y/%m/%d", "%d-%m-%Y", "%d/%m/%Y", "%Y%m%d"]
+_ORDER_TEXT = """CASE o_orderkey % 6
+  WHEN 0 THEN year(o_orderdate) || '-' || month(o_orderdate) || '-' || day(o_orderdate)
+  WHEN 1 THEN year(o_orderdate) || '/' || month(o_orderdate) || '/' || day(o_orderdate)
+  WHEN 2 THEN strftime(o_orderdate, '%d-%m-%Y')
+  WHEN 3 THEN day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate)
+  WHEN 4 THEN strftime(o_orderdate, '%Y%m%d')
+  ELSE strftime(o_orderdate, '%b ') || day(o_orderdate) || ' ' || year(o_orderdate) END"""
+_PARSE_FORMATS = f"""
+WITH t AS (SELECT o_orderkey, {_ORDER_TEXT} AS date, (o_orderkey % 25) || ':5:07' AS time FROM orders)
+SELECT o_orderkey, date, time,
+       CAST(try_strptime(date || ' ' || time, {[f + ' %H:%M:%S' for f in _FORMATS]}) AS TIMESTAMP) AS ts,
+       CAST(try_strptime(date, {_FORMATS}) AS TIMESTAMP) AS day
+FROM t
+"""
+_DATE_ONLY = f"""
+SELECT {_id('"Booking ID"')} AS booking_id, ts AS booking_timestamp,
+       CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date_id,
+       {_txt("coalesce(nullif(\"Reason for cancelling by Customer\", ''), nullif(\"Driver Cancellation Reason\", ''))")}
+         AS reason_for_cancelling_by_customer,
+       CAST(NULL AS VARCHAR) AS driver_cancellation_reason,
+       TRY_CAST(split_part({_id('"Booking ID"')}, '-', 1) AS INTEGER) AS order_number
+FROM (SELECT *, CAST(try_strptime({_strip('"Date"')}, '%Y-%m-%d') AS TIMESTAMP) AS ts FROM raw) r
+"""
 
 _MASK = ("regexp_replace(regexp_replace(regexp_replace(customer_id, '[A-Z]', 'X', 'g'), "
          "'[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')")
@@ -266,7 +339,26 @@ ORACLE.update({
     "dq_report": _q(" UNION ALL ".join(_DQ_PARTS)),
     "daily_anomalies": f"WITH {CTES}, {_ANOMALY}",
     "cdc_latest_per_key": _LATEST,
-    "cdc_upsert_zone": _LATEST,
+    "cdc_upsert_zone": _UPSERT,
+    "dq_report_broken_feed": _q(_DQ_BROKEN),
+    "cleaned_filtered_distinct": _q(
+        f"SELECT DISTINCT {CLEANED_COLS_SQL} FROM cleaned WHERE date_id IS NOT NULL AND booking_id IS NOT NULL "
+        "AND customer_id IS NOT NULL AND coalesce(booking_value, 0) >= 0 AND coalesce(ride_distance, 0) >= 0"),
+    "cleaned_csv": _q(f"SELECT {CLEANED_COLS_SQL} FROM cleaned"),
+    "star_tables": " UNION ALL ".join(
+        f"SELECT * FROM ({_exports(f", '{mode}' AS table_mode")}) {mode}_t" for mode in ("overwrite", "append")),
+    "star_csv_export": _exports(", (SELECT count(*) FROM {t}) AS rows_written"),
+    "single_file_exports": _q(" UNION ALL ".join(
+        f"SELECT '{form}' AS form, {files} AS files, vehicle_sk, vehicle_type FROM dim_vehicle"
+        for form, files in (("csv", 1), ("parquet", 1), ("lines", 0)))),
+    "parse_timestamp_formats": _PARSE_FORMATS,
+    "date_only_feed": _q(_DATE_ONLY),
+    "dim_reason_source": _q(
+        "SELECT reason_sk, reason_text, type, concat_ws('+', "
+        "CASE WHEN reason_text IN (SELECT reason_for_cancelling_by_customer FROM cleaned) THEN 'customer' END, "
+        "CASE WHEN reason_text IN (SELECT driver_cancellation_reason FROM cleaned) THEN 'driver' END, "
+        "CASE WHEN reason_text IN (SELECT incomplete_rides_reason FROM cleaned) THEN 'incomplete' END) "
+        "AS source_type FROM dim_reason"),
     "incremental_dim_customer": _q(
         "SELECT CAST(row_number() OVER (ORDER BY b, customer_id) AS BIGINT) AS customer_sk, "
         f"customer_id FROM (SELECT customer_id, min({_BATCH}) AS b FROM cleaned "
@@ -277,13 +369,14 @@ ORACLE.update({
         "incomplete_rides_reason, booking_status, avg_vtat, avg_ctat, booking_value, "
         "ride_distance, driver_ratings, customer_rating FROM cleaned"),
     "masked_customers": _q(
-        f"SELECT customer_sk, sha256(customer_id) AS customer_hash, {_MASK} AS customer_masked "
+        f"SELECT customer_sk, sha256('driver-tables' || customer_id) AS customer_hash, {_MASK} AS customer_masked "
         "FROM dim_customer"),
     "compacted_zone": _q(
         f"SELECT {CLEANED_COLS_SQL}, CAST(year(booking_date) AS INTEGER) AS year, "
         "CAST(month(booking_date) AS INTEGER) AS month FROM cleaned"),
     "external_tables_star": _q(
         "SELECT vehicle_type, payment_method, count(*) AS rides, "
-        "CAST(sum(CAST(booking_value AS DECIMAL(18,2))) AS DOUBLE) AS booking_value "
+        "CAST(sum(TRY_CAST(booking_value AS DECIMAL(18,2))) AS DOUBLE) AS booking_value "
         "FROM cleaned GROUP BY vehicle_type, payment_method"),
 })
+ORACLE["stream_by_header_name"] = ORACLE["stream_fact_equals_batch"]

@@ -13,16 +13,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlane.functions.numeric import safe_int
 from starlane.functions.text import normalise_headers
+from starlane.functions.time import parse_formats
 from starlane.operators import cdc, kpi, quality, sorts
-from starlane.operators.cleaning import clean_bookings, with_normalised_headers
-from starlane.operators.dimensions import build_dim_date
-from starlane.operators.lookup import lookup
+from starlane.operators.cleaning import clean_bookings, filtered_distinct, with_normalised_headers
+from starlane.operators.dimensions import Dimension, build_dim_date, reason_sources
+from starlane.operators.fact import LOOKUPS, apply_lookups
+from starlane.operators.masking import mask_ids
 from starlane.plans import star as S
-from starlane.schema import CLEANED_COLS, FACT_COLS, RAW_HEADERS, STAR_SCHEMAS
+from starlane.schema import (
+    CLEANED_COLS,
+    CLEANED_SCHEMA,
+    FACT_COLS,
+    RAW_HEADERS,
+    REQUIRED_COLS,
+    SOURCE_COLS,
+    STAR_SCHEMAS,
+)
 from starlane.session import apply_engine_conf, work_dir
 from starlane.sinks import files as sinks
-from starlane.sources.bookings import raw_bookings
+from starlane.sources.bookings import raw_bookings, table
 from starlane.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,14 +55,20 @@ def clean_headers_project(spark, sf_dir):
     return with_normalised_headers(_raw(spark, sf_dir)).select(*RAW_NAMES)
 
 
+def _files(spark, path: str, suffix: str = ".csv") -> list[str]:
+    """Data files directly under a folder, through the Hadoop API."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [str(f.getPath().toString()) for f in fs.listStatus(p)]
+    return sorted(f for f in found if f.endswith(suffix))
+
+
 def csv_roundtrip_scan(spark, sf_dir):
-    """Raw feed -> headered CSV (fixed column order) -> explicit-schema scan."""
+    """Raw feed -> headered CSV (fixed column order) -> scan by header name."""
     path = work_dir(spark, "csv_roundtrip") + "/raw_csv"
     raw = with_normalised_headers(_raw(spark, sf_dir))
     sinks.write_csv(raw, path, columns=RAW_NAMES, skip_empty=True)
-    schema = incremental.raw_csv_schema(RAW_NAMES)
-    df = sinks.read_csv(spark, path, schema=schema, corrupt_column="_corrupt_record")
-    return df.select(*RAW_NAMES)
+    return sinks.read_csv_by_name(spark, _files(spark, path), RAW_NAMES, REQUIRED_COLS, with_normalised_headers)
 
 
 def csv_external_autodetect(spark, sf_dir):
@@ -60,23 +77,33 @@ def csv_external_autodetect(spark, sf_dir):
     root = work_dir(spark, "csv_external")
     sinks.write_csv(_raw(spark, sf_dir), f"{root}/raw_csv")
     name = f"raw_bookings_ext_{root.rsplit('-', 1)[-1]}"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING csv OPTIONS (path '{root}/raw_csv', header 'true', "
               f"inferSchema 'true', multiLine 'true', escape '\"')")
-    return clean_bookings(spark.table(name)).select(*CLEANED_COLS)
+    cleaned = clean_bookings(spark.table(name)).select(*CLEANED_COLS)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay, and the frame reads them
+    return cleaned
 
 
-def parquet_zone_view(spark, sf_dir):
-    """Cleaned zone -> glob scan -> ``SELECT DISTINCT *`` view -> first 100
-    rows in order.  The top 100 is computed without shuffling every distinct
-    row (see ``distinct_top_k``); it equals ``SELECT * FROM view ORDER BY
-    <all> LIMIT 100``."""
-    root = work_dir(spark, "zone_view")
+def _cleaned_view(spark, sf_dir, tag: str) -> str:
+    """The saved view over the cleaned zone: ``SELECT DISTINCT *`` of a glob."""
+    root = work_dir(spark, tag)
     sinks.write_parquet(_cleaned(spark, sf_dir), f"{root}/cleaned")
-    glob = f"parquet.`{root}/cleaned/*.parquet`"
     view = f"vw_cleaned_trips_{root.rsplit('-', 1)[-1]}"
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT DISTINCT * FROM {glob}")
-    return sorts.distinct_top_k(spark.sql(f"SELECT * FROM {glob}"), 100)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS "
+              f"SELECT DISTINCT * FROM parquet.`{root}/cleaned/*.parquet`")
+    return view
+
+
+def parquet_zone_view(spark, sf_dir):
+    """Cleaned zone -> glob scan -> ``SELECT DISTINCT *`` view -> first 100
+    rows of the view in order."""
+    view = spark.table(_cleaned_view(spark, sf_dir, "zone_view"))
+    return view.orderBy(*sorts.full_order(view)).limit(100)
+
+
+def cleaned_filtered_distinct(spark, sf_dir):
+    """The cleaned step's null and value filters, read through the view."""
+    return filtered_distinct(spark.table(_cleaned_view(spark, sf_dir, "filtered"))).select(*CLEANED_COLS)
 
 
 def land_raw_if_absent(spark, sf_dir):
@@ -91,9 +118,7 @@ def land_raw_if_absent(spark, sf_dir):
 def table_sinks(spark, sf_dir):
     """Declared-schema table writes: overwrite (truncate) twice, then append
     two disjoint parts; the table holds every fact row exactly once."""
-    st = S.start(spark, sf_dir, "tables")
-    S.add_dims(st)
-    S.add_fact(st)
+    st = S.add_fact(S.add_dims(S.start(spark, sf_dir, "tables")))
     db = f"starlane_{st.root.rsplit('-', 1)[-1]}"
     sinks.ensure_database(spark, db, f"{st.root}/warehouse")
     decl = sinks.declared_schema(",".join(
@@ -105,9 +130,99 @@ def table_sinks(spark, sf_dir):
                       "append", decl)
     sinks.write_table(st.fact.where(F.col("date_id").isNotNull()), f"{db}.fact_append",
                       "append", decl)
-    a = spark.table(tbl).withColumn("_t", F.lit("overwrite"))
-    b = spark.table(f"{db}.fact_append").withColumn("_t", F.lit("append"))
-    return a.unionByName(b).select("_t", *FACT_COLS).withColumnRenamed("_t", "table_mode")
+    a = spark.table(tbl).withColumn("table_mode", F.lit("overwrite"))
+    b = spark.table(f"{db}.fact_append").withColumn("table_mode", F.lit("append"))
+    out = sinks.materialise(a.unionByName(b).select("table_mode", *FACT_COLS), f"{st.root}/result")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+# What the export queries return of each of the seven tables: a number and a text.
+EXPORTED = {
+    "dim_date": ("date_id", "day_of_week"), "dim_customer": ("customer_sk", "customer_id"),
+    "dim_vehicle": ("vehicle_sk", "vehicle_type"), "dim_location": ("location_sk", "location_name"),
+    "dim_payment": ("payment_sk", "payment_method"), "dim_reason": ("reason_sk", "reason_text"),
+    "fact_booking": ("date_id", "booking_id"),
+}
+
+
+def _exported(tables: dict[str, DataFrame], **extra) -> DataFrame:
+    out = None
+    for name, df in tables.items():
+        key, label = EXPORTED[name]
+        part = df.select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("k"),
+                         F.col(label).cast("string").alias("v"),
+                         *[F.lit(v).alias(n) for n, v in extra.items()])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _whole_star(spark, sf_dir, name) -> S.Star:
+    return S.add_fact(S.add_dim_date(S.add_dims(S.start(spark, sf_dir, name))))
+
+
+def star_tables(spark, sf_dir):
+    """All seven tables with their declared schemas: overwritten twice, then
+    the dimensions and the fact appended to a second set of tables."""
+    st = _whole_star(spark, sf_dir, "star_tables")
+    db = f"starlane_{st.root.rsplit('-', 1)[-1]}"
+    sinks.ensure_database(spark, db, f"{st.root}/warehouse")
+    out = None
+    for mode, times in (("overwrite", 2), ("append", 1)):
+        tables = {}
+        for name, schema in STAR_SCHEMAS.items():
+            for _ in range(times):
+                sinks.write_table(S.star_table(st, name), f"{db}.{mode}_{name}", mode, schema)
+            tables[name] = spark.table(f"{db}.{mode}_{name}")
+        part = _exported(tables, table_mode=mode)
+        out = part if out is None else out.unionByName(part)
+    out = sinks.materialise(out, f"{st.root}/result")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+def star_csv_export(spark, sf_dir):
+    """All seven tables as headered CSV (an empty one is skipped), the date
+    dimension in ``date_id`` order; read back by name, with the row counts
+    that the writes observed."""
+    st = _whole_star(spark, sf_dir, "star_csv")
+    out = None
+    for name, schema in STAR_SCHEMAS.items():
+        df, path = S.star_table(st, name), f"{st.root}/csv/{name}"
+        if name == "dim_date":
+            df = df.orderBy("date_id")
+        rows = sinks.write_csv(df, path, columns=schema.fieldNames(), skip_empty=True)
+        if rows:
+            back = sinks.read_csv_by_name(spark, _files(spark, path), schema.fieldNames(), schema.fieldNames())
+            part = _exported({name: sinks.enforce_schema(back, schema)}, rows_written=rows)
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def cleaned_csv(spark, sf_dir):
+    """The cleaned rows as CSV in the fixed column order, read back."""
+    path = work_dir(spark, "cleaned_csv") + "/cleaned"
+    sinks.write_csv(_cleaned(spark, sf_dir), path, columns=CLEANED_COLS)
+    return sinks.read_csv(spark, path, schema=CLEANED_SCHEMA)
+
+
+def single_file_exports(spark, sf_dir):
+    """A small dimension as one headerless CSV file and as one Parquet file,
+    and as CSV text lines parsed again."""
+    st = S.add_dims(S.start(spark, sf_dir, "single", S.source_columns(["dim_vehicle"]), zone=False), ["dim_vehicle"])
+    dim, schema = S.star_table(st, "dim_vehicle"), STAR_SCHEMAS["dim_vehicle"]
+    sinks.write_csv(dim, f"{st.root}/csv", header=False, single_file=True)
+    sinks.write_parquet(dim, f"{st.root}/parquet", single_file=True)
+    lines = sinks.csv_line(dim, schema.fieldNames()).withColumnRenamed("line", "value")
+    forms = {"csv": sinks.read_csv(spark, f"{st.root}/csv", schema=schema, header=False),
+             "parquet": spark.read.parquet(f"{st.root}/parquet"),
+             "lines": sinks.parse_lines(lines, schema)}
+    files = {n: len(_files(spark, f"{st.root}/{n}", f".{n}")) for n in ("csv", "parquet")}
+    out = None
+    for form, df in forms.items():
+        part = df.select(F.lit(form).alias("form"), F.lit(files.get(form, 0)).alias("files"), *schema.fieldNames())
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ---- column functions -------------------------------------------------------
@@ -117,6 +232,29 @@ def parse_timestamp_date_id(spark, sf_dir):
                                           "booking_date", "date_id")
 
 
+def parse_timestamp_formats(spark, sf_dir):
+    """Order dates written in five formats by turns, parsed by a format list."""
+    shapes = ["yyyy-M-d", "yyyy/M/d", "dd-MM-yyyy", "d/M/yyyy", "yyyyMMdd", "MMM d yyyy"]
+    orders = table(spark, sf_dir, "orders").withColumn("n", F.pmod("o_orderkey", F.lit(len(shapes))))
+    text = F.coalesce(*[F.when(F.col("n") == i, F.date_format("o_orderdate", f)) for i, f in enumerate(shapes)])
+    time = F.concat_ws(":", F.pmod("o_orderkey", F.lit(25)).cast("string"), F.lit("5"), F.lit("07"))
+    rows = orders.select("o_orderkey", text.alias("date"), time.alias("time"))
+    formats = ["yyyy-M-d", "yyyy/M/d", "d-M-yyyy", "d/M/yyyy", "yyyyMMdd"]
+    return rows.select("o_orderkey", "date", "time", parse_formats("date", "time", formats).alias("ts"),
+                       parse_formats("date", None, formats).alias("day"))
+
+
+def date_only_feed(spark, sf_dir):
+    """A feed without time column, with an alias beside the logical reason
+    column and ids as padded text: midnight, falsy coalesce, guarded int."""
+    raw = _raw(spark, sf_dir)
+    feed = raw.drop("Time").withColumnsRenamed({"Driver Cancellation Reason": "Reason for cancelling"})
+    out = clean_bookings(feed).select("booking_id", "booking_timestamp", "date_id",
+                                      "reason_for_cancelling_by_customer", "driver_cancellation_reason")
+    number = F.concat(F.lit("\t"), F.substring_index("booking_id", "-", 1), F.lit(" "))
+    return out.withColumn("order_number", safe_int(number))
+
+
 def title_trim_status(spark, sf_dir):
     return _cleaned(spark, sf_dir).select("booking_id", "booking_status", "vehicle_type",
                                           "pickup_location", "drop_location")
@@ -137,17 +275,27 @@ def safe_measures(spark, sf_dir):
 
 # ---- dimensions ---------------------------------------------------------------
 
+def _dims_of(spark, sf_dir, names: list[str]) -> S.Star:
+    """Dimensions alone: one consumer, so the cleaned rows are not written."""
+    return S.add_dims(S.start(spark, sf_dir, "dims", S.source_columns(names), zone=False), names)
+
+
 def _dim_query(name: str) -> Query:
     def q(spark, sf_dir):
-        st = S.add_dims(S.start(spark, sf_dir, name), [name])
-        return st.dims[name].df
+        return S.star_table(_dims_of(spark, sf_dir, [name]), name)
     q.__name__ = name
     return q
 
 
 def dim_date(spark, sf_dir):
-    st = S.start(spark, sf_dir, "dim_date")
-    return build_dim_date(st.cleaned)
+    st = S.start(spark, sf_dir, "dim_date", ["booking_date", "date_id"], zone=False)
+    return build_dim_date(st.cleaned).orderBy("date_id")
+
+
+def dim_reason_source(spark, sf_dir):
+    """Reasons with the columns they come from beside the type by wording."""
+    st = S.add_dims(S.start(spark, sf_dir, "reasons", S.source_columns(["dim_reason"])), ["dim_reason"])
+    return reason_sources(st.cleaned, st.dims["dim_reason"]).select("reason_sk", "reason_text", "type", "source_type")
 
 
 def distinct_pairs(spark, sf_dir):
@@ -156,45 +304,47 @@ def distinct_pairs(spark, sf_dir):
 
 # ---- lookups and the fact -------------------------------------------------------
 
+def _looked_up(spark, sf_dir, dim: str, keep: list[str]) -> DataFrame:
+    """Every lookup of one dimension; its members and the lookups read the
+    same written columns."""
+    columns = sorted({"booking_id", *S.source_columns([dim])})
+    st = S.add_dims(S.start(spark, sf_dir, "lookup", columns), [dim])
+    return apply_lookups(st.cleaned, st.dims, [x for x in LOOKUPS if x[0] == dim]).select(*keep)
+
+
 def lookup_single(spark, sf_dir):
-    st = S.add_dims(S.start(spark, sf_dir, "lookup1"), ["dim_customer"])
-    return lookup(st.cleaned, st.dims["dim_customer"], "customer_id", "customer_sk") \
-        .select("booking_id", "customer_id", "customer_sk")
+    return _looked_up(spark, sf_dir, "dim_customer", ["booking_id", "customer_id", "customer_sk"])
 
 
 def lookup_role_playing(spark, sf_dir):
-    st = S.add_dims(S.start(spark, sf_dir, "lookup2"), ["dim_location"])
-    d = st.dims["dim_location"]
-    out = lookup(st.cleaned, d, "pickup_location", "pickup_location_sk")
-    out = lookup(out, d, "drop_location", "drop_location_sk")
-    return out.select("booking_id", "pickup_location", "drop_location",
-                      "pickup_location_sk", "drop_location_sk")
+    return _looked_up(spark, sf_dir, "dim_location", ["booking_id", "pickup_location", "drop_location",
+                                                      "pickup_location_sk", "drop_location_sk"])
 
 
 def lookup_sparse_reason(spark, sf_dir):
-    st = S.add_dims(S.start(spark, sf_dir, "lookup3"), ["dim_reason"])
-    d = st.dims["dim_reason"]
-    out = lookup(st.cleaned, d, "reason_for_cancelling_by_customer", "customer_cancel_reason_sk")
-    out = lookup(out, d, "driver_cancellation_reason", "driver_cancel_reason_sk")
-    out = lookup(out, d, "incomplete_rides_reason", "incomplete_reason_sk")
-    return out.select("booking_id", "customer_cancel_reason_sk", "driver_cancel_reason_sk",
-                      "incomplete_reason_sk")
+    return _looked_up(spark, sf_dir, "dim_reason", ["booking_id", "customer_cancel_reason_sk",
+                                                    "driver_cancel_reason_sk", "incomplete_reason_sk"])
 
 
 def fact_booking(spark, sf_dir):
-    st = S.start(spark, sf_dir, "fact")
-    S.add_dims(st)
+    """The fact as a lazy frame over the zones its consumers would share."""
+    st = S.add_dims(S.start(spark, sf_dir, "fact", [c for c in CLEANED_COLS if c not in
+                                                    ("date", "time", "booking_timestamp", "booking_date")]))
     return S.add_fact(st).fact
 
 
 # ---- KPIs and quality ------------------------------------------------------------
 
 def _kpi(fn) -> Query:
+    """A KPI over the dimensions and fact columns it declares; the fact has
+    one consumer and is not written."""
     def q(spark, sf_dir):
-        st = S.start(spark, sf_dir, fn.__name__)
-        S.add_dims(st, ["dim_customer", "dim_vehicle", "dim_location", "dim_payment",
-                        "dim_reason"])
-        S.add_fact(st)
+        dims = kpi.KPI_DIMS[fn.__name__]
+        measures = kpi.KPI_COLUMNS[fn.__name__]
+        columns = sorted({*S.source_columns(dims), *measures})
+        st = S.add_dims(S.start(spark, sf_dir, fn.__name__, columns), dims)
+        keys = [fk for d, c, fk in LOOKUPS if d in dims]
+        S.add_fact(st, [*keys, *measures], zone=False)
         return fn(st.fact, st.dims)
     q.__name__ = fn.__name__
     return q
@@ -204,52 +354,74 @@ def dq_report(spark, sf_dir):
     """All data-quality checks; the raw-text checks are observed while the
     cleaned zone is written, so the raw feed is read once."""
     st = S.add_fact(S.add_dims(S.start(spark, sf_dir, "dq", observe_raw=True)))
-    return quality.dq_report(st.cleaned, st.fact, st.dims, raw_checks=st.raw_checks)
+    return quality.dq_report(st.cleaned, st.fact, st.dims, st.raw, st.raw_checks)
+
+
+def dq_report_broken_feed(spark, sf_dir):
+    """The same checks on a feed that lacks two columns, with a dimension in
+    which some members occur twice: the counts must show both."""
+    feed = _raw(spark, sf_dir).drop("Ride Distance", "Customer Rating")
+    st = S.add_fact(S.add_dims(S.start(spark, sf_dir, "dq_broken", observe_raw=True, raw=feed)))
+    d = st.dims["dim_vehicle"]
+    again = d.df.where(F.col("vehicle_sk") % 10 == 0)
+    st.dims["dim_vehicle"] = Dimension(d.name, d.df.unionByName(again), d.nk, d.sk, d.rows, d.key_bytes, unique=False)
+    names = ["missing_columns", "wrong_column_types", "duplicate_dim_vehicle_vehicle_type",
+             "duplicate_dim_vehicle_vehicle_sk", "duplicate_dim_customer_customer_sk", "null_booking_id"]
+    report = quality.dq_report(st.cleaned, st.fact.limit(0), {"dim_vehicle": st.dims["dim_vehicle"],
+                                                              "dim_customer": st.dims["dim_customer"]},
+                               st.raw, st.raw_checks)
+    return report.where(F.col("check_name").isin(names))
 
 
 def daily_anomalies(spark, sf_dir):
-    st = S.add_fact(S.add_dims(S.start(spark, sf_dir, "anomalies")))
-    return quality.daily_anomalies(st.fact)
+    """Needs two columns of the cleaned rows and no lookup."""
+    return quality.daily_anomalies(S.start(spark, sf_dir, "anomalies", ["date_id", "booking_value"], zone=False).cleaned)
 
 
 # ---- CDC, incremental, streaming ------------------------------------------------
 
 def cdc_latest_per_key(spark, sf_dir):
-    st = S.start(spark, sf_dir, "cdc")
-    return cdc.latest_per_key(st.cleaned, "booking_id", ["booking_timestamp"])
+    return cdc.latest_per_key(_cleaned(spark, sf_dir).select(*CLEANED_COLS), "booking_id", ["booking_timestamp"])
 
 
-def _year_batches(cleaned: DataFrame) -> list:
-    """Arrival batches: one per booking year (a bounded, calendar-sized list),
-    rows without a date last."""
-    years = [r[0] for r in cleaned.select(F.year("booking_date").alias("y")).distinct()
-             .orderBy(F.col("y").asc_nulls_last()).collect()]
-    return years
+def _change_sets(spark, sf_dir, name: str, columns: list[str]) -> tuple[str, list]:
+    """The cleaned rows as arrival batches, written once, partitioned by
+    booking year (rows without a date come last); (folder, batch numbers)."""
+    root = work_dir(spark, name)
+    rows = _cleaned(spark, sf_dir).withColumn("batch", F.coalesce(F.year("booking_date"), F.lit(99999)))
+    sinks.materialise(rows.select(*columns, "batch"), f"{root}/changes", partition_by=["batch"])
+    # a calendar-sized list, from the partitions alone
+    batches = spark.read.parquet(f"{root}/changes").select("batch").distinct().orderBy("batch").collect()
+    return root, [r["batch"] for r in batches]
 
 
-def _in_batch(y):
-    return F.year("booking_date").isNull() if y is None else F.year("booking_date") == y
+def _change_set(spark, root: str, batch: int) -> DataFrame:
+    return spark.read.parquet(f"{root}/changes").where(F.col("batch") == batch).drop("batch")
 
 
 def cdc_upsert_zone(spark, sf_dir):
-    """Apply the cleaned rows as yearly change sets to a date-partitioned
-    zone with last-write-wins upserts; the end state is the latest row per key."""
-    st = S.start(spark, sf_dir, "cdc_upsert")
-    target = f"{st.root}/bookings_by_date"
-    for y in _year_batches(st.cleaned):
-        cdc.upsert_latest(target, st.cleaned.where(_in_batch(y)), "booking_id",
-                          ["booking_timestamp"], "date_id")
+    """Apply the cleaned rows as yearly change sets, each one twice, to a
+    month-partitioned zone with last-write-wins upserts; the end state is the
+    latest row per key, and rows without key once for each time they came."""
+    root, batches = _change_sets(spark, sf_dir, "cdc_upsert", CLEANED_COLS)
+    target = f"{root}/bookings_by_month"
+    for batch in batches:
+        changes = _change_set(spark, root, batch).withColumns({
+            # the feed has no row without id, so some lose it here
+            "booking_id": F.when(~F.col("booking_id").endswith("0-4"), F.col("booking_id")),
+            "month": (F.col("date_id") / 100).cast("int")})
+        for _ in range(2):
+            cdc.upsert_latest(target, changes, "booking_id", ["booking_timestamp"], "month")
     return spark.read.parquet(target).select(*CLEANED_COLS)
 
 
 def incremental_dim_customer(spark, sf_dir):
     """Customer dimension grown batch by batch (yearly); keys continue from
     the stored maximum and a replayed batch adds nothing."""
-    st = S.start(spark, sf_dir, "incr_dim")
-    dims = incremental.IncrementalDims(f"{st.root}/dims", ["dim_customer"])
-    for y in _year_batches(st.cleaned):
-        dims.update(st.cleaned.where(_in_batch(y)))
-    dims.update(st.cleaned.where(_in_batch(None)))  # replay of the last batch: no-op
+    root, batches = _change_sets(spark, sf_dir, "incr_dim", ["customer_id"])
+    dims = incremental.IncrementalDims(f"{root}/dims", ["dim_customer"])
+    for batch in [*batches, batches[-1]]:  # the last one is replayed: no-op
+        dims.update(_change_set(spark, root, batch), batch)
     return dims.dimensions(spark)["dim_customer"].df
 
 
@@ -259,58 +431,72 @@ def stream_fact_equals_batch(spark, sf_dir):
     of surrogate keys, it must equal the batch build's content."""
     root = work_dir(spark, "stream")
     landing = f"{root}/landing"
+    sinks.write_csv(_raw(spark, sf_dir), landing)  # the writer's own files are the arrivals
+    n = len(_files(spark, landing))
+    incremental.stream_star(spark, landing, f"{root}/star", files_per_batch=max(1, -(-n // 4)))
+    return incremental.fact_with_natural_keys(spark, f"{root}/star").select(*STREAM_COLS)
+
+
+def stream_by_header_name(spark, sf_dir):
+    """Files with the 21 columns in reverse order and files with the 18-column
+    feed (its own order, one alias, odd spacing in the headers) give the same
+    streamed fact."""
+    root = work_dir(spark, "stream_names")
+    landing = f"{root}/landing"
     raw = _raw(spark, sf_dir)
-    # four arrival files, split by a range of the booking id text
-    sinks.write_csv(raw.repartitionByRange(4, F.col("Booking ID")), landing)
-    incremental.stream_star(spark, landing, f"{root}/star", files_per_batch=1)
+    is_returned = F.col("Booking ID").contains("-1")
+    narrow = {n: h for n, h in zip(RAW_NAMES, RAW_HEADERS) if n in SOURCE_COLS}
+    titles = {"reason_for_cancelling_by_customer": "Reason for  cancelling!", "booking_id": " BOOKING_ID "}
+    short = raw.select(*[F.col(f"`{narrow[n]}`").alias(titles.get(n, n)) for n in SOURCE_COLS])
+    sinks.write_csv(raw.where(is_returned).select(*[f"`{h}`" for h in reversed(RAW_HEADERS)]), f"{landing}/wide")
+    sinks.write_csv(short.where(~F.col("` BOOKING_ID `").contains("-1")), f"{landing}/narrow")
+    n = len(_files(spark, f"{landing}/wide")) + len(_files(spark, f"{landing}/narrow"))
+    incremental.stream_star(spark, f"{landing}/*", f"{root}/star", files_per_batch=max(1, -(-n // 2)))
     return incremental.fact_with_natural_keys(spark, f"{root}/star").select(*STREAM_COLS)
 
 
-STREAM_COLS = ["booking_id", "date_id", "customer_id", "vehicle_type", "pickup_location",
-               "drop_location", "payment_method", "reason_for_cancelling_by_customer",
-               "driver_cancellation_reason", "incomplete_rides_reason", "booking_status",
-               "avg_vtat", "avg_ctat", "booking_value", "ride_distance", "driver_ratings",
-               "customer_rating"]
+# the streamed fact: every foreign key replaced by the column it was looked up from
+STREAM_COLS = [{fk: c for _, c, fk in LOOKUPS}.get(c, c) for c in FACT_COLS]
 
 
 # ---- governance and layout -------------------------------------------------------
 
-def masked_customers(spark, sf_dir):
-    st = S.add_dims(S.start(spark, sf_dir, "mask"), ["dim_customer"])
-    salt = spark.conf.get("starlane.pii.salt", "")
-    return st.dims["dim_customer"].df.select(
-        "customer_sk",
-        F.sha2(F.concat(F.lit(salt), F.col("customer_id")), 256).alias("customer_hash"),
-        F.mask("customer_id", F.lit("X"), F.lit("x"), F.lit("n"), F.lit(None))
-        .alias("customer_masked"))
+def masked_customers(spark, sf_dir, salt: str | None = None):
+    st = _dims_of(spark, sf_dir, ["dim_customer"])
+    # the driver's tables hold no personal data; a real run sets its own secret
+    salt = salt or spark.conf.get("starlane.pii.salt", None) or "driver-tables"
+    return mask_ids(st.dims["dim_customer"].df, "customer_id", salt).select(
+        "customer_sk", F.col("customer_id_hash").alias("customer_hash"),
+        F.col("customer_id_masked").alias("customer_masked"))
 
 
 def compacted_zone(spark, sf_dir):
     """Re-lay the cleaned zone as ``year=/month=`` partitions with a bounded
     number of files (LAY-1), then read it back."""
-    st = S.start(spark, sf_dir, "compact")
-    out = f"{st.root}/cleaned_by_month"
-    S.compact(st.cleaned, out, ["year", "month"])
+    out = f"{work_dir(spark, 'compact')}/cleaned_by_month"
+    S.compact(_cleaned(spark, sf_dir), out, ["year", "month"])
     return spark.read.parquet(out).select(*CLEANED_COLS, "year", "month")
 
 
 def external_tables_star(spark, sf_dir):
-    """Dimension and fact zones exposed as external Parquet tables, queried
-    with SQL (a star join)."""
-    st = S.add_fact(S.add_dims(S.start(spark, sf_dir, "ext_tables")))
+    """Published dimension and fact folders exposed as external Parquet
+    tables, queried with SQL (a star join)."""
+    dims = ["dim_vehicle", "dim_payment"]
+    st = S.start(spark, sf_dir, "ext_tables", ["vehicle_type", "payment_method", "booking_value"])
+    st = S.add_fact(S.publish_dims(S.add_dims(st, dims)), ["vehicle_sk", "payment_sk", "booking_value"])
     tag = st.root.rsplit("-", 1)[-1]
-    for name, path in [("fact_booking", f"{st.root}/fact/fact_booking"),
-                       ("dim_vehicle", S.dim_path(st, "dim_vehicle")),
-                       ("dim_payment", S.dim_path(st, "dim_payment"))]:
-        spark.sql(f"DROP TABLE IF EXISTS ext_{name}_{tag}")
-        spark.sql(f"CREATE TABLE ext_{name}_{tag} USING parquet LOCATION '{path}'")
-    return spark.sql(f"""
-        SELECT v.value AS vehicle_type, p.value AS payment_method, count(*) AS rides,
-               CAST(sum(CAST(f.booking_value AS DECIMAL(18,2))) AS DOUBLE) AS booking_value
+    for name in ["fact_booking", *dims]:
+        spark.sql(f"CREATE TABLE ext_{name}_{tag} USING parquet LOCATION '{S.table_path(st, name)}'")
+    out = spark.sql(f"""
+        SELECT v.vehicle_type, p.payment_method, count(*) AS rides,
+               CAST(sum(try_cast(f.booking_value AS DECIMAL(18,2))) AS DOUBLE) AS booking_value
         FROM ext_fact_booking_{tag} f
-        LEFT JOIN ext_dim_vehicle_{tag} v ON f.vehicle_sk = v.sk
-        LEFT JOIN ext_dim_payment_{tag} p ON f.payment_sk = p.sk
-        GROUP BY v.value, p.value""")
+        LEFT JOIN ext_dim_vehicle_{tag} v ON f.vehicle_sk = v.vehicle_sk
+        LEFT JOIN ext_dim_payment_{tag} p ON f.payment_sk = p.payment_sk
+        GROUP BY v.vehicle_type, p.payment_method""")
+    for name in ["fact_booking", *dims]:  # external: the files stay, and the frame reads them
+        spark.sql(f"DROP TABLE ext_{name}_{tag}")
+    return out
 
 
 QUERIES: dict[str, Query] = {
@@ -318,8 +504,15 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip_scan": csv_roundtrip_scan,
     "csv_external_autodetect": csv_external_autodetect,
     "parquet_zone_view": parquet_zone_view,
+    "cleaned_filtered_distinct": cleaned_filtered_distinct,
     "land_raw_if_absent": land_raw_if_absent,
     "table_sinks": table_sinks,
+    "star_tables": star_tables,
+    "star_csv_export": star_csv_export,
+    "cleaned_csv": cleaned_csv,
+    "single_file_exports": single_file_exports,
+    "parse_timestamp_formats": parse_timestamp_formats,
+    "date_only_feed": date_only_feed,
     "parse_timestamp_date_id": parse_timestamp_date_id,
     "title_trim_status": title_trim_status,
     "map_payment": map_payment,
@@ -331,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "dim_location": _dim_query("dim_location"),
     "dim_payment": _dim_query("dim_payment"),
     "dim_reason": _dim_query("dim_reason"),
+    "dim_reason_source": dim_reason_source,
     "distinct_pairs": distinct_pairs,
     "lookup_single": lookup_single,
     "lookup_role_playing": lookup_role_playing,
@@ -340,11 +534,13 @@ QUERIES: dict[str, Query] = {
     "kpi_cancellation_rate": _kpi(kpi.kpi_cancellation_rate),
     "kpi_averages_fare_per_km": _kpi(kpi.kpi_averages_fare_per_km),
     "dq_report": dq_report,
+    "dq_report_broken_feed": dq_report_broken_feed,
     "daily_anomalies": daily_anomalies,
     "cdc_latest_per_key": cdc_latest_per_key,
     "cdc_upsert_zone": cdc_upsert_zone,
     "incremental_dim_customer": incremental_dim_customer,
     "stream_fact_equals_batch": stream_fact_equals_batch,
+    "stream_by_header_name": stream_by_header_name,
     "masked_customers": masked_customers,
     "compacted_zone": compacted_zone,
     "external_tables_star": external_tables_star,

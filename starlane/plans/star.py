@@ -1,9 +1,8 @@
 """The batch star build: raw -> cleaned zone -> dimension zone -> fact zone.
 
-Each zone is written once as Parquet under the run's folder and re-read by
-its consumers, so the cleaning projection runs once even though six
-dimensions and eight lookups read it (otherwise every consumer would
-recompute it from the raw scan).
+A zone with several consumers is written once as Parquet under the run's
+folder, with the columns they read and no others; rows with one consumer are
+not written at all.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 from starlane.operators.cleaning import clean_bookings
 from starlane.operators.dimensions import (
     DIM_SPECS,
-    DIMENSION_BUILDERS,
     Dimension,
     build_dim_date,
     dimension_from_store,
@@ -25,96 +23,120 @@ from starlane.operators.dimensions import (
 )
 from starlane.operators.fact import build_fact
 from starlane.operators.quality import raw_check_metrics
+from starlane.schema import CLEANED_COLS, FACT_COLS, STAR_SCHEMAS
 from starlane.session import apply_engine_conf, path_exists, work_dir
-from starlane.sinks.files import materialise, write_parquet
+from starlane.sinks.files import enforce_schema, materialise, write_parquet
 from starlane.sources.bookings import raw_bookings
 
+
 @dataclass
 class Star:
     root: str
     cleaned: DataFrame
+    raw: DataFrame | None = None
     dims: dict[str, Dimension] = field(default_factory=dict)
     dim_date: DataFrame | None = None
     fact: DataFrame | None = None
     raw_checks: dict[str, int] = field(default_factory=dict)
 
 
-def cleaned_zone(spark: SparkSession, raw: DataFrame, root: str,
+def cleaned_zone(raw: DataFrame, root: str, columns: list[str] = CLEANED_COLS,
                  raw_checks: dict | None = None) -> DataFrame:
     """Clean and write the cleaned zone.  When ``raw_checks`` is a dict, the
     raw-text quality counts are observed *during the same write* (no second
     pass over the raw feed) and stored in it."""
     if raw_checks is None:
-        return materialise(clean_bookings(raw), f"{root}/cleaned")
+        return materialise(clean_bookings(raw).select(*columns), f"{root}/cleaned")
     obs = Observation("raw_checks")
     observed = raw.observe(obs, *raw_check_metrics(raw))
-    zone = materialise(clean_bookings(observed), f"{root}/cleaned")
+    zone = materialise(clean_bookings(observed).select(*columns), f"{root}/cleaned")
     raw_checks.update({k: int(v) for k, v in obs.get.items()})
     return zone
 
 
-def start(spark: SparkSession, sf_dir: str, name: str = "star",
-          observe_raw: bool = False) -> Star:
-    """Clean the raw feed of ``sf_dir`` into a fresh run folder."""
+def start(spark: SparkSession, sf_dir: str, name: str = "star", columns: list[str] = CLEANED_COLS,
+          zone: bool = True, observe_raw: bool = False, raw: DataFrame | None = None) -> Star:
+    """Clean the raw feed of ``sf_dir`` (or ``raw``) in a fresh run folder.
+
+    Only ``columns`` are computed and written.  ``zone=False`` writes nothing:
+    for a single consumer that reads the rows once."""
     apply_engine_conf(spark)
     root = work_dir(spark, name)
+    raw = raw_bookings(spark, sf_dir) if raw is None else raw
     checks: dict | None = {} if observe_raw else None
-    cleaned = cleaned_zone(spark, raw_bookings(spark, sf_dir), root, checks)
-    return Star(root, cleaned, raw_checks=checks or {})
+    cleaned = cleaned_zone(raw, root, columns, checks) if zone else clean_bookings(raw).select(*columns)
+    return Star(root, cleaned, raw, raw_checks=checks or {})
 
 
-def add_dims(star: Star, names=tuple(DIM_SPECS)) -> Star:
-    """Build dimensions from the cleaned zone into the dim zone.
+def source_columns(names) -> list[str]:
+    """Cleaned columns that the members of these dimensions come from."""
+    return sorted({c for n in names for c in DIM_SPECS[n][0]})
 
-    Several dimensions are built in ONE pass: one scan of the cleaned rows,
-    one distinct over ``(dim, value)``, one range shuffle and one key
-    assignment; the result is written once as ``dim/dim=<name>/``.
-    A single dimension uses its own builder.
+
+def add_dims(star: Star, names=tuple(DIM_SPECS)) -> Star:
+    """Number the members of the dimensions in ONE pass: one scan of the
+    cleaned rows, one distinct over ``(dim, value)``, one range shuffle and
+    one key assignment.  The result is the member store ``members/dim=<name>``
+    with columns ``sk, value, type, freq``, whatever the number of dimensions.
     """
     names = list(names)
-    if len(names) == 1:
-        d = DIMENSION_BUILDERS[names[0]](star.cleaned)
-        d.df = materialise(d.df, f"{star.root}/dim/{names[0]}")
-        star.dims[names[0]] = d
-        return star
     keyed = key_members(dimension_members(star.cleaned, names, with_freq=True))
-    store = materialise(keyed.df, f"{star.root}/dim", partition_by=["dim"])
+    store = materialise(keyed.df, f"{star.root}/members", partition_by=["dim"])
     for n in names:
-        star.dims[n] = dimension_from_store(store, n, keyed.group_rows.get(n, 0))
+        star.dims[n] = dimension_from_store(store, n, keyed.group_rows.get(n, 0), keyed.group_bytes.get(n, 0))
     return star
 
 
-def dim_path(star: Star, name: str) -> str:
-    """Folder holding one dimension's files (``sk, value, type`` columns)."""
-    return f"{star.root}/dim/dim={name}"
+def add_dim_date(star: Star) -> Star:
+    star.dim_date = build_dim_date(star.cleaned)
+    return star
 
 
-def add_dim_date(star: Star) -> Star:
-    star.dim_date = materialise(build_dim_date(star.cleaned), f"{star.root}/dim/dim_date")
+def add_fact(star: Star, columns: list[str] = FACT_COLS, zone: bool = True) -> Star:
+    fact = build_fact(star.cleaned, star.dims, columns)
+    star.fact = materialise(fact, table_path(star, "fact_booking")) if zone else fact
     return star
 
 
-def add_fact(star: Star) -> Star:
-    star.fact = materialise(build_fact(star.cleaned, star.dims),
-                            f"{star.root}/fact/fact_booking")
+def table_path(star: Star, name: str) -> str:
+    """Folder of a published star table."""
+    return f"{star.root}/{'fact' if name.startswith('fact') else 'dim'}/{name}"
+
+
+def star_table(star: Star, name: str) -> DataFrame:
+    """One of the seven tables, with its declared columns and types."""
+    df = {"dim_date": star.dim_date, "fact_booking": star.fact}.get(name)
+    if df is None:
+        df = star.dims[name].df
+    return enforce_schema(df, STAR_SCHEMAS[name])
+
+
+def publish_dims(star: Star) -> Star:
+    """Write every dimension to ``dim/<name>`` with its declared columns."""
+    for name in [*star.dims, *(["dim_date"] if star.dim_date is not None else [])]:
+        df = materialise(star_table(star, name), table_path(star, name))
+        if name == "dim_date":
+            star.dim_date = df
+        else:
+            star.dims[name].df = df
     return star
 
 
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
     """Full rebuild: every zone is overwritten (keys re-made from scratch)."""
     star = start(spark, sf_dir)
-    add_dims(star)
-    add_dim_date(star)
-    return add_fact(star)
+    return add_fact(publish_dims(add_dim_date(add_dims(star))))
 
 
 def land_if_absent(df: DataFrame, target: str, force: bool = False) -> bool:
-    """Write ``df`` to ``target`` unless it already exists (SRC-8/SNK-10).
+    """Write ``df`` to ``target`` unless it is already there (SRC-8/SNK-10).
 
-    The existence test goes through the Hadoop FileSystem API, so it works on
-    any shared store.  Returns whether a write happened.
+    "There" means committed: a folder without the writer's marker was never
+    written whole and is landed again.  The test goes through the Hadoop
+    FileSystem API, so it works on any shared store.  Returns whether a write
+    happened.
     """
-    if not force and path_exists(df.sparkSession, target):
+    if not force and path_exists(df.sparkSession, f"{target}/_SUCCESS"):
         return False
     write_parquet(df, target, "overwrite")
     return True

@@ -26,9 +26,7 @@ REASON_TYPE_RULES = [("incomplete", "incomplete"), ("driver", "driver_cancellati
 REASON_TYPE_DEFAULT = "customer_cancellation"
 # Accepted alternative names per logical column (by normalised header).
 COLUMN_ALIASES = {"reason_for_cancelling_by_customer": ["reason_for_cancelling"]}
-# --- end of fixed values ----------------------------------------------------
-
-# Cleaned zone: the 18 logical source columns plus the two derived ones.
+# Logical columns of the cleaned zone, by normalised header.
 SOURCE_COLS = [
     "date", "time", "booking_id", "booking_status", "customer_id",
     "vehicle_type", "pickup_location", "drop_location", "avg_vtat", "avg_ctat",
@@ -40,6 +38,24 @@ MEASURE_COLS = ["avg_vtat", "avg_ctat", "booking_value", "ride_distance",
                 "driver_ratings", "customer_rating"]
 REASON_COLS = ["reason_for_cancelling_by_customer", "driver_cancellation_reason",
                "incomplete_rides_reason"]
+# Columns of the published star tables.
+STAR_COLUMNS = {
+    "dim_date": "date_id int, date date, year int, month int, quarter int, day_of_week string",
+    "dim_customer": "customer_sk bigint, customer_id string",
+    "dim_vehicle": "vehicle_sk bigint, vehicle_type string",
+    "dim_location": "location_sk bigint, location_name string",
+    "dim_payment": "payment_sk bigint, payment_method string",
+    "dim_reason": "reason_sk bigint, reason_text string, type string",
+    "fact_booking": (
+        "booking_id string, date_id int, customer_sk bigint, vehicle_sk bigint, "
+        "pickup_location_sk bigint, drop_location_sk bigint, payment_sk bigint, "
+        "customer_cancel_reason_sk bigint, driver_cancel_reason_sk bigint, "
+        "incomplete_reason_sk bigint, booking_status string, avg_vtat double, "
+        "avg_ctat double, booking_value double, ride_distance double, "
+        "driver_ratings double, customer_rating double"),
+}
+# --- end of fixed values ----------------------------------------------------
+
 CLEANED_COLS = SOURCE_COLS + ["booking_timestamp", "booking_date", "date_id"]
 
 
@@ -67,20 +83,7 @@ CLEANED_SCHEMA = _struct(
     "incomplete_rides_reason string, booking_timestamp timestamp_ntz, "
     "booking_date date, date_id int")
 
-STAR_SCHEMAS = {
-    "dim_date": _struct("date_id int, date date, year int, month int, quarter int, "
-                        "day_of_week string"),
-    "dim_customer": _struct("customer_sk bigint, customer_id string"),
-    "dim_vehicle": _struct("vehicle_sk bigint, vehicle_type string"),
-    "dim_location": _struct("location_sk bigint, location_name string"),
-    "dim_payment": _struct("payment_sk bigint, payment_method string"),
-    "dim_reason": _struct("reason_sk bigint, reason_text string, type string"),
-    "fact_booking": _struct(
-        "booking_id string, date_id int, customer_sk bigint, vehicle_sk bigint, "
-        "pickup_location_sk bigint, drop_location_sk bigint, payment_sk bigint, "
-        "customer_cancel_reason_sk bigint, driver_cancel_reason_sk bigint, "
-        "incomplete_reason_sk bigint, booking_status string, avg_vtat double, "
-        "avg_ctat double, booking_value double, ride_distance double, "
-        "driver_ratings double, customer_rating double"),
-}
+STAR_SCHEMAS = {name: _struct(spec) for name, spec in STAR_COLUMNS.items()}
 FACT_COLS = STAR_SCHEMAS["fact_booking"].fieldNames()
+# Columns a feed must carry (after header normalisation and aliases).
+REQUIRED_COLS = ["date", "booking_id", "customer_id"]

@@ -9,7 +9,6 @@ a machine-local temp directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,15 +74,20 @@ _CREATED: list[str] = []  # run folders made by work_dir in this process
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, uniquely named folder under the shared root for one run."""
+    """The name of a fresh folder under the shared root for one run."""
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/starlane-work/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    _CREATED.append(path)
+    _CREATED.append(path)  # writers create it, on whatever store it is
     return path
 
 
+def release_work_dir(spark: SparkSession, path: str) -> bool:
+    """Delete one run's folder once its results have been consumed."""
+    if path in _CREATED:
+        _CREATED.remove(path)
+    return delete_path(spark, path)
+
+
 def release_work_dirs(spark: SparkSession) -> int:
     """Delete every run folder this process created so far.
 

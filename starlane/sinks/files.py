@@ -9,9 +9,10 @@ from a second job.
 
 from __future__ import annotations
 
+import csv
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +25,8 @@ CSV_WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "nullValue": "",           # NULL is an empty field (never the text 'None')
 }
-CSV_READ_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
+# a lone carriage return is part of a value, never the end of a row
+CSV_READ_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "lineSep": "\n"}
 
 
 def _maybe_single(df: DataFrame, single_file: bool) -> DataFrame:
@@ -55,30 +57,72 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     return rows
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
              header: bool = True, multi_line: bool = False,
              corrupt_column: str | None = None) -> DataFrame:
     """RFC-style CSV scan (SRC-1..3).
 
-    With a ``schema`` no inference pass runs; without one the schema is
+    With a ``schema`` no inference pass runs, and a file whose header has other
+    names, or the same in another order, stops the job (Spark would map the
+    columns by position; ``read_csv_by_name`` maps them); without one it is
     inferred (one extra pass - avoid on large inputs).  ``corrupt_column``
     keeps ragged rows (short rows padded with NULL, long rows cut) and flags
     them in that column.  ``multi_line`` accepts quoted newlines but makes
     each file one split, so it is opt-in.
     """
-    r = spark.read.options(**CSV_READ_OPTIONS).option("header", str(header).lower()) \
-        .option("multiLine", str(multi_line).lower())
+    r = spark.read.options(**CSV_READ_OPTIONS).option("header", str(header).lower())
+    if multi_line:
+        r = r.option("multiLine", "true")
     if schema is not None:
         if corrupt_column:
             st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
             schema = st.add(corrupt_column, T.StringType())
             r = r.option("columnNameOfCorruptRecord", corrupt_column)
-        r = r.schema(schema)
+        r = r.schema(schema).option("enforceSchema", "false")
     else:
         r = r.option("inferSchema", "true")
     return r.csv(path)
 
 
+def file_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of one CSV file: its first line, through the Hadoop API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+
+
+def read_csv_by_name(spark: SparkSession, files: list[str], columns: list[str], required: list[str],
+                     logical=None) -> DataFrame:
+    """Text columns of CSV files, mapped by header name whatever their order.
+
+    ``logical`` maps a frame with a file's own headers to logical names;
+    files of equal headers are read together.  A missing column is NULL, a
+    missing ``required`` one raises.  One small driver read per file."""
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        groups.setdefault(tuple(file_header(spark, f)), []).append(f)
+    parts = []
+    for header, members in groups.items():
+        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
+        df = read_csv(spark, members, schema=schema)
+        df = logical(df) if logical else df
+        missing = [c for c in required if c not in df.columns]
+        if missing:
+            raise ValueError(f"{members[0]}: required columns missing: {missing}")
+        parts.append(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                                 for c in columns]))
+    out = parts[0] if parts else spark.createDataFrame(
+        [], T.StructType([T.StructField(c, T.StringType(), True) for c in columns]))
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType | str, column: str = "value",
                 header_line: str | None = None) -> DataFrame:
     """Split already-read text lines into typed columns with ``from_csv``
@@ -96,12 +140,22 @@ def parse_lines(lines: DataFrame, schema: T.StructType | str, column: str = "val
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None, single_file: bool = False) -> None:
-    """Parquet write (SNK-4/5, SNK-10, LAY-1)."""
+                  partition_by: list[str] | None = None, single_file: bool = False,
+                  count: bool = False) -> int | None:
+    """Parquet write (SNK-4/5, SNK-10, LAY-1); with ``count`` returns the row
+    count observed during the write (AGG-10)."""
+    if count:
+        obs = Observation("parquet_rows")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = _maybe_single(df, single_file).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if not count:
+        return None
+    rows = obs.get.get("rows")
+    log.info("Wrote %s rows to %s", rows, path)
+    return rows
 
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -118,7 +172,8 @@ def enforce_schema(df: DataFrame, schema: T.StructType | str, strict: bool = Tru
     """Select the declared columns in order and cast each to its type (SNK-8).
 
     Missing columns raise when ``strict`` (else become typed NULLs); casts are
-    ``try_cast`` so a bad value is NULL instead of a failed job.
+    ``try_cast`` so a bad value is NULL instead of a failed job
+    (``lost_values`` counts those).
     """
     st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     missing = [f.name for f in st.fields if f.name not in df.columns]
@@ -133,6 +188,17 @@ def enforce_schema(df: DataFrame, schema: T.StructType | str, strict: bool = Tru
     return df.select(*cols)
 
 
+def lost_values(df: DataFrame, schema: T.StructType | str) -> Column:
+    """Aggregate: values that ``enforce_schema`` would turn into NULL."""
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    lost = F.lit(0).cast("bigint")
+    for f in st.fields:
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
+            c = F.col(f.name)
+            lost = lost + F.count(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), 1))
+    return lost.alias("lost_values")
+
+
 def declared_schema(spec: str) -> T.StructType:
     """Parse a ``"name:TYPE,name:TYPE"`` declaration into a StructType."""
     fields = []
@@ -149,11 +215,15 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def write_table(df: DataFrame, table: str, mode: str = "overwrite",
-                schema: T.StructType | str | None = None) -> None:
+                schema: T.StructType | str | None = None) -> dict[str, int]:
     """Managed-table write, create if needed; ``overwrite`` truncates (SNK-6),
     ``append`` adds (SNK-7).  A declared schema is enforced first, and an
-    append into an existing table must match its schema exactly."""
+    append into an existing table must match its schema exactly.  Returns
+    ``rows`` and ``lost_values``, observed during the write."""
     spark = df.sparkSession
+    obs = Observation("table_rows")
+    lost = lost_values(df, schema) if schema is not None else F.lit(0).cast("bigint").alias("lost_values")
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"), lost)
     if schema is not None:
         df = enforce_schema(df, schema)
     if mode == "append" and spark.catalog.tableExists(table):
@@ -161,6 +231,9 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite",
         if [(f.name, f.dataType) for f in existing] != [(f.name, f.dataType) for f in df.schema]:
             raise ValueError(f"schema of {table} differs from the appended frame")
     df.write.mode(mode).format("parquet").saveAsTable(table)
+    counts = {k: int(v) for k, v in obs.get.items()}
+    log.info("Wrote %s to %s", counts, table)
+    return counts
 
 
 def csv_line(df: DataFrame, columns: list[str], sep: str = ",") -> DataFrame:

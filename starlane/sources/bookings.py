@@ -3,7 +3,8 @@
 The source feed of the bookings ETL is a 21-column CSV of text.  It is not
 available, so this module derives one with the same header and the same kind
 of mess (quoted ids, padded and mixed-case text, unpadded and impossible
-dates, text in numeric fields, empty strings, sparse reasons) from
+dates, text and huge values in numeric fields, tabs, carriage returns and
+no-break spaces, empty strings, sparse reasons) from
 ``lineitem`` joined to ``orders``, ``customer``, ``part``, ``supplier`` and
 ``nation``.  Every lineitem row becomes one booking; nothing is filtered.
 
@@ -47,8 +48,8 @@ RAW_EXPRS: dict[str, str] = {
         "ELSE 'cancelled by DRIVER' END"),
     "Customer ID": "CASE WHEN l.l_linenumber = 3 THEN '\"' || c.c_name || '\"' ELSE c.c_name END",
     "Vehicle Type": "CASE WHEN l.l_linenumber % 2 = 0 THEN ' ' || p.p_type || ' ' ELSE p.p_type END",
-    "Pickup Location": "cn.n_name",
-    "Drop Location": "CASE WHEN l.l_linenumber = 6 THEN '' ELSE sn.n_name END",
+    "Pickup Location": "CASE WHEN l.l_linenumber = 2 THEN chr(9) || cn.n_name || chr(160) ELSE cn.n_name END",
+    "Drop Location": "CASE WHEN l.l_linenumber = 6 THEN '' WHEN l.l_linenumber = 7 THEN chr(9) ELSE sn.n_name END",
     "Avg VTAT": (
         "CASE WHEN l.l_linenumber = 5 THEN 'null' WHEN l.l_linenumber = 6 THEN '' "
         f"ELSE {_DEC.format('l.l_discount')} END"),
@@ -62,12 +63,15 @@ RAW_EXPRS: dict[str, str] = {
     "Driver Cancellation Reason": f"CASE WHEN {_DRV_R} THEN 'Driver: ' || o.o_orderpriority END",
     "Incomplete Rides": f"CASE WHEN {_INC_R} THEN '1' ELSE '0' END",
     "Incomplete Rides Reason": f"CASE WHEN {_INC_R} THEN 'Incomplete: ' || o.o_orderpriority END",
-    "Booking Value": _DEC.format("l.l_extendedprice"),
+    "Booking Value": (
+        "CASE WHEN l.l_linenumber = 7 AND l.l_partkey % 5 = 0 THEN '1e20' "
+        "WHEN l.l_linenumber = 7 AND l.l_partkey % 5 = 1 THEN 'Infinity' "
+        f"ELSE {_DEC.format('l.l_extendedprice')} END"),
     "Ride Distance": _DEC.format("l.l_quantity"),
     "Driver Ratings": "CAST(1 + p.p_size % 5 AS STRING)",
     "Customer Rating": "CAST(1 + l.l_linenumber % 5 AS STRING)",
     "Payment Method": (
-        "CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Upi' WHEN '2-HIGH' THEN ' Cash' "
+        "CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Upi' || chr(9) WHEN '2-HIGH' THEN chr(160) || 'Cash' || chr(13) "
         "WHEN '3-MEDIUM' THEN 'Credit Card ' WHEN '4-NOT SPECIFIED' THEN 'Debit Card' "
         "ELSE 'Wallet' END"),
 }
@@ -94,20 +98,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def balance_splits(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A large file with a single row group is one input split, so everything
-    downstream of it (broadcast joins and row cleaning, which add no
-    shuffle) would run in one task.  Only then is the scan round-robin
-    repartitioned; a scan of many files or row groups is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def raw_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed as a Spark DataFrame: 21 string columns, original headers.
 
@@ -116,7 +106,7 @@ def raw_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension tables, sort-merge for ``lineitem`` x ``orders`` at scale).
     """
     t = lambda n: table(spark, sf_dir, n)
-    l = balance_splits(t("lineitem")).alias("l")
+    l = t("lineitem").alias("l")  # splits come from spark.sql.files.maxPartitionBytes
     o = t("orders").alias("o")
     c = t("customer").alias("c")
     p = t("part").alias("p")

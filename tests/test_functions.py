@@ -10,13 +10,13 @@ from starlane.functions.text import (
     clean_text,
     map_payment,
     normalise_header,
-    normalise_header_strict,
     normalise_headers,
     reason_type,
+    strip,
     strip_quotes,
     title_case,
 )
-from starlane.functions.time import calendar_columns, date_id_of, parse_booking_ts
+from starlane.functions.time import calendar_columns, date_id_of, parse_booking_ts, parse_formats
 
 
 def one_col(spark, values, expr, dtype="string"):
@@ -27,14 +27,14 @@ def one_col(spark, values, expr, dtype="string"):
 def test_header_rules():
     assert normalise_header(" Avg  VTAT! ") == "avg_vtat"
     assert normalise_header("Reason for cancelling by Customer") == "reason_for_cancelling_by_customer"
-    assert normalise_header_strict(" Avg  VTAT! ") == "avg__vtat"
+    assert normalise_header("\u00a0Booking\tID (new)_2 ") == "booking_id_new_2"
     with pytest.raises(ValueError, match="collision"):
         normalise_headers(["Booking ID", "booking id!"])
 
 
 def test_title_case_matches_word_rule(spark):
     got = one_col(spark, [" CANCELLED by driver ", "no-show o'neil", "3rd ride", "", None],
-                  lambda c: title_case(F.trim(c)))
+                  lambda c: title_case(strip(c)))
     assert got == ["Cancelled By Driver", "No-Show O'Neil", "3Rd Ride", "", None]
 
 
@@ -53,8 +53,9 @@ def test_clean_text_blank_to_null(spark):
 
 
 def test_safe_double(spark):
-    got = one_col(spark, ["null", "", "  ", "NaN", " 1.5 ", "1e3", "abc", None], safe_double)
-    assert got == [None, None, None, None, 1.5, 1000.0, None, None]
+    got = one_col(spark, ["null", "", "  ", "NaN", " 1.5 ", "1e3", "abc", None, "Infinity", "-inf", "\t7\u00a0", "1e20"],
+                  safe_double)
+    assert got == [None, None, None, None, 1.5, 1000.0, None, None, None, None, 7.0, 1e20]
 
 
 def test_parse_timestamp_lenient_and_null_on_failure(spark):
@@ -101,3 +102,32 @@ def test_parse_is_time_zone_independent(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == dt.datetime(2024, 3, 10, 2, 30)
+
+
+def test_strip_takes_all_white_space(spark):
+    assert one_col(spark, ["\tCash\r", "\u00a0a b\u2003", "\t", "\x1f\u3000x\x0b", None], strip) == \
+        ["Cash", "a b", "", "x", None]
+    assert one_col(spark, ["Upi\t", "\r\u00a0Cash"], map_payment) == ["UPI", "Cash"]
+    assert one_col(spark, ["\t", "\u00a0"], clean_text) == [None, None]
+
+
+def test_money_that_does_not_fit_is_null(spark):
+    from starlane.functions.numeric import money
+
+    got = one_col(spark, [1.239, 1e20, None], money, "double")
+    assert [None if v is None else str(v) for v in got] == ["1.24", None, None]
+
+
+def test_parse_format_list(spark):
+    rows = [("2024-3-3", "1:2:3"), ("3/4/2024", "1:2:3"), ("20240305", "1:2:3"), ("31/4/2024", "1:2:3"),
+            ("4/31/2024", "1:2:3"), ("Mar 3 2024", "1:2:3"), ("2024-3", "1:2:3")]
+    df = spark.createDataFrame(rows, "d string, t string")
+    got = [r[0] for r in df.select(parse_formats("d", "t", ["yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "yyyyMMdd"])).collect()]
+    at = lambda m, d: dt.datetime(2024, m, d, 1, 2, 3)
+    assert got == [at(3, 3), at(4, 3), at(3, 5), None, None, None, None]
+
+
+def test_the_timestamp_parse_splits_nothing(spark):
+    df = spark.createDataFrame([("2024-3-3", "1:2:3")], "d string, t string")
+    plan = df.select(parse_booking_ts("d", "t").alias("ts")).where("ts is not null")._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("split(") == 0

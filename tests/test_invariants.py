@@ -45,10 +45,10 @@ def test_orphan_checks_agree_on_both_paths(spark, star):
     from starlane.operators.quality import orphan_row
 
     small = orphan_row(star.fact, star.dims).first().asDict()
-    spark.conf.set("starlane.lookup.broadcastMaxRows", "0")
+    spark.conf.set("starlane.lookup.broadcastMaxBytes", "0")
     try:
         large = orphan_row(star.fact, star.dims).first().asDict()
     finally:
-        spark.conf.unset("starlane.lookup.broadcastMaxRows")
+        spark.conf.unset("starlane.lookup.broadcastMaxBytes")
     assert large == small
     assert all(v == 0 for k, v in small.items() if k.startswith("orphan_"))

@@ -27,7 +27,7 @@ def test_lookup_shuffle_path_with_hot_and_null_keys(spark, skewed):
     dim = as_dimension(spark.createDataFrame(
         [(1, "hot")] + [(i + 2, f"k{i}") for i in range(50)], "sk bigint, nk string"), "nk", "sk")
     fast = lookup(skewed, dim, "v", "v_sk")
-    slow = lookup(skewed, dim, "v", "v_sk", max_rows=0)
+    slow = lookup(skewed, dim, "v", "v_sk", max_bytes=0)
     plan = slow._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
     assert slow.count() == 3000
@@ -40,7 +40,7 @@ def test_null_salt_spreads_null_keys_over_reducers(spark, skewed):
     dim = as_dimension(spark.createDataFrame([(1, "hot")], "sk bigint, nk string"), "nk", "sk")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = lookup(skewed.where(F.col("v").isNull()), dim, "v", "v_sk", max_rows=0)
+        out = lookup(skewed.where(F.col("v").isNull()), dim, "v", "v_sk", max_bytes=0)
         sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -73,7 +73,51 @@ def test_shared_folder_comes_from_the_session(spark):
     root = checkpoint_root(spark)
     assert root
     p = work_dir(spark, "t")
-    assert p.startswith(root.rstrip("/")) and os.path.isdir(p.replace("file:", ""))
+    assert p.startswith(root.rstrip("/")) and not os.path.exists(p.replace("file:", ""))  # writers make it
+
+
+def test_a_fact_of_the_key_alone_is_spread_too(spark, skewed):
+    """Equal rows (a projection to the key) must not share one salt."""
+    from starlane.operators.dimensions import build_dim
+
+    dim = build_dim(skewed, "d", ["v"], "nk", "sk")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for which in (F.col("v") == "hot", F.col("v").isNull()):
+            out = lookup(skewed.select("v").where(which), dim, "v", "v_sk", max_bytes=0)
+            sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert len(sizes) == 4 and max(r["count"] for r in sizes) < 500
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_decode_spreads_hot_and_null_keys(spark, skewed):
+    from starlane.operators.dimensions import build_dim
+    from starlane.operators.kpi import decode
+
+    dim = build_dim(skewed, "d", ["v"], "nk", "sk")
+    keyed = lookup(skewed, dim, "v", "v_sk").drop("v")
+    spark.conf.set("starlane.lookup.broadcastMaxBytes", "0")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = decode(keyed, dim, "v_sk", "v")
+        for which in (F.col("v") == "hot", F.col("v").isNull()):
+            sizes = out.where(which).groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 1000
+        rows = sorted(map(tuple, out.select("id", "v").collect()))
+    finally:
+        spark.conf.unset("starlane.lookup.broadcastMaxBytes")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert rows == sorted(map(tuple, skewed.collect()))
+
+
+def test_the_broadcast_limit_is_in_bytes(spark):
+    from starlane.operators.lookup import fits_broadcast
+
+    few_but_long = as_dimension(spark.createDataFrame([(1, "x" * 5000), (2, "y" * 5000)], "sk bigint, nk string"),
+                                "nk", "sk")
+    assert few_but_long.key_bytes == 10_000
+    assert fits_broadcast(spark, few_but_long, 20_000) and not fits_broadcast(spark, few_but_long, 9_000)
 
 
 def test_distinct_top_k_exact_with_and_without_crowded_head(spark):
@@ -96,7 +140,7 @@ def test_hot_member_is_salted_over_reducers(spark, skewed):
     assert dim.freq is not None
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = lookup(skewed, dim, "v", "v_sk", max_rows=0)
+        out = lookup(skewed, dim, "v", "v_sk", max_bytes=0)
         plan = out._jdf.queryExecution().executedPlan().toString()
         hot_sk = dim.df.where(F.col("nk") == "hot").first().sk
         spread = out.where(F.col("v") == "hot").groupBy(F.spark_partition_id()).count().collect()
@@ -116,6 +160,7 @@ def test_release_work_dirs(spark):
 
     release_work_dirs(spark)
     p = work_dir(spark, "tmp")
+    spark.range(3).write.parquet(p)
     assert os.path.isdir(p.replace("file:", ""))
     assert release_work_dirs(spark) == 1
     assert not os.path.exists(p.replace("file:", ""))

@@ -49,6 +49,23 @@ def test_ragged_rows_are_kept_and_flagged(spark, tmp_root):
     assert good == ("1", "2", "3", None)
 
 
+def test_a_schema_with_other_names_or_order_stops_the_scan(spark, tmp_root):
+    p = write_text(tmp_root, "o.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, p, schema="a string, b string").collect()
+
+
+def test_csv_by_name(spark, tmp_root):
+    from starlane.sinks.files import read_csv_by_name
+
+    one = write_text(tmp_root, "n1.csv", 'a,b\n1,"x\ty"\n')
+    two = write_text(tmp_root, "n2.csv", "c,b,a\n9,y\r,2\n")
+    got = read_csv_by_name(spark, [one, two], ["a", "b", "d"], ["a"])
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "x\ty", None), ("2", "y\r", None)]
+    with pytest.raises(ValueError, match="n1.csv.*'c'"):
+        read_csv_by_name(spark, [one, two], ["a"], ["c"])
+
+
 def test_inferred_scan(spark, tmp_root):
     p = write_text(tmp_root, "d.csv", "n,x\n1,2.5\n2,\n")
     df = read_csv(spark, p)
@@ -81,6 +98,9 @@ def test_enforce_schema(spark):
     out = enforce_schema(df, st)
     assert out.columns == ["a", "c", "b"]
     assert [tuple(r) for r in out.collect()] == [(1, 2.5, "x"), (None, None, "y")]
+    from starlane.sinks.files import lost_values
+
+    assert df.agg(lost_values(df, st)).first()[0] == 2  # 'bad' and the empty text
     with pytest.raises(ValueError, match="missing"):
         enforce_schema(df, declared_schema("a:INT, z:INT"))
 
@@ -101,7 +121,7 @@ def test_table_overwrite_and_append(spark, tmp_root):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
     t = f"{db}.t1"
     write_table(df, t, "overwrite", "k bigint, v string")
-    write_table(df, t, "overwrite", "k bigint, v string")
+    assert write_table(df, t, "overwrite", "k bigint, v string") == {"rows": 2, "lost_values": 0}
     assert spark.table(t).count() == 2
     write_table(df, t, "append")
     assert spark.table(t).count() == 4

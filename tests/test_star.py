@@ -155,7 +155,7 @@ def test_lookup_shuffle_path_equals_broadcast_path(spark):
     dim = as_dimension(spark.createDataFrame([(i + 1, f"k{i}") for i in range(5)],
                                              "sk bigint, nk string"), "nk", "sk")
     b = lookup(fact, dim, "v", "v_sk")
-    s = lookup(fact, dim, "v", "v_sk", max_rows=0)
+    s = lookup(fact, dim, "v", "v_sk", max_bytes=0)
     assert "BroadcastHashJoin" in b._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, b.collect())) == sorted(map(tuple, s.collect()))
     assert s.count() == 200
@@ -187,17 +187,28 @@ def test_cleaned_schema_is_the_declared_one(cleaned):
 
 
 def test_build_star_writes_every_zone(spark):
-    import os
-
-    from starlane.plans.star import build_star
+    from starlane.plans.star import build_star, table_path
+    from starlane.schema import STAR_SCHEMAS
     from tests.conftest import SF_SMALL
 
     st = build_star(spark, SF_SMALL)
     n = st.cleaned.count()
     assert n > 0 and st.fact.count() == n
-    assert st.dim_date.count() > 0
-    for z in ("cleaned", "dim", "fact/fact_booking", "dim/dim_date"):
-        assert os.path.isdir(os.path.join(st.root.replace("file:", ""), z)), z
+    for name, schema in STAR_SCHEMAS.items():  # one layout, declared columns, each readable by itself
+        back = spark.read.parquet(table_path(st, name))
+        assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in schema]
+        assert back.count() > 0
+    members = spark.read.parquet(f"{st.root}/members")
+    assert set(members.columns) == {"sk", "value", "type", "freq", "dim"}
+
+
+def test_one_dimension_has_the_same_layout(spark):
+    from starlane.plans import star as S
+    from tests.conftest import SF_SMALL
+
+    one = S.add_dims(S.start(spark, SF_SMALL, "one", ["vehicle_type"], zone=False), ["dim_vehicle"])
+    assert set(spark.read.parquet(f"{one.root}/members").columns) == {"sk", "value", "type", "freq", "dim"}
+    assert one.dims["dim_vehicle"].freq is not None and one.dims["dim_vehicle"].key_bytes > 0
 
 
 def test_head_is_ordered(spark):
@@ -207,11 +218,53 @@ def test_head_is_ordered(spark):
     assert [r.a for r in head(df, 2, [F.col("a")]).collect()] == [1, 2]
 
 
-def test_strict_header_rule_through_cleaning(spark):
-    from starlane.functions.text import normalise_header_strict
+def test_filtered_distinct(spark, cleaned):
+    from starlane.operators.cleaning import filtered_distinct
+
+    negative = cleaned.withColumn("booking_value", F.lit(-1.0))
+    rows = filtered_distinct(cleaned.union(cleaned).union(negative)).collect()
+    assert sorted(r.booking_id for r in rows) == ["B1", "B2"]
+
+
+def test_reason_sources(spark, cleaned):
+    from starlane.operators.dimensions import reason_sources
+
+    got = {r.reason_text: r.source_type for r in reason_sources(cleaned, build_dim_reason(cleaned)).collect()}
+    assert got == {"Changed mind": "customer", "Driver asked": "driver", "Incomplete: driver ill": "incomplete"}
+
+
+def test_masking_needs_a_salt(spark):
+    from starlane.operators.masking import mask_ids
+
+    df = spark.createDataFrame([("Ab1",)], "id string")
+    with pytest.raises(ValueError, match="salt"):
+        mask_ids(df, "id", "")
+    r = mask_ids(df, "id", "s").first()
+    assert r.id_masked == "Xxn" and len(r.id_hash) == 64
+
+
+def test_huge_fares_do_not_stop_a_kpi(spark):
+    from starlane.operators import kpi
+    from starlane.operators.quality import cleaned_counts, daily_anomalies
+
+    rows = [{**r, "Booking Value": "1e20"} for r in ROWS[:1]] + ROWS
+    wide = clean_bookings(raw_rows(spark, rows))
+    fact = build_fact(wide, {n: b(wide) for n, b in DIMENSION_BUILDERS.items()})
+    dims = {n: b(wide) for n, b in DIMENSION_BUILDERS.items()}
+    total = kpi.kpi_daily_rides_revenue(fact, dims).collect()
+    assert sum(r.rides for r in total) == 5
+    assert daily_anomalies(fact).first().revenue == 150.5
+    assert wide.agg(cleaned_counts(wide)["overflow_booking_value"]).first()[0] == 1
+
+
+def test_schema_checks_see_the_raw_headers(spark, cleaned):
+    from starlane.operators.quality import dimension_key_row, schema_checks
 
-    df = spark.createDataFrame([("2024-01-02", "x")], "` Date ` string, `Booking  ID` string")
-    out = clean_bookings(df, header_rule=normalise_header_strict)
-    # the strict rule keeps the double space as '__', so 'booking_id' is absent
-    r = out.first()
-    assert r.date == "2024-01-02" and r.booking_id is None
+    assert schema_checks(raw_rows(spark, ROWS), {"cleaned": cleaned}) == {"missing_columns": 0, "wrong_column_types": 0}
+    only = spark.createDataFrame([("2024-01-01",)], "`Date` string")
+    wrong = cleaned.withColumn("date_id", F.lit("x")).drop("time")
+    assert schema_checks(only, {"cleaned": wrong}) == {"missing_columns": 17, "wrong_column_types": 2}
+    d = build_dim_location(cleaned)
+    d.df = d.df.union(d.df.limit(1))
+    assert dimension_key_row({"dim_location": d}).first().asDict() == {
+        "duplicate_dim_location_location_name": 1, "duplicate_dim_location_location_sk": 1}
