@@ -84,36 +84,41 @@ def by_centrality(shared: DataFrame, path: str) -> DataFrame:
 
 
 def unresolved(members: DataFrame, labels: DataFrame | None, path: str) -> DataFrame:
-    """(bucket, node, order, label) of the buckets whose nodes are not all linked
-    yet; a node without link is its own label."""
+    """``members`` (bucket, node, ...) of the buckets whose nodes are not all
+    linked yet, with their ``label``; a node without link is its own."""
     if labels is None:
         marked = members.withColumn("label", F.col("node"))
     else:
         marked = members.join(if_small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     mixed = written(mixed.select("bucket"), path)
-    return marked.join(if_small(mixed), "bucket", "left_semi").select("bucket", "node", "order", "label")
+    return marked.join(if_small(mixed), "bucket", "left_semi").select(*members.columns, "label")
 
 
-def hub_pairs(members: DataFrame, hubs: int, path: str) -> tuple[DataFrame, DataFrame]:
+def hub_pairs(members: DataFrame, hubs: int, path: str, meets: str = "true") -> tuple[DataFrame, DataFrame]:
     """(hubs, pairs): the first ``hubs`` nodes of each bucket by ``order``, and
-    the pairs (a < b) of a hub with the bucket's nodes of other components."""
+    the pairs (a < b) of a hub with the bucket's nodes of other components.
+
+    ``meets`` is SQL over a node ``m`` and a hub ``h``: what a link of this
+    bucket must satisfy."""
+    rest = [c for c in members.columns if c not in ("bucket", "order", "node")]
     if hubs == 1:
-        first = members.groupBy("bucket").agg(F.min(F.struct("order", "node", "label")).alias("h")) \
-            .select("bucket", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label"))
+        first = members.groupBy("bucket").agg(F.min(F.struct("order", "node", *rest)).alias("h")) \
+            .select("bucket", "h.node", *[f"h.{c}" for c in rest])
     else:  # a group limit runs before the shuffle: only ``hubs`` rows per task and bucket move
         order = Window.partitionBy("bucket").orderBy("order", "node")
-        first = members.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs) \
-            .select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+        first = members.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs) \
+            .select("bucket", "node", *rest)
     first = written(first, path)
-    pairs = members.join(if_small(first), "bucket").where("label <> hub_label") \
-        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    pairs = members.alias("m").join(if_small(first).alias("h"), (F.col("m.bucket") == F.col("h.bucket"))
+                                    & (F.col("m.label") != F.col("h.label")) & F.expr(meets)) \
+        .select(F.least("m.node", "h.node").alias("a"), F.greatest("m.node", "h.node").alias("b")).distinct()
     return first, pairs
 
 
 def link_buckets(spark: SparkSession, members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                 path: str, known: DataFrame | None = None,
-                 labels: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+                 path: str, known: DataFrame | None = None, labels: DataFrame | None = None,
+                 meets: str = "true") -> tuple[DataFrame | None, DataFrame | None]:
     """(labels, links) after linking all nodes that share a bucket.
 
     ``members`` has (bucket, node, order); ``verify`` maps pairs (a, b) to those that are links; ``known`` links and
@@ -126,15 +131,14 @@ def link_buckets(spark: SparkSession, members: DataFrame, verify: Callable[[Data
     a whole group."""
     links, step, hubs = known, 0, 1 if known is None else 8
     while True:
-        members = written(unresolved(members.select("bucket", "node", "order"), labels, f"{path}/mixed-{step}"),
+        members = written(unresolved(members.drop("label"), labels, f"{path}/mixed-{step}"),
                           f"{path}/members-{step}")
         if members.isEmpty():
             return labels, links
-        first, pairs = hub_pairs(members, hubs, f"{path}/hubs-{step}")
+        first, pairs = hub_pairs(members, hubs, f"{path}/hubs-{step}", meets)
         found = written(verify(written(pairs, f"{path}/pairs-{step}")), f"{path}/links-{step}")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = written(components(links, f"{path}/components-{step}"), f"{path}/labels-{step}")
-        members = members.join(if_small(first.select("bucket", F.col("hub").alias("node"))),
-                               ["bucket", "node"], "left_anti")
+        members = members.join(if_small(first.select("bucket", "node")), ["bucket", "node"], "left_anti")
         step, hubs = step + 1, min(8 * hubs, 4096)

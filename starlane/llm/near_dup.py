@@ -145,15 +145,23 @@ class SetStore:
         return both.where(100 * common >= percent * union).select("a", "b")
 
 
+def _meets(percent: int) -> str:
+    """SQL: a node m and a hub h that share an element at 0-based positions
+    ``pos`` of their ordered sets of size ``n`` can still reach the overlap
+    that the similarity needs (at position 0: the sizes are close enough)."""
+    return f"(100 + {percent}) * least(m.n - m.pos, h.n - h.pos) >= {percent} * (m.n + h.n)"
+
+
 def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, order) of prefix-filter keys of ``sets`` (node,
+    """(bucket, node, order, n, pos) of prefix-filter keys of ``sets`` (node,
     shingles, order).
 
     In any fixed order of all shingles, two sets of similarity t share one of
-    the first ``n - ceil(t * n) + 1`` elements of each, so pairs that share no
-    key are no links: an exact filter.  Rare shingles come first (counted on a
-    part of the sets; the count only decides the order, not the result), so
-    copies with many edits of their own meet nobody."""
+    the first ``n - ceil(t * n) + 1`` elements of each, at positions that
+    leave room for the overlap (``_meets``); other pairs are no links.  The
+    filter is exact.  Rare shingles come first (counted on a part of the sets;
+    the count only decides the order, not the result), so copies with many
+    edits of their own meet nobody."""
     spark = sets.sparkSession
     counted = sets.where(F.pmod(F.xxhash64("node"), F.lit(8)) == 0).select(F.explode("shingles").alias("x")) \
         .groupBy("x").count().where("count > 1").orderBy(F.col("count").desc(), "x").limit(COMMON_SHINGLES)
@@ -166,21 +174,25 @@ def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
 
         known, counts = table.value
         for batch in one_by_one(batches):
-            nodes, orders, keys = [], [], []
-            for node, order, shingles in zip(*(c.to_pylist() for c in batch.columns)):
-                x = np.array(shingles, dtype=np.int64)
+            keys = []
+            nodes, orders, shingles = (c.to_pylist() for c in batch.columns)
+            for s in shingles:
+                x = np.array(s, dtype=np.int64)
                 times = np.zeros(len(x), dtype=np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, x), len(known) - 1)
                     times[known[at] == x] = counts[at[known[at] == x]]
-                size = len(x) - -(-percent * len(x) // 100) + 1
-                keys.append(x[np.lexsort((x, times))[:size]])
-                nodes += [node] * len(keys[-1])
-                orders += [order] * len(keys[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(nodes, type=pa.int64()),
-                                              pa.array(orders, type=pa.int64())], names=["bucket", "node", "order"])
+                keys.append(x[np.lexsort((x, times))[:len(x) - -(-percent * len(x) // 100) + 1]])
+            lengths = [len(k) for k in keys]
+            which = np.repeat(np.arange(len(keys)), lengths)
+            pos = np.concatenate([np.arange(n) for n in lengths])
+            sizes = np.array([len(s) for s in shingles])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys)), pa.array(np.array(nodes)[which]), pa.array(np.array(orders)[which]),
+                 pa.array(sizes[which]), pa.array(pos.astype(np.int32))], names=["bucket", "node", "order", "n", "pos"])
 
-    return sets.select("node", "order", "shingles").mapInArrow(run, "bucket bigint, node bigint, order bigint")
+    return sets.select("node", "order", "shingles").mapInArrow(
+        run, "bucket bigint, node bigint, order bigint, n bigint, pos int")
 
 
 def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = GROUPS,
@@ -208,36 +220,36 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = G
     profile = nodes.select("node", "n", "b")
     store = SetStore(docs, nodes, path)
 
-    def verify(pairs: DataFrame, meet_in_b: bool = False) -> DataFrame:
-        sized = profile.toDF("a", "n_a", "b_a").join(if_small(pairs), "a")
-        sized = written(sized, f"{path}/sized-{len(store.parts)}")
-        sized = profile.toDF("b", "n_b", "b_b").join(if_small(sized, 200_000), "b")
-        sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        if meet_in_b:  # equal A_i already; a table (i, j) is shared if some B_j is equal too
-            sized = sized.where(F.arrays_overlap("b_a", "b_b"))
-        pairs = written(sized.select("a", "b"), f"{path}/candidates-{len(store.parts)}")
-        return store.confirmed(pairs, percent)
-
-    # first round: one hub per A bucket
+    # first round: one hub per A bucket; equal A_i already, and a table (i, j)
+    # is shared if some B_j is equal too
     _, pairs = hub_pairs(in_a.withColumn("label", F.col("node")), 1, f"{path}/hubs")
-    links = written(verify(written(pairs, f"{path}/pairs"), meet_in_b=True), f"{path}/links-first")
+    pairs = written(pairs, f"{path}/pairs")
+    sized = written(profile.toDF("a", "n_a", "b_a").join(if_small(pairs), "a"), f"{path}/sized")
+    sized = profile.toDF("b", "n_b", "b_b").join(if_small(sized, 200_000), "b")
+    sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) \
+        .where(F.arrays_overlap("b_a", "b_b"))
+    links = written(store.confirmed(written(sized.select("a", "b"), f"{path}/candidates"), percent),
+                    f"{path}/links-first")
     labels = written(merge(links, f"{path}/first"), f"{path}/labels-first")
+
     # what is left: the tables (i, j) of the unresolved A buckets, if small
     left = written(unresolved(in_a, labels, f"{path}/mixed"), f"{path}/left")
     large = left.groupBy("bucket").count().where(F.col("count") > LARGE_BUCKET)
     large = if_small(written(large.select("bucket"), f"{path}/large"))
     small = written(left.join(large, "bucket", "left_anti").select("bucket", "node", "order"), f"{path}/small")
-    tables = profile.join(if_small(small), "node").select("node", "order", "bucket", F.explode("b").alias("b_key")) \
-        .select(F.xxhash64("bucket", "b_key").alias("bucket"), "node", "order")
-    tables = shared_buckets(tables, f"{path}/table-keys").select("bucket", "node", "order")
+    tables = profile.join(if_small(small), "node") \
+        .select("node", "order", "n", F.lit(0).alias("pos"), "bucket", F.explode("b").alias("b_key")) \
+        .withColumn("bucket", F.xxhash64("bucket", "b_key")).drop("b_key")
+    tables = shared_buckets(tables, f"{path}/table-keys").drop("size")
     # large ones: the prefix keys of their nodes
     crowd = written(left.join(large, "bucket", "left_semi").select("node", "order").distinct(), f"{path}/crowd")
     if not crowd.isEmpty():
         store.add(crowd.select("node"))
         keys = written(prefix_keys(store.sets().join(if_small(crowd), "node"), percent), f"{path}/prefixes")
-        tables = tables.union(shared_buckets(keys, f"{path}/prefix-keys").select("bucket", "node", "order"))
+        tables = tables.unionByName(shared_buckets(keys, f"{path}/prefix-keys").drop("size"))
     tables = written(tables, f"{path}/tables")
-    labels, _ = link_buckets(spark, tables, verify, f"{path}/rounds", links, labels)
+    labels, _ = link_buckets(spark, tables, lambda p: store.confirmed(p, percent), f"{path}/rounds", links, labels,
+                             meets=_meets(percent))
 
     # only linked nodes change their name
     linked = nodes.select("node", "f1", "f2", "first_id").join(if_small(labels), "node")

@@ -91,6 +91,22 @@ def test_op5_finds_chains_and_copies(spark):
     assert got == H.near_components(rows)
 
 
+def test_op5_group_of_copies_that_are_mostly_not_linked(spark):
+    """Copies with own edits: one large bucket, few links, by prefix keys."""
+    rng = random.Random(9)
+    words = H.prose(60, 150).split()
+    rows = []
+    for i in range(150):
+        own = list(words)
+        for k in range(rng.randint(0, 6)):
+            own[rng.randrange(150)] = f"own{i}x{k}"
+        rows.append((i, " ".join(own)))
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    expected = H.near_components(rows)
+    assert got == expected and 20 < len({c for _, c in expected.values()}) < 140
+
+
 def test_op5_edge_rows(spark):
     docs = H.edge_docs(spark)
     rows = near_dup.near_duplicates(docs).collect()
