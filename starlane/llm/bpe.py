@@ -19,6 +19,7 @@ Edge cases: null and empty texts have no tokens and decode to the empty text.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 
@@ -93,13 +94,32 @@ class WordBpe:
         parts = list(s)
         if parts[-1] == END_MARK:
             parts[-2:] = [parts[-2] + END_MARK]
-        while len(parts) > 1:
-            ranked = [(self.ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in self.ranks]
+        ranks = self.ranks
+        while 1 < len(parts) <= 16:
+            ranked = [(ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in ranks]
             if not ranked:
-                break
+                return [self.id_of[p] for p in parts]
             i = min(ranked)[1]
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.id_of[p] for p in parts]
+        # neighbours as a linked list, pairs in a heap: n log n for long words
+        n = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in ranks]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] is None or j >= n or ranks.get((parts[i], parts[j])) != rank:
+                continue  # the pair has been merged away
+            parts[i] += parts[j]
+            parts[j] = None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (r := ranks.get((parts[k], parts[after[k]]))) is not None:
+                    heapq.heappush(heap, (r, k))
+        return [self.id_of[p] for p in parts if p is not None]
 
     def check_pairs(self, codes: np.ndarray) -> np.ndarray:
         """Compatibility of pair codes (left id * width + right id)."""

@@ -107,30 +107,37 @@ def clean_edits(edits, length: int) -> list[tuple[int, int, str]]:
     return out
 
 
-def apply_edit(text: str, tree: SegmentTree, begin: int, end: int, replacement: str,
-               tokens: ByteTokens) -> tuple[str, SegmentTree, int]:
-    """(new text, tree, characters encoded again) after one edit."""
-    new = text[:begin] + replacement + text[end:]
-    shift = len(replacement) - (end - begin)
-    if not text:
-        tree = build([new], tokens)[0]
-        return new, tree, len(new)
+def apply_edit(old: str, final: str, tree: SegmentTree, begin: int, end: int, size: int, shift_before: int,
+               tokens: ByteTokens) -> tuple[SegmentTree, int]:
+    """(tree, characters encoded again) after one edit.
+
+    Edits are applied from the last to the first: left of ``begin`` stands the
+    ``old`` text still, right of it the ``final`` one, where positions are
+    larger by ``shift_before`` (what the edits before this one add)."""
+    shift = size - (end - begin)
+    total = tree.chars[1] + shift
+
+    def new(a: int, b: int) -> str:
+        return old[a:min(b, begin)] + final[max(a, begin) + shift_before:b + shift_before]
+
+    if not tree.chars[1]:
+        return build([new(0, total)], tokens)[0], total
     first, start = tree.find(max(begin - LOOK_AHEAD, 0))
     last, at = tree.find(max(end - 1, 0))
     stop = at + tree.chars[last + tree.width]
     while True:
         # cut what the leaves first..last now hold, with context after it
         goal = stop + shift
-        whole = stop >= len(text)
-        context = len(new) if whole else min(len(new), goal + 64)
-        piece = new[start:context]
-        pieces = Pieces([piece]).byte_level()
+        whole = goal >= total
+        context = total if whole else min(total, goal + 64)
+        pieces = Pieces([new(start, context)]).byte_level()
         if whole:
             n = len(pieces.starts)
+            stop, last = tree.chars[1], tree.width - 1
             break
         # a cut at the old leaf end that its two following characters confirm
         n = int(np.searchsorted(pieces.ends, goal - start, side="right"))
-        sure = context == len(new) or goal + LOOK_AHEAD <= context
+        sure = context == total or goal + LOOK_AHEAD <= context
         if stop >= end and sure and (pieces.ends[n - 1] if n else 0) == goal - start:
             break
         last += 1  # not a cut any more: take the next leaf in
@@ -150,16 +157,26 @@ def apply_edit(text: str, tree: SegmentTree, begin: int, end: int, replacement:
         chars, sums = _leaves(pieces, counts, 0, n)
         old_c, old_t = tree.chars[w:2 * w], tree.tokens[w:2 * w]
         tree = SegmentTree(old_c[:first] + chars + old_c[last + 1:], old_t[:first] + sums + old_t[last + 1:])
-    return new, tree, max(stop + shift - start, 0)
+    return tree, max(stop + shift - start, 0)
+
 
+def apply_edits(text: str, tree: SegmentTree, edits, tokens: ByteTokens) -> tuple[str, SegmentTree, int]:
+    """(new text, tree, characters encoded again) after all edits of a text.
 
-def apply_edits(text: str, tree: SegmentTree, edits, tokens: ByteTokens):
-    """All edits of a text, from its end to its start so that positions hold."""
+    The new text is joined once, and each edit looks at a few leaves of it."""
+    todo = clean_edits(edits, len(text))
+    parts, at, shifts, shift = [], 0, [], 0
+    for begin, end, replacement in todo:
+        parts += [text[at:begin], replacement]
+        at = end
+        shifts.append(shift)
+        shift += len(replacement) - (end - begin)
+    final = "".join([*parts, text[at:]])
     again = 0
-    for begin, end, replacement in reversed(clean_edits(edits, len(text))):
-        text, tree, n = apply_edit(text, tree, begin, end, replacement, tokens)
+    for (begin, end, replacement), before in zip(reversed(todo), reversed(shifts)):
+        tree, n = apply_edit(text, final, tree, begin, end, len(replacement), before, tokens)
         again += n
-    return text, tree, again
+    return final, tree, again
 
 
 def token_trees(docs: DataFrame, tokenizer: str, keep: list[str] | None = None) -> DataFrame:
@@ -202,7 +219,7 @@ def update_trees(state: DataFrame, tokenizer: str, edits: str = "edits", keep: l
 
 
 # Personal data that a corpus revision masks.
-MASKS = ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
+MASKS = ((r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
          (r"\b\d{1,3}(?:\.\d{1,3}){3}\b", "[IP]"),
          (r"\b\d[\d -]{6,}\d\b", "[NUMBER]"))
 

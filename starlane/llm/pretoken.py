@@ -122,7 +122,7 @@ class PieceCache:
 
     def lookup(self, pieces: Pieces) -> np.ndarray:
         """Slot of every piece, encoding the distinct new ones first."""
-        if len(self.slots) > self.limit:
+        if len(self.slots) > self.limit or self.used > 20 * self.limit:
             self.clear()
         distinct, first, back = np.unique(pieces.hashes, return_index=True, return_inverse=True)
         get = self.slots.get

@@ -42,6 +42,18 @@ def test_speculative_bpe_equals_the_library():
         assert d == own.decode(expected) == library.decode(expected, skip_special_tokens=False)
 
 
+def test_a_very_long_word_is_merged_in_reasonable_time():
+    import time
+
+    library, own = Tokenizer.from_file(WORD_BPE), bpe.WordBpe(WORD_BPE)
+    rng = random.Random(7)
+    word = "".join(rng.choices("etaoinshrdlu\u65e5\u672c", k=100_000))
+    began = time.process_time()
+    ids, _ = own.encode([word])
+    assert time.process_time() - began < 20
+    assert ids[0].tolist() == library.encode(word, add_special_tokens=False).ids
+
+
 def test_byte_tokens_equal_the_library_with_and_without_special_tokens():
     texts = noise(800, seed=8)
     for special in (True, False):
