@@ -37,13 +37,13 @@ STATS = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigin
 # are constant in clean text (no symbols, no repeats) stay invertible.
 FEATURES = {
     "log_words": ("ln(n_words + 1)", 0.30),
-    "word_length": ("word_chars / n_words", 0.10),
+    "word_length": ("word_chars / n_words", 0.15),
     "symbol_rate": ("ln(1 + 20D * n_symbols / n_words)", 0.25),
     "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.05),
     "repeat_rate": ("n_repeat_words / n_words", 0.05),
     "upper_rate": ("n_upper / word_chars", 0.02),
     "mark_rate": ("ln(1 + 20D * n_marks / n_words)", 0.25),
-    "digit_rate": ("n_digits / word_chars", 0.02),
+    "digit_rate": ("n_digits / word_chars", 0.04),
 }
 H_FRACTION = 0.5
 C_STEPS = 4
