@@ -107,13 +107,23 @@ def base_stats(text):
             n < 20 or 100 * repeat > 30 * n)
 
 
+def unspaced(c):
+    return any(lo <= c <= hi for lo, hi in ("\u0e00\u109f", "\u1780\u17ff", "\u3040\u30ff", "\u3400\u9fff", "\uf900\ufaff"))
+
+
 def line_shingles(line, chars=9):
-    norm = re.sub(r"\s+", " ", line.lower()).strip()
-    out = set()
+    norm = re.sub("[ \t\n\r\x0b\x0c]+", " ", line.lower()).strip(" ")
+    out, run = set(), 0
     for i, c in enumerate(norm):
-        run = norm[max(0, i - chars + 1):i]
-        if c != " " and (i == 0 or norm[i - 1] == " " or (len(run) == chars - 1 and " " not in run)):
+        if c == " ":
+            run = 0
+        elif unspaced(c):
             out.add(norm[i:i + chars])
+            run = 0
+        else:
+            if run % (chars - 1) == 0:
+                out.add(norm[i:i + chars])
+            run += 1
     return norm, frozenset(out)
 
 
