@@ -124,8 +124,9 @@ def mark_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS,
               block_windows: int = BLOCK_WINDOWS, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``n_words, n_hit, hit_items, hit_words, hit_bytes``.
 
-    ``hit_words``/``hit_bytes`` are merged spans of hit words, as word
-    positions and as byte offsets of the UTF-8 text.  ``keep`` names the
+    ``hit_words``/``hit_bytes`` are merged spans of hit words (adjacent ones
+    with what stands between them), as word positions and as byte offsets of
+    the UTF-8 text.  ``keep`` names the
     columns to return (all by default).
     """
     spark = docs.sparkSession

@@ -48,7 +48,8 @@ _U = np.uint64
 # -- minimal perfect hash ---------------------------------------------------
 
 def _probe(keys: np.ndarray, level: int, bits: int) -> np.ndarray:
-    return (mix(keys + _U(level + 1) * _U(0x9E3779B97F4A7C15)) % _U(bits)).astype(np.int64)
+    seed = _U((level + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return (mix(keys + seed) % _U(bits)).astype(np.int64)
 
 
 def fingerprints(keys: np.ndarray) -> np.ndarray:
