@@ -139,7 +139,9 @@ class SetStore:
         """The pairs (a, b) with 100 * intersection >= percent * union."""
         self.add(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         sets = self.sets()
-        both = sets.toDF("a", "set_a").join(if_small(pairs), "a").join(sets.toDF("b", "set_b"), "b")
+        # only the sets of these pairs are shuffled
+        others = sets.toDF("b", "set_b").join(if_small(pairs.select("b")), "b", "left_semi")
+        both = sets.toDF("a", "set_a").join(if_small(pairs), "a").join(others, "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
         return both.where(100 * common >= percent * union).select("a", "b")
