@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlane.llm.common import annotate, shared_dir, written
+from starlane.llm.components import if_small
 from starlane.llm.textscan import SPACED, Scan, mix, span_hashes
 
 MIN_WORDS = 20
@@ -193,14 +194,15 @@ def group_estimates(rows: DataFrame, names, floors, path: str, min_group: int) -
     mids = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"),
                                    *[F.percentile_approx(a, 0.5, 1000).alias(f"mid_{a}") for a in names])
     mids = written(mids.where(F.col("n") >= min_group), f"{path}/mids")
-    devs = rows.join(mids, "grp").groupBy("grp").agg(
+    devs = rows.join(if_small(mids), "grp").groupBy("grp").agg(
         *[F.first(f"mid_{a}").alias(f"mid_{a}") for a in names],
         *[F.percentile_approx(F.abs(F.col(a) - F.col(f"mid_{a}")), 0.5, 1000).alias(f"dev_{a}") for a in names])
     model = written(_fit(devs, names, floors, True), f"{path}/model-0")
     for step in range(C_STEPS):
-        measured = rows.join(model, "grp").withColumn("d2", _distance_column(names))
+        measured = rows.join(if_small(model), "grp").withColumn("d2", _distance_column(names))
         limits = measured.groupBy("grp").agg(F.percentile_approx("d2", H_FRACTION, 1000).alias("limit"))
-        half = measured.join(limits, "grp").where("d2 <= limit")
+        limits = written(limits, f"{path}/limits-{step}")
+        half = measured.join(if_small(limits), "grp").where("d2 <= limit")
         model = written(_fit(_moments(half, ["grp"], names), names, floors, False), f"{path}/model-{step + 1}")
     return model
 
