@@ -184,6 +184,34 @@ def test_op6_shingles_cover_every_character():
         assert covered >= {i for i, c in enumerate(norm) if c != " "}
 
 
+def test_op6_shingles_equal_brute_force(spark):
+    lines = ["a", "one two", "x" * 8, "x" * 9 + " y", "abcdefgh ijklmnopq rstuvwxyzabcdefghij k",
+             "日本語のテキストです。とても長い行 and words", "https://example.org/" + H.prose(70, 20).replace(" ", "/")]
+    df = spark.createDataFrame([(x,) for x in lines], "norm string").select("norm", line_dedup._shingles(9).alias("s"))
+    for r in df.collect():
+        norm, s = r.norm, []
+        for i, c in enumerate(norm):
+            run = norm[max(0, i - 8):i]
+            if c != " " and (i == 0 or norm[i - 1] == " " or (len(run) == 8 and " " not in run)):
+                s.append(norm[i:i + 9])
+        assert r.s == s
+
+
+def test_op6_inserted_and_deleted_character_in_a_long_token(spark):
+    """Runs without spaces: an edit must not shift what is compared after it."""
+    rng = random.Random(4)
+    token = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789/_-") for _ in range(200))
+    script = "".join(chr(rng.randrange(0xac00, 0xd7a0)) for _ in range(200))
+    rows, expected = [], set()
+    for k, t in enumerate((token, script)):
+        copies = [t, t[:20] + "s" + t[20:], t[:90] + "s" + t[90:], t[:50] + t[51:]]
+        rows += [(10 * k + i, f"see {c}") for i, c in enumerate(copies)]
+        expected |= {(10 * k + i, 0) for i in range(1, 4)}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, p) for r in line_dedup.line_decisions(docs).collect() for p in r.removed}
+    assert got == expected
+
+
 def test_op6_empty_table(spark):
     assert line_dedup.line_decisions(H.no_docs(spark)).count() == 0
     assert line_dedup.dedup_lines(H.no_docs(spark)).count() == 0
