@@ -212,6 +212,22 @@ def test_op6_inserted_and_deleted_character_in_a_long_token(spark):
     assert got == expected
 
 
+def test_op6_unicode_white_space(spark):
+    """Lines that differ in kinds of white space only are equal; a line of
+    nothing else is blank."""
+    line = H.prose(80, 12)
+    odd = ["\u00a0", "\u2009", "\u3000", "\u202f", "\u1680", "\u0085", "\u2028", "\t", " \u00a0 "]
+    rows = [(0, f"{line}\n ")]
+    rows += [(1 + i, f"{w}{line.replace(' ', w)}{w}\n{w}{w}") for i, w in enumerate(odd)]
+    rows += [(100, "Quelle surprise\u00a0! Oui\u00a0; non\u00a0?"), (101, "Quelle surprise ! Oui ; non ?"), (102, "\u00a0")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_lines, r.removed) for r in line_dedup.line_decisions(docs).collect()}
+    expected = {0: (1, []), 100: (1, []), 101: (1, [0]), 102: (0, [])}
+    assert got == expected | {1 + i: (1, [0]) for i in range(len(odd))}
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert kept == {d: t for d, t in rows if d in (0, 100, 102)}
+
+
 def test_op6_empty_table(spark):
     assert line_dedup.line_decisions(H.no_docs(spark)).count() == 0
     assert line_dedup.dedup_lines(H.no_docs(spark)).count() == 0
