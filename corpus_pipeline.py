@@ -23,10 +23,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays (op5)."""
+    """One document of each group of near duplicates (0.8 and more) stays (op5)."""
     from starlane.llm.near_dup import keep_first
 
-    return keep_first(docs)
+    return keep_first(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

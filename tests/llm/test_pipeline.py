@@ -45,3 +45,26 @@ def test_pipeline_of_empty_and_edge_tables(spark):
             assert ids == []
         else:  # copies go, awkward but clean rows stay
             assert {1, 4, 5, 6, 9, 10, 11} <= set(ids) and 2 not in ids and None in ids
+
+
+def test_near_dedup_stage_links_from_080(spark):
+    """Copies of 0.80 to 0.85 go too; those below 0.80 stay."""
+    rows, kept = [], set()
+    for k in range(12):
+        words = H.prose(300 + k, 300).split()
+        rows.append((10 * k, " ".join(words)))
+        kept.add(10 * k)
+        for i, edits in ((1, 6), (2, 9)):
+            copy = list(words)
+            for e in range(edits):
+                copy[15 + 30 * e] = f"own{k}x{i}x{e}"
+            rows.append((10 * k + i, " ".join(copy)))
+            a, b = H.shingles(rows[-1 - i][1]), H.shingles(rows[-1][1])
+            percent = 100 * len(a & b) / len(a | b)
+            assert 80 <= percent < 85 if i == 1 else percent < 80
+    components = H.near_components(rows, percent=80)
+    expected = {d for d, (_, c) in components.items() if c == d}
+    assert kept <= expected and not {10 * k + 1 for k in range(12)} & expected
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()}
+    assert got == expected
