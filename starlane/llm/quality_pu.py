@@ -10,10 +10,11 @@ where R+ and R_p- are the positives' mean losses as good and as bad, and R_u-
 the unlabelled texts' mean loss as bad.  The class prior is estimated too:
 where a classifier of positives against unlabelled is most sure, unlabelled
 texts are nearly all good, so their share there against the positives' share
-bounds the prior from above; the smallest such ratio is taken.
+bounds the prior from above; the smallest such ratio is taken.  The shares of
+the unlabelled are counted over all texts of the corpus.
 
-Both samples are bounded by parameters; scores are computed for every whole
-text.  Labels, language, source and id are never inputs.
+The samples that the networks are fitted on (positives and unlabelled texts)
+are bounded by parameters; scores are computed for every whole text.  Labels, language, source and id are never inputs.
 
 Edge cases: null and empty texts have zero statistics and get the score of
 such texts; without positives or unlabelled texts every score is the prior
@@ -121,11 +122,15 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, shares=None) -> float:
     """Share of good texts among the unlabelled, from a classifier that tells
     positives from unlabelled: the smallest ratio of the two shares above any
     threshold that keeps at least a third of the positives.
 
+    ``shares(network, cuts)`` gives the share of the unlabelled at or above
+    each of the ascending cuts; without it, the half of ``unlabelled`` that
+    the classifier has not seen is taken.
+
     A low estimate only scales the scores of good texts, while a high one
     would stop the bad ones from being learned, so no margin is added."""
 
@@ -137,13 +142,32 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
     half_p, half_u = len(positive) // 2, len(unlabelled) // 2
     net = _fit(positive[:half_p], unlabelled[:half_u], grads)
-    p, u = np.sort(net.output(positive[half_p:])), np.sort(net.output(unlabelled[half_u:]))
+    p = np.sort(net.output(positive[half_p:]))
     cuts = np.quantile(p, np.linspace(0.0, 0.67, 68))
     share_p = 1 - np.searchsorted(p, cuts) / len(p)
-    share_u = 1 - np.searchsorted(u, cuts) / len(u)
+    if shares is None:
+        u = np.sort(net.output(unlabelled[half_u:]))
+        share_u = 1 - np.searchsorted(u, cuts) / len(u)
+    else:
+        share_u = shares(net, cuts)
     return float(np.clip((share_u / np.maximum(share_p, 1e-9)).min(), 0.02, 0.98))
 
 
+def corpus_shares(docs: DataFrame, net: Network, cuts: np.ndarray) -> np.ndarray:
+    """Share of all texts of ``docs`` at or above each of the ascending cuts,
+    by one aggregate."""
+    rounded = np.round(cuts, 9)  # outputs of other batches may differ in the last bits
+
+    def scorer():
+        return lambda texts: {"reached": np.searchsorted(rounded, np.round(net.output(text_features(texts)), 9), "right")}
+
+    rows = annotate(docs.select("text"), scorer, "reached int", keep=[]).groupBy("reached").count().collect()
+    times = np.zeros(len(cuts) + 1)  # at most one row for each number of cuts reached
+    for r in rows:
+        times[r["reached"]] = r["count"]
+    return np.cumsum(times[::-1])[::-1][1:] / times.sum()
+
+
 def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Network:
     """Minimise the non-negative risk (logistic loss)."""
 
@@ -178,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, positive_rows: int = POSITIVE_ROWS
           unlabelled_rows: int = UNLABELLED_ROWS) -> QualityModel:
     """Fit on at most ``positive_rows`` trusted good texts outside the
     held-out part and ``unlabelled_rows`` texts of the corpus, taken by the
-    hash of their id."""
+    hash of their id; the class prior's shares are of all texts."""
     path = shared_dir(docs.sparkSession, "quality-pu")
     good = labelled_sample(docs, labels, "quality", positive_rows, f"{path}/good", only=1)
     ids = written(docs.where("doc_id IS NOT NULL").select("doc_id").distinct()
@@ -197,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, positive_rows: int = POSITIVE_ROWS
         return QualityModel(0.5, None)
     rng = np.random.default_rng(3)
     positive, unlabelled = rng.permutation(positive), rng.permutation(unlabelled)
-    prior = class_prior(positive, unlabelled)
+    prior = class_prior(positive, unlabelled, lambda net, cuts: corpus_shares(docs, net, cuts))
     return QualityModel(prior, fit_pu(positive, unlabelled, prior))
 
 

@@ -118,3 +118,31 @@ def test_class_prior_and_non_negative_risk():
     assert 0.55 <= prior <= 0.75   # true share: 3000 of 4500
     net = quality_pu.fit_pu(positive, unlabelled, prior)
     assert (net.score(good) >= 0.3).mean() > 0.95 and (net.score(bad) < 0.3).mean() > 0.9
+
+
+def test_op3_class_prior_is_of_the_whole_corpus(spark):
+    """The ids with the smallest hash are nearly all bad here, the corpus is
+    nearly all good: the prior must be the corpus' share."""
+    from pyspark.sql import functions as F
+
+    ids = [r.id for r in spark.range(1200).orderBy(F.xxhash64(F.lit(1), "id"), "id").collect()]
+    bad = set(ids[:150]) | set(ids[200:250])
+    docs = [(i, "#$ 99 %%% " * 40 + f"{i} !!!" if i in bad else H.prose(i, 60)) for i in range(1200)]
+    docs.append((None, H.prose(7, 60)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    good = [i for i in ids if i not in bad]
+    labels = spark.createDataFrame([(i, 1, 0) for i in good], LABELS)
+    model = quality_pu.train(frame, labels, positive_rows=800, unlabelled_rows=200)
+    # true share: 1001 of 1201 (the smallest ratio lies somewhat below); of the sample: 50 of 200
+    assert 0.65 <= model.prior <= 0.87
+
+
+def test_corpus_shares_are_exact(spark):
+    texts = [H.prose(i, 10 + i) for i in range(90)] + [None, ""]
+    x = quality_pu.text_features([(t or "").encode() for t in texts])
+    net = quality_pu._fit(x[:40], x[40:], lambda out, n: (quality_pu._sigmoid(out) - (np.arange(len(out)) < n)) / len(out))
+    u = np.round(net.output(x), 9)
+    cuts = np.quantile(u, np.linspace(0, 1, 12))
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    expected = [(u >= c).mean() for c in np.round(cuts, 9)]
+    assert np.allclose(quality_pu.corpus_shares(frame, net, cuts), expected)
