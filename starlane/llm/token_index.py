@@ -16,9 +16,10 @@ the offset.  Buckets hold a bounded number of keys, so building one takes
 bounded memory however many documents there are.
 
 Documents are range-partitioned by (key, text hash), so a repeated key is
-split over tasks too; its index entry has its first record and how many
-follow.  Files are written under an attempt's name and renamed, so retries
-and lost executors leave whole files.
+split over tasks too; its index entry has its first record and how many there
+are, and all of them are read back by shard from the entries.  Files are
+written under an attempt's name and renamed, so retries and lost executors
+leave whole files.
 
 Edge cases: null and empty texts are the end id alone; rows without key stand
 first and are reached by reading the shards only; an empty table gives no
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 
 from starlane.llm.byte_tokens import worker_tokens
 from starlane.llm.common import as_bytes, one_by_one, shared_dir, text_chunks, written
+from starlane.llm.components import if_small
 from starlane.llm.textscan import mix
 
 END_ID = 2
@@ -175,6 +177,7 @@ class TokenIndex:
     root: str
     id_bytes: int
     buckets: int
+    repeats: bool = True    # some key has more than one record
 
     def lookup(self, keys: DataFrame, column: str = "doc_id") -> DataFrame:
         """(key, shard, offset, copies, start) of the known ones of ``keys``."""
@@ -207,15 +210,34 @@ class TokenIndex:
             return by_bucket.selectExpr("key", "0L AS shard", "0L AS offset", "0L AS copies", "0L AS start").where("false")
         return by_bucket.mapInArrow(run, "key bigint, shard bigint, offset bigint, copies bigint, start bigint")
 
+    def entries(self) -> DataFrame:
+        """(key, shard, offset, start) of every stored record."""
+        entries, manifest = (self.spark.read.parquet(f"{self.root}/{n}") for n in ("entries", "manifest"))
+        return entries.join(manifest.select("shard", "ids_before"), "shard") \
+            .select("key", "shard", "offset", (F.col("ids_before") + F.col("before")).alias("start"))
+
     def records(self, found: DataFrame, make_reader, fields: str) -> DataFrame:
         """Read the records of looked-up keys; ``make_reader()`` returns a
-        function from an id array to the values of ``fields``."""
+        function from an id array to the values of ``fields``.
+
+        A repeated key becomes one row per record, so that its shards are
+        read in parallel."""
+        if not self.repeats:
+            return self.read(found, make_reader, fields)
+        found = written(found, shared_dir(self.spark, "token-found"))
+        once = found.where("copies = 1").select("key", "shard", "offset", "start")
+        repeated = found.where("copies > 1").select(F.col("key").alias("repeated"))
+        again = self.entries().join(if_small(repeated), F.col("key") == F.col("repeated")).drop("repeated")
+        return self.read(once.unionByName(again), make_reader, fields)
+
+    def read(self, placed: DataFrame, make_reader, fields: str) -> DataFrame:
+        """The same for (key, shard, offset, start) rows, one a record."""
         from pyspark.sql.types import StructType
 
         root, width = self.root, self.id_bytes
         kind = np.dtype("<u2" if width == 2 else "<u4")
         out = StructType.fromDDL(f"key bigint, start bigint, n_tokens bigint, {fields}")
-        placed = found.select("key", "shard", "offset", "copies", "start") \
+        placed = placed.select("key", "shard", "offset", "start") \
             .repartition("shard").sortWithinPartitions("shard", "offset")
 
         def run(batches):
@@ -233,22 +255,13 @@ class TokenIndex:
                     opened[:] = [n, store.open_input_file(path)]
                 return opened[1]
 
-            def follow(key, n, offset, copies, start):
-                """The record at the offset and those of further copies."""
-                for _ in range(copies):
-                    head = shard(n).read_at(4, offset)
-                    while len(head) < 4:  # copies go on in the next shard with rows
-                        n, offset = n + 1, 0
-                        if store.get_file_info(f"{folder}/shard-{n:06d}.ids").is_file:
-                            head = shard(n).read_at(4, 0)
-                    count = struct.unpack("<I", head)[0]
-                    ids = np.frombuffer(shard(n).read_at(count * width, offset + 4), dtype=kind)
-                    yield (key, start, count, *read(ids))
-                    offset += 4 + count * width
-                    start += count
+            def record(key, n, offset, start):
+                count = struct.unpack("<I", shard(n).read_at(4, offset))[0]
+                ids = np.frombuffer(shard(n).read_at(count * width, offset + 4), dtype=kind)
+                return (key, start, count, *read(ids))
 
             for batch in one_by_one(batches):
-                rows = [r for c in zip(*(col.to_pylist() for col in batch.columns)) for r in follow(*c)]
+                rows = [record(*c) for c in zip(*(col.to_pylist() for col in batch.columns))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, type=t) for v, t in zip(zip(*rows), _arrow_types(out))], names=out.names)
 
@@ -316,9 +329,10 @@ def write_token_index(docs: DataFrame, tokenizer: str, root: str | None = None,
     entries = written(ordered.mapInArrow(write, "key bigint, shard bigint, offset bigint, before bigint, n bigint"),
                       f"{root}/entries")
     # one row per shard: bounded by the number of shuffle partitions
-    totals = sorted(entries.groupBy("shard").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("ids")).collect())
+    totals = sorted(entries.groupBy("shard").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("ids"),
+                                                  F.count("key").alias("keyed")).collect())
     starts, so_far = [], 0
-    for shard, n_docs, ids in totals:
+    for shard, n_docs, ids, _ in totals:
         starts.append((shard, n_docs, ids, so_far))
         so_far += ids
     manifest = written(spark.createDataFrame(starts, "shard bigint, docs bigint, ids bigint, ids_before bigint"),
@@ -338,11 +352,13 @@ def write_token_index(docs: DataFrame, tokenizer: str, root: str | None = None,
         _publish(root, f"index-{b:06d}.mph", _attempt(), [pack_bucket(keys, values)])
         return pd.DataFrame({"bucket": [b], "keys": [len(part)]})
 
+    repeats = False
     if buckets:
         built = first.withColumn("bucket", _bucket(F.col("key"), buckets)).groupBy("bucket") \
             .applyInPandas(index, "bucket int, keys bigint")
-        written(built, f"{root}/buckets")
-    return TokenIndex(spark, root, width, buckets)
+        distinct = written(built, f"{root}/buckets").agg(F.sum("keys")).first()[0] or 0
+        repeats = distinct < sum(t[3] for t in totals)
+    return TokenIndex(spark, root, width, buckets, repeats)
 
 
 def id_checksums(index: TokenIndex, keys: DataFrame) -> DataFrame:
@@ -358,13 +374,8 @@ def id_checksums(index: TokenIndex, keys: DataFrame) -> DataFrame:
 
 def keyless_checksums(index: TokenIndex) -> DataFrame:
     """The same columns for rows without key, read in shard order."""
-    spark = index.spark
-    entries, manifest = spark.read.parquet(f"{index.root}/entries"), spark.read.parquet(f"{index.root}/manifest")
-    found = entries.where("key IS NULL").join(manifest.select("shard", "ids_before"), "shard") \
-        .select("key", "shard", "offset", F.lit(1).cast("bigint").alias("copies"),
-                (F.col("ids_before") + F.col("before")).alias("start"))
-
     def reader():
         return lambda ids: (zlib.crc32(ids.astype("<u4").tobytes()),)
 
-    return index.records(found, reader, "ids_crc32 bigint").withColumnRenamed("key", "doc_id")
+    rows = index.read(index.entries().where("key IS NULL"), reader, "ids_crc32 bigint")
+    return rows.withColumnRenamed("key", "doc_id")

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from starlane import session
 from starlane.llm import bpe, decontaminate, edit_counts, quality_rules, token_index
 from starlane.llm.byte_tokens import ByteTokens
 from starlane.llm.queries import QUERIES
@@ -116,6 +117,30 @@ def test_op1_edge_rows(spark):
     assert index.lookup(absent).count() == 0
 
 
+def test_op1_repeated_key_is_read_by_several_tasks(spark, monkeypatch):
+    """A key with most of the rows: every record comes back, and no task
+    reads them all."""
+    docs = spark.createDataFrame([(7 if i % 3 else i, H.prose(i, 20 + i % 9)) for i in range(600)],
+                                 "doc_id bigint, text string")
+
+    def reader():
+        from pyspark import TaskContext
+
+        return lambda ids: (TaskContext.get().partitionId(), zlib.crc32(ids.astype("<u4").tobytes()))
+
+    # tiny shards stay apart
+    monkeypatch.setitem(session.ENGINE_CONF, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+    index = token_index.write_token_index(docs, BYTE_BPE)
+    rows = index.records(index.lookup(docs.select("doc_id")), reader, "task int, crc bigint").collect()
+    library = Tokenizer.from_file(BYTE_BPE)
+    expected = sorted((d, zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [2], dtype="<u4").tobytes()))
+                      for d, t in docs.collect())
+    assert sorted((r.key, r.crc) for r in rows) == expected
+    rows.sort(key=lambda r: r.start)
+    assert [r.start for r in rows] == np.cumsum([0] + [r.n_tokens for r in rows[:-1]]).tolist()
+    assert len({r.task for r in rows if r.key == 7}) > 1
+
+
 def test_op1_empty_table(spark):
     docs = H.no_docs(spark)
     index = token_index.write_token_index(docs, BYTE_BPE)
