@@ -12,6 +12,8 @@ checked broadcast size gets its own ``left_anti`` shuffle join).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,9 +115,11 @@ def orphan_row(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
     the fact (a chain of broadcast left joins and one aggregate).  A
     dimension above the checked size is checked through the shuffle path of
     ``lookup`` (keyed by surrogate key), where NULL and hot foreign keys are
-    spread over the reducers as in the fact build.
+    spread over the reducers as in the fact build.  Repeated members of a
+    dimension count once, so they multiply no fact row.
     """
     spark = fact.sparkSession
+    dims = {n: d if d.unique else replace(d, df=d.df.dropDuplicates([d.sk]), unique=True) for n, d in dims.items()}
     fks = [(fk, dims[d]) for fk, d in FACT_FKS if d in dims]
     small = [(fk, d) for fk, d in fks if fits_broadcast(spark, d)]
     large = [(fk, d) for fk, d in fks if not fits_broadcast(spark, d)]

@@ -52,3 +52,40 @@ def test_orphan_checks_agree_on_both_paths(spark, star):
         spark.conf.unset("starlane.lookup.broadcastMaxBytes")
     assert large == small
     assert all(v == 0 for k, v in small.items() if k.startswith("orphan_"))
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, "0"])
+def test_repeated_members_multiply_no_fact_row(spark, star, broadcast_bytes):
+    from dataclasses import replace
+
+    from starlane.operators.quality import orphan_row
+
+    expected = orphan_row(star.fact, star.dims).first().asDict()
+    twice = {n: replace(d, df=d.df.unionByName(d.df), unique=False) for n, d in star.dims.items()}
+    if broadcast_bytes:
+        spark.conf.set("starlane.lookup.broadcastMaxBytes", broadcast_bytes)
+    try:
+        assert orphan_row(star.fact, twice).first().asDict() == expected
+    finally:
+        spark.conf.unset("starlane.lookup.broadcastMaxBytes")
+
+
+def test_broken_feed_is_checked_over_the_whole_fact(spark, star, monkeypatch):
+    """The registered query hands over every fact row and dimension, and the
+    report behind it has every check."""
+    from starlane.operators import quality
+    from starlane.plans import queries
+
+    seen, report = {}, quality.dq_report
+
+    def spy(cleaned, fact, dims, raw, raw_checks=None):
+        seen.update(rows=fact.count(), dims=set(dims))
+        seen["report"] = report(cleaned, fact, dims, raw, raw_checks)
+        return seen["report"]
+
+    monkeypatch.setattr(quality, "dq_report", spy)
+    assert queries.dq_report_broken_feed(spark, SF_SMALL).count() == 6
+    assert seen["rows"] == star.fact.count() and seen["dims"] == set(star.dims)
+    failed = {r.check_name: r.failed for r in seen["report"].collect()}
+    assert failed["fact_row_count_diff"] == 0 and failed["missing_columns"] == 2
+    assert all(failed[f"orphan_{fk}"] == 0 for fk, _ in quality.FACT_FKS)
