@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starlane.llm.chat import ORACLE as CHAT_ORACLE
 from starlane.llm.common import table
+from starlane.llm.source_audit import ORACLE as AUDIT_ORACLE
 
 
 def op1_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +101,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *BASE, "base_failed", "kept", "distance")
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starlane.llm.source_audit import divergence
+
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,6 +124,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_quality_rules": op10_quality_rules,
+    "op12_source_audit": op12_source_audit,
     "pipeline": pipeline,
 }
-ORACLE: dict[str, str] = {"op9_chat_format": CHAT_ORACLE}
+ORACLE: dict[str, str] = {"op9_chat_format": CHAT_ORACLE, "op12_source_audit": AUDIT_ORACLE}
