@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starlane.llm.chat import ORACLE as CHAT_ORACLE
 from starlane.llm.common import table
+from starlane.llm.prefix_trie import ORACLE as TRIE_ORACLE
 from starlane.llm.source_audit import ORACLE as AUDIT_ORACLE
 
 
@@ -101,6 +102,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *BASE, "base_failed", "kept", "distance")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starlane.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starlane.llm.source_audit import divergence
 
@@ -124,7 +131,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_source_audit": op12_source_audit,
     "pipeline": pipeline,
 }
-ORACLE: dict[str, str] = {"op9_chat_format": CHAT_ORACLE, "op12_source_audit": AUDIT_ORACLE}
+ORACLE: dict[str, str] = {"op9_chat_format": CHAT_ORACLE, "op11_prefix_trie": TRIE_ORACLE,
+                          "op12_source_audit": AUDIT_ORACLE}
