@@ -114,6 +114,12 @@ def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starlane.llm.katz import score_texts, training_rows
+
+    return score_texts(table(spark, sf_dir, "documents"), training_rows())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -133,6 +139,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_source_audit": op12_source_audit,
+    "op13_katz_backoff": op13_katz_backoff,
     "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {"op9_chat_format": CHAT_ORACLE, "op11_prefix_trie": TRIE_ORACLE,
