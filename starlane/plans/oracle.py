@@ -290,6 +290,33 @@ _UPSERT = _q(
     f"SELECT {CLEANED_COLS_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY booking_id "
     f"ORDER BY {_LATEST_ORDER}) AS rn FROM (SELECT * REPLACE ({_NO_ID} AS booking_id) FROM cleaned) c) t "
     "WHERE rn = 1 OR booking_id IS NULL")
+# versions and deletes of orders: the latest event of each, unless it is a delete
+_ORDER_EVENTS = f"""
+feed AS (SELECT * REPLACE (split_part(booking_id, '-', 1) AS booking_id), ends_with(booking_id, '-2') AS second FROM cleaned),
+events AS (SELECT * EXCLUDE (second), 0 AS gone FROM feed UNION ALL BY NAME
+           SELECT booking_id, booking_timestamp + INTERVAL 12 HOUR AS booking_timestamp, 1 AS gone FROM feed WHERE second),
+live AS (
+  SELECT {CLEANED_COLS_SQL} FROM (
+    SELECT *, row_number() OVER (PARTITION BY booking_id ORDER BY
+           {_LATEST_ORDER.replace("booking_timestamp DESC NULLS LAST", "booking_timestamp DESC NULLS LAST, gone DESC", 1)}) AS rn
+    FROM events) t WHERE rn = 1 AND gone = 0)
+"""
+_KPI_LIVE = f"""
+, vehicle AS (
+  SELECT vehicle_type AS v, CAST(count(reason_for_cancelling_by_customer) AS DOUBLE) / count(*) AS customer_cancel_rate,
+         CAST(count(driver_cancellation_reason) AS DOUBLE) / count(*) AS driver_cancel_rate,
+         avg(driver_ratings) AS avg_driver_rating, avg(customer_rating) AS avg_customer_rating,
+         avg(ride_distance) AS avg_ride_distance,
+         CAST(sum(CASE WHEN ride_distance > 0 THEN TRY_CAST(booking_value AS DECIMAL(18,2)) END) AS DOUBLE) /
+         sum(CASE WHEN ride_distance > 0 AND booking_value IS NOT NULL THEN ride_distance END) AS fare_per_km
+  FROM live GROUP BY vehicle_type
+), daily AS (
+  SELECT date_id, pickup_location, vehicle_type, count(*) AS rides, count(CASE WHEN {_DONE} THEN 1 END) AS completed_rides,
+         CAST(sum(CASE WHEN {_DONE} THEN TRY_CAST(booking_value AS DECIMAL(18,2)) END) AS DOUBLE) AS revenue
+  FROM live GROUP BY date_id, pickup_location, vehicle_type
+)
+SELECT daily.*, vehicle.* EXCLUDE (v) FROM daily LEFT JOIN vehicle ON vehicle_type IS NOT DISTINCT FROM v
+"""
 _EXPORTS = [("dim_date", "date_id", "day_of_week"), ("dim_customer", "customer_sk", "customer_id"),
             ("dim_vehicle", "vehicle_sk", "vehicle_type"), ("dim_location", "location_sk", "location_name"),
             ("dim_payment", "payment_sk", "payment_method"), ("dim_reason", "reason_sk", "reason_text"),
@@ -340,6 +367,8 @@ ORACLE.update({
     "daily_anomalies": f"WITH {CTES}, {_ANOMALY}",
     "cdc_latest_per_key": _LATEST,
     "cdc_upsert_zone": _UPSERT,
+    "cdc_deletes": f"WITH {CTES}, {_ORDER_EVENTS} SELECT {CLEANED_COLS_SQL} FROM live",
+    "kpi_incremental": f"WITH {CTES}, {_ORDER_EVENTS} {_KPI_LIVE}",
     "dq_report_broken_feed": _q(_DQ_BROKEN),
     "cleaned_filtered_distinct": _q(
         f"SELECT DISTINCT {CLEANED_COLS_SQL} FROM cleaned WHERE date_id IS NOT NULL AND booking_id IS NOT NULL "

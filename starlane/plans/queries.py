@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starlane.functions.numeric import safe_int
 from starlane.functions.text import normalise_headers
 from starlane.functions.time import parse_formats
-from starlane.operators import cdc, kpi, quality, sorts
+from starlane.operators import cdc, kpi, kpi_state, quality, sorts
 from starlane.operators.cleaning import clean_bookings, filtered_distinct, with_normalised_headers
 from starlane.operators.dimensions import Dimension, build_dim_date, reason_sources
 from starlane.operators.fact import LOOKUPS, apply_lookups
@@ -418,6 +418,58 @@ def cdc_upsert_zone(spark, sf_dir):
     return spark.read.parquet(target).select(*CLEANED_COLS)
 
 
+def _order_events(spark, sf_dir, name: str) -> tuple[str, list[int]]:
+    """Change events per order, written once as three arrival batches that
+    are not in time order; (folder, batches as they arrive).
+
+    Each line of an order is a version of it; second lines also give a delete
+    half a day later, with no more than key and time."""
+    root = work_dir(spark, name)
+    line = F.col("booking_id")
+    rows = _cleaned(spark, sf_dir).select(*CLEANED_COLS)
+    feed = sinks.materialise(rows.withColumn("second", line.endswith("-2"))
+                             .withColumn("booking_id", F.substring_index(line, "-", 1)), f"{root}/feed")
+    later = F.col("booking_timestamp") + F.expr("INTERVAL 12 HOURS")
+    gone = feed.where("second").select("booking_id", later.alias("booking_timestamp"), F.lit("D").alias("op"))
+    events = feed.drop("second").withColumn("op", F.lit("U")).unionByName(gone, allowMissingColumns=True)
+    month = F.year("booking_timestamp") * 100 + F.month("booking_timestamp")
+    events = events.withColumn("month", month.cast("int")).withColumn("batch", F.coalesce(F.col("month") % 3, F.lit(0)))
+    sinks.materialise(events, f"{root}/changes", partition_by=["batch"])
+    return root, [2, 0, 1]
+
+
+def _apply_order_events(spark, sf_dir, name: str, each=None) -> str:
+    """The zone after all batches; the second one arrives twice."""
+    root, batches = _order_events(spark, sf_dir, name)
+    zone = f"{root}/orders"
+    for batch in [*batches[:2], *batches[1:]]:
+        cdc.apply_changes(zone, _change_set(spark, root, batch), "booking_id", ["booking_timestamp"], "month",
+                          log_changes=each is not None)
+        if each:
+            each(zone)
+    return zone
+
+
+def cdc_deletes(spark, sf_dir):
+    """Versions and deletes of orders, arriving out of order: what is left is
+    the latest version of every order that no later delete has removed."""
+    return cdc.live_rows(spark, _apply_order_events(spark, sf_dir, "cdc_deletes")).select(*CLEANED_COLS)
+
+
+def kpi_incremental(spark, sf_dir):
+    """KPI-1 with the vehicle's KPI-2 and KPI-3 from a state that is brought up
+    to date after each of the change sets of ``cdc_deletes``."""
+    state = work_dir(spark, "kpi_state") + "/daily"
+    _apply_order_events(spark, sf_dir, "kpi_incremental", lambda zone: kpi_state.refresh(spark, zone, state))
+    kept = spark.read.parquet(state)
+    rates = kpi_state.cancellation_rate(kept).select(
+        F.col("vehicle_type").alias("_v"), "customer_cancel_rate", "driver_cancel_rate")
+    means = kpi_state.averages_fare_per_km(kept).withColumnRenamed("vehicle_type", "_w")
+    out = kpi_state.daily_rides_revenue(kept)
+    out = out.join(rates, F.col("vehicle_type").eqNullSafe(F.col("_v")), "left")
+    return out.join(means, F.col("vehicle_type").eqNullSafe(F.col("_w")), "left").drop("_v", "_w")
+
+
 def incremental_dim_customer(spark, sf_dir):
     """Customer dimension grown batch by batch (yearly); keys continue from
     the stored maximum and a replayed batch adds nothing."""
@@ -541,6 +593,8 @@ QUERIES: dict[str, Query] = {
     "daily_anomalies": daily_anomalies,
     "cdc_latest_per_key": cdc_latest_per_key,
     "cdc_upsert_zone": cdc_upsert_zone,
+    "cdc_deletes": cdc_deletes,
+    "kpi_incremental": kpi_incremental,
     "incremental_dim_customer": incremental_dim_customer,
     "stream_fact_equals_batch": stream_fact_equals_batch,
     "stream_by_header_name": stream_by_header_name,

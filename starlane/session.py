@@ -115,3 +115,35 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(conf).delete(p, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder; none if it does not exist."""
+    fs, p = _file_system(spark, path)
+    return sorted(str(f.getPath().getName()) for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds any file that a reader would take (the listing
+    stops at the first); names that begin with ``_`` or ``.`` are not data."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return False
+    root = str(fs.makeQualified(p).toUri().getPath())
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        parts = str(files.next().getPath().toUri().getPath())[len(root):].split("/")
+        if not any(x.startswith(("_", ".")) and "=" not in x for x in parts if x):
+            return True
+    return False
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file."""
+    fs, p = _file_system(spark, path)
+    fs.create(p, True).close()
