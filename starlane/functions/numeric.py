@@ -17,7 +17,11 @@ def _c(c: Column | str) -> Column:
 
 def safe_double(c: Column | str) -> Column:
     """Finite number of a stripped text, else NULL (ANSI-safe)."""
-    x = strip(_c(c)).try_cast("double")
+    return finite(strip(_c(c)).try_cast("double"))
+
+
+def finite(x: Column) -> Column:
+    """A double, or NULL for NaN and the infinities."""
     return F.when(F.abs(x) < F.lit(float("inf")), x)  # false for NaN too
 
 

@@ -44,8 +44,14 @@ WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x
 
 
 def strip(c: Column | str) -> Column:
-    """Remove white space of every kind from both ends (no regex per row)."""
-    return F.btrim(_c(c), F.lit(WHITE))
+    """Remove white space of every kind from both ends (no regex per row).
+
+    Trimming with a list of characters is dear, so a text that neither begins
+    nor ends with any is passed on as it is.  ``c`` is written several times:
+    bind a longer expression to a column first."""
+    x, white = _c(c), F.lit(WHITE)
+    padded = F.contains(white, F.substring(x, 1, 1)) | F.contains(white, F.substring(x, -1, 1))
+    return F.when(padded, F.btrim(x, white)).otherwise(x)
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -87,7 +93,11 @@ def title_case(c: Column | str) -> Column:
 
 def map_payment(c: Column | str) -> Column:
     """Map known payment spellings on the stripped text, pass the stripped text otherwise."""
-    t = strip(c)
+    return map_stripped_payment(strip(c))
+
+
+def map_stripped_payment(t: Column) -> Column:
+    """``map_payment`` of a text that is stripped already."""
     expr = None
     for src, dst in PAYMENT_MAP.items():
         expr = (F.when(t == src, F.lit(dst)) if expr is None

@@ -36,6 +36,12 @@ def _parse(text: Column, shape: str) -> Column:
     return F.when(text.rlike(f"^{shape}$"), text).try_cast("timestamp_ntz")
 
 
+def parse_stamp(text: Column, with_time: bool) -> Column:
+    """Timestamp of a stripped ``yyyy-M-d[ H:m:s]`` text, else NULL."""
+    shape = DATE_FORMATS["yyyy-M-d"][0]
+    return _parse(text, f"{shape} {_TIME_SHAPE}" if with_time else shape)
+
+
 def parse_booking_ts(date_col: Column | str, time_col: Column | str | None) -> Column:
     """Lenient ``date + ' ' + time`` parse (one-letter fields also take
     unpadded values), NULL on failure.

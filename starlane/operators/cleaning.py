@@ -11,18 +11,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlane.functions.numeric import safe_double
+from starlane.functions.numeric import finite
 from starlane.functions.text import (
+    blank_to_null,
     clean_text,
     first_non_blank,
-    map_payment,
+    map_stripped_payment,
     normalise_header,
     normalise_headers,
     strip,
     strip_quotes,
     title_case,
 )
-from starlane.functions.time import date_id_of, parse_booking_ts
+from starlane.functions.time import date_id_of, parse_stamp
 from starlane.schema import COLUMN_ALIASES, MEASURE_COLS, REASON_COLS, REQUIRED_COLS, SOURCE_COLS
 
 
@@ -82,32 +83,37 @@ def clean_bookings(raw: DataFrame, header_rule=normalise_header) -> DataFrame:
     ``date_id`` (YYYYMMDD int).  Row count is unchanged.
     """
     df = resolve_aliases(with_normalised_headers(raw, header_rule))
-    get = lambda n: optional_col(df, n)
-
-    time_col = get("time") if "time" in df.columns else None
-    ts = parse_booking_ts(get("date"), time_col) if "date" in df.columns \
-        else F.lit(None).cast("timestamp_ntz")
-
-    exprs: dict[str, Column] = {
-        "date": clean_text(get("date")),
-        "time": clean_text(get("time")),
-        "booking_id": clean_id(get("booking_id")),
-        "booking_status": clean_text(title_case(strip(get("booking_status")))),
-        "customer_id": clean_id(get("customer_id")),
-        "vehicle_type": clean_text(get("vehicle_type")),
-        "pickup_location": clean_text(get("pickup_location")),
-        "drop_location": clean_text(get("drop_location")),
-        "payment_method": clean_text(map_payment(get("payment_method"))),
+    present = set(df.columns)
+
+    # Each value is bound once before it is used more than once, in projections
+    # that the planner does not fold (a value bound in one is used twice in the
+    # next).  Two halves go through them a step apart, which keeps every one small.
+    with_time = "time" in present
+    stamp = F.concat_ws(" ", "date", "time") if with_time else F.col("date")
+    ts = parse_stamp(F.col("_stamp"), with_time) if "date" in present else F.lit(None).cast("timestamp_ntz")
+    first = ["date", "time", "booking_id", "booking_status", "customer_id", "payment_method", "booking_value",
+             "ride_distance", "driver_ratings"]
+    second = [c for c in SOURCE_COLS if c not in first]
+    bound: dict[str, Column] = {
+        "booking_id": strip_quotes("booking_id"),
+        "booking_status": title_case("booking_status"),
+        "customer_id": strip_quotes("customer_id"),
+        "payment_method": map_stripped_payment(F.col("payment_method")),
+        **{m: F.col(m).try_cast("double") for m in MEASURE_COLS},
     }
-    for m in MEASURE_COLS:
-        exprs[m] = safe_double(get(m))
-    for r in REASON_COLS:
-        exprs[r] = clean_text(get(r))
-
-    cleaned = df.select(*[exprs[c].alias(c) for c in SOURCE_COLS],
-                        ts.alias("booking_timestamp"))
+    final: dict[str, Column] = {
+        **{c: clean_text(c) for c in ("booking_id", "customer_id")},    # white space inside the quotes
+        **{m: finite(F.col(m)) for m in MEASURE_COLS},
+    }
+    named = df.select(*[(F.col(c) if c in present else F.lit(None).cast("string")).alias(c) for c in SOURCE_COLS])
+    take = lambda cols, how: [how(c).alias(c) for c in cols]
+    as_it_is, bind = F.col, lambda c: bound.get(c, F.col(c))
+    finish = lambda c: final.get(c, blank_to_null(c))
+    steps = named.select(*take(first, strip), *take(second, as_it_is))
+    steps = steps.select(*take(first, bind), stamp.alias("_stamp"), *take(second, strip))
+    steps = steps.select(*take(first, finish), ts.alias("booking_timestamp"), *take(second, bind))
+    cleaned = steps.select(*take(SOURCE_COLS, lambda c: finish(c) if c in second else F.col(c)), "booking_timestamp")
     return cleaned.withColumns({
         "booking_date": F.to_date("booking_timestamp"),
         "date_id": date_id_of("booking_timestamp"),
     })
-

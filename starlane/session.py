@@ -23,6 +23,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the JVM does not compile methods beyond 8,000 bytes: a wider stage is
+    # generated as several methods instead of one that runs interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
