@@ -60,22 +60,23 @@ def as_bytes(column) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def one_by_one(batches: Iterable) -> Iterator:
-    """Skip empty Arrow batches."""
+def one_by_one(batches: Iterable, rows: int | None = None) -> Iterator:
+    """Skip empty Arrow batches; with ``rows``, cut the others to that many."""
     for b in batches:
-        if b.num_rows:
-            yield b
+        for at in range(0, b.num_rows, rows or max(b.num_rows, 1)):
+            yield b.slice(at, rows or b.num_rows)
 
 
 def annotate(df: DataFrame, make_scorer: Callable, fields: str, keep: list[str] | None = None,
-             text: str = "text", more: list[str] | None = None) -> DataFrame:
+             text: str = "text", more: list[str] | None = None, rows_at_once: int | None = None) -> DataFrame:
     """Add columns computed from whole texts, one Arrow batch at a time.
 
     ``make_scorer()`` runs once per task and returns a function from a list of
     UTF-8 texts (and, with ``more``, lists of those columns' values) to a dict
     of equally long columns.  ``fields`` is the DDL of the new columns; input
     columns of the same names (or clashing in case) are replaced.  ``keep``
-    names the input columns that stay (all by default).
+    names the input columns that stay (all by default).  ``rows_at_once`` cuts
+    the batches where a row needs much more than its text.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -98,7 +99,7 @@ def annotate(df: DataFrame, make_scorer: Callable, fields: str, keep: list[str]
 
         schema = to_arrow_schema(out)
         score = make_scorer()
-        for batch in one_by_one(batches):
+        for batch in one_by_one(batches, rows_at_once):
             texts = as_bytes(batch.column(n_keep))
             others = [batch.column(n_keep + 1 + i).to_pylist() for i in range(n_more)]
             cols = {n: [] for n in names}

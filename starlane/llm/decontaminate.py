@@ -153,11 +153,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
     Columns stay those of ``docs``.  A span cut leaves the text before and
     after it; untouched texts come back byte for byte, null included.
     """
-    marked = mark_hits(docs, benchmark, **options)
+    # the row travels whole, so its columns may have any names
+    rows = docs.select(F.struct("*").alias("row"), "text")
     if action == "document":
-        return marked.where("n_hit = 0").select(*docs.columns)
+        return mark_hits(rows, benchmark, **options, keep=["row"]).where("n_hit = 0").select("row.*")
     if action != "span":
         raise ValueError("action is 'document' or 'span'")
+    marked = mark_hits(rows, benchmark, **options)
 
     def scorer():
         def score(texts, spans):
@@ -172,8 +174,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
         return score
 
     kept = annotate(marked, scorer, "cut_text string", more=["hit_bytes"])
-    return kept.select(*[F.when(F.col("n_hit") > 0, F.col("cut_text")).otherwise(F.col(c)).alias(c)
-                         if c == "text" else F.col(c) for c in docs.columns])
+    return kept.select(*[F.when(F.col("n_hit") > 0, F.col("cut_text")).otherwise(F.col("text")).alias(c)
+                         if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def digest(marked: DataFrame) -> DataFrame:

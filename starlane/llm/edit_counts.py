@@ -32,6 +32,7 @@ from starlane.llm.pretoken import Pieces
 LEAF_PIECES = 64
 MAX_LEAF_PIECES = 512     # a leaf that grew beyond this is split at the next chance
 LOOK_AHEAD = 2
+ROWS_AT_ONCE = 512         # a tree holds several numbers a word, so few texts are held at once
 EDIT = "struct<begin:int,end:int,replacement:string>"
 TREE = "tree_chars array<int>, tree_tokens array<int>"
 
@@ -191,7 +192,7 @@ def token_trees(docs: DataFrame, tokenizer: str, keep: list[str] | None = None)
                     "n_tokens": [t.tokens[1] for t in trees]}
         return score
 
-    return annotate(docs, scorer, f"{TREE}, n_tokens bigint", keep=keep)
+    return annotate(docs, scorer, f"{TREE}, n_tokens bigint", keep=keep, rows_at_once=ROWS_AT_ONCE)
 
 
 def update_trees(state: DataFrame, tokenizer: str, edits: str = "edits", keep: list[str] | None = None,
@@ -215,7 +216,7 @@ def update_trees(state: DataFrame, tokenizer: str, edits: str = "edits", keep: l
 
     fields = f"{TREE}, n_tokens_before bigint, n_tokens bigint, n_reencoded bigint, n_chars bigint"
     return annotate(state, scorer, fields + (", text string" if with_text else ""), keep=keep,
-                    more=["tree_chars", "tree_tokens", edits])
+                    more=["tree_chars", "tree_tokens", edits], rows_at_once=ROWS_AT_ONCE)
 
 
 # Personal data that a corpus revision masks.
@@ -245,4 +246,5 @@ def revision_edits(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     # concat_ws skips nulls: a row without source or language gets a shorter line
     noted = docs.withColumn("note", F.concat(F.lit("\nSource: "), F.concat_ws(", ", "source", "lang"), F.lit(".")))
     names = docs.columns if keep is None else keep
-    return annotate(noted, scorer, f"edits array<{EDIT}>", keep=[c for c in names if c != "note"], more=["note"])
+    return annotate(noted, scorer, f"edits array<{EDIT}>", keep=[c for c in names if c != "note"], more=["note"],
+                    rows_at_once=ROWS_AT_ONCE)

@@ -153,11 +153,14 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     gone = removed_lines(docs, **options).groupBy(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")) \
         .agg(F.collect_list("pos").alias("gone_pos"))
     gone = written(gone, f"{path}/gone")
-    out = docs.withColumn("gone_text_key", F.xxhash64("text")).join(
-        if_small(gone, 200_000), F.col("doc_id").eqNullSafe(F.col("gone_id"))
-        & (F.col("gone_text_key") == F.col("gone_key")), "left")
-    lines = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("gone_pos", i))
-    text = F.when(F.col("gone_pos").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
-    left = out.withColumn("gone_text", text)
-    left = left.where(F.col("gone_pos").isNull() | F.col("gone_text").rlike(r"(?U)\S"))
-    return left.select(*[F.col("gone_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    # the row travels whole, so its columns may have any names
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("k_id"), F.xxhash64("text").alias("k_key"),
+                       F.col("text").alias("whole"))
+    out = rows.join(if_small(gone, 200_000), F.col("k_id").eqNullSafe(F.col("gone_id"))
+                    & (F.col("k_key") == F.col("gone_key")), "left")
+    lines = F.filter(F.split("whole", "\n", -1), lambda line, i: ~F.array_contains("gone_pos", i))
+    text = F.when(F.col("gone_pos").isNull(), F.col("whole")).otherwise(F.array_join(lines, "\n"))
+    left = out.select("row", "gone_pos", text.alias("left_text"))
+    left = left.where(F.col("gone_pos").isNull() | F.col("left_text").rlike(r"(?U)\S"))
+    return left.select(*[F.col("left_text").alias("text") if c == "text" else F.col("row")[c].alias(c)
+                         for c in docs.columns])

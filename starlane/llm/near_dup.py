@@ -116,24 +116,25 @@ class SetStore:
             needed = needed.join(self.sets().select("node"), "node", "left_anti")
         k = len(self.parts)
         needed = if_small(written(needed, f"{self.path}/wanted-{k}"))
-        # one document per node stands for all with the same set
+        # one text per node stands for all with the same set; an id alone may be that of many texts
         ids = written(self.nodes.join(needed, "node", "left_semi")
-                      .select("node", F.col("first_id").alias("id"), F.col("f1").alias("g1"), F.col("f2").alias("g2")),
+                      .select("node", F.col("owner.doc_id").alias("id"), F.col("owner.text_key").alias("key")),
                       f"{self.path}/needed-{k}")
-        texts = self.docs.select("doc_id", "text").join(if_small(ids), F.col("doc_id").eqNullSafe(F.col("id"))) \
-            .select("node", "g1", "g2", "text")
+        texts = self.docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").join(
+            if_small(ids), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))) \
+            .select("node", "text")
 
         def scorer():
             def score(batch):
                 doc, hashes = shingle_sets(batch)
-                size, f, _ = _summaries(doc, hashes, len(batch), 0, 0)
-                sets = np.split(hashes.view(np.int64), np.cumsum(size)[:-1])
-                return {"f1": f[0], "f2": f[1], "shingles": [s.tolist() for s in sets]}
+                sets = np.split(hashes.view(np.int64), np.cumsum(np.bincount(doc, minlength=len(batch)))[:-1])
+                return {"shingles": [s.tolist() for s in sets]}
             return score
 
-        made = annotate(texts, scorer, "f1 bigint, f2 bigint, shingles array<bigint>", keep=["node", "g1", "g2"])
-        made = made.where("f1 = g1 AND f2 = g2").select("node", "shingles")
-        self.parts.append(written(made, f"{self.path}/sets-{k}"))
+        made = written(annotate(texts, scorer, "shingles array<bigint>", keep=["node"]), f"{self.path}/sets-{k}")
+        if made.count() > ids.count():  # repeated rows
+            made = written(made.dropDuplicates(["node"]), f"{self.path}/single-sets-{k}")
+        self.parts.append(made)
 
     def confirmed(self, pairs: DataFrame, percent: int) -> DataFrame:
         """The pairs (a, b) with 100 * intersection >= percent * union."""
@@ -197,16 +198,19 @@ def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
         run, "bucket bigint, node bigint, order bigint, n bigint, pos int")
 
 
-def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = GROUPS,
-                    rows: int = ROWS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): ``doc_id, n_shingles,
-    component_id`` (smallest doc_id reachable over links) and ``kept``."""
+def linked_rows(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = GROUPS, rows: int = ROWS) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): ``doc_id, text_key,
+    n_shingles, component_id`` (smallest doc_id reachable over links) and
+    ``component``, a number of the group (null for texts without shingles).
+
+    Ids may repeat with other texts or be missing; the group is of the text."""
     spark = docs.sparkSession
     path = shared_dir(spark, "near-dup")
-    signed = written(signatures(docs.select("doc_id", "text"), ["doc_id"], groups, rows), f"{path}/signed")
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    signed = written(signatures(keyed, ["doc_id", "text_key"], groups, rows), f"{path}/signed")
     nodes = signed.where("n_shingles > 0").groupBy("f1", "f2").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("a").alias("a"),
-        F.first("b").alias("b"))
+        F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("owner"),
+        F.first("n_shingles").alias("n"), F.first("a").alias("a"), F.first("b").alias("b"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), f"{path}/nodes")
 
     # nodes that share a bucket in A and one in B
@@ -257,26 +261,43 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = G
     linked = nodes.select("node", "f1", "f2", "first_id").join(if_small(labels), "node")
     linked = written(linked, f"{path}/linked")
     least = written(linked.groupBy("label").agg(F.min("first_id").alias("component_id")), f"{path}/least")
-    named = linked.join(if_small(least), "label").select("f1", "f2", F.col("component_id").alias("c"))
-    named = nodes.select("f1", "f2", "first_id").join(if_small(written(named, f"{path}/named")), ["f1", "f2"], "left") \
-        .select("f1", "f2", F.coalesce("c", "first_id").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
+    named = linked.join(if_small(least), "label").select("f1", "f2", F.col("component_id").alias("c"), "label")
+    named = nodes.select("f1", "f2", "first_id", "node") \
+        .join(if_small(written(named, f"{path}/named")), ["f1", "f2"], "left") \
+        .select("f1", "f2", F.coalesce("c", "first_id").alias("component_id"),
+                F.coalesce("label", "node").alias("component"))
+    out = signed.select("doc_id", "text_key", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.withColumn("component_id", component).select(
+        "doc_id", "text_key", "n_shingles", "component_id", "component")
+
+
+def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = GROUPS,
+                    rows: int = ROWS) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): ``doc_id, n_shingles,
+    component_id`` (smallest doc_id reachable over links) and ``kept``."""
+    return linked_rows(docs, percent, groups, rows).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without near duplicates: one row of each component stays."""
+    """``docs`` without near duplicates: of each group one row stays, that of
+    the smallest id (rows without id last), then of the smallest text hash; of
+    equal rows one.  Texts without words all stay.  Columns as they came."""
     path = shared_dir(docs.sparkSession, "near-dup-kept")
-    found = written(near_duplicates(docs, **options), f"{path}/found")
-    dropped = written(found.where("NOT kept").select(F.col("doc_id").alias("dropped_id")), f"{path}/dropped")
-    kept = docs.join(if_small(dropped), F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti")
-    repeated = found.where("kept AND n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return kept
-    # rows repeating a kept id: one of the ids' rows stays, empty texts all stay
-    again = written(repeated.select(F.col("doc_id").alias("repeated_id")), f"{path}/repeated")
-    same = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
-    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, same, "left_anti").unionByName(once)
+    found = linked_rows(docs, **options).where("n_shingles > 0")
+    found = written(found.groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times")), f"{path}/found")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("w"))
+    first = written(first.select("component", "w.doc_id", "w.text_key"), f"{path}/first")
+    # groups of one row are as they should be: only the others are looked up
+    mine = first.select("component", F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"))
+    judged = found.join(mine, "component").select(
+        "doc_id", "text_key", "times", (F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key"))).alias("stays"))
+    judged = written(judged.where("NOT stays OR times > 1").select(
+        F.col("doc_id").alias("j_id"), F.col("text_key").alias("j_key"), "stays"), f"{path}/judged")
+    # the row travels whole, so its columns may have any names
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("k_id"), F.xxhash64("text").alias("k_key"))
+    out = rows.join(if_small(judged), F.col("k_id").eqNullSafe(F.col("j_id")) & (F.col("k_key") == F.col("j_key")), "left")
+    kept = out.where("stays IS NULL").select("row.*")
+    once = out.where("stays").groupBy("k_id", "k_key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return kept.unionByName(once.select("row.*"))
