@@ -408,4 +408,4 @@ ORACLE.update({
         "CAST(sum(TRY_CAST(booking_value AS DECIMAL(18,2))) AS DOUBLE) AS booking_value "
         "FROM cleaned GROUP BY vehicle_type, payment_method"),
 })
-ORACLE["stream_by_header_name"] = ORACLE["stream_fact_equals_batch"]
+ORACLE["stream_resent_files"] = ORACLE["stream_by_header_name"] = ORACLE["stream_fact_equals_batch"]

@@ -510,6 +510,21 @@ def stream_by_header_name(spark, sf_dir):
     return incremental.fact_with_natural_keys(spark, f"{root}/star").select(*STREAM_COLS)
 
 
+def stream_resent_files(spark, sf_dir):
+    """Four files arrive, then two of them again under other names beside a new
+    one, in micro-batches of two: the streamed fact has every row once."""
+    root = work_dir(spark, "stream_resent")
+    landing = f"{root}/landing"
+    raw = _raw(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("`Booking ID`"), F.lit(5)).cast("int"))
+    for name, parts in (("first", [0, 1, 2, 3]), ("second", [1, 3, 4])):
+        # one file a part; the second delivery has its rows in another order
+        some = raw.where(F.col("part").isin(parts)).repartition(len(parts), "part") \
+            .sortWithinPartitions(F.col("Booking ID").desc() if name == "second" else F.col("Booking ID"))
+        sinks.write_csv(some, f"{landing}/{name}", partition_by=["part"])
+        incremental.stream_star(spark, f"{landing}/*/*", f"{root}/star", files_per_batch=2, skip_resent=True)
+    return incremental.fact_with_natural_keys(spark, f"{root}/star").select(*STREAM_COLS)
+
+
 # the streamed fact: every foreign key replaced by the column it was looked up from
 STREAM_COLS = [{fk: c for _, c, fk in LOOKUPS}.get(c, c) for c in FACT_COLS]
 
@@ -598,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "incremental_dim_customer": incremental_dim_customer,
     "stream_fact_equals_batch": stream_fact_equals_batch,
     "stream_by_header_name": stream_by_header_name,
+    "stream_resent_files": stream_resent_files,
     "masked_customers": masked_customers,
     "compacted_zone": compacted_zone,
     "external_tables_star": external_tables_star,

@@ -9,7 +9,6 @@ from a second job.
 
 from __future__ import annotations
 
-import csv
 import logging
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -84,30 +83,21 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return r.csv(path)
 
 
-def file_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV file: its first line, through the Hadoop API."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return next(csv.reader([(line or "").lstrip("\ufeff")]), [])
-
-
-def read_csv_by_name(spark: SparkSession, files: list[str], columns: list[str], required: list[str],
+def read_csv_by_name(spark: SparkSession, files: list[str] | DataFrame, columns: list[str], required: list[str],
                      logical=None) -> DataFrame:
     """Text columns of CSV files, mapped by header name whatever their order.
 
-    ``logical`` maps a frame with a file's own headers to logical names;
-    files of equal headers are read together.  A missing column is NULL, a
-    missing ``required`` one raises.  One small driver read per file."""
-    groups: dict[tuple, list[str]] = {}
-    for f in files:
-        groups.setdefault(tuple(file_header(spark, f)), []).append(f)
+    ``files`` are paths (folders too) or an inventory of files.  ``logical``
+    maps a frame with a file's own headers to logical names; files of equal
+    headers are read together.  A missing column is NULL, a missing ``required``
+    one raises.  The headers come from one distributed scan (``file_inventory``);
+    the driver opens no file."""
+    from starlane.sources.inventory import file_inventory, files_by_header
+
+    if isinstance(files, list):
+        files = file_inventory(spark, files) if files else None
     parts = []
-    for header, members in groups.items():
+    for header, members in files_by_header(files) if files is not None else []:
         schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
         df = read_csv(spark, members, schema=schema)
         df = logical(df) if logical else df
