@@ -32,7 +32,7 @@ from starlane.llm.pretoken import Pieces
 LEAF_PIECES = 64
 MAX_LEAF_PIECES = 512     # a leaf that grew beyond this is split at the next chance
 LOOK_AHEAD = 2
-ROWS_AT_ONCE = 512         # a tree holds several numbers a word, so few texts are held at once
+ROWS_AT_ONCE = 96          # a chunk of texts costs some ten arrays and a tree several numbers a word
 EDIT = "struct<begin:int,end:int,replacement:string>"
 TREE = "tree_chars array<int>, tree_tokens array<int>"
 
