@@ -359,10 +359,28 @@ SELECT {_id('"Booking ID"')} AS booking_id, ts AS booking_timestamp,
 FROM (SELECT *, CAST(try_strptime({_strip('"Date"')}, '%Y-%m-%d') AS TIMESTAMP) AS ts FROM raw) r
 """
 
+_FAULTS = [(raw, f"{name}: not {kind.lower()}", f"{raw} IS NOT NULL AND TRY_CAST({raw} AS {sql}) IS NULL")
+           for name, raw, kind, sql in [
+               ("avg_vtat", '"Avg VTAT"', "double", "DOUBLE"), ("avg_ctat", '"Avg CTAT"', "double", "DOUBLE"),
+               ("booking_value", '"Booking Value"', "decimal(18,2)", "DECIMAL(18,2)"),
+               ("ride_distance", '"Ride Distance"', "double", "DOUBLE"),
+               ("driver_ratings", '"Driver Ratings"', "int", "INTEGER"),
+               ("customer_rating", '"Customer Rating"', "int", "INTEGER")]]
+_REASONS = "concat_ws('; ', CASE WHEN \"Time\" IS NULL THEN 'time: missing' END, " + ", ".join(
+    f"CASE WHEN {test} THEN '{text}' END" for _, text, test in _FAULTS) + ")"
+_QUARANTINE = f"""
+judged AS (SELECT "Booking ID" AS booking_id, "Booking Value" AS text, {_REASONS} AS reasons FROM raw)
+SELECT booking_id, CASE WHEN reasons = '' THEN 'kept' ELSE 'rejected' END AS part,
+       CASE WHEN reasons = '' THEN CAST(TRY_CAST(text AS DECIMAL(18,2)) AS VARCHAR) ELSE text END AS value, reasons,
+       (SELECT count(*) FROM judged) AS rows, (SELECT count(*) FROM judged WHERE reasons <> '') AS rejected_rows
+FROM judged
+"""
 _MASK = ("regexp_replace(regexp_replace(regexp_replace(customer_id, '[A-Z]', 'X', 'g'), "
          "'[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')")
 
 ORACLE.update({
+    "append_exactly_once": _q(f"SELECT {CLEANED_COLS_SQL} FROM cleaned"),
+    "quarantine_feed": f"WITH {CTES}, {_QUARANTINE}",
     "dq_report": _q(" UNION ALL ".join(_DQ_PARTS)),
     "daily_anomalies": f"WITH {CTES}, {_ANOMALY}",
     "cdc_latest_per_key": _LATEST,
@@ -403,6 +421,7 @@ ORACLE.update({
     "compacted_zone": _q(
         f"SELECT {CLEANED_COLS_SQL}, CAST(year(booking_date) AS INTEGER) AS year, "
         "CAST(month(booking_date) AS INTEGER) AS month FROM cleaned"),
+    "compacted_small_files": _q(f"SELECT {CLEANED_COLS_SQL} FROM cleaned"),
     "external_tables_star": _q(
         "SELECT vehicle_type, payment_method, count(*) AS rides, "
         "CAST(sum(TRY_CAST(booking_value AS DECIMAL(18,2))) AS DOUBLE) AS booking_value "

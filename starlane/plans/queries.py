@@ -137,6 +137,42 @@ def table_sinks(spark, sf_dir):
     return out
 
 
+def append_exactly_once(spark, sf_dir):
+    """Cleaned rows appended in three parts, every part twice (once more after
+    the others, as a job that starts over does); the table has each row once."""
+    root = work_dir(spark, "append_once")
+    rows = sinks.materialise(_cleaned(spark, sf_dir).select(*CLEANED_COLS), f"{root}/cleaned")
+    db = f"starlane_{root.rsplit('-', 1)[-1]}"
+    sinks.ensure_database(spark, db, f"{root}/warehouse")
+    for k in (0, 1, 1, 2, 0, 2):
+        part = rows.where(F.coalesce(F.col("date_id") % 3, F.lit(0)) == k)
+        sinks.append_once(part, f"{db}.bookings", f"day-rest-{k}", CLEANED_SCHEMA)
+    out = sinks.materialise(spark.table(f"{db}.bookings").select(*CLEANED_COLS), f"{root}/result")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+# types that the raw feed is checked against before it is cleaned
+FEED_TYPES = ("booking_id string, customer_id string, date string, time string, avg_vtat double, avg_ctat double, "
+              "booking_value decimal(18,2), ride_distance double, driver_ratings int, customer_rating int")
+
+
+def quarantine_feed(spark, sf_dir):
+    """The raw feed against its declared types: rows that fit, and rows set
+    apart with the reasons and the text that did not fit."""
+    raw = with_normalised_headers(_raw(spark, sf_dir))
+    feed = raw.select("booking_id", "customer_id", "date", "time", "avg_vtat", "avg_ctat", "booking_value",
+                      "ride_distance", "driver_ratings", "customer_rating")
+    done = sinks.write_checked(feed, work_dir(spark, "quarantine") + "/feed", FEED_TYPES, required=["time"])
+    text = F.get_json_object("source", "$.booking_value")
+    kept = done.kept.select("booking_id", F.lit("kept").alias("part"), F.col("booking_value").cast("string").alias("value"),
+                            F.lit("").alias("reasons"))
+    bad = done.rejected.select("booking_id", F.lit("rejected").alias("part"), text.alias("value"),
+                               F.concat_ws("; ", "reasons").alias("reasons"))
+    return kept.unionByName(bad).withColumns({"rows": F.lit(done.rows).cast("bigint"),
+                                              "rejected_rows": F.lit(done.rejected_rows).cast("bigint")})
+
+
 # What the export queries return of each of the seven tables: a number and a text.
 EXPORTED = {
     "dim_date": ("date_id", "day_of_week"), "dim_customer": ("customer_sk", "customer_id"),
@@ -548,6 +584,19 @@ def compacted_zone(spark, sf_dir):
     return spark.read.parquet(out).select(*CLEANED_COLS, "year", "month")
 
 
+def compacted_small_files(spark, sf_dir):
+    """A zone by booking year that six appends have left in small files,
+    compacted where there are too many; its content is what was appended."""
+    root = work_dir(spark, "compact_small")
+    rows = sinks.materialise(_cleaned(spark, sf_dir).select(*CLEANED_COLS), f"{root}/cleaned")
+    zone = f"{root}/by_year"
+    for k in range(6):
+        part = rows.where(F.pmod(F.xxhash64(*CLEANED_COLS), F.lit(6)) == k).withColumn("year", F.year("booking_date"))
+        sinks.write_parquet(part, zone, "append", partition_by=["year"])
+    S.compact_small_files(spark, zone, ["year"])
+    return spark.read.parquet(zone).select(*CLEANED_COLS)
+
+
 def external_tables_star(spark, sf_dir):
     """Published dimension and fact folders exposed as external Parquet
     tables, queried with SQL (a star join)."""
@@ -577,6 +626,8 @@ QUERIES: dict[str, Query] = {
     "cleaned_filtered_distinct": cleaned_filtered_distinct,
     "land_raw_if_absent": land_raw_if_absent,
     "table_sinks": table_sinks,
+    "append_exactly_once": append_exactly_once,
+    "quarantine_feed": quarantine_feed,
     "star_tables": star_tables,
     "star_csv_export": star_csv_export,
     "cleaned_csv": cleaned_csv,
@@ -616,5 +667,6 @@ QUERIES: dict[str, Query] = {
     "stream_resent_files": stream_resent_files,
     "masked_customers": masked_customers,
     "compacted_zone": compacted_zone,
+    "compacted_small_files": compacted_small_files,
     "external_tables_star": external_tables_star,
 }

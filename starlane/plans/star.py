@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlane.operators.cleaning import clean_bookings
@@ -24,7 +24,7 @@ from starlane.operators.dimensions import (
 from starlane.operators.fact import build_fact
 from starlane.operators.quality import raw_check_metrics
 from starlane.schema import CLEANED_COLS, FACT_COLS, STAR_SCHEMAS
-from starlane.session import apply_engine_conf, path_exists, work_dir
+from starlane.session import apply_engine_conf, delete_path, path_exists, work_dir
 from starlane.sinks.files import enforce_schema, materialise, write_parquet
 from starlane.sources.bookings import raw_bookings
 
@@ -153,5 +153,53 @@ def compact(cleaned: DataFrame, out: str, partition_cols=("year", "month"),
     spark = cleaned.sparkSession
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = cleaned.withColumns({"year": F.year("booking_date"), "month": F.month("booking_date")})
+    stage = work_dir(spark, "compact_stage")
+    df = materialise(df, stage)     # the range bounds are sampled: the input would be computed twice
     df.repartitionByRange(n, *partition_cols, "booking_id") \
         .write.mode("overwrite").partitionBy(*partition_cols).parquet(out)
+    delete_path(spark, stage)
+
+
+def file_sizes(spark: SparkSession, zone: str, partition_cols: list[str]) -> DataFrame:
+    """``*partition_cols, file, size`` of every file of a zone (a scan of the
+    files' footers: no column is read)."""
+    return spark.read.parquet(zone).select(
+        *partition_cols, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+
+
+def compact_small_files(spark: SparkSession, zone: str, partition_cols: list[str],
+                        target_bytes: int = 128 * 1024 * 1024, min_files: int = 4) -> int:
+    """Rewrite the partitions of a zone that have at least ``min_files`` files
+    below half of ``target_bytes`` (LAY-1); how many there were.
+
+    The files of such a partition, in order of name, are packed into bins of
+    about ``target_bytes``; the rows of a bin become one file, so a large
+    partition is the work of many tasks.  The new files are staged whole and
+    swapped in by partition; all other partitions keep their files."""
+    stage = work_dir(spark, "compact_small")
+    sizes = materialise(file_sizes(spark, zone, partition_cols), f"{stage}/sizes")
+    small = F.count(F.when(F.col("size") < target_bytes // 2, 1))
+    chosen = sizes.groupBy(*partition_cols).agg(small.alias("small")).where(F.col("small") >= min_files)
+    chosen = materialise(chosen.select(*[F.col(c).alias(f"_c_{c}") for c in partition_cols]), f"{stage}/chosen")
+    n = chosen.count()
+    if not n:
+        delete_path(spark, stage)
+        return 0
+    same = None
+    for c in partition_cols:
+        one = F.col(c).eqNullSafe(F.col(f"_c_{c}"))
+        same = one if same is None else same & one
+    # a row a file: small beside what the files hold
+    before = Window.partitionBy(*partition_cols).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum("size").over(before), F.lit(0))
+    bins = sizes.join(chosen, same, "left_semi").select(
+        F.col("file").alias("_file"), F.floor(filled / target_bytes).cast("int").alias("_bin"))
+    bins = materialise(bins, f"{stage}/bins")
+    rows = spark.read.parquet(zone).withColumn("_from", F.col("_metadata.file_path"))
+    rows = rows.join(bins, F.col("_from") == F.col("_file")).drop("_from", "_file")
+    packed = rows.repartition(*partition_cols, "_bin").drop("_bin")
+    staged = materialise(packed, f"{stage}/rows", partition_by=partition_cols)
+    staged.repartition(*partition_cols, F.col("_metadata.file_path")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(zone)
+    delete_path(spark, stage)
+    return n

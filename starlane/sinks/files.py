@@ -10,6 +10,7 @@ from a second job.
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -189,6 +190,62 @@ def lost_values(df: DataFrame, schema: T.StructType | str) -> Column:
     return lost.alias("lost_values")
 
 
+def rejected_reasons(df: DataFrame, schema: T.StructType | str, required: list[str] = ()) -> Column:
+    """``array<string>``: why a row does not fit the declared schema, one
+    ``<column>: <reason>`` a fault; empty for a row that does."""
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    faults = []
+    for f in st.fields:
+        if f.name not in df.columns:
+            continue
+        c = F.col(f.name)
+        if df.schema[f.name].dataType != f.dataType:
+            kind = f.dataType.simpleString()
+            faults.append(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), F.lit(f"{f.name}: not {kind}")))
+        if f.name in required:
+            faults.append(F.when(c.isNull(), F.lit(f"{f.name}: missing")))
+    return F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
+
+
+@dataclass
+class Checked:
+    """What ``write_checked`` wrote: rows that fit, rows that do not, counts."""
+    kept: DataFrame
+    rejected: DataFrame
+    rows: int
+    rejected_rows: int
+
+
+def write_checked(df: DataFrame, path: str, schema: T.StructType | str, required: list[str] = ()) -> Checked:
+    """Write ``df`` with its declared schema, rows that lose a value (or lack a
+    required one) set apart with the reasons and their source text (SNK-8).
+
+    One pass: the two kinds are partitions of one write, ``rejected=false`` and
+    ``rejected=true``, so no row is judged twice and none is in both or
+    neither.  ``rejected`` has the row as it came, as JSON in ``source``, the
+    columns that can be cast, and ``reasons``."""
+    spark = df.sparkSession
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    clash = {"reasons", "source", "rejected"} & {f.name.lower() for f in st.fields}
+    if clash:
+        raise ValueError(f"columns of the schema clash with those of the side table: {sorted(clash)}")
+    names = [f.name for f in st.fields]
+    judged = df.withColumn("_reasons", rejected_reasons(df, st, required))
+    source = F.when(F.size("_reasons") > 0, F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    typed = enforce_schema(judged.withColumn("_source", source), T.StructType(
+        [*st.fields, T.StructField("_reasons", T.ArrayType(T.StringType())), T.StructField("_source", T.StringType())]))
+    out = typed.select(*names, F.col("_reasons").alias("reasons"), F.col("_source").alias("source"),
+                       (F.size("_reasons") > 0).alias("rejected"))
+    obs = Observation("checked_rows")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("rejected"), 1)).alias("bad"))
+    write_parquet(out, path, partition_by=["rejected"])
+    counts = obs.get
+    back = spark.read.schema(out.schema).parquet(path)
+    log.info("Wrote %s rows to %s, %s of them rejected", counts["rows"], path, counts["bad"])
+    return Checked(back.where(~F.col("rejected")).select(*names), back.where("rejected").drop("rejected"),
+                   int(counts["rows"]), int(counts["bad"]))
+
+
 def declared_schema(spec: str) -> T.StructType:
     """Parse a ``"name:TYPE,name:TYPE"`` declaration into a StructType."""
     fields = []
@@ -226,6 +283,43 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite",
     return counts
 
 
+def append_once(df: DataFrame, table: str, write_id: str, schema: T.StructType | str | None = None) -> dict[str, int]:
+    """Append under a write id: a replay under the same id replaces what the
+    first attempt wrote, so every row is there once (SNK-7).
+
+    The table is partitioned by ``write_id``; an append overwrites that
+    partition alone, and an attempt that breaks off before its commit leaves
+    the table as it was.  An id given with other rows replaces its rows; given with
+    none, it changes nothing."""
+    spark = df.sparkSession
+    if not write_id:
+        raise ValueError("append_once needs a write id")
+    obs = Observation("once_rows")
+    lost = lost_values(df, schema) if schema is not None else F.lit(0).cast("bigint").alias("lost_values")
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"), lost)
+    if schema is not None:
+        df = enforce_schema(df, schema)
+    kinds = [(f.name, f.dataType) for f in df.schema]
+    if not spark.catalog.tableExists(table):
+        empty = spark.createDataFrame([], T.StructType([*df.schema.fields, T.StructField("write_id", T.StringType())]))
+        empty.write.mode("ignore").format("parquet").partitionBy("write_id").saveAsTable(table)
+    existing = [(f.name, f.dataType) for f in spark.table(table).schema]
+    if existing != [*kinds, ("write_id", T.StringType())]:
+        raise ValueError(f"schema of {table} differs from the appended frame, or it has no write ids")
+    # dynamic: the new files are written beside the old ones and swapped in at
+    # the commit; a write into a table takes the mode from the session alone
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.withColumn("write_id", F.lit(write_id)).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+    counts = {k: int(v) for k, v in obs.get.items()}
+    log.info("Wrote %s to %s under %s", counts, table, write_id)
+    return counts
+
+
 def csv_line(df: DataFrame, columns: list[str], sep: str = ",") -> DataFrame:
     """One CSV text line per row (SNK-11), NULL rendered as an empty field."""
     return df.select(F.to_csv(F.struct(*columns), {"sep": sep, "nullValue": ""}).alias("line"))
