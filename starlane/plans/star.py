@@ -27,6 +27,7 @@ from starlane.schema import CLEANED_COLS, FACT_COLS, STAR_SCHEMAS
 from starlane.session import apply_engine_conf, delete_path, path_exists, work_dir
 from starlane.sinks.files import enforce_schema, materialise, write_parquet
 from starlane.sources.bookings import raw_bookings
+from starlane.streaming.incremental import IncrementalDims
 
 
 @dataclass
@@ -87,6 +88,28 @@ def add_dims(star: Star, names=tuple(DIM_SPECS)) -> Star:
     return star
 
 
+def add_mapped_dims(star: Star, key_map: IncrementalDims) -> Star:
+    """As ``add_dims``, with keys that outlive a rebuild (AGG-3).
+
+    ``key_map`` is a durable store of every member ever numbered: known members
+    get the number they had, new ones the next, and members that the data no
+    longer has keep theirs in the map and are left out of the dimension."""
+    names = list(key_map.names)
+    spark = star.cleaned.sparkSession
+    members = materialise(dimension_members(star.cleaned, names, with_freq=True), f"{star.root}/rebuilt")
+    key_map.add(members)
+    known = key_map.store(spark)
+    if known is None:   # nothing to number yet
+        known = spark.createDataFrame([], "sk bigint, value string, type string, dim string")
+    kept = members.join(known, ["dim", "value"])    # one row a member on both sides
+    store = materialise(kept.select("sk", "value", "type", "freq", "dim"), f"{star.root}/members", partition_by=["dim"])
+    sizes = {r["dim"]: (r["n"], r["b"]) for r in store.groupBy("dim").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()}   # one row a dimension
+    for n in names:
+        star.dims[n] = dimension_from_store(store, n, *sizes.get(n, (0, 0)))
+    return star
+
+
 def add_dim_date(star: Star) -> Star:
     star.dim_date = build_dim_date(star.cleaned)
     return star

@@ -156,7 +156,7 @@ def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None)
     of recomputing (and a lost executor costs a file re-read, not a rebuild).
     """
     write_parquet(df, path, "overwrite", partition_by)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)     # an empty zone has no schema of its own
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType | str, strict: bool = True) -> DataFrame:

@@ -151,3 +151,38 @@ def test_stream_equals_batch_and_sees_only_new_files(spark, tmp_root):
     # the batch build gives the same natural-key content
     dims = {n: b(cleaned) for n, b in DIMENSION_BUILDERS.items()}
     assert build_fact(cleaned, dims).count() == streamed.count()
+
+
+def test_a_batch_goes_to_the_store_and_not_the_store_to_the_batch(spark, tmp_root, monkeypatch):
+    from starlane.streaming import incremental
+
+    store = os.path.join(tmp_root, "store")
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (1, "a", "y")], "sk long, value string, dim string") \
+        .write.partitionBy("dim").parquet(store)
+    batch = os.path.join(tmp_root, "batch")
+    spark.createDataFrame([("x", "a"), ("x", "c"), ("y", "b")], "dim string, value string").write.parquet(batch)
+    for limit in (500_000, 0):      # by broadcast, and beyond the limit by shuffle
+        monkeypatch.setattr(incremental, "BATCH_BROADCAST_ROWS", limit)
+        new = incremental.not_stored(spark.read.parquet(batch), spark.read.parquet(store))
+        assert sorted(map(tuple, new.select("dim", "value").collect())) == [("x", "c"), ("y", "b")]
+        if limit:
+            plan = new._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_rebuilt_dimensions_keep_their_keys(spark, tmp_root):
+    from starlane.plans.star import Star, add_mapped_dims
+
+    def rebuild(k, rows):
+        df = spark.createDataFrame(rows, "customer_id string, vehicle_type string")
+        star = add_mapped_dims(Star(f"{tmp_root}/{k}", df), IncrementalDims(f"{tmp_root}/map", ["dim_customer", "dim_vehicle"]))
+        return [sorted(map(tuple, star.dims[n].df.collect())) for n in ("dim_customer", "dim_vehicle")], star
+
+    none, star = rebuild(0, [])
+    assert none == [[], []] and star.dims["dim_customer"].rows == 0
+    assert rebuild(1, [("m", "car"), ("k", None), ("k", "car")])[0] == [[(1, "k"), (2, "m")], [(1, "car")]]
+    got, star = rebuild(2, [("a", "bus"), ("m", None), ("z", "bus")])     # k and the car are gone
+    assert got == [[(2, "m"), (3, "a"), (4, "z")], [(2, "bus")]]
+    d = star.dims["dim_customer"]
+    assert d.rows == 3 and d.key_bytes == 3 and {r.customer_id: r.freq for r in d.freq.collect()} == {"a": 1, "m": 1, "z": 1}
+    assert rebuild(3, [("k", "car")])[0] == [[(1, "k")], [(1, "car")]]      # back under the old numbers
