@@ -395,6 +395,12 @@ _MASK = ("regexp_replace(regexp_replace(regexp_replace(customer_id, '[A-Z]', 'X'
 ORACLE.update({
     "dim_keys_over_rebuilds": _q(
         f"{_mapped('dim_customer', 'customer_id')} UNION ALL {_mapped('dim_vehicle', 'vehicle_type')}"),
+    "csv_ragged_rows": _q(
+        "SELECT booking_id, customer_id, CASE WHEN k <> 0 THEN vehicle_type END AS vehicle_type, k < 2 AS ragged "
+        "FROM (SELECT *, (length(customer_id) + length(booking_id)) % 3 AS k FROM cleaned) c"),
+    "published_pseudonyms": _q(
+        "SELECT 'v2-' || sha256('driver-tables-2|outer|' || sha256('driver-tables-2|inner|' || customer_id)) AS customer_id, "
+        "count(*) AS rides_before, count(*) AS rides FROM cleaned WHERE customer_id IS NOT NULL GROUP BY customer_id"),
     "append_exactly_once": _q(f"SELECT {CLEANED_COLS_SQL} FROM cleaned"),
     "quarantine_feed": f"WITH {CTES}, {_QUARANTINE}",
     "dq_report": _q(" UNION ALL ".join(_DQ_PARTS)),

@@ -20,7 +20,7 @@ from starlane.operators import cdc, kpi, kpi_state, quality, sorts
 from starlane.operators.cleaning import clean_bookings, filtered_distinct, with_normalised_headers
 from starlane.operators.dimensions import Dimension, build_dim_date, reason_sources
 from starlane.operators.fact import LOOKUPS, apply_lookups
-from starlane.operators.masking import mask_ids
+from starlane.operators.masking import mask_ids, rotate, rotation_map
 from starlane.plans import star as S
 from starlane.schema import (
     CLEANED_COLS,
@@ -71,6 +71,20 @@ def csv_roundtrip_scan(spark, sf_dir):
     return sinks.read_csv_by_name(spark, _files(spark, path), RAW_NAMES, REQUIRED_COLS, with_normalised_headers)
 
 
+def csv_ragged_rows(spark, sf_dir):
+    """Lines of a delimited feed of which some lack their last field and some
+    have one too many: every row is kept, and the ragged ones are flagged."""
+    path = work_dir(spark, "csv_ragged") + "/lines"
+    rows = _cleaned(spark, sf_dir).select("booking_id", "customer_id", "vehicle_type")
+    kind = F.pmod(F.length("customer_id") + F.length("booking_id"), F.lit(3))
+    cells = [F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in rows.columns]
+    fields = F.when(kind == 0, F.array(*cells[:2])).when(kind == 1, F.array(*cells, F.lit("more"))).otherwise(F.array(*cells))
+    rows.select(F.concat_ws(",", fields)).write.text(path)
+    schema = "booking_id string, customer_id string, vehicle_type string"
+    read = sinks.read_csv(spark, path, schema=schema, header=False, corrupt_column="line")
+    return read.select("booking_id", "customer_id", "vehicle_type", F.col("line").isNotNull().alias("ragged"))
+
+
 def csv_external_autodetect(spark, sf_dir):
     """Raw CSV with the original headers as an external table with inferred
     types (``inferSchema``, quoted newlines allowed), then cleaned."""
@@ -98,7 +112,7 @@ def parquet_zone_view(spark, sf_dir):
     """Cleaned zone -> glob scan -> ``SELECT DISTINCT *`` view -> first 100
     rows of the view in order."""
     view = spark.table(_cleaned_view(spark, sf_dir, "zone_view"))
-    return view.orderBy(*sorts.full_order(view)).limit(100)
+    return sorts.head(view, 100, sorts.full_order(view))
 
 
 def cleaned_filtered_distinct(spark, sf_dir):
@@ -586,6 +600,23 @@ def masked_customers(spark, sf_dir, salt: str | None = None):
         F.col("customer_id_masked").alias("customer_masked"))
 
 
+def published_pseudonyms(spark, sf_dir):
+    """The star published twice, under a first salt and under its successor;
+    rides a customer from the first publication, re-keyed by the rotation map,
+    beside those of the second."""
+    salts = ("driver-tables-1", 1), ("driver-tables-2", 2)      # the tables hold no personal data
+    root = work_dir(spark, "published")
+    st = S.start(spark, sf_dir, "published_star", ["customer_id", "booking_id", "date_id"])
+    S.add_fact(S.add_dims(st, ["dim_customer"]), ["booking_id", "date_id", "customer_sk"], zone=False)
+    st.fact = sinks.enforce_schema(st.fact, STAR_SCHEMAS["fact_booking"], strict=False)
+    tables = [S.publish_masked(st, f"{root}/v{version}", salt, version) for salt, version in salts]
+    rides = [t["fact_booking"].groupBy("customer_sk").count().join(t["dim_customer"], "customer_sk")
+             .select("customer_id", F.col("count").alias("rides")) for t in tables]
+    mapping = rotation_map(st.dims["dim_customer"].df, "customer_id", *salts)
+    first = rotate(rides[0], "customer_id", mapping).toDF("customer_id", "rides_before")
+    return first.join(rides[1], "customer_id", "full")
+
+
 def compacted_zone(spark, sf_dir):
     """Re-lay the cleaned zone as ``year=/month=`` partitions with a bounded
     number of files (LAY-1), then read it back."""
@@ -631,6 +662,7 @@ def external_tables_star(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "clean_headers_project": clean_headers_project,
     "csv_roundtrip_scan": csv_roundtrip_scan,
+    "csv_ragged_rows": csv_ragged_rows,
     "csv_external_autodetect": csv_external_autodetect,
     "parquet_zone_view": parquet_zone_view,
     "cleaned_filtered_distinct": cleaned_filtered_distinct,
@@ -677,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "stream_by_header_name": stream_by_header_name,
     "stream_resent_files": stream_resent_files,
     "masked_customers": masked_customers,
+    "published_pseudonyms": published_pseudonyms,
     "compacted_zone": compacted_zone,
     "compacted_small_files": compacted_small_files,
     "external_tables_star": external_tables_star,

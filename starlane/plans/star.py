@@ -22,6 +22,7 @@ from starlane.operators.dimensions import (
     key_members,
 )
 from starlane.operators.fact import build_fact
+from starlane.operators.masking import masked
 from starlane.operators.quality import raw_check_metrics
 from starlane.schema import CLEANED_COLS, FACT_COLS, STAR_SCHEMAS
 from starlane.session import apply_engine_conf, delete_path, path_exists, work_dir
@@ -151,6 +152,18 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
     return add_fact(publish_dims(add_dim_date(add_dims(star))))
 
 
+# Columns of the published tables that identify a person.
+PERSONAL = {"dim_customer": ["customer_id"]}
+
+
+def publish_masked(star: Star, root: str, salt: str, version: int) -> dict[str, DataFrame]:
+    """Write all tables of the star under ``root`` with pseudonyms in place of
+    personal identifiers (GOV-1); the plain members stay in the star's folder."""
+    names = [*star.dims, *(n for n in ("dim_date", "fact_booking") if
+                           {"dim_date": star.dim_date, "fact_booking": star.fact}[n] is not None)]
+    return {n: materialise(masked(star_table(star, n), PERSONAL.get(n, []), salt, version), f"{root}/{n}") for n in names}
+
+
 def land_if_absent(df: DataFrame, target: str, force: bool = False) -> bool:
     """Write ``df`` to ``target`` unless it is already there (SRC-8/SNK-10).
 

@@ -125,3 +125,21 @@ def test_only_crowded_partitions_are_rewritten(spark, tmp_root):
     # bins of about one file each: the small files of day 2 stay two
     assert compact_small_files(spark, zone, ["day"], target_bytes=2 * size + 2, min_files=2) == 1
     assert content() == rows and 1 <= len(files(2)) <= 2
+
+
+def test_published_folders_hold_no_plain_identifier(spark, tmp_root):
+    from starlane.operators.masking import masked, pseudonym, rotate, rotation_map
+
+    plain = spark.createDataFrame([(1, "CUST-1"), (2, "CUST-2"), (3, None)], "customer_sk long, customer_id string")
+    old, new = ("s1", 1), ("s2", 2)
+    out = os.path.join(tmp_root, "v1")
+    masked(plain, ["customer_id", "not there"], *old).write.parquet(out)
+    data = b"".join(open(os.path.join(out, f), "rb").read() for f in os.listdir(out) if f.endswith(".parquet"))
+    assert b"CUST" not in data
+    mapping = rotation_map(plain, "customer_id", old, new)
+    rotated = rotate(spark.read.parquet(out), "customer_id", mapping)
+    assert sorted(map(tuple, rotated.collect())) == sorted(map(tuple, masked(plain, ["customer_id"], *new).collect()))
+    with pytest.raises(Exception, match="not in the map"):
+        rotate(spark.read.parquet(out), "customer_id", mapping.limit(1)).collect()
+    with pytest.raises(ValueError, match="salt"):
+        pseudonym("customer_id", "", 1)
