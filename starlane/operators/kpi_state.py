@@ -78,10 +78,12 @@ def _applied(spark: SparkSession, state: str) -> int:
     return max((int(n[2:]) for n in child_names(spark, f"{state}__applied") if n.startswith("v=")), default=0)
 
 
-def refresh(spark: SparkSession, zone: str, state: str) -> int:
+def refresh(spark: SparkSession, zone: str, state: str, sums=signed_sums, added=_added) -> int:
     """Bring the state up to the zone's last merge; returns its number.
 
-    Only partitions that the differences touch are read and rewritten."""
+    Only partitions that the differences touch are read and rewritten.
+    ``sums`` makes a state's rows from a difference, ``added`` adds up such
+    rows; both keep the partition column."""
     known = cdc.versions(spark, zone)
     last, done = (known[-1] if known else 0), _applied(spark, state)
     moves = cdc.differences(spark, zone, done)
@@ -97,11 +99,11 @@ def refresh(spark: SparkSession, zone: str, state: str) -> int:
         moves = moves.join(F.broadcast(known_parts), F.col(PART).eqNullSafe(F.col("_m")), "left") \
             .where(F.col("v") > F.coalesce("_seen", F.lit(0)))
     stage = work_dir(spark, "kpi_state")
-    delta = materialise(signed_sums(moves), f"{stage}/delta")
+    delta = materialise(sums(moves), f"{stage}/delta")
     if kept is not None:
         months = F.broadcast(delta.select(F.col(PART).alias("_t")).distinct())    # the calendar's months
         here = kept.join(months, F.col(PART).eqNullSafe(F.col("_t")), "left_semi").drop("seen")
-        delta_and_kept = _added(here.unionByName(delta))
+        delta_and_kept = added(here.unionByName(delta))
     else:
         delta_and_kept = delta
     merged = materialise(delta_and_kept.withColumn("seen", F.lit(last)), f"{stage}/merged")

@@ -408,6 +408,12 @@ ORACLE.update({
     "cdc_latest_per_key": _LATEST,
     "cdc_upsert_zone": _UPSERT,
     "cdc_deletes": f"WITH {CTES}, {_ORDER_EVENTS} SELECT {CLEANED_COLS_SQL} FROM live",
+    "dq_incremental": f"WITH {CTES}, {_ORDER_EVENTS} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, count(*) FILTER (WHERE {test}) AS failed FROM live" for name, test in [
+            ("rows", "true"), ("null_booking_id", "booking_id IS NULL"), ("null_customer_id", "customer_id IS NULL"),
+            ("null_date_id", "date_id IS NULL"), ("rating_out_of_range", _out_of_range),
+            ("overflow_booking_value", "booking_value IS NOT NULL AND TRY_CAST(booking_value AS DECIMAL(18,2)) IS NULL"),
+            ("negative_measure", "booking_value < 0 OR ride_distance < 0")]),
     "kpi_incremental": f"WITH {CTES}, {_ORDER_EVENTS} {_KPI_LIVE}",
     "dq_report_broken_feed": _q(_DQ_BROKEN),
     "cleaned_filtered_distinct": _q(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starlane.functions.numeric import safe_int
 from starlane.functions.text import normalise_headers
 from starlane.functions.time import parse_formats
-from starlane.operators import cdc, kpi, kpi_state, quality, sorts
+from starlane.operators import cdc, kpi, kpi_state, quality, quality_state, sorts
 from starlane.operators.cleaning import clean_bookings, filtered_distinct, with_normalised_headers
 from starlane.operators.dimensions import Dimension, build_dim_date, reason_sources
 from starlane.operators.fact import LOOKUPS, apply_lookups
@@ -481,10 +481,10 @@ def _order_events(spark, sf_dir, name: str) -> tuple[str, list[int]]:
 
 
 def _apply_order_events(spark, sf_dir, name: str, each=None) -> str:
-    """The zone after all batches; the second one arrives twice."""
+    """The zone after all batches; without ``each``, the second arrives twice."""
     root, batches = _order_events(spark, sf_dir, name)
     zone = f"{root}/orders"
-    for batch in [*batches[:2], *batches[1:]]:
+    for batch in batches if each else [*batches[:2], *batches[1:]]:
         cdc.apply_changes(zone, _change_set(spark, root, batch), "booking_id", ["booking_timestamp"], "month",
                           log_changes=each is not None)
         if each:
@@ -512,6 +512,16 @@ def kpi_incremental(spark, sf_dir):
     return out.join(means, F.col("vehicle_type").eqNullSafe(F.col("_w")), "left").drop("_v", "_w")
 
 
+def dq_incremental(spark, sf_dir):
+    """Quality counts kept up to date after each of the change sets of
+    ``cdc_deletes``: the last of the reports kept."""
+    state = work_dir(spark, "dq_state") + "/counts"
+    _apply_order_events(spark, sf_dir, "dq_incremental", lambda zone: quality_state.refresh(spark, zone, state))
+    seen = quality_state.history(spark, state)
+    last = seen.agg(F.max("v")).first()[0]
+    return seen.where(F.col("v") == last).select("check_name", "failed")
+
+
 def incremental_dim_customer(spark, sf_dir):
     """Customer dimension grown batch by batch (yearly); keys continue from
     the stored maximum and a replayed batch adds nothing."""
@@ -703,6 +713,7 @@ QUERIES: dict[str, Query] = {
     "cdc_upsert_zone": cdc_upsert_zone,
     "cdc_deletes": cdc_deletes,
     "kpi_incremental": kpi_incremental,
+    "dq_incremental": dq_incremental,
     "incremental_dim_customer": incremental_dim_customer,
     "dim_keys_over_rebuilds": dim_keys_over_rebuilds,
     "stream_fact_equals_batch": stream_fact_equals_batch,

@@ -173,3 +173,22 @@ def test_a_refresh_that_broke_off_adds_nothing_twice(spark, tmp_root, monkeypatc
         kpi_state.refresh(spark, zone, state)
     got = {r.date_id: (r.rides, r.revenue) for r in kpi_state.daily_rides_revenue(spark.read.parquet(state)).collect()}
     assert got == {20240101: (1, 3.0), 20240201: (1, 1.25)}
+
+
+def test_quality_counts_follow_the_zone(spark, tmp_root):
+    from starlane.operators import quality_state as q
+
+    zone, state = os.path.join(tmp_root, "zone"), os.path.join(tmp_root, "state")
+    assert {r.failed for r in q.report(spark, state).collect()} == {0} and q.history(spark, state).count() == 0
+    sets = [[booking("a", 1, 20240101, rating=9.0), booking("b", 1, 20240201, value=-1.0), booking(None, 1, 20240201)],
+            [booking("a", 2, 20240101), booking("b", 2, 20240201, op="D"), booking("c", 1, 20240301, value=1e20)]]
+    for rows in sets:
+        events = spark.createDataFrame(rows, BOOKINGS).withColumn("customer_id", F.col("booking_id"))
+        apply_changes(zone, events, "booking_id", ["ts"], "month", log_changes=True)
+        for _ in range(2):
+            q.refresh(spark, zone, state)
+        kept = {r.check_name: r.failed for r in q.report(spark, state).collect()}
+        now = live_rows(spark, zone)
+        assert kept == {"rows": now.count(), **{n: now.where(c).count() for n, c in q.failing().items()}}
+    assert {r.check_name: (r.before, r.after) for r in q.drift(spark, state, 1, 2).collect()} == {
+        "rating_out_of_range": (1, 0), "negative_measure": (1, 0), "overflow_booking_value": (0, 1)}
