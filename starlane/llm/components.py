@@ -127,8 +127,9 @@ def link_buckets(spark: SparkSession, members: DataFrame, verify: Callable[[Data
     every unresolved bucket with its other nodes, drops these hubs (all their
     pairs are done), merges the components and goes on with eight times as
     many hubs, until each bucket is of one component or used up.  Groups of
-    true copies end after one or two rounds, and no round emits the pairs of
-    a whole group."""
+    true copies end after one or two rounds; a bucket whose nodes are not
+    linked is compared in all its pairs, so callers with such buckets put an
+    exact filter before it (``meets``)."""
     links, step, hubs = known, 0, 1 if known is None else 8
     while True:
         members = written(unresolved(members.drop("label"), labels, f"{path}/mixed-{step}"),

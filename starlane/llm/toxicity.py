@@ -1,9 +1,10 @@
 """Toxicity by a composed grammar of weighted finite-state transducers.
 
 A text is cut into clauses, and each word becomes a symbol: insult, threat,
-target, negation, report or other.  Four transducers read the symbols in a
-cascade and mark insults and threats as negated, reported or aimed at
-someone; they are composed into one machine, which scores matched clauses
+target, negation, report or other.  Three transducers read the symbols in a
+cascade and mark insults and threats (classes of words, without transducers of
+their own) as negated, reported or aimed at someone named before them; they are
+composed into one machine, which scores matched clauses
 (with their marks), not isolated words: "not an idiot" and "they said he is
 an idiot" are other events than "you idiot".
 
