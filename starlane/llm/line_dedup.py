@@ -12,8 +12,11 @@ similarity of the full sets; linked lines form components by distributed
 union-find, and of each component only the first occurrence (smallest doc_id,
 then position) stays.
 
-Hot lines cost nothing extra: all aggregates have a partial step, and buckets
-are linked through hubs (see ``components``).
+Hot lines cost nothing extra: all aggregates have a partial step.  The most
+central line of each bucket is compared with the others; what is left of a
+bucket meets again only where an exact prefix filter lets it (see
+``prefix_keys``), so lines of one shape that are no copies are not compared in
+all their pairs.
 
 Edge cases: blank lines are kept and never compared; null and empty texts have
 no lines and come back as they are; a line shorter than a shingle is one
@@ -23,17 +26,26 @@ id are ordered first.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlane.llm.common import shared_dir, written
-from starlane.llm.components import by_centrality, if_small, link_buckets, shared_buckets
+from starlane.llm.components import (by_centrality, components, hub_pairs, if_small, link_buckets, shared_buckets,
+                                     unresolved)
+from starlane.llm.near_dup import reachable
 
 SHINGLE_CHARS = 9
 BANDS = 6
 ROWS = 2
 MIN_PERCENT = 80
 ODD_SPACE = r"(?U)[\s&&[^ ]]|  "    # any Unicode white space but a single space
+# The same as texts, a line feed left out (fixed values: Unicode's White_Space)
+ODD_SPACES = ["  ", "\t", "\x0b", "\x0c", "\r", "\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200b)),
+              "\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
+HUB_SHINGLES = 5_000_000             # hub sets that are broadcast hold so many longs at most (40 MB)
 
 
 def _shingle_pattern(chars: int) -> str:
@@ -47,9 +59,13 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_key, pos, norm, h1, h2) of every line that has a word."""
-    cut = rows.select("doc_id", "text_key", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    odd = F.col("line").rlike(ODD_SPACE)
+    """(doc_id, text_key, pos, norm, h1, h2) of every line that has a word.
+
+    Whole texts are searched for odd spaces first: a few byte searches are
+    cheaper than a pattern on every line."""
+    odd = reduce(or_, [F.col("text").contains(s) for s in ODD_SPACES])
+    cut = rows.select("doc_id", "text_key", odd.alias("odd"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    odd = F.col("odd") & F.col("line").rlike(ODD_SPACE)
     norm = F.trim(F.lower(F.when(odd, F.regexp_replace("line", r"(?U)\s+", " ")).otherwise(F.col("line"))))
     return cut.select("doc_id", "text_key", "pos", norm.alias("norm")).where("norm <> ''") \
         .withColumns({"h1": F.xxhash64("norm"), "h2": F.xxhash64(F.lit(7), "norm")})
@@ -59,6 +75,28 @@ def _shingles(chars: int):
     return F.regexp_extract_all("norm", F.lit(_shingle_pattern(chars)), 1)
 
 
+def prefix_keys(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, order, n, pos): finer buckets for ``members`` (bucket,
+    node, order, n), whose buckets have the ``hubs`` (bucket, node).
+
+    Within a bucket all sets are put in one order: shingles that the hub lacks
+    come first, then those it has.  Two sets of similarity ``percent`` share
+    one of the first ``n - ceil(percent * n) + 1`` of each, in any one order,
+    so the filter is exact; lines that have only the hub's text in common
+    begin with what is their own and do not meet."""
+    kept = hubs.join(if_small(members.select("bucket").distinct()), "bucket", "left_semi")
+    of_hub = sets.join(if_small(kept), "node").select("bucket", "n", F.col("s").alias("hub_s"))
+    weight = kept.join(sets.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0
+    of_hub = of_hub.drop("n")
+    held = sets.select("node", "s").join(if_small(members), "node")
+    both = held.join(F.broadcast(of_hub) if weight <= HUB_SHINGLES else of_hub, "bucket")
+    in_order = F.concat(F.array_sort(F.array_except("s", "hub_s")), F.array_sort(F.array_intersect("s", "hub_s")))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    keys = both.select("bucket", "node", "order", "n", F.slice(in_order, F.lit(1), length.cast("int")).alias("prefix"))
+    return keys.select("bucket", "node", "order", "n", F.posexplode("prefix").alias("pos", "x")) \
+        .select(F.xxhash64("bucket", "x").alias("bucket"), "node", "order", "n", "pos")
+
+
 def removed_lines(docs: DataFrame, percent: int = MIN_PERCENT, chars: int = SHINGLE_CHARS,
                   bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text_key, pos) of every line that another one stands for."""
@@ -78,7 +116,6 @@ def removed_lines(docs: DataFrame, percent: int = MIN_PERCENT, chars: int = SHIN
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     members = written(shared_buckets(members, f"{path}/shared"), f"{path}/met-members")
     met = by_centrality(members, f"{path}/met")
-    members = written(members.join(if_small(met), "node").select("bucket", "node", "order"), f"{path}/members")
 
     # sets of the lines that share a bucket, from one occurrence of each
     firsts = seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "text_key", "pos")).alias("first"),
@@ -95,19 +132,31 @@ def removed_lines(docs: DataFrame, percent: int = MIN_PERCENT, chars: int = SHIN
         & (F.col("l.pos") == F.col("w.pos")) & F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
         & F.col("l.text_key").eqNullSafe(F.col("w.text_key")))
     sets = found.select("w.node", F.array_distinct(F.transform(_shingles(chars), lambda s: F.xxhash64(s))).alias("s"))
-    # repeated rows hold a line's first occurrence more than once
-    sets = written(sets.groupBy("node").agg(F.first("s").alias("s")), f"{path}/sets")
+    sets = written(sets.select("node", F.size("s").cast("bigint").alias("n"), "s"), f"{path}/sets")
+    if sets.count() > wanted.count():  # repeated rows hold a line's first occurrence more than once
+        sets = written(sets.dropDuplicates(["node"]), f"{path}/single-sets")
+    members = members.join(if_small(met), "node").join(if_small(sets.select("node", "n")), "node")
+    members = written(members.select("bucket", "node", "order", "n", F.lit(0).alias("pos")), f"{path}/members")
 
     def verify(pairs: DataFrame) -> DataFrame:
         # only the sets of this round's pairs are shuffled
-        others = sets.toDF("b", "set_b").join(if_small(pairs.select("b")), "b", "left_semi")
-        both = sets.toDF("a", "set_a").join(if_small(pairs), "a").join(others, "b")
+        alone = sets.select("node", "s")
+        others = alone.toDF("b", "set_b").join(if_small(pairs.select("b")), "b", "left_semi")
+        both = alone.toDF("a", "set_a").join(if_small(pairs), "a").join(others, "b")
         sizes = [F.size("set_a"), F.size("set_b")]
-        both = both.where(100 * F.least(*sizes) >= percent * F.greatest(*sizes))
         common = F.size(F.array_intersect("set_a", "set_b"))
         return both.where(100 * common >= percent * (sizes[0] + sizes[1] - common)).select("a", "b")
 
-    labels, _ = link_buckets(spark, members, verify, f"{path}/rounds")
+    # one hub a bucket, then the prefix filter
+    meets = reachable(percent)
+    hubs, pairs = hub_pairs(members.withColumn("label", F.col("node")), 1, f"{path}/hubs", meets)
+    links = written(verify(written(pairs, f"{path}/pairs")), f"{path}/links")
+    labels = None if links.isEmpty() else written(components(links, f"{path}/components"), f"{path}/labels")
+    left = members.join(if_small(hubs.select("bucket", "node")), ["bucket", "node"], "left_anti")
+    left = written(unresolved(left.drop("pos"), labels, f"{path}/mixed").drop("label"), f"{path}/left")
+    keys = written(prefix_keys(left, hubs.select("bucket", "node"), sets, percent), f"{path}/prefixes")
+    keys = written(shared_buckets(keys, f"{path}/prefix-keys").drop("size"), f"{path}/finer")
+    labels, _ = link_buckets(spark, keys, verify, f"{path}/rounds", links, labels, meets)
 
     # first occurrence of each component; lines on their own only if they repeat
     own = firsts.select("h1", "h2", "first", "times")

@@ -148,7 +148,7 @@ class SetStore:
         return both.where(100 * common >= percent * union).select("a", "b")
 
 
-def _meets(percent: int) -> str:
+def reachable(percent: int) -> str:
     """SQL: a node m and a hub h that share an element at 0-based positions
     ``pos`` of their ordered sets of size ``n`` can still reach the overlap
     that the similarity needs (at position 0: the sizes are close enough)."""
@@ -161,7 +161,7 @@ def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
 
     In any fixed order of all shingles, two sets of similarity t share one of
     the first ``n - ceil(t * n) + 1`` elements of each, at positions that
-    leave room for the overlap (``_meets``); other pairs are no links.  The
+    leave room for the overlap (``reachable``); other pairs are no links.  The
     filter is exact.  Rare shingles come first (counted on a part of the sets;
     the count only decides the order, not the result), so copies with many
     edits of their own meet nobody."""
@@ -255,7 +255,7 @@ def linked_rows(docs: DataFrame, percent: int = MIN_PERCENT, groups: int = GROUP
         tables = tables.unionByName(shared_buckets(keys, f"{path}/prefix-keys").drop("size"))
     tables = written(tables, f"{path}/tables")
     labels, _ = link_buckets(spark, tables, lambda p: store.confirmed(p, percent), f"{path}/rounds", links, labels,
-                             meets=_meets(percent))
+                             meets=reachable(percent))
 
     # only linked nodes change their name
     linked = nodes.select("node", "f1", "f2", "first_id").join(if_small(labels), "node")

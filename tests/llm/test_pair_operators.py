@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from starlane.llm import components as component_steps
 from starlane.llm import line_dedup, near_dup
 from starlane.llm.common import shared_dir
 from starlane.llm.components import components, link_buckets
@@ -236,3 +237,35 @@ def test_op6_empty_table(spark):
 def test_op6_runs_no_python_on_executors(spark):
     plan = QUERIES["op6_line_dedup"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_op6_odd_spaces_are_those_of_the_pattern(spark):
+    every = spark.createDataFrame([(chr(i),) for i in range(0x10000) if not 0xd800 <= i < 0xe000], "c string")
+    found = {r.c for r in every.where(f"c RLIKE r'{line_dedup.ODD_SPACE}'").collect()}
+    assert found - {"\n"} == {s for s in line_dedup.ODD_SPACES if s != "  "}
+
+
+@pytest.mark.parametrize("lines", [200, 400])
+def test_op6_alike_lines_are_not_compared_in_all_pairs(spark, monkeypatch, lines):
+    """Lines of one shape (12 common words, 5 own ones) with a few true copies
+    among them: every copy is found, and the pairs grow with the lines."""
+    rng = random.Random(lines)
+    common, rows = H.prose(90, 12).split(), []
+    for i in range(lines):
+        own = ["".join(rng.choices("bcdfgklmnprstvz", k=7)) for _ in range(5)]
+        rows.append((2 * i, " ".join(common + own)))
+        if i % 20 == 0:
+            rows.append((2 * i + 1, " ".join(common + own) + "!"))
+    compared = []
+    for module in (line_dedup, component_steps):
+        plain = module.hub_pairs
+
+        def counted(*args, plain=plain):
+            first, pairs = plain(*args)
+            compared.append(pairs.count())
+            return first, pairs
+        monkeypatch.setattr(module, "hub_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, p) for r in line_dedup.line_decisions(docs).collect() for p in r.removed}
+    assert got == H.removed_lines(rows) and len(got) == lines // 20
+    assert sum(compared) <= 12 * lines
