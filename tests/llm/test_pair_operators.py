@@ -239,12 +239,6 @@ def test_op6_runs_no_python_on_executors(spark):
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
 
 
-def test_op6_odd_spaces_are_those_of_the_pattern(spark):
-    every = spark.createDataFrame([(chr(i),) for i in range(0x10000) if not 0xd800 <= i < 0xe000], "c string")
-    found = {r.c for r in every.where(f"c RLIKE r'{line_dedup.ODD_SPACE}'").collect()}
-    assert found - {"\n"} == {s for s in line_dedup.ODD_SPACES if s != "  "}
-
-
 @pytest.mark.parametrize("lines", [200, 400])
 def test_op6_alike_lines_are_not_compared_in_all_pairs(spark, monkeypatch, lines):
     """Lines of one shape (12 common words, 5 own ones) with a few true copies
