@@ -181,41 +181,64 @@ def _merge(zone: str, changes: DataFrame, key: str, order_by: list[str], partiti
 
     target = spark.read.schema(changes.schema).parquet(zone)
     has_key = F.col(key).isNotNull()
-    keys = _small(materialise(new.where(has_key).select(key), f"{stage}/keys"))
-    state = F.struct(*fields).alias("_state")
-    stored = materialise(target.join(keys, key, "left_semi").select(key, state), f"{stage}/stored")
-    both = stored.unionByName(new.where(has_key).select(key, state))
-    best = materialise(both.groupBy(key).agg(F.max("_state").alias("_best")), f"{stage}/best")
-    # rows that go: stored ones that are not the best; rows that come: best ones that are not stored
-    paired = stored.join(best, key)
-    gone = materialise(paired.where(~F.col("_state").eqNullSafe(F.col("_best"))).select(key, "_state.*"), f"{stage}/gone")
-    kept = paired.where(F.col("_state").eqNullSafe(F.col("_best"))).select(key)
-    come = best.join(kept, key, "left_anti").select(key, "_best.*")
+    columns = changes.columns
+    keyed = new.where(has_key)
+    # no more of the zone is moved than a key and two hashes a row; only the keys
+    # that are stored with other content go through the comparison of whole rows
+    nulls = F.array(*[F.col(c).isNull() for c in columns])     # a hash passes over NULLs
+    prints = [F.xxhash64(nulls, *columns).alias("_h"), F.xxhash64(F.lit(7), nulls, *columns).alias("_i")]
+    ours = materialise(keyed.select(key, *prints), f"{stage}/prints").toDF(key, "_new_h", "_new_i")
+    equal = (F.col("_h") == F.col("_new_h")) & (F.col("_i") == F.col("_new_i"))
+    met = target.where(has_key).select(key, *prints).join(_small(ours), key).groupBy(key) \
+        .agg(((F.count(F.lit(1)) == 1) & F.every(equal)).alias("_equal"))
+    met = materialise(met, f"{stage}/met")
+    n_met, n_other = met.agg(F.count(F.lit(1)), F.count(F.when(~F.col("_equal"), 1))).first()
+    fresh = keyed
+    if n_met:
+        fresh = materialise(keyed.join(_small(met.select(key)), key, "left_anti").select(*columns), f"{stage}/fresh")
+    gone = best = None
+    come = fresh
+    if n_other:
+        keys = _small(met.where(~F.col("_equal")).select(key))
+        state = F.struct(*fields).alias("_state")
+        stored = materialise(target.join(keys, key, "left_semi").select(key, state), f"{stage}/stored")
+        both = stored.unionByName(keyed.join(keys, key, "left_semi").select(key, state))
+        best = materialise(both.groupBy(key).agg(F.max("_state").alias("_best")), f"{stage}/best")
+        # rows that go: stored ones that are not the best; rows that come: best ones that are not stored
+        paired = stored.join(best, key)
+        gone = paired.where(~F.col("_state").eqNullSafe(F.col("_best"))).select(key, "_state.*").select(*columns)
+        gone = materialise(gone, f"{stage}/gone")
+        kept = paired.where(F.col("_state").eqNullSafe(F.col("_best"))).select(key)
+        come = come.unionByName(best.join(kept, key, "left_anti").select(key, "_best.*").select(*columns))
     # rows without key that are stored already, as often as they are, are no news;
     # an equal row is in the same partition, so only those partitions are read
     loose = new.where(~has_key)
     places = _small(materialise(_renamed(loose.select(*partition_cols).distinct(), partition_cols), f"{stage}/places"))
     held = target.where(~has_key).join(places, _same(target, places, partition_cols), "left_semi")
-    loose = loose.select(*changes.columns).exceptAll(held.select(*changes.columns))
-    come = materialise(come.select(*changes.columns).unionByName(loose), f"{stage}/come")
+    loose = materialise(loose.select(*columns).exceptAll(held.select(*columns)), f"{stage}/loose")
+    come = come.unionByName(loose)
 
-    touched = gone.select(*partition_cols).unionByName(come.select(*partition_cols)).distinct()
-    touched = materialise(touched, f"{own}/touched")
+    touched = come.select(*partition_cols)
+    if gone is not None:
+        touched = touched.unionByName(gone.select(*partition_cols))
+    touched = materialise(touched.distinct(), f"{own}/touched")
     if touched.isEmpty():
         delete_path(spark, own)
         delete_path(spark, stage)
         return version - 1
     places = _small(_renamed(touched, partition_cols))
-    affected = target.join(places, _same(target, places, partition_cols), "left_semi")
     # other keys stay as they are; of the changed ones, the best rows of these partitions
-    rest = affected.join(keys, key, "left_anti").select(*changes.columns)
-    best_rows = best.select(key, "_best.*").select(*changes.columns)
-    best_rows = best_rows.join(places, _same(best_rows, places, partition_cols), "left_semi")
-    merged = rest.unionByName(best_rows).unionByName(come.where(~has_key))
+    merged = target.join(places, _same(target, places, partition_cols), "left_semi").select(*columns)
+    if best is not None:
+        best_rows = best.select(key, "_best.*").select(*columns)
+        best_rows = best_rows.join(places, _same(best_rows, places, partition_cols), "left_semi")
+        merged = merged.join(keys, key, "left_anti").select(*columns).unionByName(best_rows)
+    merged = merged.unionByName(fresh).unionByName(loose)
     write_parquet(_by_partition(materialise(merged, f"{stage}/merged"), partition_cols, key), f"{own}/merged")
     if log_changes:
-        moves = gone.select(*changes.columns).withColumn(SIGN, F.lit(-1)) \
-            .unionByName(come.withColumn(SIGN, F.lit(1)))
+        moves = come.withColumn(SIGN, F.lit(1))
+        if gone is not None:
+            moves = moves.unionByName(gone.withColumn(SIGN, F.lit(-1)))
         write_parquet(moves, f"{own}/changes")
     touch(spark, f"{own}/_PREPARED")
     _put_through(spark, zone, version, partition_cols)
