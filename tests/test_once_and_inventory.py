@@ -1,5 +1,6 @@
 """Exactly-once appends, quarantine, file inventory, content ledger, compaction."""
 
+import glob
 import os
 
 import pytest
@@ -143,3 +144,17 @@ def test_published_folders_hold_no_plain_identifier(spark, tmp_root):
         rotate(spark.read.parquet(out), "customer_id", mapping.limit(1)).collect()
     with pytest.raises(ValueError, match="salt"):
         pseudonym("customer_id", "", 1)
+
+
+def test_files_sent_again_grow_in_number_not_in_size(spark, tmp_root):
+    from starlane.plans.queries import _deliver
+
+    raw = spark.range(3000).select(F.col("id").cast("string").alias("Booking ID"), F.lit("x").alias("v"),
+                                   (F.col("id") % 3).cast("int").alias("part"))
+    for name, parts in (("first", [0, 1]), ("second", [1, 2])):
+        _deliver(raw, os.path.join(tmp_root, name), parts, 5, name == "second")
+    found = {n: file_inventory(spark, sorted(glob.glob(f"{tmp_root}/{n}/*/*/*.csv"))).collect() for n in ("first", "second")}
+    assert {n: len(f) for n, f in found.items()} == {"first": 10, "second": 10}
+    assert max(r.lines for r in found["first"]) < 400
+    prints = {n: {(r.lines, r.print_a, r.print_b) for r in f if "part=1" in r.file} for n, f in found.items()}
+    assert prints["first"] == prints["second"] and len(prints["first"]) == 5
