@@ -47,11 +47,14 @@ def strip(c: Column | str) -> Column:
     """Remove white space of every kind from both ends (no regex per row).
 
     Trimming with a list of characters is dear, so a text that neither begins
-    nor ends with any is passed on as it is.  ``c`` is written several times:
-    bind a longer expression to a column first."""
+    nor ends with any is passed on as it is; one whose ends are printable ASCII
+    is known by comparing bytes.  ``c`` is written several times: bind a longer
+    expression to a column first."""
     x, white = _c(c), F.lit(WHITE)
-    padded = F.contains(white, F.substring(x, 1, 1)) | F.contains(white, F.substring(x, -1, 1))
-    return F.when(padded, F.btrim(x, white)).otherwise(x)
+    last = F.substring(x, -1, 1)
+    plain = (x >= "!") & (x < "\x7f") & (last >= "!") & (last < "\x7f")
+    padded = F.contains(white, F.substring(x, 1, 1)) | F.contains(white, last)
+    return F.when(plain, x).when(padded, F.btrim(x, white)).otherwise(x)
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -85,10 +88,13 @@ def title_case(c: Column | str) -> Column:
     Every maximal run of letters is one word, so ``no-show o'neil`` becomes
     ``No-Show O'Neil`` and ``3rd`` becomes ``3Rd`` (``initcap`` alone would
     give ``No-show O'neil``).  Built from codegen'd ``regexp_replace`` and
-    ``initcap``; no arrays or lambdas per row.
+    ``initcap``; no arrays or lambdas per row.  Plain words a space apart need
+    no marks.  ``c`` is written twice.
     """
-    marked = F.regexp_replace(F.lower(_c(c)), r"(\P{L})(?=\p{L})", "$1" + _WORD_MARK)
-    return F.regexp_replace(F.initcap(marked), _WORD_MARK, "")
+    x = _c(c)
+    marked = F.regexp_replace(F.lower(x), r"(\P{L})(?=\p{L})", "$1" + _WORD_MARK)
+    return F.when(x.rlike(r"^[A-Za-z]++(?: [A-Za-z]++)*+\z"), F.initcap(x)) \
+        .otherwise(F.regexp_replace(F.initcap(marked), _WORD_MARK, ""))
 
 
 def map_payment(c: Column | str) -> Column:

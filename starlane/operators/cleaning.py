@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlane.functions.numeric import finite
+from starlane.functions.numeric import finite, numeric_text
 from starlane.functions.text import (
     blank_to_null,
     clean_text,
@@ -99,7 +99,7 @@ def clean_bookings(raw: DataFrame, header_rule=normalise_header) -> DataFrame:
         "booking_status": title_case("booking_status"),
         "customer_id": strip_quotes("customer_id"),
         "payment_method": map_stripped_payment(F.col("payment_method")),
-        **{m: F.col(m).try_cast("double") for m in MEASURE_COLS},
+        **{m: numeric_text(F.col(m)).try_cast("double") for m in MEASURE_COLS},
     }
     final: dict[str, Column] = {
         **{c: clean_text(c) for c in ("booking_id", "customer_id")},    # white space inside the quotes

@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starlane.functions.numeric import safe_double
+from starlane.functions.numeric import finite, safe_double
 from starlane.functions.text import (
+    WHITE,
     clean_text,
     map_payment,
     normalise_header,
@@ -131,3 +132,24 @@ def test_the_timestamp_parse_splits_nothing(spark):
     df = spark.createDataFrame([("2024-3-3", "1:2:3")], "d string, t string")
     plan = df.select(parse_booking_ts("d", "t").alias("ts")).where("ts is not null")._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("split(") == 0
+
+
+def test_texts_that_cannot_be_finite_numbers_are_not_cast(spark):
+    from starlane.functions.numeric import numeric_text
+
+    values = ["", "null", "NaN", "Infinity", "inf", "abc", "1.5", "-2", "+3", ".5", "1e20", "1d", "0x1p3", "\x01 4", "-Infinity", None]
+    rows = spark.createDataFrame([(v,) for v in values], "x string").select(
+        "x", numeric_text(F.col("x")).alias("n"), safe_double("x").alias("new"), finite(F.col("x").try_cast("double")).alias("old"))
+    got = rows.collect()
+    assert [r.n for r in got[:6]] == [None] * 6
+    assert [r.new for r in got] == [r.old for r in got]
+
+
+def test_fast_paths_of_strip_and_title_case(spark):
+    values = ["", " ", "a", "a ", " é", "é", "\x7fx", "x\x7f", "plain text", "two  gaps", "no-show o'neil", "x1y", "ends \n", "ǆ a"]
+    rows = spark.createDataFrame([(v,) for v in values], "x string").select(
+        "x", strip("x").alias("s"), F.btrim("x", F.lit(WHITE)).alias("trimmed"), title_case("x").alias("t"))
+    for r in rows.collect():
+        assert r.s == r.trimmed
+        if r.x.isascii():
+            assert r.t == "".join(c.upper() if not r.x[i - 1:i].isalpha() else c.lower() for i, c in enumerate(r.x))
