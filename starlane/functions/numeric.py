@@ -24,7 +24,8 @@ def numeric_text(x: Column) -> Column:
     """A stripped text, or NULL where it cannot be a finite number: it is
     empty or begins beyond the digits (``null``, ``NaN``, words).  A cast that
     fails throws inside and costs as much as many that do not."""
-    return F.when((x < "A") & (x != ""), x)
+    text = x.cast("string")     # inferred types: numbers, and booleans that are 1 and 0
+    return F.when(((text < "A") & (text != "")) | text.isin("true", "false"), x)
 
 
 def finite(x: Column) -> Column:

@@ -51,8 +51,9 @@ def strip(c: Column | str) -> Column:
     is known by comparing bytes.  ``c`` is written several times: bind a longer
     expression to a column first."""
     x, white = _c(c), F.lit(WHITE)
-    last = F.substring(x, -1, 1)
-    plain = (x >= "!") & (x < "\x7f") & (last >= "!") & (last < "\x7f")
+    text = x.cast("string")     # a feed of inferred types has numbers and dates
+    last = F.substring(text, -1, 1)
+    plain = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
     padded = F.contains(white, F.substring(x, 1, 1)) | F.contains(white, last)
     return F.when(plain, x).when(padded, F.btrim(x, white)).otherwise(x)
 

@@ -153,3 +153,10 @@ def test_fast_paths_of_strip_and_title_case(spark):
         assert r.s == r.trimmed
         if r.x.isascii():
             assert r.t == "".join(c.upper() if not r.x[i - 1:i].isalpha() else c.lower() for i, c in enumerate(r.x))
+
+
+def test_strip_and_number_casts_take_inferred_types(spark):
+    rows = spark.sql("SELECT 2.5D AS d, 7 AS i, true AS b, DATE'2024-01-02' AS day")
+    got = rows.select(strip("d").alias("d"), safe_double("d").alias("n"), safe_double("i").alias("i"),
+                      safe_double("b").alias("b"), strip("day").cast("string").alias("day")).first()
+    assert (got.d, got.n, got.i, got.b, got.day) == (2.5, 2.5, 7.0, 1.0, "2024-01-02")
