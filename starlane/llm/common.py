@@ -68,7 +68,8 @@ def one_by_one(batches: Iterable, rows: int | None = None) -> Iterator:
 
 
 def annotate(df: DataFrame, make_scorer: Callable, fields: str, keep: list[str] | None = None,
-             text: str = "text", more: list[str] | None = None, rows_at_once: int | None = None) -> DataFrame:
+             text: str = "text", more: list[str] | None = None, rows_at_once: int | None = None,
+             chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Add columns computed from whole texts, one Arrow batch at a time.
 
     ``make_scorer()`` runs once per task and returns a function from a list of
@@ -76,7 +77,8 @@ def annotate(df: DataFrame, make_scorer: Callable, fields: str, keep: list[str]
     of equally long columns.  ``fields`` is the DDL of the new columns; input
     columns of the same names (or clashing in case) are replaced.  ``keep``
     names the input columns that stay (all by default).  ``rows_at_once`` cuts
-    the batches where a row needs much more than its text.
+    the batches where a row needs much more than its text, ``chunk_bytes`` the
+    text that the function gets at once (a text stays whole).
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -103,7 +105,7 @@ def annotate(df: DataFrame, make_scorer: Callable, fields: str, keep: list[str]
             texts = as_bytes(batch.column(n_keep))
             others = [batch.column(n_keep + 1 + i).to_pylist() for i in range(n_more)]
             cols = {n: [] for n in names}
-            for first, part in text_chunks(texts):
+            for first, part in text_chunks(texts, chunk_bytes):
                 got = score(part, *[o[first:first + len(part)] for o in others])
                 for n in names:
                     cols[n].append(pa.array(got[n], type=schema.field(n).type))

@@ -39,6 +39,9 @@ GROUPS = 12     # m: minhash groups in each collection
 ROWS = 3        # r: minhashes in a group
 LARGE_BUCKET = 64           # larger unresolved buckets go by prefix keys
 COMMON_SHINGLES = 200_000   # frequent shingles whose counts order the prefixes
+# The scan keeps some forty times its text in numpy arrays: small passes leave
+# the worker small, and an Arrow batch is not copied whole into Python objects.
+SCAN = {"rows_at_once": 500, "chunk_bytes": 250_000}
 
 _U = np.uint64
 
@@ -95,7 +98,7 @@ def signatures(docs: DataFrame, keep: list[str], groups: int = GROUPS, rows: int
         return score
 
     return annotate(docs, scorer, "n_shingles bigint, f1 bigint, f2 bigint, a array<bigint>, b array<bigint>",
-                    keep=keep)
+                    keep=keep, **SCAN)
 
 
 class SetStore:
@@ -131,7 +134,7 @@ class SetStore:
                 return {"shingles": [s.tolist() for s in sets]}
             return score
 
-        made = written(annotate(texts, scorer, "shingles array<bigint>", keep=["node"]), f"{self.path}/sets-{k}")
+        made = written(annotate(texts, scorer, "shingles array<bigint>", keep=["node"], **SCAN), f"{self.path}/sets-{k}")
         if made.count() > ids.count():  # repeated rows
             made = written(made.dropDuplicates(["node"]), f"{self.path}/single-sets-{k}")
         self.parts.append(made)

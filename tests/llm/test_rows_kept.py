@@ -1,6 +1,7 @@
 """Filtering operators decide by row, and leave other columns alone."""
 
 from starlane.llm import decontaminate, line_dedup, near_dup
+from starlane.llm.common import annotate
 from tests.llm import helpers as H
 
 CLASHES = ("n_words bigint, n_hit string, dropped_id bigint, gone_pos string, gone_key string, tree_chars string, "
@@ -43,6 +44,16 @@ def test_sets_are_made_once_a_text(spark, monkeypatch):
     assert 0 < sum(made) <= 60
 
 
+def test_near_dup_scans_little_text_at_once(spark):
+    def scorer():
+        return lambda texts: {"held": [sum(map(len, texts))] * len(texts)}
+
+    docs = spark.createDataFrame([(i, "x" * 100_000) for i in range(8)] + [(9, "y" * 600_000)], "doc_id bigint, text string")
+    held = {r.doc_id: r.held for r in annotate(docs.coalesce(1), scorer, "held bigint", **near_dup.SCAN).collect()}
+    assert held.pop(9) == 600_000 and len(held) == 8     # a text stays whole, alone
+    assert max(held.values()) <= near_dup.SCAN["chunk_bytes"]
+
+
 def test_other_columns_stay(spark):
     lines = "\n".join(H.prose(i, 20) for i in range(3))
     bench = spark.createDataFrame([("i1", H.prose(50, 30))], "item_id string, text string")
