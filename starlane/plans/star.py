@@ -210,8 +210,9 @@ def compact_small_files(spark: SparkSession, zone: str, partition_cols: list[str
 
     The files of such a partition, in order of name, are packed into bins of
     about ``target_bytes``; the rows of a bin become one file, so a large
-    partition is the work of many tasks.  The new files are staged whole and
-    swapped in by partition; all other partitions keep their files."""
+    partition is the work of many tasks.  Rows move once: the dynamic overwrite
+    stages the new files whole beside the partitions that they are read from,
+    and its commit swaps them in; all other partitions keep their files."""
     stage = work_dir(spark, "compact_small")
     sizes = materialise(file_sizes(spark, zone, partition_cols), f"{stage}/sizes")
     small = F.count(F.when(F.col("size") < target_bytes // 2, 1))
@@ -233,9 +234,7 @@ def compact_small_files(spark: SparkSession, zone: str, partition_cols: list[str
     bins = materialise(bins, f"{stage}/bins")
     rows = spark.read.parquet(zone).withColumn("_from", F.col("_metadata.file_path"))
     rows = rows.join(bins, F.col("_from") == F.col("_file")).drop("_from", "_file")
-    packed = rows.repartition(*partition_cols, "_bin").drop("_bin")
-    staged = materialise(packed, f"{stage}/rows", partition_by=partition_cols)
-    staged.repartition(*partition_cols, F.col("_metadata.file_path")) \
+    rows.repartition(*partition_cols, "_bin").drop("_bin") \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(zone)
     delete_path(spark, stage)
     return n

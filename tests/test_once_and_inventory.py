@@ -128,6 +128,21 @@ def test_only_crowded_partitions_are_rewritten(spark, tmp_root):
     assert content() == rows and 1 <= len(files(2)) <= 2
 
 
+def test_compaction_moves_rows_once(spark, tmp_root, monkeypatch):
+    from starlane.plans import star
+
+    zone, staged = os.path.join(tmp_root, "zone"), []
+    for k in range(5):
+        rows = spark.createDataFrame([(k, d) for d in (1, 1, None)], "id int, day int")
+        sinks.write_parquet(rows.coalesce(1), zone, "append", partition_by=["day"])
+    content = lambda: sorted((tuple(r) for r in spark.read.parquet(zone).select("id", "day").collect()), key=repr)
+    before, write = content(), star.materialise
+    monkeypatch.setattr(star, "materialise", lambda df, *a, **kw: (staged.append(df.columns), write(df, *a, **kw))[1])
+    assert compact_small_files(spark, zone, ["day"]) == 2
+    assert content() == before and len(before) == 15
+    assert not [c for c in staged if "id" in c]     # files and bins are staged, the rows are not
+
+
 def test_published_folders_hold_no_plain_identifier(spark, tmp_root):
     from starlane.operators.masking import masked, pseudonym, rotate, rotation_map
 
