@@ -18,6 +18,8 @@ from starlane.functions.text import (
     title_case,
 )
 from starlane.functions.time import calendar_columns, date_id_of, parse_booking_ts, parse_formats
+from starlane.operators.cleaning import clean_bookings
+from starlane.schema import CLEANED_COLS, RAW_HEADERS
 
 
 def one_col(spark, values, expr, dtype="string"):
@@ -155,6 +157,22 @@ def test_fast_paths_of_strip_and_title_case(spark):
             assert r.t == "".join(c.upper() if not r.x[i - 1:i].isalpha() else c.lower() for i, c in enumerate(r.x))
 
 
+def test_cheap_ends_of_strip_and_quotes(spark):
+    values = [" a ", "  two words ", "\ta ", " \u00a0b", "é ", " x\u2003", '" a"', '"', 'a"b', "", None]
+    rows = spark.createDataFrame([(v,) for v in values], "x string")
+    for r in rows.select(strip("x").alias("s"), F.btrim("x", F.lit(WHITE)).alias("trimmed"),
+                         strip_quotes("x").alias("q"), F.btrim("x", F.lit('"')).alias("bare")).collect():
+        assert (r.s, r.q) == (r.trimmed, r.bare)
+    # numbers stay text without quotes, as with quotes
+    assert rows.select(strip_quotes(F.lit(7)).alias("q")).schema["q"].dataType.simpleString() == "string"
+
+
+def test_cleaning_is_four_projections(spark):
+    raw = spark.createDataFrame([(*["1"] * len(RAW_HEADERS),)], RAW_HEADERS)
+    read = clean_bookings(raw.localCheckpoint()).select(*CLEANED_COLS)
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("Project [") == 4
+
+
 def test_strip_and_number_casts_take_inferred_types(spark):
     rows = spark.sql("SELECT 2.5D AS d, 7 AS i, true AS b, DATE'2024-01-02' AS day")
     got = rows.select(strip("d").alias("d"), safe_double("d").alias("n"), safe_double("i").alias("i"),
