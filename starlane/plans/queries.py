@@ -155,11 +155,13 @@ def append_exactly_once(spark, sf_dir):
     """Cleaned rows appended in three parts, every part twice (once more after
     the others, as a job that starts over does); the table has each row once."""
     root = work_dir(spark, "append_once")
-    rows = sinks.materialise(_cleaned(spark, sf_dir).select(*CLEANED_COLS), f"{root}/cleaned")
+    # a partition of the zone for each part, so an append reads its own rows alone
+    rest = F.coalesce(F.col("date_id") % 3, F.lit(0)).alias("rest")
+    rows = sinks.materialise(_cleaned(spark, sf_dir).select(*CLEANED_COLS, rest), f"{root}/cleaned", ["rest"])
     db = f"starlane_{root.rsplit('-', 1)[-1]}"
     sinks.ensure_database(spark, db, f"{root}/warehouse")
     for k in (0, 1, 1, 2, 0, 2):
-        part = rows.where(F.coalesce(F.col("date_id") % 3, F.lit(0)) == k)
+        part = rows.where(F.col("rest") == k).select(*CLEANED_COLS)
         sinks.append_once(part, f"{db}.bookings", f"day-rest-{k}", CLEANED_SCHEMA)
     out = sinks.materialise(spark.table(f"{db}.bookings").select(*CLEANED_COLS), f"{root}/result")
     spark.sql(f"DROP DATABASE {db} CASCADE")

@@ -6,7 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from starlane.plans import queries
 from starlane.plans.star import compact_small_files, file_sizes
+from starlane.schema import CLEANED_SCHEMA
 from starlane.sinks import files as sinks
 from starlane.sources.inventory import ContentLedger, file_inventory, files_by_header
 
@@ -48,6 +50,24 @@ def test_append_once(spark, db):
     assert sinks.append_once(text, table, "w4", "id int, v string") == {"rows": 2, "lost_values": 1}
 
 
+def test_an_append_reads_its_own_rows_alone(spark, monkeypatch):
+    feed = spark.createDataFrame([(f"b{d}", d) for d in (20240101, 20240102, 20240103, None, 20240102)],
+                                 "booking_id string, date_id int")
+    columns = [F.col(f.name) if f.name in feed.columns else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in CLEANED_SCHEMA.fields]
+    monkeypatch.setattr(queries, "_cleaned", lambda *_: feed.select(*columns))
+    plans, append = [], sinks.append_once
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return append(df, *args)
+
+    monkeypatch.setattr(sinks, "append_once", seen)
+    got = queries.append_exactly_once(spark, "").collect()
+    assert sorted(r.booking_id for r in got) == ["b20240101", "b20240102", "b20240102", "b20240103", "bNone"]
+    assert len(plans) == 6 and all("PartitionFilters: [isnotnull(rest" in p for p in plans)
+
+
 def test_quarantine(spark, tmp_root):
     rows = [("1", "2.5", "a"), ("x", "nan?", None), (None, "1e20", "c"), ("7", None, "d"), ("1", "2.5", "a")]
     df = spark.createDataFrame(rows, "id string, amount string, `odd name` string")
