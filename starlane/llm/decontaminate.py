@@ -28,6 +28,8 @@ from starlane.llm.textscan import ALNUM, Scan, in_sorted
 WINDOW_WORDS = 10
 # Windows broadcast at once: about 100 bytes each, so under 0.1 GB.
 BLOCK_WINDOWS = 500_000
+# Scanned at once: a word needs some 150 bytes of arrays beside its text.
+SCAN = {"rows_at_once": 500, "chunk_bytes": 250_000}
 
 SPANS = "array<struct<begin:bigint,end:bigint>>"
 
@@ -50,7 +52,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = WINDOW_WORDS) -> DataFrame:
         return score
 
     found = annotate(benchmark.select(F.col("item_id").cast("string").alias("item"), "text"), scorer,
-                     "windows array<struct<size:int,words:binary>>", keep=["item"])
+                     "windows array<struct<size:int,words:binary>>", keep=["item"], **SCAN)
     return found.select("item", F.explode("windows").alias("w")).select("item", "w.size", "w.words").distinct()
 
 
@@ -141,7 +143,7 @@ def mark_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS,
         table = spark.sparkContext.broadcast(rows)
         last = k == blocks - 1
         found = annotate(found, _block_scorer(table), fields, keep=keep if last else None,
-                         more=["hit_words", "hit_items"] if k else None)
+                         more=["hit_words", "hit_items"] if k else None, **SCAN)
         if not last:
             found = written(found, shared_dir(spark, "decontaminate"))
     return found
@@ -173,7 +175,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
             return {"cut_text": cut}
         return score
 
-    kept = annotate(marked, scorer, "cut_text string", more=["hit_bytes"])
+    kept = annotate(marked, scorer, "cut_text string", more=["hit_bytes"], **SCAN)
     return kept.select(*[F.when(F.col("n_hit") > 0, F.col("cut_text")).otherwise(F.col("text")).alias(c)
                          if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 

@@ -68,3 +68,14 @@ def test_other_columns_stay(spark):
     assert once.columns == docs.columns
     got = {r.doc_id: (r.text, tuple(r)[2:]) for r in once.collect()}
     assert got == {1: (lines, EXTRA), 2: (H.prose(7, 20), EXTRA), 3: (H.prose(50, 30), EXTRA), 4: (None, EXTRA)}
+
+
+def test_decontamination_scans_a_bounded_text_at_once(spark, monkeypatch):
+    asked = []
+    inner = decontaminate.annotate
+    monkeypatch.setattr(decontaminate, "annotate", lambda *a, **k: asked.append(k) or inner(*a, **k))
+    docs = spark.createDataFrame([(i, "alpha beta gamma " + "delta " * i) for i in range(4)], "doc_id bigint, text string")
+    items = spark.createDataFrame([("i1", "beta gamma delta delta")], "item_id string, text string")
+    for action in ("document", "span"):
+        assert decontaminate.decontaminate(docs, items, action=action, n=4).count() == (2 if action == "document" else 4)
+    assert len(asked) == 5 and all(k["chunk_bytes"] <= 250_000 and k["rows_at_once"] <= 500 for k in asked)
