@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from starlane.llm.common import annotate, worker_state
 from starlane.llm.pretoken import PieceCache, Pieces, ids_by_text
 
+# the arrays of a scan, ids and decoded texts are several times the text taken at once
+SCAN = {"rows_at_once": 500, "chunk_bytes": 250_000}
 END_MARK = ""  # one private character for the word end while matching
 
 
@@ -217,7 +219,7 @@ def encode_decode(docs: DataFrame, path: str, keep: list[str] | None = None) ->
             return {"token_ids": [i.tolist() for i in ids], "decoded": [bpe.decode(i.tolist()) for i in ids]}
         return score
 
-    return annotate(docs, scorer, "token_ids array<bigint>, decoded string", keep=keep)
+    return annotate(docs, scorer, "token_ids array<bigint>, decoded string", keep=keep, **SCAN)
 
 
 def encode_digests(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
@@ -234,4 +236,4 @@ def encode_digests(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
                     "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in decoded]}
         return score
 
-    return annotate(docs, scorer, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", keep=keep)
+    return annotate(docs, scorer, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", keep=keep, **SCAN)

@@ -83,6 +83,7 @@ def annotate(df: DataFrame, make_scorer: Callable, fields: str, keep: list[str]
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    apply_engine_conf(df.sparkSession)  # bounds the Arrow batches
     new = StructType.fromDDL(fields)
     taken = {n.lower() for n in new.names}
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]

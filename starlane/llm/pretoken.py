@@ -24,10 +24,9 @@ def char_classes() -> np.ndarray:
     if not _CLASSES:
         import regex
 
-        points = [*range(0xD800), *range(0xE000, 0x110000)]
-        text = "".join(map(chr, points))
+        at = np.concatenate([np.arange(0xD800, dtype=np.uint32), np.arange(0xE000, 0x110000, dtype=np.uint32)])
+        text = at.astype("<u4").tobytes().decode("utf-32-le")
         table = np.full(0x110000, OTHER, dtype=np.uint8)
-        at = np.array(points)
         for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
             for m in regex.finditer(pattern, text):
                 table[at[m.start():m.end()]] = kind
@@ -107,7 +106,8 @@ class PieceCache:
         self.clear()
 
     def clear(self):
-        self.slots: dict[int, int] = {}
+        self.known = np.empty(0, dtype=np.uint64)   # hashes, sorted (a dict of them is ten times as large)
+        self.slots = np.empty(0, dtype=np.int64)     # slot of each
         self.at = np.zeros(1 << 12, dtype=np.int64)
         self.size = np.zeros(1 << 12, dtype=np.int64)
         self.ids = np.zeros(1 << 14, dtype=np.uint32)
@@ -122,16 +122,19 @@ class PieceCache:
 
     def lookup(self, pieces: Pieces) -> np.ndarray:
         """Slot of every piece, encoding the distinct new ones first."""
-        if len(self.slots) > self.limit or self.used > 20 * self.limit:
+        if len(self.known) > self.limit or self.used > 20 * self.limit:
             self.clear()
         distinct, first, back = np.unique(pieces.hashes, return_index=True, return_inverse=True)
-        get = self.slots.get
-        slots = np.array([get(h, -1) for h in distinct.tolist()], dtype=np.int64)
+        place = np.searchsorted(self.known, distinct)
+        slots = np.full(len(distinct), -1, dtype=np.int64)
+        if len(self.known):
+            near = np.minimum(place, len(self.known) - 1)
+            slots = np.where(self.known[near] == distinct, self.slots[near], -1)
         new = np.flatnonzero(slots < 0)
         if len(new):
             strings = [pieces.piece(i) for i in first[new].tolist()]
             encoded, names = self.encode_pieces(strings)
-            base = len(self.slots)
+            base = len(self.known)
             sizes = np.fromiter((len(e) for e in encoded), dtype=np.int64, count=len(encoded))
             total = int(sizes.sum())
             self.at = self._room(self.at, base + len(new))
@@ -144,7 +147,8 @@ class PieceCache:
             self.used += total
             self.names.extend(names)
             slots[new] = np.arange(base, base + len(new))
-            self.slots.update(zip(distinct[new].tolist(), slots[new].tolist()))
+            self.known = np.insert(self.known, place[new], distinct[new])
+            self.slots = np.insert(self.slots, place[new], slots[new])
         return slots[back]
 
     def counts(self, pieces: Pieces) -> np.ndarray:
