@@ -22,6 +22,22 @@ def head(df: DataFrame, n: int = 5, order=None) -> DataFrame:
     return (df.orderBy(*order) if order else df).limit(n)
 
 
+def head_in_full_order(df: DataFrame, n: int) -> DataFrame:
+    """First ``n`` rows in the order of all columns.
+
+    The ``n``-th smallest distinct value of the first column bounds them: that
+    many rows are there up to it.  It is found from that column alone (the
+    planner drops a distinct below, which cannot change it), and as a filter on
+    the column it goes below the distinct of a view, so only rows that may be
+    among the first are compared whole.  The bound is exact; with fewer values
+    than ``n`` there is none."""
+    lead = F.col(f"`{df.columns[0]}`")
+    values = df.select(lead.alias("v")).distinct().orderBy(F.col("v").asc_nulls_first()).limit(n).collect()
+    if len(values) == n and values[-1]["v"] is not None:
+        df = df.where(lead.isNull() | (lead <= F.lit(values[-1]["v"])))
+    return head(df, n, full_order(df))
+
+
 def distinct_top_k(df: DataFrame, k: int) -> DataFrame:
     """``SELECT DISTINCT * ... ORDER BY <all columns> LIMIT k``."""
     return df.distinct().orderBy(*full_order(df)).limit(k)

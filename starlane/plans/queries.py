@@ -112,7 +112,7 @@ def parquet_zone_view(spark, sf_dir):
     """Cleaned zone -> glob scan -> ``SELECT DISTINCT *`` view -> first 100
     rows of the view in order."""
     view = spark.table(_cleaned_view(spark, sf_dir, "zone_view"))
-    return sorts.head(view, 100, sorts.full_order(view))
+    return sorts.head_in_full_order(view, 100)
 
 
 def cleaned_filtered_distinct(spark, sf_dir):
