@@ -12,7 +12,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_TIME_SHAPE = r"\d{1,2}:\d{1,2}:\d{1,2}"
+# Valid dates and times but for Feb 29 of common years: a cast that fails throws
+# inside and costs as much as many that do not, so most are known by the text.
+_ISO_DATE = (r"\d{4}-(?:(?:0?[13578]|1[02])-(?:0?[1-9]|[12]\d|3[01])|(?:0?[469]|11)-(?:0?[1-9]|[12]\d|30)"
+             r"|0?2-(?:0?[1-9]|[12]\d))")
+_ISO_TIME = r"(?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d"
 
 # Date shapes a feed may use: pattern, and how its groups make year-month-day.
 DATE_FORMATS = {
@@ -25,22 +29,21 @@ DATE_FORMATS = {
 }
 
 
-def _parse(text: Column, shape: str) -> Column:
-    """Wall-clock timestamp of a text of the given shape, else NULL.
+def _parse(text: Column, with_time: bool) -> Column:
+    """Wall-clock timestamp of a ``yyyy-M-d[ H:m:s]`` text, else NULL.
 
     The shape check keeps the cast from accepting other forms; the cast to
     timestamp_ntz checks the fields (Feb 30, hour 24, ...) and does not depend
     on the session time zone.  The text appears twice and nothing is split,
     so a filter pushed below the projection copies little.
     """
-    plain = shape.replace("(", "").replace(")", "")     # groups cost and are not read here
-    return F.when(text.rlike(f"^{plain}$"), text).try_cast("timestamp_ntz")
+    shape = f"{_ISO_DATE} {_ISO_TIME}" if with_time else _ISO_DATE
+    return F.when(text.rlike(f"^{shape}$"), text).try_cast("timestamp_ntz")
 
 
 def parse_stamp(text: Column, with_time: bool) -> Column:
     """Timestamp of a stripped ``yyyy-M-d[ H:m:s]`` text, else NULL."""
-    shape = DATE_FORMATS["yyyy-M-d"][0]
-    return _parse(text, f"{shape} {_TIME_SHAPE}" if with_time else shape)
+    return _parse(text, with_time)
 
 
 def parse_booking_ts(date_col: Column | str, time_col: Column | str | None) -> Column:
@@ -64,9 +67,9 @@ def parse_formats(date_col: Column | str, time_col: Column | str | None, formats
         text = date if name == "yyyy-M-d" else F.regexp_replace(date, f"^{shape}$", iso)
         own = date.rlike(f"^{shape}$")
         if time_col is None:
-            stamp = _parse(text, DATE_FORMATS["yyyy-M-d"][0])
+            stamp = _parse(text, False)
         else:
-            stamp = _parse(F.concat_ws(" ", text, strip(time_col)), DATE_FORMATS["yyyy-M-d"][0] + " " + _TIME_SHAPE)
+            stamp = _parse(F.concat_ws(" ", text, strip(time_col)), True)
         tried.append(stamp if name == "yyyy-M-d" else F.when(own, stamp))
     return F.coalesce(*tried) if len(tried) > 1 else tried[0]
 
