@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starlane.session import apply_engine_conf, checkpoint_root
+from starlane.session import apply_engine_conf, checkpoint_root, delete_path
 
 # Text handed to one numpy pass (bytes); only bounds memory, never cuts a text.
 CHUNK_BYTES = 2_000_000
@@ -32,6 +32,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Drop written stages that nothing reads any more."""
+    for path in paths:
+        delete_path(spark, path)
+
+
 def worker_state(key: str, make: Callable):
     """State kept for the life of a Python worker (tokenizer tables, caches)."""
     store = sys.__dict__.setdefault("_starlane_worker_state", {})

@@ -110,12 +110,22 @@ def hub_pairs(members: DataFrame, hubs: int, path: str, meets: str = "true") ->
         first = members.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs) \
             .select("bucket", "node", *rest)
     first = written(first, path)
-    pairs = members.alias("m").join(if_small(first).alias("h"), (F.col("m.bucket") == F.col("h.bucket"))
+    few = if_small(first, 4 * BROADCAST_ROWS // max(4, len(first.columns)))
+    pairs = members.alias("m").join(few.alias("h"), (F.col("m.bucket") == F.col("h.bucket"))
                                     & (F.col("m.label") != F.col("h.label")) & F.expr(meets)) \
         .select(F.least("m.node", "h.node").alias("a"), F.greatest("m.node", "h.node").alias("b")).distinct()
     return first, pairs
 
 
+def alike_pairs(members: DataFrame, meets: str) -> DataFrame:
+    """All pairs (a < b) of nodes of other components that share a bucket and
+    meet: for small buckets."""
+    return members.alias("m").join(members.alias("h"), (F.col("m.bucket") == F.col("h.bucket"))
+                                   & (F.col("m.node") < F.col("h.node")) & (F.col("m.label") != F.col("h.label"))
+                                   & F.expr(meets)) \
+        .select(F.col("m.node").alias("a"), F.col("h.node").alias("b")).distinct()
+
+
 def link_buckets(spark: SparkSession, members: DataFrame, verify: Callable[[DataFrame], DataFrame],
                  path: str, known: DataFrame | None = None, labels: DataFrame | None = None,
                  meets: str = "true") -> tuple[DataFrame | None, DataFrame | None]:

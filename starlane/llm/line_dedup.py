@@ -13,10 +13,13 @@ union-find, and of each component only the first occurrence (smallest doc_id,
 then position) stays.
 
 Hot lines cost nothing extra: all aggregates have a partial step.  The most
-central line of each bucket is compared with the others; what is left of a
-bucket meets again only where an exact prefix filter lets it (see
-``prefix_keys``), so lines of one shape that are no copies are not compared in
-all their pairs.
+central line of each bucket is compared with the others, then what is left of a
+small bucket in all its pairs; in a large one lines meet again only where an
+exact prefix filter lets them (see ``prefix_keys``), so lines of one shape that
+are no copies are not compared in all their pairs.  Each line has a bitmap of
+its set; pairs that these tell apart (see ``alike``, exact)
+come to nothing inside the join, and only lines of the others have their sets
+read.
 
 Edge cases: blank lines are kept and never compared; null and empty texts have
 no lines and come back as they are; a line shorter than a shingle is one
@@ -29,10 +32,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlane.llm.common import shared_dir, written
-from starlane.llm.components import (by_centrality, components, hub_pairs, if_small, link_buckets, shared_buckets,
-                                     unresolved)
+from starlane.llm.common import forget, shared_dir, written
+from starlane.llm.components import (alike_pairs, by_centrality, components, hub_pairs, if_small, link_buckets,
+                                     shared_buckets, unresolved)
 from starlane.llm.near_dup import reachable
+from starlane.session import child_names
 
 SHINGLE_CHARS = 9
 BANDS = 6
@@ -40,6 +44,9 @@ ROWS = 2
 MIN_PERCENT = 80
 ODD_SPACE = r"(?U)[\s&&[^ ]]|  "    # any Unicode white space but a single space
 HUB_SHINGLES = 5_000_000             # hub sets that are broadcast hold so many longs at most (40 MB)
+WORDS = 4                            # a line's bitmap: so many longs (a power of two)
+LARGE_BUCKET = 256                   # what is left of larger buckets goes by prefix keys
+BROADCAST_LONGS = 1_000_000          # rows of one long that are broadcast at most
 
 
 def _shingle_pattern(chars: int) -> str:
@@ -67,7 +74,8 @@ def _shingles(chars: int):
 
 def prefix_keys(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(bucket, node, order, n, pos): finer buckets for ``members`` (bucket,
-    node, order, n), whose buckets have the ``hubs`` (bucket, node).
+    node, order), whose buckets have the ``hubs`` (bucket, node); ``n`` is the
+    size of the set.
 
     Within a bucket all sets are put in one order: shingles that the hub lacks
     come first, then those it has.  Two sets of similarity ``percent`` share
@@ -78,7 +86,7 @@ def prefix_keys(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: i
     of_hub = sets.join(if_small(kept), "node").select("bucket", "n", F.col("s").alias("hub_s"))
     weight = kept.join(sets.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0
     of_hub = of_hub.drop("n")
-    held = sets.select("node", "s").join(if_small(members), "node")
+    held = sets.join(if_small(members), "node")
     both = held.join(F.broadcast(of_hub) if weight <= HUB_SHINGLES else of_hub, "bucket")
     in_order = F.concat(F.array_sort(F.array_except("s", "hub_s")), F.array_sort(F.array_intersect("s", "hub_s")))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
@@ -87,6 +95,78 @@ def prefix_keys(members: DataFrame, hubs: DataFrame, sets: DataFrame, percent: i
         .select(F.xxhash64("bucket", "x").alias("bucket"), "node", "order", "n", "pos")
 
 
+def _bitmap(k: int):
+    """Word ``k`` of a set's bitmap: one bit a shingle, by its hash ``x``."""
+    return F.expr(f"bit_or(CASE WHEN (x >> 6) & {WORDS - 1} = {k} THEN shiftleft(1L, CAST(x & 63 AS INT)) ELSE 0L END)")
+
+
+def alike(percent: int) -> str:
+    """SQL over nodes ``m`` and ``h``: their bitmaps differ in no more bits than
+    the sets of a link may differ in shingles.
+
+    Each bit that differs is of a shingle that one of them lacks, and at a
+    similarity t at most (1 - t) / (1 + t) of both sizes are such, so no link is
+    lost (``n`` may be larger than a set, not smaller); texts of other content
+    differ in many more."""
+    bits = " + ".join(f"bit_count(m.z{k} ^ h.z{k})" for k in range(WORDS))
+    return f"(100 + {percent}) * ({bits}) <= (100 - {percent}) * (m.n + h.n)"
+
+
+class LineSets:
+    """Shingle sets of the lines that candidates need, each read once."""
+
+    def __init__(self, texts: DataFrame, nodes: DataFrame, firsts: DataFrame, chars: int, path: str):
+        self.texts, self.nodes, self.firsts, self.chars, self.path, self.parts = texts, nodes, firsts, chars, path, []
+
+    def sets(self) -> DataFrame:
+        out = self.parts[0]
+        for p in self.parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def add(self, needed: DataFrame) -> None:
+        """Make sure that the sets of the distinct nodes ``needed`` are there,
+        from one occurrence of each line."""
+        if self.parts:
+            needed = needed.join(self.sets().select("node"), "node", "left_anti")
+        at = f"{self.path}/{len(self.parts)}"
+        needed = written(needed, f"{at}/needed")
+        if self.parts and needed.isEmpty():
+            return
+        wanted = written(self.nodes.select("node", "h1", "h2").join(if_small(needed), "node"), f"{at}/keys")
+        wanted = written(self.firsts.join(if_small(wanted), ["h1", "h2"]).select("node", "h1", "h2", "first.*"),
+                         f"{at}/wanted")
+        # texts and lines that are not wanted stay where they are: one long a text and a line says which
+        owners = written(wanted.select(F.xxhash64("doc_id", "text_key").alias("owner")).distinct(), f"{at}/owners")
+        held = self.texts.withColumn("owner", F.xxhash64("doc_id", "text_key")) \
+            .join(if_small(owners, BROADCAST_LONGS), "owner", "left_semi")
+        lines = _lines(held)
+        few = written(wanted.select("h1").distinct(), f"{at}/few")
+        if few.count() <= BROADCAST_LONGS:
+            lines = lines.join(F.broadcast(few), "h1", "left_semi")
+        found = lines.alias("l").join(
+            if_small(wanted).alias("w"), (F.col("l.h1") == F.col("w.h1")) & (F.col("l.h2") == F.col("w.h2"))
+            & (F.col("l.pos") == F.col("w.pos")) & F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
+            & F.col("l.text_key").eqNullSafe(F.col("w.text_key")))
+        sets = found.select("w.node", F.array_distinct(F.transform(
+            _shingles(self.chars), lambda s: F.xxhash64(s))).alias("s"))
+        sets = written(sets.select("node", F.size("s").cast("bigint").alias("n"), "s"), f"{at}/sets")
+        if sets.count() > wanted.count():  # repeated rows hold a line's first occurrence more than once
+            sets = written(sets.dropDuplicates(["node"]), f"{at}/single-sets")
+        self.parts.append(sets)
+
+    def confirmed(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """The pairs (a, b) with 100 * intersection >= percent * union."""
+        self.add(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        # only the sets of this round's pairs are shuffled
+        alone = self.sets().select("node", "s")
+        others = alone.toDF("b", "set_b").join(if_small(pairs.select("b")), "b", "left_semi")
+        both = alone.toDF("a", "set_a").join(if_small(pairs), "a").join(others, "b")
+        sizes = [F.size("set_a"), F.size("set_b")]
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        return both.where(100 * common >= percent * (sizes[0] + sizes[1] - common)).select("a", "b")
+
+
 def removed_lines(docs: DataFrame, percent: int = MIN_PERCENT, chars: int = SHINGLE_CHARS,
                   bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text_key, pos) of every line that another one stands for."""
@@ -96,57 +176,62 @@ def removed_lines(docs: DataFrame, percent: int = MIN_PERCENT, chars: int = SHIN
     seen = written(_lines(texts).drop("norm"), f"{path}/lines")
 
     # signatures; a line's shingles are all in one task, so the partial step does the work
-    shingle = _lines(texts).select("h1", "h2", F.explode(_shingles(chars)).alias("s")) \
-        .select("h1", "h2", F.xxhash64("s").alias("x"))
+    cut = _lines(texts).select("h1", "h2", _shingles(chars).alias("all"))
+    sized = cut.select("h1", "h2", F.size("all").cast("bigint").alias("n"), "all")  # repeats count: no less than the set
+    shingle = sized.select("h1", "h2", "n", F.explode("all").alias("s")).select("h1", "h2", "n", F.xxhash64("s").alias("x"))
+    words = [f"z{k}" for k in range(WORDS)]
     signature = shingle.groupBy("h1", "h2").agg(
+        F.max("n").alias("n"), *[_bitmap(k).alias(f"z{k}") for k in range(WORDS)],
         *[F.min(F.hash(F.lit(k), "x")).alias(f"m{k}") for k in range(bands * rows)])
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]
-    nodes = written(signature.select("h1", "h2", F.array(*keys).alias("bands"))
+    nodes = written(signature.select("h1", "h2", "n", *words, F.array(*keys).alias("bands"))
                     .withColumn("node", F.monotonically_increasing_id()), f"{path}/nodes")
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     members = written(shared_buckets(members, f"{path}/shared"), f"{path}/met-members")
     met = by_centrality(members, f"{path}/met")
-
-    # sets of the lines that share a bucket, from one occurrence of each
+    profile = written(nodes.select("node", "n", *words).join(if_small(met, 200_000), "node"), f"{path}/profile")
+    members = members.select("bucket", "node").join(if_small(profile, 200_000), "node")
+    members = written(members, f"{path}/members")
+    forget(spark, f"{path}/met-members", f"{path}/met", f"{path}/shared")
     firsts = seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "text_key", "pos")).alias("first"),
                                           F.count(F.lit(1)).alias("times"))
     firsts = written(firsts, f"{path}/firsts")
-    wanted = written(nodes.join(if_small(met), "node", "left_semi").select("node", "h1", "h2"), f"{path}/wanted-keys")
-    wanted = written(firsts.join(if_small(wanted), ["h1", "h2"]).select("node", "h1", "h2", "first.*"), f"{path}/wanted")
-    owners = written(wanted.select(F.col("doc_id").alias("owner"), F.col("text_key").alias("owner_key")).distinct(),
-                     f"{path}/owners")
-    held = texts.join(if_small(owners), F.col("doc_id").eqNullSafe(F.col("owner"))
-                      & F.col("text_key").eqNullSafe(F.col("owner_key")), "left_semi")
-    found = _lines(held).alias("l").join(
-        if_small(wanted).alias("w"), (F.col("l.h1") == F.col("w.h1")) & (F.col("l.h2") == F.col("w.h2"))
-        & (F.col("l.pos") == F.col("w.pos")) & F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
-        & F.col("l.text_key").eqNullSafe(F.col("w.text_key")))
-    sets = found.select("w.node", F.array_distinct(F.transform(_shingles(chars), lambda s: F.xxhash64(s))).alias("s"))
-    sets = written(sets.select("node", F.size("s").cast("bigint").alias("n"), "s"), f"{path}/sets")
-    if sets.count() > wanted.count():  # repeated rows hold a line's first occurrence more than once
-        sets = written(sets.dropDuplicates(["node"]), f"{path}/single-sets")
-    members = members.join(if_small(met), "node").join(if_small(sets.select("node", "n")), "node")
-    members = written(members.select("bucket", "node", "order", "n", F.lit(0).alias("pos")), f"{path}/members")
+    store = LineSets(texts, nodes, firsts, chars, f"{path}/of")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        # only the sets of this round's pairs are shuffled
-        alone = sets.select("node", "s")
-        others = alone.toDF("b", "set_b").join(if_small(pairs.select("b")), "b", "left_semi")
-        both = alone.toDF("a", "set_a").join(if_small(pairs), "a").join(others, "b")
-        sizes = [F.size("set_a"), F.size("set_b")]
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        return both.where(100 * common >= percent * (sizes[0] + sizes[1] - common)).select("a", "b")
+        return store.confirmed(pairs, percent)
 
-    # one hub a bucket, then the prefix filter
-    meets = reachable(percent)
+    # one hub a bucket; what bitmaps tell apart is no pair, and its sets are not read
+    meets = alike(percent)
     hubs, pairs = hub_pairs(members.withColumn("label", F.col("node")), 1, f"{path}/hubs", meets)
     links = written(verify(written(pairs, f"{path}/pairs")), f"{path}/links")
     labels = None if links.isEmpty() else written(components(links, f"{path}/components"), f"{path}/labels")
-    left = members.join(if_small(hubs.select("bucket", "node")), ["bucket", "node"], "left_anti")
-    left = written(unresolved(left.drop("pos"), labels, f"{path}/mixed").drop("label"), f"{path}/left")
-    keys = written(prefix_keys(left, hubs.select("bucket", "node"), sets, percent), f"{path}/prefixes")
-    keys = written(shared_buckets(keys, f"{path}/prefix-keys").drop("size"), f"{path}/finer")
-    labels, _ = link_buckets(spark, keys, verify, f"{path}/rounds", links, labels, meets)
+    hubs = hubs.select("bucket", "node")
+    left = members.join(if_small(hubs), ["bucket", "node"], "left_anti")
+    left = written(unresolved(left, labels, f"{path}/mixed"), f"{path}/left")
+    forget(spark, f"{path}/members")
+
+    # what is left of a small bucket: all its pairs; of a large one: the prefix filter
+    large = left.groupBy("bucket").count().where(F.col("count") > LARGE_BUCKET).select("bucket")
+    large = if_small(written(large, f"{path}/large"))
+    pairs = written(alike_pairs(left.join(large, "bucket", "left_anti"), meets), f"{path}/left-pairs")
+    found = written(verify(pairs), f"{path}/left-links")
+    if not found.isEmpty():
+        links = links.union(found)
+        labels = written(components(links, f"{path}/left-components"), f"{path}/left-labels")
+    crowd = left.join(large, "bucket", "left_semi").drop("label")
+    crowd = written(unresolved(crowd, labels, f"{path}/crowd-mixed"), f"{path}/crowd")
+    if not crowd.isEmpty():
+        hubs = hubs.join(if_small(written(crowd.select("bucket").distinct(), f"{path}/crowd-buckets")), "bucket", "left_semi")
+        hubs = written(hubs, f"{path}/crowd-hubs")
+        store.add(crowd.select("node").union(hubs.select("node")).distinct())
+        keys = crowd.select("bucket", "node", "order")
+        keys = written(prefix_keys(keys, hubs, store.sets(), percent), f"{path}/prefixes")
+        keys = written(shared_buckets(keys, f"{path}/prefix-keys").drop("size"), f"{path}/prefixes-shared")
+        keys = keys.join(if_small(profile.select("node", *words), 200_000), "node")
+        keys = written(keys, f"{path}/finer")
+        forget(spark, f"{path}/prefixes", f"{path}/prefix-keys", f"{path}/prefixes-shared")
+        labels, _ = link_buckets(spark, keys, verify, f"{path}/rounds", links, labels, f"{reachable(percent)} AND {meets}")
 
     # first occurrence of each component; lines on their own only if they repeat
     own = firsts.select("h1", "h2", "first", "times")
@@ -161,6 +246,8 @@ def removed_lines(docs: DataFrame, percent: int = MIN_PERCENT, chars: int = SHIN
         groups = linked.join(if_small(least), "label", "left") \
             .select("h1", "h2", F.coalesce("least", "first").alias("keeper"))
     groups = written(groups, f"{path}/groups")
+    # the rest is read by nobody from here on
+    forget(spark, *[f"{path}/{n}" for n in child_names(spark, path) if n not in ("lines", "groups")])
     hit = seen.join(if_small(groups), ["h1", "h2"])
     same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & F.col("text_key").eqNullSafe(F.col("keeper.text_key")) \
         & (F.col("pos") == F.col("keeper.pos"))
@@ -193,12 +280,12 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
         .agg(F.collect_list("pos").alias("gone_pos"))
     gone = written(gone, f"{path}/gone")
     # the row travels whole, so its columns may have any names
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("k_id"), F.xxhash64("text").alias("k_key"),
-                       F.col("text").alias("whole"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("k_id"), F.xxhash64("text").alias("k_key"))
     out = rows.join(if_small(gone, 200_000), F.col("k_id").eqNullSafe(F.col("gone_id"))
                     & (F.col("k_key") == F.col("gone_key")), "left")
-    lines = F.filter(F.split("whole", "\n", -1), lambda line, i: ~F.array_contains("gone_pos", i))
-    text = F.when(F.col("gone_pos").isNull(), F.col("whole")).otherwise(F.array_join(lines, "\n"))
+    whole = F.col("row")["text"]
+    lines = F.filter(F.split(whole, "\n", -1), lambda line, i: ~F.array_contains("gone_pos", i))
+    text = F.when(F.col("gone_pos").isNull(), whole).otherwise(F.array_join(lines, "\n"))
     left = out.select("row", "gone_pos", text.alias("left_text"))
     left = left.where(F.col("gone_pos").isNull() | F.col("left_text").rlike(r"(?U)\S"))
     return left.select(*[F.col("left_text").alias("text") if c == "text" else F.col("row")[c].alias(c)

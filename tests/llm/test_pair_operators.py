@@ -263,3 +263,44 @@ def test_op6_alike_lines_are_not_compared_in_all_pairs(spark, monkeypatch, lines
     got = {(r.doc_id, p) for r in line_dedup.line_decisions(docs).collect() for p in r.removed}
     assert got == H.removed_lines(rows) and len(got) == lines // 20
     assert sum(compared) <= 12 * lines
+
+
+def test_op6_reads_no_sets_of_lines_that_only_share_a_bucket(spark, monkeypatch):
+    """Lines of other content that meet in a bucket (a common phrase) are told
+    apart by their bitmaps: only copies have their sets read."""
+    rng = random.Random(6)
+    phrase = H.prose(91, 3)
+    word = lambda: "".join(rng.choices("bcdfgklmnprstvz", k=9))
+    rows = [(i, " ".join([phrase] + [word() for _ in range(12)])) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + "!") for i in range(10)]
+    read = {}
+    plain = line_dedup.written
+
+    def counted(df, path):
+        out = plain(df, path)
+        read[path.rsplit("/", 1)[-1]] = read.get(path.rsplit("/", 1)[-1], 0) + out.count()
+        return out
+    monkeypatch.setattr(line_dedup, "written", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, p) for r in line_dedup.line_decisions(docs).collect() for p in r.removed}
+    assert got == H.removed_lines(rows) and len(got) == 10
+    assert read["met-members"] > 100       # they do share buckets
+    assert 20 <= read["sets"] <= 40
+
+
+def test_op6_large_buckets_lose_no_link(spark, monkeypatch):
+    """The same lines by all pairs of small buckets and by the prefix filter."""
+    rng = random.Random(7)
+    words = H.prose(92, 14).split()
+    rows = []
+    for i in range(150):
+        own = list(words)
+        for k in rng.sample(range(14), rng.choice([1, 2, 4])):
+            own[k] = "".join(rng.choices("bcdfg", k=8))
+        rows.append((i, "\n".join([" ".join(own), " ".join(reversed(own))])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = []
+    for limit in (256, 3):
+        monkeypatch.setattr(line_dedup, "LARGE_BUCKET", limit)
+        found.append({(r.doc_id, p) for r in line_dedup.line_decisions(docs).collect() for p in r.removed})
+    assert found[0] == found[1] and found[0]
