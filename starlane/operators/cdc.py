@@ -171,6 +171,7 @@ def _merge(zone: str, changes: DataFrame, key: str, order_by: list[str], partiti
             write_parquet(new.withColumn(SIGN, F.lit(1)), f"{own}/changes")
             write_parquet(new.select(*partition_cols).distinct(), f"{own}/touched")
             write_parquet(_by_partition(new, partition_cols, key), f"{own}/merged")
+            delete_path(spark, stage)
             touch(spark, f"{own}/_FIRST")
             touch(spark, f"{own}/_PREPARED")
             _put_through(spark, zone, version, partition_cols)
@@ -234,17 +235,22 @@ def _merge(zone: str, changes: DataFrame, key: str, order_by: list[str], partiti
         best_rows = best_rows.join(places, _same(best_rows, places, partition_cols), "left_semi")
         merged = merged.join(keys, key, "left_anti").select(*columns).unionByName(best_rows)
     merged = merged.unionByName(fresh).unionByName(loose)
-    write_parquet(_by_partition(materialise(merged, f"{stage}/merged"), partition_cols, key), f"{own}/merged")
     if log_changes:
         moves = come.withColumn(SIGN, F.lit(1))
         if gone is not None:
             moves = moves.unionByName(gone.withColumn(SIGN, F.lit(-1)))
         write_parquet(moves, f"{own}/changes")
+    merged = materialise(merged, f"{stage}/merged")
+    # from here on only the merged rows are read: one copy of them at a time
+    for done in child_names(spark, stage):
+        if done != "merged":
+            delete_path(spark, f"{stage}/{done}")
+    write_parquet(_by_partition(merged, partition_cols, key), f"{own}/merged")
+    delete_path(spark, stage)
     touch(spark, f"{own}/_PREPARED")
     _put_through(spark, zone, version, partition_cols)
     if not log_changes:
         delete_path(spark, own)
-    delete_path(spark, stage)
     return version
 
 

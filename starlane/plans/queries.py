@@ -31,7 +31,7 @@ from starlane.schema import (
     SOURCE_COLS,
     STAR_SCHEMAS,
 )
-from starlane.session import apply_engine_conf, work_dir
+from starlane.session import apply_engine_conf, delete_path, work_dir
 from starlane.sinks import files as sinks
 from starlane.sources.bookings import raw_bookings, table
 from starlane.streaming import incremental
@@ -471,11 +471,14 @@ def _order_events(spark, sf_dir, name: str) -> tuple[str, list[int]]:
     root = work_dir(spark, name)
     line = F.col("booking_id")
     rows = _cleaned(spark, sf_dir).select(*CLEANED_COLS)
-    feed = sinks.materialise(rows.withColumn("second", line.endswith("-2"))
-                             .withColumn("booking_id", F.substring_index(line, "-", 1)), f"{root}/feed")
+    # one pass: a second line is its own version and a delete
+    ops = F.when(line.endswith("-2"), F.array(F.lit("U"), F.lit("D"))).otherwise(F.array(F.lit("U")))
     later = F.col("booking_timestamp") + F.expr("INTERVAL 12 HOURS")
-    gone = feed.where("second").select("booking_id", later.alias("booking_timestamp"), F.lit("D").alias("op"))
-    events = feed.drop("second").withColumn("op", F.lit("U")).unionByName(gone, allowMissingColumns=True)
+    gone = F.col("op") == "D"
+    own = {"booking_id": F.substring_index(line, "-", 1),
+           "booking_timestamp": F.when(gone, later).otherwise(F.col("booking_timestamp"))}
+    events = rows.withColumn("op", F.explode(ops)).select(
+        *[own.get(c, F.when(~gone, F.col(c))).alias(c) for c in CLEANED_COLS], "op")
     month = F.year("booking_timestamp") * 100 + F.month("booking_timestamp")
     events = events.withColumn("month", month.cast("int")).withColumn("batch", F.coalesce(F.col("month") % 3, F.lit(0)))
     sinks.materialise(events, f"{root}/changes", partition_by=["batch"])
@@ -486,14 +489,22 @@ def _apply_order_events(spark, sf_dir, name: str, each=None) -> str:
     """The zone after all batches; without ``each``, the second arrives twice."""
     root, batches = _order_events(spark, sf_dir, name)
     zone = f"{root}/orders"
-    for batch in batches if each else [*batches[:2], *batches[1:]]:
+    arriving = batches if each else [*batches[:2], *batches[1:]]
+    for k, batch in enumerate(arriving):
         cdc.apply_changes(zone, _change_set(spark, root, batch), "booking_id", ["booking_timestamp"], "month",
                           log_changes=each is not None)
         if each:
             each(zone)
+        if batch not in arriving[k + 1:]:
+            delete_path(spark, f"{root}/changes/batch={batch}")     # merged; what is left is the zone
     return zone
 
 
+def _refreshed(refresh, spark, zone: str, state: str) -> None:
+    """A refresh, after which no reader needs the differences before it."""
+    cdc.forget_differences(spark, zone, refresh(spark, zone, state))
+
+
 def cdc_deletes(spark, sf_dir):
     """Versions and deletes of orders, arriving out of order: what is left is
     the latest version of every order that no later delete has removed."""
@@ -504,7 +515,7 @@ def kpi_incremental(spark, sf_dir):
     """KPI-1 with the vehicle's KPI-2 and KPI-3 from a state that is brought up
     to date after each of the change sets of ``cdc_deletes``."""
     state = work_dir(spark, "kpi_state") + "/daily"
-    _apply_order_events(spark, sf_dir, "kpi_incremental", lambda zone: kpi_state.refresh(spark, zone, state))
+    _apply_order_events(spark, sf_dir, "kpi_incremental", lambda zone: _refreshed(kpi_state.refresh, spark, zone, state))
     kept = spark.read.parquet(state)
     rates = kpi_state.cancellation_rate(kept).select(
         F.col("vehicle_type").alias("_v"), "customer_cancel_rate", "driver_cancel_rate")
@@ -518,7 +529,8 @@ def dq_incremental(spark, sf_dir):
     """Quality counts kept up to date after each of the change sets of
     ``cdc_deletes``: the last of the reports kept."""
     state = work_dir(spark, "dq_state") + "/counts"
-    _apply_order_events(spark, sf_dir, "dq_incremental", lambda zone: quality_state.refresh(spark, zone, state))
+    _apply_order_events(spark, sf_dir, "dq_incremental",
+                        lambda zone: _refreshed(quality_state.refresh, spark, zone, state))
     seen = quality_state.history(spark, state)
     last = seen.agg(F.max("v")).first()[0]
     return seen.where(F.col("v") == last).select("check_name", "failed")
