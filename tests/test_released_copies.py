@@ -50,3 +50,9 @@ def test_merged_change_sets_and_seen_differences_go(spark, monkeypatch, name):
     assert not [n for n in child_names(spark, f"{root}/changes") if n.startswith("batch=")]
     assert child_names(spark, f"{root}/orders__log") == ["v=3"]
     assert child_names(spark, f"{root}/orders")
+
+
+def test_stream_drops_cleaned_rows_of_finished_batches(spark, monkeypatch):
+    root = _run(spark, monkeypatch, "stream_resent_files")
+    assert child_names(spark, f"{root}/star/fact/fact_booking")
+    assert not [n for n in child_names(spark, f"{root}/star/cleaned") if n.startswith("batch_id=")]
